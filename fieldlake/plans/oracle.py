@@ -31,3 +31,173 @@ SELECT region, water_year, days_of_record, mean_cfs, min_cfs, max_cfs, median_cf
        CAST(rank() OVER (PARTITION BY region ORDER BY annual_volume_af DESC) AS INTEGER) AS wettest_year_rank
 FROM s WHERE days_of_record >= 30
 """
+
+_NULLK = "'_dbt_utils_surrogate_key_null_'"
+_LINE_SK = (f"md5(concat_ws('-', coalesce(CAST(l_orderkey AS VARCHAR), {_NULLK}), "
+            f"coalesce(CAST(l_linenumber AS VARCHAR), {_NULLK}))) AS line_sk")
+_LINE_TB = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
+
+SQL["surrogate_key_dedup_first"] = f"""
+SELECT {_LINE_SK}, * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                           ORDER BY l_shipdate ASC NULLS LAST, {_LINE_TB}) = 1"""
+
+SQL["surrogate_key_dedup_last"] = f"""
+SELECT {_LINE_SK}, * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                           ORDER BY l_shipdate DESC NULLS FIRST, {_LINE_TB}) = 1"""
+
+SQL["keep_largest"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC NULLS FIRST,
+                           l_linenumber, l_partkey) = 1"""
+
+SQL["dominant_child"] = """
+SELECT l_orderkey, l_suppkey AS dominant_suppkey, l_quantity FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC NULLS LAST,
+                           l_linenumber, l_suppkey, l_partkey) = 1"""
+
+SQL["latest_per_entity"] = """
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) = 1"""
+
+SQL["duplicate_report"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"""
+
+SQL["decode_status"] = """
+SELECT o_orderstatus, count(*) AS n_orders,
+       CASE o_orderstatus WHEN 'F' THEN 'Fulfilled' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Partial'
+            ELSE 'Unknown' END AS status_label
+FROM orders GROUP BY 1"""
+
+SQL["threshold_bins"] = """
+SELECT CASE WHEN l_quantity < 5 THEN '1-5 in' WHEN l_quantity < 10 THEN '5-10 in'
+            WHEN l_quantity < 15 THEN '10-15 in' WHEN l_quantity < 20 THEN '15-20 in'
+            WHEN l_quantity < 30 THEN '20-30 in' WHEN l_quantity < 40 THEN '30-40 in'
+            ELSE '40+ in' END AS quantity_class,
+       count(*) AS n_lines, sum(l_quantity) AS sum_qty
+FROM lineitem GROUP BY 1"""
+
+SQL["size_class_bins"] = """
+SELECT CASE WHEN o_totalprice >= 100000 THEN 'Megafire (100k+ ac)'
+            WHEN o_totalprice >= 10000 THEN 'Large (10k-100k ac)'
+            WHEN o_totalprice >= 1000 THEN 'Moderate (1k-10k ac)'
+            WHEN o_totalprice >= 100 THEN 'Small (100-1k ac)' ELSE 'Minor (<100 ac)' END AS size_class,
+       count(*) AS n_orders
+FROM orders GROUP BY 1"""
+
+SQL["stage_bins"] = """
+SELECT CASE WHEN p_size IS NULL THEN 'Unknown' WHEN p_size < 20 THEN 'Regeneration (<20 yr)'
+            WHEN p_size < 40 THEN 'Young (20-40 yr)' WHEN p_size < 80 THEN 'Mature (40-80 yr)'
+            WHEN p_size < 150 THEN 'Late (80-150 yr)' ELSE 'Old growth (150+ yr)' END AS stage,
+       count(*) AS n_parts
+FROM part GROUP BY 1"""
+
+SQL["pattern_class"] = """
+SELECT CASE WHEN p_name ILIKE '%RING%' THEN 'Ring' WHEN p_name ILIKE '%WIDGET%' THEN 'Widget'
+            WHEN p_name ILIKE '%BOLT%' THEN 'Bolt' WHEN p_name ILIKE '%GEAR%' THEN 'Gear'
+            ELSE 'Other' END AS part_class,
+       count(*) AS n_parts
+FROM part GROUP BY 1"""
+
+SQL["range_filter"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
+WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'
+  AND o_orderstatus IN ('F', 'O')"""
+
+SQL["like_filter"] = """
+SELECT p_partkey, p_name, p_type, upper(p_name) = 'SMALL RING' AS is_target FROM part
+WHERE p_type ILIKE '%o%' AND NOT p_type ILIKE '%promo%'"""
+
+SQL["flag_derive"] = """
+SELECT nullif(l_discount, 0.0) IS NOT NULL AS is_discounted, l_returnflag = 'R' AS is_returned,
+       count(*) AS n_lines
+FROM lineitem GROUP BY 1, 2"""
+
+_SUPP_REGION = """
+  sr AS (SELECT s.s_suppkey, s.s_name, r.r_name FROM supplier s
+         JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+SQL["scoped_inner_join"] = f"""
+WITH {_SUPP_REGION}
+SELECT sr.s_suppkey, sr.s_name, count(*) AS n_lines, sum(l.l_quantity) AS sum_qty
+FROM lineitem l JOIN sr ON l.l_suppkey = sr.s_suppkey
+WHERE sr.r_name = 'ASIA' GROUP BY 1, 2"""
+
+SQL["left_lookup"] = """
+SELECT p.p_type, count(*) AS n_lines,
+       CAST(sum(CAST(round(l.l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS sum_price
+FROM lineitem l LEFT JOIN (SELECT * FROM part WHERE p_size <= 40) p ON l.l_partkey = p.p_partkey
+GROUP BY 1"""
+
+SQL["semi_join"] = """
+SELECT p_partkey, p_name FROM part
+WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_quantity > 45 AND l.l_partkey = part.p_partkey)"""
+
+SQL["anti_join"] = """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_returnflag = 'R' AND l.l_orderkey = orders.o_orderkey)"""
+
+SQL["agg_join"] = """
+SELECT c.c_custkey, c.c_name, a.max_price, a.last_order FROM customer c
+JOIN (SELECT o_custkey, max(o_totalprice) AS max_price, max(o_orderdate) AS last_order
+      FROM orders GROUP BY 1) a ON c.c_custkey = a.o_custkey"""
+
+SQL["coverage_join"] = """
+WITH stats AS (
+  SELECT c.c_nationkey, count(*) AS n_orders, min(o.o_orderdate) AS first_order,
+         max(o.o_orderdate) AS last_order
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  WHERE o.o_orderdate >= TIMESTAMP '1997-01-01' AND o.o_orderdate < TIMESTAMP '1997-03-01'
+  GROUP BY 1)
+SELECT n.n_nationkey, n.n_name, coalesce(s.n_orders, 0) AS n_orders, s.first_order, s.last_order
+FROM nation n LEFT JOIN stats s ON n.n_nationkey = s.c_nationkey"""
+
+SQL["conditional_agg"] = """
+SELECT l_returnflag, count(*) AS total_lines,
+       sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS open_lines,
+       round(avg(CASE WHEN l_linestatus = 'O' THEN l_quantity END), 4) AS avg_open_qty,
+       max(CASE WHEN l_linestatus = 'O' THEN l_discount END) AS max_open_discount,
+       round(CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
+             / nullif(CAST(count(*) AS DOUBLE), 0.0), 4) AS pct_open
+FROM lineitem GROUP BY 1"""
+
+SQL["pivot_pairs"] = """
+WITH piv AS (
+  SELECT l_partkey,
+         max(CASE WHEN l_linestatus = 'F' THEN l_quantity END) AS pre_qty,
+         max(CASE WHEN l_linestatus = 'O' THEN l_quantity END) AS post_qty,
+         max(CASE WHEN l_linestatus = 'F' THEN l_extendedprice END) AS pre_price,
+         max(CASE WHEN l_linestatus = 'O' THEN l_extendedprice END) AS post_price
+  FROM lineitem GROUP BY 1)
+SELECT *, post_qty - pre_qty AS qty_change,
+       round((post_price - pre_price) / nullif(pre_price, 0.0) * 100, 4) AS pct_price_change
+FROM piv WHERE pre_qty IS NOT NULL AND post_qty IS NOT NULL"""
+
+SQL["expansion_agg"] = """
+SELECT l_returnflag,
+       CAST(sum(CASE WHEN l_linestatus = 'O' THEN CAST(round(l_extendedprice * 100) AS BIGINT)
+                     * CAST(l_quantity AS BIGINT) END) AS DOUBLE) / 200000.0 AS open_expanded,
+       CAST(sum(CASE WHEN l_linestatus = 'F' THEN CAST(round(l_extendedprice * 100) AS BIGINT)
+                     * CAST(l_quantity AS BIGINT) END) AS DOUBLE) / 200000.0 AS closed_expanded
+FROM lineitem GROUP BY 1"""
+
+SQL["share_having"] = """
+SELECT l_suppkey, count(*) AS n_lines,
+       sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS returned_lines,
+       round(CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
+             / nullif(CAST(count(*) AS DOUBLE), 0.0), 4) AS pct_returned
+FROM lineitem GROUP BY 1 HAVING count(*) >= 550"""
+
+SQL["percentiles"] = """
+SELECT user_id, count(*) AS n_events,
+       round(quantile_cont(value, 0.5), 4) AS median_value,
+       round(quantile_cont(value, 0.1), 4) AS p10_value,
+       round(quantile_cont(value, 0.9), 4) AS p90_value
+FROM events GROUP BY 1"""
+
+SQL["mode_per_group"] = """
+WITH c AS (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders
+           WHERE o_orderpriority IS NOT NULL GROUP BY 1, 2)
+SELECT o_custkey, o_orderpriority AS mode_priority FROM c
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, o_orderpriority ASC) = 1"""
