@@ -155,7 +155,7 @@ FROM nation n LEFT JOIN stats s ON n.n_nationkey = s.c_nationkey"""
 
 SQL["conditional_agg"] = """
 SELECT l_returnflag, count(*) AS total_lines,
-       sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS open_lines,
+       CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS open_lines,
        round(avg(CASE WHEN l_linestatus = 'O' THEN l_quantity END), 4) AS avg_open_qty,
        max(CASE WHEN l_linestatus = 'O' THEN l_discount END) AS max_open_discount,
        round(CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
@@ -184,7 +184,7 @@ FROM lineitem GROUP BY 1"""
 
 SQL["share_having"] = """
 SELECT l_suppkey, count(*) AS n_lines,
-       sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS returned_lines,
+       CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS returned_lines,
        round(CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
              / nullif(CAST(count(*) AS DOUBLE), 0.0), 4) AS pct_returned
 FROM lineitem GROUP BY 1 HAVING count(*) >= 550"""
@@ -201,3 +201,250 @@ WITH c AS (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders
            WHERE o_orderpriority IS NOT NULL GROUP BY 1, 2)
 SELECT o_custkey, o_orderpriority AS mode_priority FROM c
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, o_orderpriority ASC) = 1"""
+
+# ---------------------------------------------------------------- part 2
+_EV_SERIES = """
+  s AS (SELECT user_id, event_id, ts, value,
+               lag(value) OVER w AS prev_value, value - lag(value) OVER w AS change
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))"""
+
+SQL["variant_project"] = """
+SELECT event_id, event_type, CAST(props->>'$.k' AS INTEGER) AS k, TRY_CAST(props->>'$.k' AS DOUBLE) AS k_double
+FROM events WHERE CAST(props->>'$.k' AS INTEGER) IS NOT NULL"""
+
+SQL["lag_change_rolling"] = """
+SELECT user_id, event_id, ts, value, lag(value) OVER w AS prev_value, value - lag(value) OVER w AS change,
+       round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                              ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING), 6) AS rolling_mean
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
+
+SQL["daily_flow_features"] = f"""
+WITH {_CUST_REGION}
+SELECT region, flow_date, discharge, lag(discharge) OVER w AS prev_discharge,
+       discharge - lag(discharge) OVER w AS change_cfs,
+       round(avg(discharge) OVER (PARTITION BY region ORDER BY flow_date
+                                  ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING), 6) AS rolling_7d_mean,
+       CAST(CASE WHEN month(flow_date) >= 10 THEN year(flow_date) + 1 ELSE year(flow_date) END AS INTEGER) AS water_year
+FROM daily WINDOW w AS (PARTITION BY region ORDER BY flow_date)"""
+
+SQL["share_of_group"] = """
+SELECT l_returnflag, l_linestatus, count(*) AS n,
+       round(CAST(count(*) AS DOUBLE) * 100.0 / CAST(sum(count(*)) OVER (PARTITION BY l_returnflag) AS DOUBLE), 4) AS pct_of_flag
+FROM lineitem GROUP BY 1, 2"""
+
+SQL["top_jumps"] = f"""
+WITH {_EV_SERIES}
+SELECT user_id, event_id, ts, value, prev_value, change, abs(change) AS abs_change
+FROM s WHERE change IS NOT NULL ORDER BY abs(change) DESC, event_id LIMIT 20"""
+
+SQL["jump_by_weekday"] = f"""
+WITH {_EV_SERIES}
+SELECT strftime(ts, '%a') AS weekday, count(*) AS n_jumps FROM s WHERE abs(change) >= 300 GROUP BY 1"""
+
+SQL["diurnal_profile"] = """
+WITH h AS (SELECT event_type, CAST(hour(timezone('America/Los_Angeles', timezone('UTC', ts))) AS INTEGER) AS local_hour,
+                  count(*) AS n_events, avg(value) AS m
+           FROM events GROUP BY 1, 2)
+SELECT event_type, local_hour, n_events, round(m, 4) AS mean_value,
+       round((max(m) OVER (PARTITION BY event_type) - min(m) OVER (PARTITION BY event_type)) / 2
+             / avg(m) OVER (PARTITION BY event_type) * 100, 4) AS amplitude_pct
+FROM h"""
+
+SQL["around_max"] = f"""
+WITH {_EV_SERIES},
+top AS (SELECT user_id, ts AS event_time FROM s WHERE change IS NOT NULL ORDER BY abs(change) DESC, event_id LIMIT 1)
+SELECT e.user_id, e.event_id, e.ts, e.value FROM events e JOIN top t ON e.user_id = t.user_id
+ AND e.ts >= t.event_time - INTERVAL 2 HOUR AND e.ts <= t.event_time + INTERVAL 2 HOUR"""
+
+SQL["corr_leave_one_out"] = """
+WITH vol AS (SELECT c.c_nationkey, ln(sum(o.o_totalprice)) AS x
+             FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1),
+bal AS (SELECT c_nationkey, avg(c_acctbal) AS y FROM customer GROUP BY 1),
+b AS (SELECT vol.c_nationkey, x, y FROM vol JOIN bal ON vol.c_nationkey = bal.c_nationkey),
+t AS (SELECT count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy, sum(x * x) AS sxx, sum(y * y) AS syy,
+             corr(x, y) AS corr_all FROM b),
+z AS (SELECT b.*, t.corr_all,
+             (t.n - 1) * (t.sxy - x * y) - (t.sx - x) * (t.sy - y) AS num,
+             sqrt(((t.n - 1) * (t.sxx - x * x) - (t.sx - x) * (t.sx - x))
+                  * ((t.n - 1) * (t.syy - y * y) - (t.sy - y) * (t.sy - y))) AS den
+      FROM b CROSS JOIN t)
+SELECT c_nationkey, round(x, 6) AS log_volume, round(y, 6) AS avg_acctbal, round(corr_all, 6) AS corr_all,
+       round(CASE WHEN den > 0 THEN num / den END, 6) AS corr_without FROM z"""
+
+SQL["ratio_of_totals"] = """
+WITH b AS (SELECT l_returnflag, l_extendedprice AS bv, l_extendedprice * (1 - l_discount) AS av FROM lineitem
+           WHERE l_extendedprice IS NOT NULL AND l_extendedprice <> 0)
+SELECT l_returnflag, count(*) AS n_pairs, round(sum(av) / sum(bv) - 1, 6) AS ratio_of_totals,
+       round(avg(av / bv - 1), 6) AS mean_of_ratios, round(quantile_cont(av / bv - 1, 0.5), 6) AS median_of_ratios
+FROM b GROUP BY 1"""
+
+SQL["record_length"] = """
+SELECT user_id, count(ts) AS n_records, min(ts) AS first_seen, max(ts) AS last_seen
+FROM events GROUP BY 1 HAVING count(ts) >= 70"""
+
+SQL["profile_table"] = """
+SELECT 'l_orderkey' AS column_name, count(*) AS n_rows, count(l_orderkey) AS n_non_null,
+       count(DISTINCT l_orderkey) AS n_distinct, CAST(min(l_orderkey) AS VARCHAR) AS min_value,
+       CAST(max(l_orderkey) AS VARCHAR) AS max_value FROM lineitem
+UNION ALL SELECT 'l_quantity', count(*), count(l_quantity), count(DISTINCT l_quantity),
+       CAST(min(l_quantity) AS VARCHAR), CAST(max(l_quantity) AS VARCHAR) FROM lineitem
+UNION ALL SELECT 'l_returnflag', count(*), count(l_returnflag), count(DISTINCT l_returnflag),
+       CAST(min(l_returnflag) AS VARCHAR), CAST(max(l_returnflag) AS VARCHAR) FROM lineitem
+UNION ALL SELECT 'l_shipdate', count(*), count(l_shipdate), count(DISTINCT l_shipdate),
+       CAST(min(l_shipdate) AS VARCHAR), CAST(max(l_shipdate) AS VARCHAR) FROM lineitem"""
+
+SQL["topk_with_label"] = """
+WITH t AS (SELECT l_partkey, count(*) AS n_lines FROM lineitem GROUP BY 1 ORDER BY n_lines DESC, l_partkey LIMIT 10)
+SELECT t.l_partkey AS p_partkey, p.p_name, t.n_lines FROM t LEFT JOIN part p ON t.l_partkey = p.p_partkey"""
+
+_ORDER_PAIRS = """
+  ptr AS (SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice, o_orderpriority,
+                 lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev_orderkey
+          FROM orders),
+  pairs AS (SELECT c.o_orderkey, c.prev_orderkey, c.o_custkey, c.o_orderpriority,
+                   CAST(date_diff('day', p.o_orderdate, c.o_orderdate) AS INTEGER) AS interval_days,
+                   round(c.o_totalprice - p.o_totalprice, 2) AS price_change,
+                   round(c.o_totalprice - p.o_totalprice, 2)
+                         / nullif(CAST(date_diff('day', p.o_orderdate, c.o_orderdate) AS INTEGER), 0) AS daily_rate
+            FROM ptr c JOIN orders p ON c.prev_orderkey = p.o_orderkey
+            WHERE c.o_orderdate > p.o_orderdate)"""
+
+SQL["predecessor_self_join"] = f"WITH {_ORDER_PAIRS} SELECT * FROM pairs"
+
+SQL["growth_by_site"] = f"""
+WITH {_ORDER_PAIRS}
+SELECT o_orderpriority, count(*) AS n_pairs, round(avg(daily_rate), 4) AS mean_rate,
+       round(avg(interval_days), 4) AS mean_interval,
+       round(quantile_cont(daily_rate, 0.5), 4) AS median_rate, round(quantile_cont(daily_rate, 0.9), 4) AS p90_rate
+FROM pairs WHERE interval_days BETWEEN 30 AND 1000 GROUP BY 1 HAVING count(*) >= 50"""
+
+SQL["before_after_change"] = """
+WITH ev AS (SELECT o_custkey, CAST(year(min(o_orderdate)) AS INTEGER) AS event_year FROM orders
+            WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
+j AS (SELECT o.o_custkey, ev.event_year, CAST(year(o.o_orderdate) AS INTEGER) AS y, o.o_totalprice,
+             CASE WHEN year(o.o_orderdate) > ev.event_year THEN 'Post-fire'
+                  WHEN year(o.o_orderdate) < ev.event_year THEN 'Pre-fire' ELSE 'Same year' END AS timing
+      FROM orders o JOIN ev ON o.o_custkey = ev.o_custkey),
+piv AS (SELECT o_custkey, event_year,
+               max(CASE WHEN timing = 'Pre-fire' THEN y END) AS pre_year,
+               max(CASE WHEN timing = 'Post-fire' THEN y END) AS post_year,
+               max(CASE WHEN timing = 'Pre-fire' THEN o_totalprice END) AS pre_total,
+               max(CASE WHEN timing = 'Post-fire' THEN o_totalprice END) AS post_total
+        FROM j GROUP BY 1, 2)
+SELECT *, post_year - pre_year AS remeasure_interval, round(post_total - pre_total, 2) AS total_change,
+       round((post_total - pre_total) / nullif(pre_total, 0) * 100, 4) AS pct_change
+FROM piv WHERE pre_year IS NOT NULL AND post_year IS NOT NULL"""
+
+SQL["merge_incremental"] = """
+WITH tgt AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderdate AS loaded_at
+             FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+stg AS (SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate,
+               o_orderdate + INTERVAL 1 DAY AS loaded_at, 1 AS revision
+        FROM orders WHERE o_orderdate >= TIMESTAMP '1998-12-01'),
+inc AS (SELECT * FROM stg WHERE loaded_at > (SELECT max(loaded_at) - INTERVAL 14 DAY FROM tgt))
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, loaded_at, CAST(NULL AS INTEGER) AS revision
+FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM inc)
+UNION ALL SELECT * FROM inc"""
+
+SQL["scd2_history"] = """
+WITH e2 AS (
+  SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN s_name || ' (renamed)' ELSE s_name END AS s_name,
+         CASE WHEN s_acctbal > 9000 THEN s_nationkey + 1 ELSE s_nationkey END AS s_nationkey,
+         CASE WHEN s_acctbal BETWEEN 4000 AND 4500 THEN s_acctbal + 100 ELSE s_acctbal END AS s_acctbal
+  FROM supplier WHERE NOT (s_acctbal BETWEEN 0 AND 500)
+  UNION ALL SELECT s_suppkey + 1000000, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal BETWEEN 500 AND 1000),
+snap AS (SELECT s_suppkey, s_name, s_nationkey, s_acctbal, TIMESTAMP '2024-01-01' AS valid_from,
+                CAST(NULL AS TIMESTAMP) AS valid_to FROM supplier)
+SELECT s.* FROM snap s JOIN e2 c ON s.s_suppkey = c.s_suppkey
+ WHERE s.s_name IS NOT DISTINCT FROM c.s_name AND s.s_nationkey IS NOT DISTINCT FROM c.s_nationkey
+UNION ALL
+SELECT s.s_suppkey, s.s_name, s.s_nationkey, s.s_acctbal, s.valid_from, TIMESTAMP '2024-02-01'
+FROM snap s LEFT JOIN e2 c ON s.s_suppkey = c.s_suppkey
+ WHERE c.s_suppkey IS NULL OR s.s_name IS DISTINCT FROM c.s_name OR s.s_nationkey IS DISTINCT FROM c.s_nationkey
+UNION ALL
+SELECT c.s_suppkey, c.s_name, c.s_nationkey, c.s_acctbal, TIMESTAMP '2024-02-01', CAST(NULL AS TIMESTAMP)
+FROM e2 c LEFT JOIN snap s ON s.s_suppkey = c.s_suppkey
+ WHERE s.s_suppkey IS NULL OR s.s_name IS DISTINCT FROM c.s_name OR s.s_nationkey IS DISTINCT FROM c.s_nationkey"""
+
+SQL["dq_report"] = """
+WITH r AS (
+  SELECT 'not_null_l_orderkey' AS check_name, 'not_null' AS kind, 'error' AS severity,
+         count(*) FILTER (WHERE l_orderkey IS NULL) AS failing_rows FROM lineitem
+  UNION ALL SELECT 'accepted_values_l_returnflag', 'accepted_values', 'warn',
+         count(*) FILTER (WHERE l_returnflag IS NOT NULL AND l_returnflag NOT IN ('A', 'N')) FROM lineitem
+  UNION ALL SELECT 'accepted_range_l_discount', 'accepted_range', 'error',
+         count(*) FILTER (WHERE l_discount IS NOT NULL AND (l_discount < 0 OR l_discount > 0.08)) FROM lineitem
+  UNION ALL SELECT 'price_positive', 'expression', 'error',
+         count(*) FILTER (WHERE l_extendedprice <= 0) FROM lineitem
+  UNION ALL SELECT 'unique_l_orderkey_l_linenumber', 'unique', 'error', count(*) FROM
+         (SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+          GROUP BY 1, 2 HAVING count(*) > 1)
+  UNION ALL SELECT 'relationships_l_orderkey', 'relationships', 'error', count(*) FROM lineitem l
+         WHERE l.l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey))
+SELECT 'lineitem' AS table_name, check_name, kind, severity, failing_rows,
+       CASE WHEN failing_rows = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
+FROM r"""
+
+SQL["freshness"] = """
+WITH m AS (SELECT max(ts) AS max_loaded_at FROM events)
+SELECT 'events' AS source, max_loaded_at,
+       (epoch_us(TIMESTAMP '2024-02-05 00:00:00') - epoch_us(max_loaded_at)) / 3600000000.0 AS age_hours,
+       CASE WHEN max_loaded_at IS NULL THEN 'error'
+            WHEN (epoch_us(TIMESTAMP '2024-02-05 00:00:00') - epoch_us(max_loaded_at)) / 86400000000.0 > 8 THEN 'error'
+            WHEN (epoch_us(TIMESTAMP '2024-02-05 00:00:00') - epoch_us(max_loaded_at)) / 86400000000.0 > 4 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM m"""
+
+SQL["clean_keys"] = r"""
+SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) || '.0' AS key_text,
+       regexp_replace(CAST(o_orderkey AS VARCHAR) || '.0', '\.0$', '') AS clean_key,
+       TRY_CAST(regexp_replace(CAST(o_orderkey AS VARCHAR) || '.0', '\.0$', '') AS BIGINT) = o_orderkey AS round_trips,
+       trim(upper('  ' || lower(o_orderpriority) || ' ')) AS priority_clean
+FROM orders"""
+
+SQL["concat_name"] = "SELECT p_partkey, p_brand || ' ' || p_type AS brand_type FROM part"
+
+SQL["decade"] = """
+SELECT CAST(floor(year(o_orderdate) / 10) * 10 AS INTEGER) AS decade, count(*) AS n_orders FROM orders GROUP BY 1"""
+
+SQL["coverage_share"] = """
+WITH pc AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1),
+agg AS (SELECT c.c_nationkey, count(*) AS n_customers,
+               sum(CASE WHEN pc.n IS NULL THEN 1 ELSE 0 END) AS idle_customers,
+               coalesce(sum(pc.n), 0) AS n_orders
+        FROM customer c LEFT JOIN pc ON c.c_custkey = pc.o_custkey GROUP BY 1),
+j AS (SELECT n.n_nationkey, n.n_name, n.n_regionkey, coalesce(a.n_customers, 0) AS n_customers,
+             CAST(coalesce(a.idle_customers, 0) AS BIGINT) AS idle_customers, CAST(coalesce(a.n_orders, 0) AS BIGINT) AS n_orders
+      FROM nation n LEFT JOIN agg a ON n.n_nationkey = a.c_nationkey)
+SELECT *, round(CAST(n_orders AS DOUBLE) * 100.0 / CAST(sum(n_orders) OVER (PARTITION BY n_regionkey) AS DOUBLE), 4) AS pct_of_region
+FROM j"""
+
+SQL["genus_rollup"] = """
+SELECT split_part(p.p_name, ' ', 1) AS genus, count(*) AS n_lines,
+       CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS returned_lines,
+       round(CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
+             / nullif(CAST(count(*) AS DOUBLE), 0.0), 4) AS pct_returned
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1"""
+
+SQL["owner_summary"] = """
+WITH j AS (SELECT s.s_nationkey, l.l_returnflag = 'R' AS ret, CAST(round(l.l_extendedprice * 100) AS BIGINT) AS cents
+           FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+a AS (SELECT s_nationkey, count(*) AS n_lines, CAST(sum(CASE WHEN ret THEN 1 ELSE 0 END) AS BIGINT) AS returned_lines,
+             sum(cents) AS tot, sum(CASE WHEN ret THEN cents ELSE 0 END) AS rv FROM j GROUP BY 1)
+SELECT s_nationkey, n_lines, returned_lines,
+       round(CAST(returned_lines AS DOUBLE) * 100.0 / nullif(CAST(n_lines AS DOUBLE), 0.0), 4) AS pct_returned_by_count,
+       round(CAST(rv AS DOUBLE) * 100.0 / nullif(CAST(tot AS DOUBLE), 0.0), 4) AS pct_returned_by_value
+FROM a"""
+
+SQL["stand_structure"] = """
+WITH a AS (
+  SELECT l_returnflag,
+         CASE WHEN l_quantity < 5 THEN '1-5 in' WHEN l_quantity < 10 THEN '5-10 in'
+              WHEN l_quantity < 15 THEN '10-15 in' WHEN l_quantity < 20 THEN '15-20 in'
+              WHEN l_quantity < 30 THEN '20-30 in' WHEN l_quantity < 40 THEN '30-40 in'
+              ELSE '40+ in' END AS quantity_class,
+         count(*) AS line_count, sum(l_quantity) AS sum_qty, round(avg(l_discount), 4) AS avg_discount
+  FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1, 2)
+SELECT *, round(CAST(line_count AS DOUBLE) * 100.0
+                / CAST(sum(line_count) OVER (PARTITION BY l_returnflag) AS DOUBLE), 4) AS pct_of_lines
+FROM a"""
