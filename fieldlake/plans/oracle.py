@@ -448,3 +448,158 @@ WITH a AS (
 SELECT *, round(CAST(line_count AS DOUBLE) * 100.0
                 / CAST(sum(line_count) OVER (PARTITION BY l_returnflag) AS DOUBLE), 4) AS pct_of_lines
 FROM a"""
+
+# ---------------------------------------------------------------- geometry (brute force)
+from ..constants import EARTH_RADIUS_M as _R  # noqa: E402
+import math as _m  # noqa: E402
+
+_DEGR = _m.pi / 180.0 * _R
+
+_NATION_V = """
+  off AS (SELECT * FROM (VALUES (0, 0, 8, 0), (0, 1, 0, 8), (0, 2, -8, 0), (0, 3, 0, -8), (0, 4, 8, 0),
+                                (1, 0, -2, -2), (1, 1, 2, -2), (1, 2, 2, 2), (1, 3, -2, 2), (1, 4, -2, -2))
+          t(ring, idx, dx, dy)),
+  v AS (SELECT n.n_nationkey, o.ring, o.idx, CAST(-170 + 14 * n.n_nationkey + o.dx AS DOUBLE) AS x,
+               CAST(-60 + 30 * (n.n_nationkey % 5) + o.dy AS DOUBLE) AS y
+        FROM nation n CROSS JOIN off o WHERE o.ring = 0 OR n.n_nationkey % 2 = 0),
+  e AS (SELECT n_nationkey, ring, idx, x AS x1, y AS y1,
+               lead(x) OVER (PARTITION BY n_nationkey, ring ORDER BY idx) AS x2,
+               lead(y) OVER (PARTITION BY n_nationkey, ring ORDER BY idx) AS y2 FROM v),
+  e2 AS (SELECT * FROM e WHERE x2 IS NOT NULL)"""
+
+_CUST_PTS = """
+  pts AS (SELECT c_custkey, c_nationkey,
+                 CAST(-180.0 AS DOUBLE) + (CAST((c_custkey * 7919) % 360000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1000.0 AS DOUBLE) AS lon,
+                 CAST(-70.0 AS DOUBLE) + (CAST((c_custkey * 104729) % 140000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1000.0 AS DOUBLE) AS lat
+          FROM customer)"""
+
+_SUPP_PTS = """
+  spts AS (SELECT s_suppkey, s_nationkey,
+                  ((CAST(-170.0 AS DOUBLE) + 14 * s_nationkey)
+                   + (CAST((s_suppkey * 7919) % 24000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1000.0 AS DOUBLE)) - CAST(12.0 AS DOUBLE) AS lon,
+                  ((CAST(-60.0 AS DOUBLE) + 30 * (s_nationkey % 5))
+                   + (CAST((s_suppkey * 104729) % 24000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1000.0 AS DOUBLE)) - CAST(12.0 AS DOUBLE) AS lat
+           FROM supplier)"""
+
+_CROSS = "CASE WHEN ((e2.y1 > p.lat) <> (e2.y2 > p.lat)) AND (p.lon < (e2.x2 - e2.x1) * (p.lat - e2.y1) / (e2.y2 - e2.y1) + e2.x1) THEN 1 ELSE 0 END"
+
+
+def _seg_dist_sql(px, py):
+    kx = f"(cos(radians({py})) * {_DEGR!r})"
+    ky = f"{_DEGR!r}"
+    ax, ay = f"((x1 - {px}) * {kx})", f"((y1 - {py}) * {ky})"
+    bx, by = f"((x2 - {px}) * {kx})", f"((y2 - {py}) * {ky})"
+    dx, dy = f"({bx} - {ax})", f"({by} - {ay})"
+    ll = f"({dx} * {dx} + {dy} * {dy})"
+    t = f"(CASE WHEN {ll} = 0 THEN 0.0 ELSE greatest(0.0, least(1.0, -({ax} * {dx} + {ay} * {dy}) / {ll})) END)"
+    return f"sqrt(pow({ax} + {t} * {dx}, 2) + pow({ay} + {t} * {dy}, 2))"
+
+
+SQL["spatial_join_grid"] = f"""
+WITH {_NATION_V}, {_CUST_PTS},
+cr AS (SELECT p.c_custkey, e2.n_nationkey, sum({_CROSS}) AS c FROM pts p CROSS JOIN e2 GROUP BY 1, 2)
+SELECT c_custkey, n_nationkey FROM cr WHERE c % 2 = 1"""
+
+SQL["point_in_polygon"] = f"""
+WITH {_NATION_V}, {_CUST_PTS},
+cr AS (SELECT p.c_custkey, e2.n_nationkey, sum({_CROSS}) AS c FROM pts p CROSS JOIN e2 GROUP BY 1, 2),
+hits AS (SELECT c_custkey, count(*) AS n FROM cr WHERE c % 2 = 1 GROUP BY 1)
+SELECT p.c_custkey, coalesce(h.n, 0) AS n_polygons, h.n IS NOT NULL AS inside
+FROM pts p LEFT JOIN hits h ON p.c_custkey = h.c_custkey"""
+
+_RING_AREA = (f"abs(sum((radians(x2) - radians(x1)) * (2 + sin(radians(y1)) + sin(radians(y2))))) * {_R * _R / 2.0!r}")
+_HAV = (f"2 * {_R!r} * asin(sqrt(pow(sin((radians(y2) - radians(y1)) / 2), 2) + "
+        f"cos(radians(y1)) * cos(radians(y2)) * pow(sin((radians(x2) - radians(x1)) / 2), 2)))")
+
+SQL["polygon_area"] = f"""
+WITH {_NATION_V},
+ra AS (SELECT n_nationkey, ring, {_RING_AREA} AS a, sum({_HAV}) AS len FROM e2 GROUP BY 1, 2),
+pa AS (SELECT n_nationkey, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS a, sum(len) AS len FROM ra GROUP BY 1),
+nv AS (SELECT n_nationkey, CAST(count(*) AS INTEGER) AS n_vertices FROM v GROUP BY 1)
+SELECT pa.n_nationkey, round(a / 1e6, 6) AS area_km2, round(len / 1e3, 6) AS perimeter_km,
+       round(len / (2 * sqrt(pi() * a)), 6) AS compactness, nv.n_vertices
+FROM pa JOIN nv ON pa.n_nationkey = nv.n_nationkey"""
+
+SQL["geo_distance"] = f"""
+WITH {_NATION_V}, {_SUPP_PTS}
+SELECT p.s_suppkey, e2.n_nationkey, round(min({_seg_dist_sql('p.lon', 'p.lat')}), 3) AS distance_m
+FROM spts p JOIN e2 ON p.s_nationkey = e2.n_nationkey GROUP BY 1, 2"""
+
+SQL["nearest_geom"] = f"""
+WITH {_NATION_V}, {_SUPP_PTS},
+d AS (SELECT p.s_suppkey, e2.n_nationkey, min({_seg_dist_sql('p.lon', 'p.lat')}) AS dist
+      FROM spts p CROSS JOIN e2 GROUP BY 1, 2)
+SELECT s_suppkey, n_nationkey, round(dist, 3) AS distance_m FROM d
+QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY dist, n_nationkey) = 1"""
+
+SQL["bbox_assign"] = f"""
+WITH {_CUST_PTS},
+b AS (SELECT n_nationkey, CAST(-170 + 14 * n_nationkey - 8 AS DOUBLE) AS xmin, CAST(-170 + 14 * n_nationkey + 8 AS DOUBLE) AS xmax,
+             CAST(-60 + 30 * (n_nationkey % 5) - 8 AS DOUBLE) AS ymin, CAST(-60 + 30 * (n_nationkey % 5) + 8 AS DOUBLE) AS ymax
+      FROM nation)
+SELECT p.c_custkey, b.n_nationkey FROM pts p JOIN b
+  ON p.lon BETWEEN b.xmin AND b.xmax AND p.lat BETWEEN b.ymin AND b.ymax"""
+
+SQL["wkt_roundtrip"] = f"""
+WITH {_NATION_V},
+rt AS (SELECT n_nationkey, ring, '(' || string_agg(CAST(x AS VARCHAR) || ' ' || CAST(y AS VARCHAR), ', ' ORDER BY idx) || ')' AS t
+       FROM v GROUP BY 1, 2)
+SELECT n_nationkey, 'POLYGON (' || string_agg(t, ', ' ORDER BY ring) || ')' AS wkt_out FROM rt GROUP BY 1"""
+
+_ORIENT = "sign(({qx} - {px}) * ({ry} - {py}) - ({qy} - {py}) * ({rx} - {px}))"
+
+
+def _o(p, q, r):
+    return _ORIENT.format(px=f"{p}x", py=f"{p}y", qx=f"{q}x", qy=f"{q}y", rx=f"{r}x", ry=f"{r}y")
+
+
+_TOUCH = (f"((({_o('sc', 'sd', 'sa')}) * ({_o('sc', 'sd', 'sb')}) < 0 AND ({_o('sa', 'sb', 'sc')}) * ({_o('sa', 'sb', 'sd')}) < 0) OR "
+          f"((({_o('sc', 'sd', 'sa')}) * ({_o('sc', 'sd', 'sb')}) <= 0 AND ({_o('sa', 'sb', 'sc')}) * ({_o('sa', 'sb', 'sd')}) <= 0) AND "
+          "greatest(least(sax, sbx), least(scx, sdx)) <= least(greatest(sax, sbx), greatest(scx, sdx)) AND "
+          "greatest(least(say, sby), least(scy, sdy)) <= least(greatest(say, sby), greatest(scy, sdy))))")
+
+SQL["geometry_validity"] = f"""
+WITH {_NATION_V},
+bowoff AS (SELECT * FROM (VALUES (0, 8, 0), (1, -8, 0), (2, 0, 8), (3, 0, -8), (4, 8, 0)) t(idx, dx, dy)),
+vb AS (SELECT n.n_nationkey, 0 AS ring, o.idx, CAST(-170 + 14 * n.n_nationkey + o.dx AS DOUBLE) AS x,
+              CAST(-60 + 30 * (n.n_nationkey % 5) + o.dy AS DOUBLE) AS y
+       FROM nation n CROSS JOIN bowoff o WHERE n.n_nationkey % 2 = 1 AND n.n_nationkey % 3 = 0),
+vv AS (SELECT * FROM v WHERE NOT (n_nationkey % 2 = 1 AND n_nationkey % 3 = 0) UNION ALL SELECT * FROM vb),
+ee AS (SELECT n_nationkey, ring, idx, x AS sax, y AS say,
+              lead(x) OVER (PARTITION BY n_nationkey, ring ORDER BY idx) AS sbx,
+              lead(y) OVER (PARTITION BY n_nationkey, ring ORDER BY idx) AS sby,
+              count(*) OVER (PARTITION BY n_nationkey, ring) AS nv FROM vv),
+ed AS (SELECT * FROM ee WHERE sbx IS NOT NULL),
+bad AS (SELECT DISTINCT e1.n_nationkey FROM ed e1
+        JOIN (SELECT n_nationkey, ring, idx, sax AS scx, say AS scy, sbx AS sdx, sby AS sdy FROM ed) e2
+          ON e1.n_nationkey = e2.n_nationkey AND e1.ring = e2.ring AND e2.idx >= e1.idx + 2
+         AND NOT (e1.idx = 0 AND e2.idx = e1.nv - 2)
+        WHERE {_TOUCH})
+SELECT n.n_nationkey, b.n_nationkey IS NULL AS is_valid,
+       CASE WHEN b.n_nationkey IS NOT NULL THEN 'self-intersection' END AS reason
+FROM nation n LEFT JOIN bad b ON n.n_nationkey = b.n_nationkey"""
+
+
+def _albers_sql():
+    from ..functions.geo import _albers_constants
+    k = _albers_constants()
+    a, e2, n, C, rho0, qp = k["a"], k["e2"], k["n"], k["C"], k["rho0"], k["qp"]
+    e4, e6 = e2 * e2, e2 * e2 * e2
+    c1 = e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040
+    c2 = 23 * e4 / 360 + 251 * e6 / 3780
+    c3 = 761 * e6 / 45360
+    X = f"(x - {k['x0']!r})"
+    Y = f"(y - {k['y0']!r})"
+    rho = f"sqrt({X} * {X} + ({rho0!r} - {Y}) * ({rho0!r} - {Y}))"
+    theta = f"atan2({X}, {rho0!r} - {Y})"
+    qv = f"(({C!r} - {rho} * {rho} * {n * n!r} / {a * a!r}) / {n!r})"
+    beta = f"asin(greatest(-1.0, least(1.0, {qv} / {qp!r})))"
+    phi = f"({beta} + {c1!r} * sin(2 * {beta}) + {c2!r} * sin(4 * {beta}) + {c3!r} * sin(6 * {beta}))"
+    lon = f"({k['lon0']!r} + degrees({theta} / {n!r}))"
+    return f"""
+WITH xy AS (SELECT c_custkey, CAST((c_custkey * 7919) % 4000000 AS DOUBLE) - 2000000.0 AS x,
+                   CAST((c_custkey * 104729) % 2500000 AS DOUBLE) + 500000.0 AS y FROM customer)
+SELECT c_custkey, round({lon}, 7) AS lon, round(degrees({phi}), 7) AS lat FROM xy"""
+
+
+SQL["reproject_points"] = _albers_sql()
