@@ -23,6 +23,15 @@ from .tables import read
 R4 = 4
 
 
+def fr(c, digits: int):
+    """Round half up as ``floor(x * 10^d + 0.5) / 10^d``: plain IEEE arithmetic,
+    so Spark and the SQL oracle produce the same double even on exact ties
+    (``round`` differs between engines there, N10)."""
+    col = F.col(c) if isinstance(c, str) else c
+    scale = float(10 ** digits)
+    return F.floor(col * scale + 0.5) / scale
+
+
 def _region_of_customer(spark, sf) -> DataFrame:
     """customer -> region name; nation and region are fixed-size (broadcast)."""
     c = read(spark, sf, "customer").select("c_custkey", "c_nationkey")
@@ -50,12 +59,14 @@ def water_year_summary(spark: SparkSession, sf: str, min_days: int = 30) -> Data
                             rolling_alias=None)
     daily = daily.withColumn("water_year", water_year("flow_date"))
     out = _wys(daily, ["region"], value="discharge", change="change_cfs", min_days=min_days,
-               digits=R4, flash_digits=6, volume_digits=0)
-    return out.select("region", "water_year", "days_of_record", "mean_cfs", "min_cfs", "max_cfs",
-                      "median_cfs", "p10_cfs", "p90_cfs",
+               digits=None, flash_digits=None, volume_digits=0)
+    return out.select("region", "water_year", "days_of_record",
+                      *[fr(c, R4).alias(c) for c in ("mean_cfs", "min_cfs", "max_cfs", "median_cfs", "p10_cfs",
+                                                      "p90_cfs")],
                       F.round("sum_abs_change", 2).alias("sum_abs_change"),
                       F.round("sum_discharge", 2).alias("sum_discharge"),
-                      "annual_volume_af", "rb_flashiness_index", "wettest_year_rank")
+                      "annual_volume_af", fr("rb_flashiness_index", 6).alias("rb_flashiness_index"),
+                      "wettest_year_rank")
 
 
 # ---- K1-K7: keys and dedup ------------------------------------------------------
@@ -245,9 +256,9 @@ def conditional_agg(spark, sf):
     is_open = F.col("l_linestatus") == "O"
     return (li.groupBy("l_returnflag")
               .agg(F.count(F.lit(1)).alias("total_lines"), count_when(is_open).alias("open_lines"),
-                   F.round(avg_when(is_open, "l_quantity"), R4).alias("avg_open_qty"),
+                   fr(avg_when(is_open, "l_quantity"), 4).alias("avg_open_qty"),
                    max_when(is_open, "l_discount").alias("max_open_discount"))
-              .withColumn("pct_open", F.round(safe_pct("open_lines", "total_lines"), R4)))
+              .withColumn("pct_open", fr(safe_pct("open_lines", "total_lines"), 4)))
 
 
 def pivot_pairs(spark, sf):
@@ -260,8 +271,8 @@ def pivot_pairs(spark, sf):
                                       max_when(post, "l_extendedprice").alias("post_price"))
     return (piv.filter(F.col("pre_qty").isNotNull() & F.col("post_qty").isNotNull())
                .withColumn("qty_change", F.col("post_qty") - F.col("pre_qty"))
-               .withColumn("pct_price_change", F.round((F.col("post_price") - F.col("pre_price"))
-                                                      / F.nullif(F.col("pre_price"), F.lit(0.0)) * 100, R4)))
+               .withColumn("pct_price_change", fr((F.col("post_price") - F.col("pre_price"))
+                                                      / F.nullif(F.col("pre_price"), F.lit(0.0)) * 100, 4)))
 
 
 def expansion_agg(spark, sf):
@@ -281,7 +292,7 @@ def share_having(spark, sf, min_lines: int = 550):
               .agg(F.count(F.lit(1)).alias("n_lines"),
                    count_when(F.col("l_returnflag") == "R").alias("returned_lines"))
               .filter(F.col("n_lines") >= min_lines)
-              .withColumn("pct_returned", F.round(safe_pct("returned_lines", "n_lines"), R4)))
+              .withColumn("pct_returned", fr(safe_pct("returned_lines", "n_lines"), 4)))
 
 
 def percentiles(spark, sf):
@@ -290,7 +301,7 @@ def percentiles(spark, sf):
     pct = exact_percentiles(ev, ["user_id"], "value", {"median_value": 0.5, "p10_value": 0.1, "p90_value": 0.9})
     base = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"))
     return base.join(pct, "user_id", "left").select(
-        "user_id", "n_events", *[F.round(c, R4).alias(c) for c in ("median_value", "p10_value", "p90_value")])
+        "user_id", "n_events", *[fr(c, 4).alias(c) for c in ("median_value", "p10_value", "p90_value")])
 
 
 def mode_per_group(spark, sf):

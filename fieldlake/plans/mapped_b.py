@@ -13,7 +13,7 @@ from ..operators.aggregates import corr_leave_one_out as corr_leave_one_out_op
 from ..operators.aggregates import (count_when, exact_percentiles, max_when,
                                     profile, ratio_summary, record_length, share_of_parent)
 from ..operators.windows import around_event, series_features, top_steps
-from .mapped import R4, region_daily_totals
+from .mapped import R4, fr, region_daily_totals
 from .tables import read
 
 LOCAL_TZ = "America/Los_Angeles"
@@ -44,7 +44,7 @@ def lag_change_rolling(spark, sf):
     """W1-W3 per user: previous value, change, centred 7-row mean (segmented by day)."""
     s = _event_series(spark, sf, rolling=True)
     return s.select("user_id", "event_id", "ts", "value", "prev_value", "change",
-                    F.round("rolling_mean", 6).alias("rolling_mean"))
+                    fr("rolling_mean", 6).alias("rolling_mean"))
 
 
 def daily_flow_features(spark, sf):
@@ -54,7 +54,7 @@ def daily_flow_features(spark, sf):
                           change_alias="change_cfs", rolling_alias="rolling_7d_mean",
                           segment=F.year("flow_date"))
     return out.select("region", "flow_date", "discharge", "prev_discharge", "change_cfs",
-                      F.round("rolling_7d_mean", 6).alias("rolling_7d_mean"),
+                      fr("rolling_7d_mean", 6).alias("rolling_7d_mean"),
                       water_year("flow_date").alias("water_year"))
 
 
@@ -63,7 +63,7 @@ def share_of_group(spark, sf):
     li = read(spark, sf, "lineitem")
     counted = li.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
     out = share_of_parent(counted, ["l_returnflag"], "n", "pct_of_flag")
-    return out.withColumn("pct_of_flag", F.round("pct_of_flag", R4))
+    return out.withColumn("pct_of_flag", fr("pct_of_flag", 4))
 
 
 def top_jumps(spark, sf, k: int = 20):
@@ -89,8 +89,8 @@ def diurnal_profile(spark, sf):
     from pyspark.sql import Window as W
     w = W.partitionBy("event_type")
     amp = (F.max("_mean").over(w) - F.min("_mean").over(w)) / 2 / F.avg("_mean").over(w) * 100
-    return hourly.select("event_type", "local_hour", "n_events", F.round("_mean", R4).alias("mean_value"),
-                         F.round(amp, R4).alias("amplitude_pct"))
+    return hourly.select("event_type", "local_hour", "n_events", fr("_mean", 4).alias("mean_value"),
+                         fr(amp, 4).alias("amplitude_pct"))
 
 
 def around_max(spark, sf, hours: int = 2):
@@ -116,9 +116,9 @@ def corr_leave_one_out(spark, sf):
     """corr(log volume, balance) over nations, and without each nation."""
     b = _nation_volume_balance(spark, sf)
     out = corr_leave_one_out_op(b, "c_nationkey", "log_volume", "avg_acctbal")
-    return out.select("c_nationkey", F.round("_x", 6).alias("log_volume"),
-                      F.round("_y", 6).alias("avg_acctbal"), F.round("corr_all", 6).alias("corr_all"),
-                      F.round("corr_without", 6).alias("corr_without"))
+    return out.select("c_nationkey", fr("_x", 6).alias("log_volume"),
+                      fr("_y", 6).alias("avg_acctbal"), fr("corr_all", 6).alias("corr_all"),
+                      fr("corr_without", 6).alias("corr_without"))
 
 
 def ratio_of_totals(spark, sf):
@@ -126,7 +126,7 @@ def ratio_of_totals(spark, sf):
     li = read(spark, sf, "lineitem").withColumn(
         "net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
     out = ratio_summary(li, ["l_returnflag"], "l_extendedprice", "net")
-    return out.select("l_returnflag", "n_pairs", *[F.round(c, 6).alias(c) for c in
+    return out.select("l_returnflag", "n_pairs", *[fr(c, 6).alias(c) for c in
                                                    ("ratio_of_totals", "mean_of_ratios", "median_of_ratios")])
 
 
@@ -181,13 +181,13 @@ def growth_by_site(spark, sf, min_pairs: int = 50):
     """M23 shape: plausible-interval pairs summarised per priority with HAVING."""
     pairs = _order_pairs(spark, sf).filter(F.col("interval_days").between(30, 1000))
     base = (pairs.groupBy("o_orderpriority")
-                 .agg(F.count(F.lit(1)).alias("n_pairs"), F.round(F.avg("daily_rate"), R4).alias("mean_rate"),
-                      F.round(F.avg("interval_days"), R4).alias("mean_interval"))
+                 .agg(F.count(F.lit(1)).alias("n_pairs"), fr(F.avg("daily_rate"), 4).alias("mean_rate"),
+                      fr(F.avg("interval_days"), 4).alias("mean_interval"))
                  .filter(F.col("n_pairs") >= min_pairs))
     pct = exact_percentiles(pairs, ["o_orderpriority"], "daily_rate", {"median_rate": 0.5, "p90_rate": 0.9})
     return base.join(pct, "o_orderpriority", "left").select(
         "o_orderpriority", "n_pairs", "mean_rate", "mean_interval",
-        F.round("median_rate", R4).alias("median_rate"), F.round("p90_rate", R4).alias("p90_rate"))
+        fr("median_rate", 4).alias("median_rate"), fr("p90_rate", 4).alias("p90_rate"))
 
 
 # ---- P14 + A3 + A22: before / after pairing ------------------------------------------------
@@ -206,7 +206,7 @@ def before_after_change(spark, sf):
     return (piv.filter(F.col("pre_year").isNotNull() & F.col("post_year").isNotNull())
                .withColumn("remeasure_interval", F.col("post_year") - F.col("pre_year"))
                .withColumn("total_change", F.round(F.col("post_total") - F.col("pre_total"), 2))
-               .withColumn("pct_change", F.round(pct_change("post_total", "pre_total"), R4)))
+               .withColumn("pct_change", fr(pct_change("post_total", "pre_total"), 4)))
 
 
 # ---- I1-I5 ----------------------------------------------------------------------------------
@@ -312,7 +312,7 @@ def coverage_share(spark, sf):
         F.coalesce("idle_customers", F.lit(0)).alias("idle_customers"),
         F.coalesce("n_orders", F.lit(0)).alias("n_orders"))
     out = share_of_parent(j, ["n_regionkey"], "n_orders", "pct_of_region")
-    return out.withColumn("pct_of_region", F.round("pct_of_region", R4))
+    return out.withColumn("pct_of_region", fr("pct_of_region", 4))
 
 
 def genus_rollup(spark, sf):
@@ -322,7 +322,7 @@ def genus_rollup(spark, sf):
     j = li.join(p, li.l_partkey == p.p_partkey)
     ret = F.col("l_returnflag") == "R"
     return (j.groupBy("genus").agg(F.count(F.lit(1)).alias("n_lines"), count_when(ret).alias("returned_lines"))
-             .withColumn("pct_returned", F.round(safe_pct("returned_lines", "n_lines"), R4)))
+             .withColumn("pct_returned", fr(safe_pct("returned_lines", "n_lines"), 4)))
 
 
 def owner_summary(spark, sf):
@@ -336,8 +336,8 @@ def owner_summary(spark, sf):
         F.count(F.lit(1)).alias("n_lines"), count_when(ret).alias("returned_lines"),
         F.sum(cents).alias("_tot"), F.sum(F.when(ret, cents).otherwise(F.lit(0).cast("long"))).alias("_ret"))
     return agg.select("s_nationkey", "n_lines", "returned_lines",
-                      F.round(safe_pct("returned_lines", "n_lines"), R4).alias("pct_returned_by_count"),
-                      F.round(safe_pct("_ret", "_tot"), R4).alias("pct_returned_by_value"))
+                      fr(safe_pct("returned_lines", "n_lines"), 4).alias("pct_returned_by_count"),
+                      fr(safe_pct("_ret", "_tot"), 4).alias("pct_returned_by_value"))
 
 
 def stand_structure(spark, sf):
@@ -348,9 +348,9 @@ def stand_structure(spark, sf):
     agg = (li.withColumn("quantity_class", bin_below("l_quantity", DIAMETER_CLASSES))
              .groupBy("l_returnflag", "quantity_class")
              .agg(F.count(F.lit(1)).alias("line_count"), F.sum("l_quantity").alias("sum_qty"),
-                  F.round(F.avg("l_discount"), R4).alias("avg_discount")))
+                  fr(F.avg("l_discount"), 4).alias("avg_discount")))
     out = share_of_parent(agg, ["l_returnflag"], "line_count", "pct_of_lines")
-    return out.withColumn("pct_of_lines", F.round("pct_of_lines", R4))
+    return out.withColumn("pct_of_lines", fr("pct_of_lines", 4))
 
 
 QUERIES = {

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import geo
 from ..operators import spatial
+from .mapped import fr
 from .tables import read
 
 
@@ -72,8 +73,8 @@ def polygon_area(spark, sf):
     p = nation_polygons(spark, sf)
     a = geo.area_m2("geom")
     per = geo.length_m("geom")
-    return p.select("n_nationkey", F.round(a / 1e6, 6).alias("area_km2"), F.round(per / 1e3, 6).alias("perimeter_km"),
-                    F.round(geo.compactness(per, a), 6).alias("compactness"),
+    return p.select("n_nationkey", fr(a / 1e6, 6).alias("area_km2"), fr(per / 1e3, 6).alias("perimeter_km"),
+                    fr(geo.compactness(per, a), 6).alias("compactness"),
                     geo.n_vertices("geom").alias("n_vertices"))
 
 

@@ -16,18 +16,18 @@ feat AS (SELECT *, discharge - lag(discharge) OVER (PARTITION BY region ORDER BY
                 CAST(CASE WHEN month(flow_date) >= 10 THEN year(flow_date) + 1 ELSE year(flow_date) END AS INTEGER) AS water_year
          FROM daily),
 s AS (SELECT region, water_year, count(*) AS days_of_record,
-             round(avg(discharge), 4) AS mean_cfs, round(min(discharge), 4) AS min_cfs,
-             round(max(discharge), 4) AS max_cfs,
-             round(quantile_cont(discharge, 0.5), 4) AS median_cfs,
-             round(quantile_cont(discharge, 0.1), 4) AS p10_cfs,
-             round(quantile_cont(discharge, 0.9), 4) AS p90_cfs,
+             (floor((avg(discharge)) * 10000 + 0.5) / 10000) AS mean_cfs, (floor((min(discharge)) * 10000 + 0.5) / 10000) AS min_cfs,
+             (floor((max(discharge)) * 10000 + 0.5) / 10000) AS max_cfs,
+             (floor((quantile_cont(discharge, 0.5)) * 10000 + 0.5) / 10000) AS median_cfs,
+             (floor((quantile_cont(discharge, 0.1)) * 10000 + 0.5) / 10000) AS p10_cfs,
+             (floor((quantile_cont(discharge, 0.9)) * 10000 + 0.5) / 10000) AS p90_cfs,
              sum(abs(change_cfs)) AS sum_abs_change, sum(discharge) AS sum_discharge,
              round(sum(discharge) * 86400.0 / 43560.0, 0) AS annual_volume_af
       FROM feat GROUP BY 1, 2)
 SELECT region, water_year, days_of_record, mean_cfs, min_cfs, max_cfs, median_cfs, p10_cfs, p90_cfs,
        round(sum_abs_change, 2) AS sum_abs_change, round(sum_discharge, 2) AS sum_discharge,
        annual_volume_af,
-       round(CASE WHEN sum_discharge > 0 THEN sum_abs_change / sum_discharge END, 6) AS rb_flashiness_index,
+       (floor((CASE WHEN sum_discharge > 0 THEN sum_abs_change / sum_discharge END) * 1000000 + 0.5) / 1000000) AS rb_flashiness_index,
        CAST(rank() OVER (PARTITION BY region ORDER BY annual_volume_af DESC) AS INTEGER) AS wettest_year_rank
 FROM s WHERE days_of_record >= 30
 """
@@ -156,10 +156,10 @@ FROM nation n LEFT JOIN stats s ON n.n_nationkey = s.c_nationkey"""
 SQL["conditional_agg"] = """
 SELECT l_returnflag, count(*) AS total_lines,
        CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS open_lines,
-       round(avg(CASE WHEN l_linestatus = 'O' THEN l_quantity END), 4) AS avg_open_qty,
+       (floor((avg(CASE WHEN l_linestatus = 'O' THEN l_quantity END)) * 10000 + 0.5) / 10000) AS avg_open_qty,
        max(CASE WHEN l_linestatus = 'O' THEN l_discount END) AS max_open_discount,
-       round(CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
-             / nullif(CAST(count(*) AS DOUBLE), 0.0), 4) AS pct_open
+       (floor((CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
+             / nullif(CAST(count(*) AS DOUBLE), 0.0)) * 10000 + 0.5) / 10000) AS pct_open
 FROM lineitem GROUP BY 1"""
 
 SQL["pivot_pairs"] = """
@@ -171,7 +171,7 @@ WITH piv AS (
          max(CASE WHEN l_linestatus = 'O' THEN l_extendedprice END) AS post_price
   FROM lineitem GROUP BY 1)
 SELECT *, post_qty - pre_qty AS qty_change,
-       round((post_price - pre_price) / nullif(pre_price, 0.0) * 100, 4) AS pct_price_change
+       (floor(((post_price - pre_price) / nullif(pre_price, 0.0) * 100) * 10000 + 0.5) / 10000) AS pct_price_change
 FROM piv WHERE pre_qty IS NOT NULL AND post_qty IS NOT NULL"""
 
 SQL["expansion_agg"] = """
@@ -185,15 +185,15 @@ FROM lineitem GROUP BY 1"""
 SQL["share_having"] = """
 SELECT l_suppkey, count(*) AS n_lines,
        CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS returned_lines,
-       round(CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
-             / nullif(CAST(count(*) AS DOUBLE), 0.0), 4) AS pct_returned
+       (floor((CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
+             / nullif(CAST(count(*) AS DOUBLE), 0.0)) * 10000 + 0.5) / 10000) AS pct_returned
 FROM lineitem GROUP BY 1 HAVING count(*) >= 550"""
 
 SQL["percentiles"] = """
 SELECT user_id, count(*) AS n_events,
-       round(quantile_cont(value, 0.5), 4) AS median_value,
-       round(quantile_cont(value, 0.1), 4) AS p10_value,
-       round(quantile_cont(value, 0.9), 4) AS p90_value
+       (floor((quantile_cont(value, 0.5)) * 10000 + 0.5) / 10000) AS median_value,
+       (floor((quantile_cont(value, 0.1)) * 10000 + 0.5) / 10000) AS p10_value,
+       (floor((quantile_cont(value, 0.9)) * 10000 + 0.5) / 10000) AS p90_value
 FROM events GROUP BY 1"""
 
 SQL["mode_per_group"] = """
@@ -214,22 +214,22 @@ FROM events WHERE CAST(props->>'$.k' AS INTEGER) IS NOT NULL"""
 
 SQL["lag_change_rolling"] = """
 SELECT user_id, event_id, ts, value, lag(value) OVER w AS prev_value, value - lag(value) OVER w AS change,
-       round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
-                              ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING), 6) AS rolling_mean
+       (floor((avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                              ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)) * 1000000 + 0.5) / 1000000) AS rolling_mean
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
 
 SQL["daily_flow_features"] = f"""
 WITH {_CUST_REGION}
 SELECT region, flow_date, discharge, lag(discharge) OVER w AS prev_discharge,
        discharge - lag(discharge) OVER w AS change_cfs,
-       round(avg(discharge) OVER (PARTITION BY region ORDER BY flow_date
-                                  ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING), 6) AS rolling_7d_mean,
+       (floor((avg(discharge) OVER (PARTITION BY region ORDER BY flow_date
+                                  ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)) * 1000000 + 0.5) / 1000000) AS rolling_7d_mean,
        CAST(CASE WHEN month(flow_date) >= 10 THEN year(flow_date) + 1 ELSE year(flow_date) END AS INTEGER) AS water_year
 FROM daily WINDOW w AS (PARTITION BY region ORDER BY flow_date)"""
 
 SQL["share_of_group"] = """
 SELECT l_returnflag, l_linestatus, count(*) AS n,
-       round(CAST(count(*) AS DOUBLE) * 100.0 / CAST(sum(count(*)) OVER (PARTITION BY l_returnflag) AS DOUBLE), 4) AS pct_of_flag
+       (floor((CAST(count(*) AS DOUBLE) * 100.0 / CAST(sum(count(*)) OVER (PARTITION BY l_returnflag) AS DOUBLE)) * 10000 + 0.5) / 10000) AS pct_of_flag
 FROM lineitem GROUP BY 1, 2"""
 
 SQL["top_jumps"] = f"""
@@ -245,9 +245,9 @@ SQL["diurnal_profile"] = """
 WITH h AS (SELECT event_type, CAST(hour(timezone('America/Los_Angeles', timezone('UTC', ts))) AS INTEGER) AS local_hour,
                   count(*) AS n_events, avg(value) AS m
            FROM events GROUP BY 1, 2)
-SELECT event_type, local_hour, n_events, round(m, 4) AS mean_value,
-       round((max(m) OVER (PARTITION BY event_type) - min(m) OVER (PARTITION BY event_type)) / 2
-             / avg(m) OVER (PARTITION BY event_type) * 100, 4) AS amplitude_pct
+SELECT event_type, local_hour, n_events, (floor((m) * 10000 + 0.5) / 10000) AS mean_value,
+       (floor(((max(m) OVER (PARTITION BY event_type) - min(m) OVER (PARTITION BY event_type)) / 2
+             / avg(m) OVER (PARTITION BY event_type) * 100) * 10000 + 0.5) / 10000) AS amplitude_pct
 FROM h"""
 
 SQL["around_max"] = f"""
@@ -268,14 +268,14 @@ z AS (SELECT b.*, t.corr_all,
              sqrt(((t.n - 1) * (t.sxx - x * x) - (t.sx - x) * (t.sx - x))
                   * ((t.n - 1) * (t.syy - y * y) - (t.sy - y) * (t.sy - y))) AS den
       FROM b CROSS JOIN t)
-SELECT c_nationkey, round(x, 6) AS log_volume, round(y, 6) AS avg_acctbal, round(corr_all, 6) AS corr_all,
-       round(CASE WHEN den > 0 THEN num / den END, 6) AS corr_without FROM z"""
+SELECT c_nationkey, (floor((x) * 1000000 + 0.5) / 1000000) AS log_volume, (floor((y) * 1000000 + 0.5) / 1000000) AS avg_acctbal, (floor((corr_all) * 1000000 + 0.5) / 1000000) AS corr_all,
+       (floor((CASE WHEN den > 0 THEN num / den END) * 1000000 + 0.5) / 1000000) AS corr_without FROM z"""
 
 SQL["ratio_of_totals"] = """
 WITH b AS (SELECT l_returnflag, l_extendedprice AS bv, l_extendedprice * (1 - l_discount) AS av FROM lineitem
            WHERE l_extendedprice IS NOT NULL AND l_extendedprice <> 0)
-SELECT l_returnflag, count(*) AS n_pairs, round(sum(av) / sum(bv) - 1, 6) AS ratio_of_totals,
-       round(avg(av / bv - 1), 6) AS mean_of_ratios, round(quantile_cont(av / bv - 1, 0.5), 6) AS median_of_ratios
+SELECT l_returnflag, count(*) AS n_pairs, (floor((sum(av) / sum(bv) - 1) * 1000000 + 0.5) / 1000000) AS ratio_of_totals,
+       (floor((avg(av / bv - 1)) * 1000000 + 0.5) / 1000000) AS mean_of_ratios, (floor((quantile_cont(av / bv - 1, 0.5)) * 1000000 + 0.5) / 1000000) AS median_of_ratios
 FROM b GROUP BY 1"""
 
 SQL["record_length"] = """
@@ -313,9 +313,9 @@ SQL["predecessor_self_join"] = f"WITH {_ORDER_PAIRS} SELECT * FROM pairs"
 
 SQL["growth_by_site"] = f"""
 WITH {_ORDER_PAIRS}
-SELECT o_orderpriority, count(*) AS n_pairs, round(avg(daily_rate), 4) AS mean_rate,
-       round(avg(interval_days), 4) AS mean_interval,
-       round(quantile_cont(daily_rate, 0.5), 4) AS median_rate, round(quantile_cont(daily_rate, 0.9), 4) AS p90_rate
+SELECT o_orderpriority, count(*) AS n_pairs, (floor((avg(daily_rate)) * 10000 + 0.5) / 10000) AS mean_rate,
+       (floor((avg(interval_days)) * 10000 + 0.5) / 10000) AS mean_interval,
+       (floor((quantile_cont(daily_rate, 0.5)) * 10000 + 0.5) / 10000) AS median_rate, (floor((quantile_cont(daily_rate, 0.9)) * 10000 + 0.5) / 10000) AS p90_rate
 FROM pairs WHERE interval_days BETWEEN 30 AND 1000 GROUP BY 1 HAVING count(*) >= 50"""
 
 SQL["before_after_change"] = """
@@ -332,7 +332,7 @@ piv AS (SELECT o_custkey, event_year,
                max(CASE WHEN timing = 'Post-fire' THEN o_totalprice END) AS post_total
         FROM j GROUP BY 1, 2)
 SELECT *, post_year - pre_year AS remeasure_interval, round(post_total - pre_total, 2) AS total_change,
-       round((post_total - pre_total) / nullif(pre_total, 0) * 100, 4) AS pct_change
+       (floor(((post_total - pre_total) / nullif(pre_total, 0) * 100) * 10000 + 0.5) / 10000) AS pct_change
 FROM piv WHERE pre_year IS NOT NULL AND post_year IS NOT NULL"""
 
 SQL["merge_incremental"] = """
@@ -416,14 +416,14 @@ agg AS (SELECT c.c_nationkey, count(*) AS n_customers,
 j AS (SELECT n.n_nationkey, n.n_name, n.n_regionkey, coalesce(a.n_customers, 0) AS n_customers,
              CAST(coalesce(a.idle_customers, 0) AS BIGINT) AS idle_customers, CAST(coalesce(a.n_orders, 0) AS BIGINT) AS n_orders
       FROM nation n LEFT JOIN agg a ON n.n_nationkey = a.c_nationkey)
-SELECT *, round(CAST(n_orders AS DOUBLE) * 100.0 / CAST(sum(n_orders) OVER (PARTITION BY n_regionkey) AS DOUBLE), 4) AS pct_of_region
+SELECT *, (floor((CAST(n_orders AS DOUBLE) * 100.0 / CAST(sum(n_orders) OVER (PARTITION BY n_regionkey) AS DOUBLE)) * 10000 + 0.5) / 10000) AS pct_of_region
 FROM j"""
 
 SQL["genus_rollup"] = """
 SELECT split_part(p.p_name, ' ', 1) AS genus, count(*) AS n_lines,
        CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS returned_lines,
-       round(CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
-             / nullif(CAST(count(*) AS DOUBLE), 0.0), 4) AS pct_returned
+       (floor((CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
+             / nullif(CAST(count(*) AS DOUBLE), 0.0)) * 10000 + 0.5) / 10000) AS pct_returned
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1"""
 
 SQL["owner_summary"] = """
@@ -432,8 +432,8 @@ WITH j AS (SELECT s.s_nationkey, l.l_returnflag = 'R' AS ret, CAST(round(l.l_ext
 a AS (SELECT s_nationkey, count(*) AS n_lines, CAST(sum(CASE WHEN ret THEN 1 ELSE 0 END) AS BIGINT) AS returned_lines,
              sum(cents) AS tot, sum(CASE WHEN ret THEN cents ELSE 0 END) AS rv FROM j GROUP BY 1)
 SELECT s_nationkey, n_lines, returned_lines,
-       round(CAST(returned_lines AS DOUBLE) * 100.0 / nullif(CAST(n_lines AS DOUBLE), 0.0), 4) AS pct_returned_by_count,
-       round(CAST(rv AS DOUBLE) * 100.0 / nullif(CAST(tot AS DOUBLE), 0.0), 4) AS pct_returned_by_value
+       (floor((CAST(returned_lines AS DOUBLE) * 100.0 / nullif(CAST(n_lines AS DOUBLE), 0.0)) * 10000 + 0.5) / 10000) AS pct_returned_by_count,
+       (floor((CAST(rv AS DOUBLE) * 100.0 / nullif(CAST(tot AS DOUBLE), 0.0)) * 10000 + 0.5) / 10000) AS pct_returned_by_value
 FROM a"""
 
 SQL["stand_structure"] = """
@@ -443,10 +443,10 @@ WITH a AS (
               WHEN l_quantity < 15 THEN '10-15 in' WHEN l_quantity < 20 THEN '15-20 in'
               WHEN l_quantity < 30 THEN '20-30 in' WHEN l_quantity < 40 THEN '30-40 in'
               ELSE '40+ in' END AS quantity_class,
-         count(*) AS line_count, sum(l_quantity) AS sum_qty, round(avg(l_discount), 4) AS avg_discount
+         count(*) AS line_count, sum(l_quantity) AS sum_qty, (floor((avg(l_discount)) * 10000 + 0.5) / 10000) AS avg_discount
   FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1, 2)
-SELECT *, round(CAST(line_count AS DOUBLE) * 100.0
-                / CAST(sum(line_count) OVER (PARTITION BY l_returnflag) AS DOUBLE), 4) AS pct_of_lines
+SELECT *, (floor((CAST(line_count AS DOUBLE) * 100.0
+                / CAST(sum(line_count) OVER (PARTITION BY l_returnflag) AS DOUBLE)) * 10000 + 0.5) / 10000) AS pct_of_lines
 FROM a"""
 
 # ---------------------------------------------------------------- geometry (brute force)
@@ -516,8 +516,8 @@ WITH {_NATION_V},
 ra AS (SELECT n_nationkey, ring, {_RING_AREA} AS a, sum({_HAV}) AS len FROM e2 GROUP BY 1, 2),
 pa AS (SELECT n_nationkey, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS a, sum(len) AS len FROM ra GROUP BY 1),
 nv AS (SELECT n_nationkey, CAST(count(*) AS INTEGER) AS n_vertices FROM v GROUP BY 1)
-SELECT pa.n_nationkey, round(a / 1e6, 6) AS area_km2, round(len / 1e3, 6) AS perimeter_km,
-       round(len / (2 * sqrt(pi() * a)), 6) AS compactness, nv.n_vertices
+SELECT pa.n_nationkey, (floor((a / 1e6) * 1000000 + 0.5) / 1000000) AS area_km2, (floor((len / 1e3) * 1000000 + 0.5) / 1000000) AS perimeter_km,
+       (floor((len / (2 * sqrt(pi() * a))) * 1000000 + 0.5) / 1000000) AS compactness, nv.n_vertices
 FROM pa JOIN nv ON pa.n_nationkey = nv.n_nationkey"""
 
 SQL["geo_distance"] = f"""
