@@ -40,7 +40,8 @@ def max_when(cond: Column, value) -> Column:
 
 
 # ---- A4/A5: exact percentile_cont without gathering a group in one task -------
-def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accuracy: int = 10000) -> DataFrame:
+def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accuracy: int = 10000,
+                      eager_check: bool = True) -> DataFrame:
     """``percentile_cont(p) within group (order by value)`` per group, exact.
 
     Plan: (1) per group, ``count`` plus a bounded-memory quantile sketch gives a
@@ -48,8 +49,11 @@ def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accurac
     the rows below the bracket and the rows per distinct value inside it
     (bounded by the sketch error, so never a whole hot group); (3) a window
     over that small table finds the exact order statistics.  Should the
-    sketch ever miss its bracket, the affected groups are recomputed exactly
-    with ``percentile`` (AQE drops that branch when no group needs it).
+    sketch ever miss its bracket (it should not: the bracket is wider than the
+    sketch's rank error), the affected groups are recomputed exactly with
+    ``percentile``; the check runs on the small per-group result, which is
+    checkpointed first.  ``eager_check=False`` keeps the function lazy and
+    trusts the sketch bound.
     Returns one row per group with one column per name in ``probs``; groups
     whose values are all NULL are absent (left-join to keep them).
     """
@@ -85,18 +89,25 @@ def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accurac
               .withColumn("_frac", pos - F.floor(pos)))
     hit_lo = (F.col("_start") <= F.col("_rlo")) & (F.col("_rlo") <= F.col("_cum"))
     hit_hi = (F.col("_start") <= F.col("_rhi")) & (F.col("_rhi") <= F.col("_cum"))
-    per_p = ranked.groupBy(*g, "_pname").agg(
-        F.max(F.when(hit_lo, F.col("_kv"))).alias("_vlo"),
-        F.max(F.when(hit_hi, F.col("_kv"))).alias("_vhi"),
-        F.max("_frac").alias("_frac"),
-        F.max(F.when((hit_lo | hit_hi) & (F.col("_cls") != 1), 1).otherwise(0)).alias("_miss"))
-    per_p = per_p.withColumn(
-        "_val", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
-    wide = per_p.groupBy(*g).agg(
-        *[F.max(F.when(F.col("_pname") == n, F.col("_val"))).alias(n) for n in names],
-        F.max("_miss").alias("_miss"))
-    # exact fallback for any group whose bracket missed (empty in practice)
+    aggs = []
+    for n in names:
+        mine = F.col("_pname") == n
+        aggs += [F.max(F.when(mine & hit_lo, F.col("_kv"))).alias(f"_lo_{n}"),
+                 F.max(F.when(mine & hit_hi, F.col("_kv"))).alias(f"_hi_{n}"),
+                 F.max(F.when(mine, F.col("_frac"))).alias(f"_fr_{n}")]
+    aggs.append(F.max(F.when((hit_lo | hit_hi) & (F.col("_cls") != 1), 1).otherwise(0)).alias("_miss"))
+    wide = ranked.groupBy(*g).agg(*aggs).select(
+        *g, *[(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_fr_{n}")).alias(n)
+              for n in names], "_miss")
+    if not eager_check:
+        return wide.drop("_miss")
+    # one row per group: materialise it in the shared checkpoint folder, so
+    # the miss check below does not recompute the pipeline
+    wide = wide.checkpoint(eager=True)
     missed = wide.filter(F.col("_miss") == 1).select(*g)
+    if missed.isEmpty():
+        return wide.drop("_miss")
+    # exact fallback for groups whose sketch bracket missed the target rank
     redo = (base.join(missed, on=g, how="left_semi").groupBy(*g)
             .agg(*[F.percentile("_v", float(probs[n])).alias(f"_fb_{n}") for n in names]))
     out = wide.join(redo, on=g, how="left")
@@ -189,22 +200,42 @@ def record_length(df: DataFrame, entity, time, min_count: int | None = None) ->
 
 # ---- A16: dataset profile -------------------------------------------------------------
 def profile(df: DataFrame, columns=None, exact_distinct: bool = True) -> DataFrame:
-    """One row per column: rows, non-null, distinct, min, max (as strings),
-    computed in a single aggregation pass then unpivoted."""
+    """One row per column: rows, non-null, distinct, min, max (as strings).
+
+    Counts / min / max come from one global aggregation.  Exact distinct
+    counts come from a single hash aggregation over (column, value) pairs
+    (partial aggregation first, so repeated values never cross the shuffle
+    twice); ``exact_distinct=False`` uses HyperLogLog instead (no shuffle of
+    values at all)."""
     cols = list(columns or df.columns)
-    dist = F.count_distinct if exact_distinct else F.approx_count_distinct
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
-        aggs += [F.count(F.col(c)).alias(f"_nn{i}"), dist(F.col(c)).alias(f"_nd{i}"),
-                 F.min(F.col(c)).cast("string").alias(f"_mn{i}"),
+        aggs += [F.count(F.col(c)).alias(f"_nn{i}"), F.min(F.col(c)).cast("string").alias(f"_mn{i}"),
                  F.max(F.col(c)).cast("string").alias(f"_mx{i}")]
+        if not exact_distinct:
+            aggs.append(F.approx_count_distinct(F.col(c)).alias(f"_nd{i}"))
     one = df.agg(*aggs)
-    rows = F.explode(F.array(*[
+    stats = one.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col("_rows").alias("n_rows"),
-                 F.col(f"_nn{i}").alias("n_non_null"), F.col(f"_nd{i}").cast("long").alias("n_distinct"),
+                 F.col(f"_nn{i}").alias("n_non_null"),
+                 (F.col(f"_nd{i}").cast("long") if not exact_distinct else F.lit(None).cast("long")).alias("_nd"),
                  F.col(f"_mn{i}").alias("min_value"), F.col(f"_mx{i}").alias("max_value"))
-        for i, c in enumerate(cols)]))
-    return one.select(rows.alias("_r")).select("_r.*")
+        for i, c in enumerate(cols)])).alias("_r")).select("_r.*")
+    if not exact_distinct:
+        return stats.select("column_name", "n_rows", "n_non_null", F.col("_nd").alias("n_distinct"),
+                            "min_value", "max_value")
+    # values keep their own type inside a per-column struct slot, so equality
+    # is the column's own (no string round trip)
+    slots = [F.struct(*[(F.col(c) if j == i else F.lit(None).cast(df.schema[c].dataType)).alias(f"v{j}")
+                        for j, c in enumerate(cols)]) for i in range(len(cols))]
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), slots[i].alias("v"),
+                                                    F.col(c).isNull().alias("_isnull"))
+                                          for i, c in enumerate(cols)])).alias("_p")).select("_p.*")
+    distinct = (pairs.filter(~F.col("_isnull")).select("column_name", "v").distinct()
+                     .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct")))
+    return (stats.join(distinct, "column_name", "left")
+                 .select("column_name", "n_rows", "n_non_null",
+                         F.coalesce("n_distinct", F.lit(0).cast("long")).alias("n_distinct"), "min_value", "max_value"))
 
 
 # ---- A17: top-k value frequency ----------------------------------------------------
