@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..constants import CUBIC_FEET_PER_ACRE_FOOT, SECONDS_PER_DAY
+from .joins import attach_scalar
 
 
 def _c(c) -> Column:
@@ -160,7 +161,8 @@ def corr_leave_one_out(df: DataFrame, id_cols, x, y, group_cols=None) -> DataFra
         F.count(F.lit(1)).alias("_n"), F.sum("_x").alias("_sx"), F.sum("_y").alias("_sy"),
         F.sum(F.col("_x") * F.col("_y")).alias("_sxy"), F.sum(F.col("_x") * F.col("_x")).alias("_sxx"),
         F.sum(F.col("_y") * F.col("_y")).alias("_syy"), F.corr("_x", "_y").alias("corr_all"))
-    j = base.join(F.broadcast(tot), on=g, how="inner") if g else base.crossJoin(F.broadcast(tot))
+    # per-group totals: one row per group (join); without groups: one row
+    j = base.join(tot, on=g, how="inner") if g else attach_scalar(base, tot)
     n = F.col("_n") - 1
     sx, sy = F.col("_sx") - F.col("_x"), F.col("_sy") - F.col("_y")
     sxy = F.col("_sxy") - F.col("_x") * F.col("_y")
@@ -184,7 +186,7 @@ def ratio_summary(df: DataFrame, group_cols, before, after, prefix: str = "") ->
         (F.sum("_a") / F.sum("_b") - 1).alias(f"{prefix}ratio_of_totals"),
         F.avg("_r").alias(f"{prefix}mean_of_ratios"))
     med = exact_percentiles(base, g, "_r", {f"{prefix}median_of_ratios": 0.5})
-    return tot.join(med, on=g, how="left") if g else tot.crossJoin(med)
+    return tot.join(med, on=g, how="left") if g else attach_scalar(tot, med)
 
 
 # ---- A14/A15: record-length probe ---------------------------------------------------

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from ..session import shared_path
 from . import dedup
+from .joins import attach_scalar
 
 
 def _list(x) -> list:
@@ -47,9 +48,9 @@ def lookback_filter(source: DataFrame, target: DataFrame | None, ts_col: str, da
             return source
         return source.filter(F.col(ts_col) > F.lit(wm).cast(dtype))
     wm = target.agg((F.max(ts_col) - F.make_dt_interval(F.lit(days))).alias("_fl_wm"))
-    return (source.crossJoin(F.broadcast(wm))
-                  .filter(F.col("_fl_wm").isNull() | (F.col(ts_col) > F.col("_fl_wm")))
-                  .drop("_fl_wm"))
+    return (attach_scalar(source, wm)
+            .filter(F.col("_fl_wm").isNull() | (F.col(ts_col) > F.col("_fl_wm")))
+            .drop("_fl_wm"))
 
 
 # ---- I1 + I4: upsert ------------------------------------------------------------------

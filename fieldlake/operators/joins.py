@@ -17,6 +17,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
+def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a single-row aggregate to every row as a scalar
+    subquery (``DataFrame.scalar()``): the aggregate runs once and its values
+    are substituted into the projection -- no join, no all-pairs operator."""
+    s = "_fl_scalar"
+    packed = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias(s)).scalar()
+    return df.withColumn(s, packed).select(*[F.col(f"`{c}`") for c in df.columns],
+                                           *[F.col(s)[c].alias(c) for c in one_row.columns])
+
+
 def scoped_join(fact: DataFrame, dim: DataFrame, on, max_dim_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Inner join keeping only facts whose key is in the dimension."""
     return fact.join(bounded_broadcast(dim, max_dim_rows), on=on, how="inner")

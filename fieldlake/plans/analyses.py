@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.shape import safe_pct
 from ..operators import spatial
+from ..operators.joins import attach_scalar
 from ..operators.aggregates import corr_leave_one_out, count_when, ratio_summary
 from ..operators.windows import around_event, series_features, top_steps
 
@@ -98,7 +99,7 @@ def burn_counts(history: DataFrame, change: DataFrame) -> DataFrame:
     """Matches, distinct burned plots, paired plots."""
     h = history.agg(F.count(F.lit(1)).alias("matches"), F.count_distinct("plot_number").alias("burned_plots"))
     c = change.agg(F.count_distinct("plot_number").alias("paired_plots"))
-    return h.crossJoin(c)  # two single-row aggregates
+    return attach_scalar(h, c)  # two single-row aggregates
 
 
 def lake_coverage(lakes: DataFrame, measurements: DataFrame) -> DataFrame:

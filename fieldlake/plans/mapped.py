@@ -244,7 +244,8 @@ def coverage_join(spark, sf):
               .groupBy("c_nationkey")
               .agg(F.count(F.lit(1)).alias("n_orders"), F.min("o_orderdate").alias("first_order"),
                    F.max("o_orderdate").alias("last_order")))
-    return (F.broadcast(n).join(stats, n.n_nationkey == stats.c_nationkey, "left")
+    # stats has one row per nation (bounded): AQE broadcasts it at runtime
+    return (n.join(stats, n.n_nationkey == stats.c_nationkey, "left")
             .select("n_nationkey", "n_name", F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
                     "first_order", "last_order"))
 

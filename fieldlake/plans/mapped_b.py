@@ -148,9 +148,11 @@ def topk_with_label(spark, sf, k: int = 10):
     top = (li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n_lines"))
              .orderBy(F.col("n_lines").desc(), F.col("l_partkey").asc()).limit(k))
     p = read(spark, sf, "part").select("p_partkey", "p_name")
-    # the top-k side has exactly k rows: broadcasting it is size-bounded
-    return (p.join(F.broadcast(top), p.p_partkey == top.l_partkey, "right")
-              .select(F.col("l_partkey").alias("p_partkey"), "p_name", "n_lines"))
+    # the top-k side has exactly k rows: broadcast it to cut part down to k
+    # labels, then keep every top-k row (label NULL when missing)
+    labels = p.join(F.broadcast(top.select("l_partkey")), p.p_partkey == F.col("l_partkey"), "left_semi")
+    return (top.join(labels, top.l_partkey == labels.p_partkey, "left")
+               .select(F.col("l_partkey").alias("p_partkey"), "p_name", "n_lines"))
 
 
 # ---- J4 + A23: predecessor pairs --------------------------------------------------------
@@ -307,7 +309,7 @@ def coverage_share(spark, sf):
     agg = (c.join(per_cust, c.c_custkey == per_cust.o_custkey, "left").groupBy("c_nationkey")
             .agg(F.count(F.lit(1)).alias("n_customers"), count_when(F.col("n").isNull()).alias("idle_customers"),
                  F.coalesce(F.sum("n"), F.lit(0)).alias("n_orders")))
-    j = F.broadcast(n).join(agg, n.n_nationkey == agg.c_nationkey, "left").select(
+    j = n.join(agg, n.n_nationkey == agg.c_nationkey, "left").select(
         "n_nationkey", "n_name", "n_regionkey", F.coalesce("n_customers", F.lit(0)).alias("n_customers"),
         F.coalesce("idle_customers", F.lit(0)).alias("idle_customers"),
         F.coalesce("n_orders", F.lit(0)).alias("n_orders"))
