@@ -30,25 +30,33 @@ def anomalous_hour_dates(readings: DataFrame, entity: str, ts: str, value: str,
                     .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_value")))
 
 
-def jumps(readings: DataFrame, entity: str, ts: str, value: str, k: int = 20, segment=None) -> DataFrame:
-    """Sharpest single steps (NULL lags removed first)."""
-    s = series_features(readings, entity, [ts], value, prev_alias="prev_value", change_alias="change",
-                        rolling_alias=None, segment=segment)
-    return top_steps(s, "change", k, [entity, ts])
+def _steps(readings, entity, ts, value, order, segment):
+    order = list(order) if order else [ts]
+    return series_features(readings, entity, order, value, prev_alias="prev_value", change_alias="change",
+                           rolling_alias=None, segment=segment)
 
 
-def jumps_by_weekday(readings: DataFrame, entity: str, ts: str, value: str, threshold: float, segment=None) -> DataFrame:
-    """D3: count of steps larger than ``threshold`` per weekday."""
-    s = series_features(readings, entity, [ts], value, prev_alias="prev_value", change_alias="change",
-                        rolling_alias=None, segment=segment)
+def jumps(readings: DataFrame, entity: str, ts: str, value: str, k: int = 20, segment=None,
+          order=None, tiebreak=None) -> DataFrame:
+    """The k sharpest single steps (NULL lags removed first).
+    ``order`` must be total within an entity (default: the timestamp);
+    ``tiebreak`` orders equal steps (default: entity, time)."""
+    s = _steps(readings, entity, ts, value, order, segment)
+    return top_steps(s, "change", k, tiebreak or [entity, ts])
+
+
+def jumps_by_weekday(readings: DataFrame, entity: str, ts: str, value: str, threshold: float, segment=None,
+                     order=None) -> DataFrame:
+    """D3: count of steps of at least ``threshold`` per weekday."""
+    s = _steps(readings, entity, ts, value, order, segment)
     return (s.filter(F.abs("change") >= threshold).groupBy(F.dayname(ts).alias("weekday"))
              .agg(F.count(F.lit(1)).alias("n_jumps")))
 
 
 def shape_around_biggest_jump(readings: DataFrame, entity: str, ts: str, value: str, hours: int = 2,
-                              segment=None) -> DataFrame:
-    """Raw rows within ±hours of the largest step."""
-    top = jumps(readings, entity, ts, value, 1, segment).select(entity, F.col(ts).alias("event_time"))
+                              segment=None, order=None, tiebreak=None) -> DataFrame:
+    """Raw rows of the entity within ±hours of its largest step."""
+    top = jumps(readings, entity, ts, value, 1, segment, order, tiebreak).select(entity, F.col(ts).alias("event_time"))
     span = F.make_dt_interval(F.lit(0), F.lit(hours))
     return around_event(readings, top, entity, ts, span, span)
 

@@ -12,7 +12,8 @@ from ..operators import incremental, quality
 from ..operators.aggregates import corr_leave_one_out as corr_leave_one_out_op
 from ..operators.aggregates import (count_when, exact_percentiles, max_when,
                                     profile, ratio_summary, record_length, share_of_parent)
-from ..operators.windows import around_event, series_features, top_steps
+from ..operators.windows import series_features
+from . import analyses
 from .mapped import R4, fr, region_daily_totals
 from .tables import read
 
@@ -67,39 +68,34 @@ def share_of_group(spark, sf):
 
 
 def top_jumps(spark, sf, k: int = 20):
-    """K largest single-step changes per user series."""
-    s = _event_series(spark, sf)
-    return top_steps(s, "change", k, ["event_id"]).select(
-        "user_id", "event_id", "ts", "value", "prev_value", "change", "abs_change")
+    """K largest single-step changes per user series."""
+    ev = read(spark, sf, "events").select("user_id", "event_id", "ts", "value")
+    out = analyses.jumps(ev, "user_id", "ts", "value", k, segment=_day(), order=["ts", "event_id"],
+                         tiebreak=["event_id"])
+    return out.select("user_id", "event_id", "ts", "value", "prev_value", "change", "abs_change")
 
 
 def jump_by_weekday(spark, sf, threshold: float = 300.0):
     """D3: count of large jumps by weekday."""
-    s = _event_series(spark, sf)
-    return (s.filter(F.abs("change") >= threshold)
-             .groupBy(F.dayname("ts").alias("weekday")).agg(F.count(F.lit(1)).alias("n_jumps")))
+    ev = read(spark, sf, "events").select("user_id", "event_id", "ts", "value")
+    return analyses.jumps_by_weekday(ev, "user_id", "ts", "value", threshold, segment=_day(),
+                                     order=["ts", "event_id"])
 
 
 def diurnal_profile(spark, sf):
     """Mean by local hour and the daily amplitude as ± % of the mean."""
     ev = read(spark, sf, "events")
-    local = F.convert_timezone(F.lit("UTC"), F.lit(LOCAL_TZ), F.col("ts"))
-    hourly = (ev.groupBy("event_type", F.hour(local).alias("local_hour"))
-                .agg(F.count(F.lit(1)).alias("n_events"), F.avg("value").alias("_mean")))
-    from pyspark.sql import Window as W
-    w = W.partitionBy("event_type")
-    amp = (F.max("_mean").over(w) - F.min("_mean").over(w)) / 2 / F.avg("_mean").over(w) * 100
-    return hourly.select("event_type", "local_hour", "n_events", fr("_mean", 4).alias("mean_value"),
-                         fr(amp, 4).alias("amplitude_pct"))
+    out = analyses.diurnal_profile(ev, "event_type", "ts", "value", tz=LOCAL_TZ)
+    return out.select("event_type", "local_hour", F.col("n").alias("n_events"),
+                      fr("mean_value", 4).alias("mean_value"), fr("amplitude_pct", 4).alias("amplitude_pct"))
 
 
 def around_max(spark, sf, hours: int = 2):
     """Raw rows of the user with the largest jump, ±hours around it."""
-    s = _event_series(spark, sf)
-    top = top_steps(s, "change", 1, ["event_id"]).select("user_id", F.col("ts").alias("event_time"))
     ev = read(spark, sf, "events").select("user_id", "event_id", "ts", "value")
-    span = F.make_dt_interval(F.lit(0), F.lit(hours))
-    return around_event(ev, top, "user_id", "ts", span, span).select("user_id", "event_id", "ts", "value")
+    out = analyses.shape_around_biggest_jump(ev, "user_id", "ts", "value", hours, segment=_day(),
+                                             order=["ts", "event_id"], tiebreak=["event_id"])
+    return out.select("user_id", "event_id", "ts", "value")
 
 
 # ---- A14-A21 --------------------------------------------------------------------------
@@ -355,7 +351,26 @@ def stand_structure(spark, sf):
     return out.withColumn("pct_of_lines", fr("pct_of_lines", 4))
 
 
+# ---- A18, S14 -----------------------------------------------------------------------------------------
+def class_summary(spark, sf):
+    """Count and mean per class (mean of integer cents, exact)."""
+    from .marts import class_summary as _cs
+    o = read(spark, sf, "orders").withColumn("total_cents", F.round(F.col("o_totalprice") * 100).cast("long"))
+    out = _cs(o, "o_orderpriority", {"mean_total_cents": "total_cents"}, digits=None)
+    return out.select("o_orderpriority", F.col("n").alias("n_orders"),
+                      (F.col("mean_total_cents") / 100.0).alias("mean_total"))
+
+
+def load_audit(spark, sf):
+    """Row count and year coverage of a loaded table in one pass."""
+    from ..sources.tables import load_audit as _audit
+    o = read(spark, sf, "orders").withColumn("order_year", F.year("o_orderdate"))
+    return _audit(o, "order_year", since_year=2000)
+
+
 QUERIES = {
+    "class_summary": class_summary,
+    "load_audit": load_audit,
     "variant_project": variant_project,
     "lag_change_rolling": lag_change_rolling,
     "daily_flow_features": daily_flow_features,

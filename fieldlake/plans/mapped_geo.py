@@ -35,6 +35,24 @@ def nation_polygons(spark, sf) -> DataFrame:
     return n.withColumn("wkt", wkt).withColumn("geom", geo.parse_wkt("wkt"))
 
 
+def supplier_polygons(spark, sf) -> DataFrame:
+    """One diamond of radius 1° per supplier around an integer centre derived
+    from its key (a 0.25° square hole for even keys): per-polygon work grows
+    with the supplier table."""
+    s = read(spark, sf, "supplier").select("s_suppkey")
+    k = F.col("s_suppkey")
+    cx, cy = F.lit(-170) + (k * 7919) % 340, F.lit(-60) + (k * 104729) % 120
+
+    def v(dx, dy):
+        return F.concat((cx + dx).cast("string"), F.lit(" "), (cy + dy).cast("string"))
+
+    outer = F.concat_ws(", ", v(1, 0), v(0, 1), v(-1, 0), v(0, -1), v(1, 0))
+    hole = F.concat_ws(", ", v(-0.25, -0.25), v(0.25, -0.25), v(0.25, 0.25), v(-0.25, 0.25), v(-0.25, -0.25))
+    wkt = F.concat(F.lit("POLYGON (("), outer, F.lit(")"),
+                   F.when(k % 2 == 0, F.concat(F.lit(", ("), hole, F.lit(")"))).otherwise(F.lit("")), F.lit(")"))
+    return s.withColumn("cx", cx).withColumn("cy", cy).withColumn("wkt", wkt).withColumn("geom", geo.parse_wkt("wkt"))
+
+
 def customer_points(spark, sf) -> DataFrame:
     c = read(spark, sf, "customer").select("c_custkey", "c_nationkey")
     return c.select("c_custkey", "c_nationkey",
@@ -70,10 +88,10 @@ def point_in_polygon(spark, sf):
 
 def polygon_area(spark, sf):
     """Spherical area, perimeter and compactness per polygon."""
-    p = nation_polygons(spark, sf)
+    p = supplier_polygons(spark, sf)
     a = geo.area_m2("geom")
     per = geo.length_m("geom")
-    return p.select("n_nationkey", fr(a / 1e6, 6).alias("area_km2"), fr(per / 1e3, 6).alias("perimeter_km"),
+    return p.select("s_suppkey", fr(a / 1e6, 6).alias("area_km2"), fr(per / 1e3, 6).alias("perimeter_km"),
                     fr(geo.compactness(per, a), 6).alias("compactness"),
                     geo.n_vertices("geom").alias("n_vertices"))
 
@@ -110,24 +128,23 @@ def bbox_assign(spark, sf):
 
 def wkt_roundtrip(spark, sf):
     """G2 + G14: parse then print WKT."""
-    p = nation_polygons(spark, sf)
-    return p.select("n_nationkey", geo.as_wkt("geom").alias("wkt_out"))
+    p = supplier_polygons(spark, sf)
+    return p.select("s_suppkey", geo.as_wkt("geom").alias("wkt_out"))
 
 
 def geometry_validity(spark, sf):
-    """Validity per polygon; odd keys divisible by 3 get a swapped
-    vertex pair (bow tie)."""
-    p = nation_polygons(spark, sf)
-    k = F.col("n_nationkey")
-    cx, cy = (F.lit(-170) + 14 * k), (F.lit(-60) + 30 * (k % 5))
+    """Validity per polygon; odd keys divisible by 3 get two vertices
+    swapped (bow tie)."""
+    p = supplier_polygons(spark, sf)
+    k = F.col("s_suppkey")
 
     def v(dx, dy):
-        return F.concat((cx + dx).cast("string"), F.lit(" "), (cy + dy).cast("string"))
+        return F.concat((F.col("cx") + dx).cast("string"), F.lit(" "), (F.col("cy") + dy).cast("string"))
 
-    bow = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", v(8, 0), v(-8, 0), v(0, 8), v(0, -8), v(8, 0)), F.lit("))"))
+    bow = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", v(1, 0), v(-1, 0), v(0, 1), v(0, -1), v(1, 0)), F.lit("))"))
     p = p.withColumn("wkt2", F.when((k % 2 == 1) & (k % 3 == 0), bow).otherwise(F.col("wkt")))
     p = p.withColumn("g2", geo.parse_wkt("wkt2"))
-    return p.select("n_nationkey", geo.is_valid("g2").alias("is_valid"), geo.validity_reason("g2").alias("reason"))
+    return p.select("s_suppkey", geo.is_valid("g2").alias("is_valid"), geo.validity_reason("g2").alias("reason"))
 
 
 def reproject_points(spark, sf):
@@ -139,7 +156,54 @@ def reproject_points(spark, sf):
     return c.select("c_custkey", F.round(ll.x, 7).alias("lon"), F.round(ll.y, 7).alias("lat"))
 
 
+def point_report(spark, sf):
+    """Each customer against its own nation polygon: inside flag and km
+    to the perimeter (0 inside); pairs are explicit (customer, nation)."""
+    pts = customer_points(spark, sf)
+    pol = nation_polygons(spark, sf).select("n_nationkey", "geom")
+    pairs = pts.select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
+    out = spatial.point_report(pairs, pts, pol, "c_custkey", "n_nationkey", "lon", "lat", "geom")
+    return out.select("c_custkey", "n_nationkey", "inside", F.round("distance_km", 3).alias("distance_km"))
+
+
+def repair_geometry(spark, sf):
+    """G13 (+ G8, G14): an open outer ring with a repeated first vertex is
+    repaired (consecutive duplicates dropped, ring closed)."""
+    p = supplier_polygons(spark, sf).select("s_suppkey", "cx", "cy")
+
+    def v(dx, dy):
+        return F.concat((F.col("cx") + dx).cast("string"), F.lit(" "), (F.col("cy") + dy).cast("string"))
+
+    broken = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", v(1, 0), v(1, 0), v(0, 1), v(-1, 0), v(0, -1)),
+                      F.lit("))"))
+    g = p.withColumn("wkt", broken).withColumn("g", geo.parse_wkt("wkt")).withColumn("fixed", geo.repair("g"))
+    return g.select("s_suppkey", geo.validity_reason("g").alias("reason_before"),
+                    geo.as_wkt("fixed").alias("wkt_after"), geo.is_valid("fixed").alias("valid_after"))
+
+
+def region_burns(spark, sf) -> DataFrame:
+    """One rectangular "burn" per region, 30° x 50.2°, placed from the region key."""
+    r = read(spark, sf, "region").select("r_regionkey")
+    x0 = F.lit(-172.9) + 70 * F.col("r_regionkey")
+    x0s, x1s = x0.cast("string"), (x0 + 30).cast("string")
+    wkt = F.concat(F.lit("POLYGON (("), x0s, F.lit(" -20.1, "), x1s, F.lit(" -20.1, "), x1s, F.lit(" 30.1, "),
+                   x0s, F.lit(" 30.1, "), x0s, F.lit(" -20.1))"))
+    return r.withColumn("bwkt", wkt).withColumn("bgeom", geo.parse_wkt("bwkt"))
+
+
+def overlap_fraction(spark, sf):
+    """Share of each supplier polygon (holes excluded) covered by
+    any burn, from a 0.35° lattice weighted by cos(latitude)."""
+    basins = supplier_polygons(spark, sf).select("s_suppkey", "geom")
+    burns = region_burns(spark, sf).select("bgeom")
+    out = spatial.overlap_percent(basins, burns, "s_suppkey", "geom", "bgeom", resolution=0.35, cell=2.0)
+    return out.select("s_suppkey", fr("pct_burned", 6).alias("pct_burned"))
+
+
 QUERIES = {
+    "overlap_fraction": overlap_fraction,
+    "point_report": point_report,
+    "repair_geometry": repair_geometry,
     "spatial_join_grid": spatial_join_grid,
     "point_in_polygon": point_in_polygon,
     "polygon_area": polygon_area,

@@ -316,7 +316,9 @@ def large_modern_fires(fires: DataFrame, min_year: int = 2000, min_acres: float
                          geo.as_wkt("fire_geom").alias("geom_wkt")))
 
 
-def class_summary(df: DataFrame, class_col: str, measures: dict) -> DataFrame:
+def class_summary(df: DataFrame, class_col: str, measures: dict, digits: int | None = 1) -> DataFrame:
     """Count and means per class (NULL classes dropped, as pandas groupby does)."""
+    def r(c):
+        return c if digits is None else F.round(c, digits)
     return (df.filter(F.col(class_col).isNotNull()).groupBy(class_col)
-              .agg(F.count(F.lit(1)).alias("n"), *[F.round(F.avg(c), 1).alias(a) for a, c in measures.items()]))
+              .agg(F.count(F.lit(1)).alias("n"), *[r(F.avg(c)).alias(a) for a, c in measures.items()]))

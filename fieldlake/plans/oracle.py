@@ -467,6 +467,20 @@ _NATION_V = """
                lead(y) OVER (PARTITION BY n_nationkey, ring ORDER BY idx) AS y2 FROM v),
   e2 AS (SELECT * FROM e WHERE x2 IS NOT NULL)"""
 
+
+_SUPP_V = """
+  soff AS (SELECT * FROM (VALUES (0, 0, 1.0, 0.0), (0, 1, 0.0, 1.0), (0, 2, -1.0, 0.0), (0, 3, 0.0, -1.0), (0, 4, 1.0, 0.0),
+                                 (1, 0, -0.25, -0.25), (1, 1, 0.25, -0.25), (1, 2, 0.25, 0.25), (1, 3, -0.25, 0.25),
+                                 (1, 4, -0.25, -0.25)) t(ring, idx, dx, dy)),
+  sc AS (SELECT s_suppkey, -170 + (s_suppkey * 7919) % 340 AS cx, -60 + (s_suppkey * 104729) % 120 AS cy FROM supplier),
+  v AS (SELECT sc.s_suppkey, o.ring, o.idx, CAST(sc.cx AS DOUBLE) + CAST(o.dx AS DOUBLE) AS x,
+               CAST(sc.cy AS DOUBLE) + CAST(o.dy AS DOUBLE) AS y
+        FROM sc CROSS JOIN soff o WHERE o.ring = 0 OR sc.s_suppkey % 2 = 0),
+  e AS (SELECT s_suppkey, ring, idx, x AS x1, y AS y1,
+               lead(x) OVER (PARTITION BY s_suppkey, ring ORDER BY idx) AS x2,
+               lead(y) OVER (PARTITION BY s_suppkey, ring ORDER BY idx) AS y2 FROM v),
+  e2 AS (SELECT * FROM e WHERE x2 IS NOT NULL)"""
+
 _CUST_PTS = """
   pts AS (SELECT c_custkey, c_nationkey,
                  CAST(-180.0 AS DOUBLE) + (CAST((c_custkey * 7919) % 360000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1000.0 AS DOUBLE) AS lon,
@@ -512,13 +526,14 @@ _HAV = (f"2 * {_R!r} * asin(sqrt(pow(sin((radians(y2) - radians(y1)) / 2), 2) +
         f"cos(radians(y1)) * cos(radians(y2)) * pow(sin((radians(x2) - radians(x1)) / 2), 2)))")
 
 SQL["polygon_area"] = f"""
-WITH {_NATION_V},
-ra AS (SELECT n_nationkey, ring, {_RING_AREA} AS a, sum({_HAV}) AS len FROM e2 GROUP BY 1, 2),
-pa AS (SELECT n_nationkey, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS a, sum(len) AS len FROM ra GROUP BY 1),
-nv AS (SELECT n_nationkey, CAST(count(*) AS INTEGER) AS n_vertices FROM v GROUP BY 1)
-SELECT pa.n_nationkey, (floor((a / 1e6) * 1000000 + 0.5) / 1000000) AS area_km2, (floor((len / 1e3) * 1000000 + 0.5) / 1000000) AS perimeter_km,
+WITH {_SUPP_V},
+ra AS (SELECT s_suppkey, ring, {_RING_AREA} AS a, sum({_HAV}) AS len FROM e2 GROUP BY 1, 2),
+pa AS (SELECT s_suppkey, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS a, sum(len) AS len FROM ra GROUP BY 1),
+nv AS (SELECT s_suppkey, CAST(count(*) AS INTEGER) AS n_vertices FROM v GROUP BY 1)
+SELECT pa.s_suppkey, (floor((a / 1e6) * 1000000 + 0.5) / 1000000) AS area_km2,
+       (floor((len / 1e3) * 1000000 + 0.5) / 1000000) AS perimeter_km,
        (floor((len / (2 * sqrt(pi() * a))) * 1000000 + 0.5) / 1000000) AS compactness, nv.n_vertices
-FROM pa JOIN nv ON pa.n_nationkey = nv.n_nationkey"""
+FROM pa JOIN nv ON pa.s_suppkey = nv.s_suppkey"""
 
 SQL["geo_distance"] = f"""
 WITH {_NATION_V}, {_SUPP_PTS}
@@ -541,10 +556,10 @@ SELECT p.c_custkey, b.n_nationkey FROM pts p JOIN b
   ON p.lon BETWEEN b.xmin AND b.xmax AND p.lat BETWEEN b.ymin AND b.ymax"""
 
 SQL["wkt_roundtrip"] = f"""
-WITH {_NATION_V},
-rt AS (SELECT n_nationkey, ring, '(' || string_agg(CAST(x AS VARCHAR) || ' ' || CAST(y AS VARCHAR), ', ' ORDER BY idx) || ')' AS t
+WITH {_SUPP_V},
+rt AS (SELECT s_suppkey, ring, '(' || string_agg(CAST(x AS VARCHAR) || ' ' || CAST(y AS VARCHAR), ', ' ORDER BY idx) || ')' AS t
        FROM v GROUP BY 1, 2)
-SELECT n_nationkey, 'POLYGON (' || string_agg(t, ', ' ORDER BY ring) || ')' AS wkt_out FROM rt GROUP BY 1"""
+SELECT s_suppkey, 'POLYGON (' || string_agg(t, ', ' ORDER BY ring) || ')' AS wkt_out FROM rt GROUP BY 1"""
 
 _ORIENT = "sign(({qx} - {px}) * ({ry} - {py}) - ({qy} - {py}) * ({rx} - {px}))"
 
@@ -559,26 +574,25 @@ _TOUCH = (f"((({_o('sc', 'sd', 'sa')}) * ({_o('sc', 'sd', 'sb')}) < 0 AND ({_o('
           "greatest(least(say, sby), least(scy, sdy)) <= least(greatest(say, sby), greatest(scy, sdy))))")
 
 SQL["geometry_validity"] = f"""
-WITH {_NATION_V},
-bowoff AS (SELECT * FROM (VALUES (0, 8, 0), (1, -8, 0), (2, 0, 8), (3, 0, -8), (4, 8, 0)) t(idx, dx, dy)),
-vb AS (SELECT n.n_nationkey, 0 AS ring, o.idx, CAST(-170 + 14 * n.n_nationkey + o.dx AS DOUBLE) AS x,
-              CAST(-60 + 30 * (n.n_nationkey % 5) + o.dy AS DOUBLE) AS y
-       FROM nation n CROSS JOIN bowoff o WHERE n.n_nationkey % 2 = 1 AND n.n_nationkey % 3 = 0),
-vv AS (SELECT * FROM v WHERE NOT (n_nationkey % 2 = 1 AND n_nationkey % 3 = 0) UNION ALL SELECT * FROM vb),
-ee AS (SELECT n_nationkey, ring, idx, x AS sax, y AS say,
-              lead(x) OVER (PARTITION BY n_nationkey, ring ORDER BY idx) AS sbx,
-              lead(y) OVER (PARTITION BY n_nationkey, ring ORDER BY idx) AS sby,
-              count(*) OVER (PARTITION BY n_nationkey, ring) AS nv FROM vv),
+WITH {_SUPP_V},
+bowoff AS (SELECT * FROM (VALUES (0, 1.0, 0.0), (1, -1.0, 0.0), (2, 0.0, 1.0), (3, 0.0, -1.0), (4, 1.0, 0.0)) t(idx, dx, dy)),
+vb AS (SELECT sc.s_suppkey, 0 AS ring, o.idx, CAST(sc.cx AS DOUBLE) + CAST(o.dx AS DOUBLE) AS x,
+              CAST(sc.cy AS DOUBLE) + CAST(o.dy AS DOUBLE) AS y
+       FROM sc CROSS JOIN bowoff o WHERE sc.s_suppkey % 2 = 1 AND sc.s_suppkey % 3 = 0),
+vv AS (SELECT * FROM v WHERE NOT (s_suppkey % 2 = 1 AND s_suppkey % 3 = 0) UNION ALL SELECT * FROM vb),
+ee AS (SELECT s_suppkey, ring, idx, x AS sax, y AS say,
+              lead(x) OVER (PARTITION BY s_suppkey, ring ORDER BY idx) AS sbx,
+              lead(y) OVER (PARTITION BY s_suppkey, ring ORDER BY idx) AS sby,
+              count(*) OVER (PARTITION BY s_suppkey, ring) AS nv FROM vv),
 ed AS (SELECT * FROM ee WHERE sbx IS NOT NULL),
-bad AS (SELECT DISTINCT e1.n_nationkey FROM ed e1
-        JOIN (SELECT n_nationkey, ring, idx, sax AS scx, say AS scy, sbx AS sdx, sby AS sdy FROM ed) e2
-          ON e1.n_nationkey = e2.n_nationkey AND e1.ring = e2.ring AND e2.idx >= e1.idx + 2
+bad AS (SELECT DISTINCT e1.s_suppkey FROM ed e1
+        JOIN (SELECT s_suppkey, ring, idx, sax AS scx, say AS scy, sbx AS sdx, sby AS sdy FROM ed) e2
+          ON e1.s_suppkey = e2.s_suppkey AND e1.ring = e2.ring AND e2.idx >= e1.idx + 2
          AND NOT (e1.idx = 0 AND e2.idx = e1.nv - 2)
         WHERE {_TOUCH})
-SELECT n.n_nationkey, b.n_nationkey IS NULL AS is_valid,
-       CASE WHEN b.n_nationkey IS NOT NULL THEN 'self-intersection' END AS reason
-FROM nation n LEFT JOIN bad b ON n.n_nationkey = b.n_nationkey"""
-
+SELECT s.s_suppkey, b.s_suppkey IS NULL AS is_valid,
+       CASE WHEN b.s_suppkey IS NOT NULL THEN 'self-intersection' END AS reason
+FROM supplier s LEFT JOIN bad b ON s.s_suppkey = b.s_suppkey"""
 
 def _albers_sql():
     from ..functions.geo import _albers_constants
@@ -603,3 +617,73 @@ SELECT c_custkey, round({lon}, 7) AS lon, round(degrees({phi}), 7) AS lat FROM x
 
 
 SQL["reproject_points"] = _albers_sql()
+
+SQL["class_summary"] = """
+SELECT o_orderpriority, count(*) AS n_orders,
+       avg(CAST(round(o_totalprice * 100) AS BIGINT)) / 100.0 AS mean_total
+FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1"""
+
+SQL["load_audit"] = """
+SELECT count(*) AS n_rows, CAST(min(year(o_orderdate)) AS INTEGER) AS min_year,
+       CAST(max(year(o_orderdate)) AS INTEGER) AS max_year,
+       count(*) FILTER (WHERE year(o_orderdate) >= 2000) AS n_since_2000
+FROM orders"""
+
+SQL["point_report"] = f"""
+WITH {_NATION_V}, {_CUST_PTS},
+ed AS (SELECT p.c_custkey, e2.n_nationkey, sum({_CROSS}) AS c,
+              min({_seg_dist_sql('p.lon', 'p.lat')}) AS dmin
+       FROM pts p JOIN e2 ON p.c_nationkey = e2.n_nationkey GROUP BY 1, 2)
+SELECT c_custkey, n_nationkey, c % 2 = 1 AS inside,
+       round(CASE WHEN c % 2 = 1 THEN 0.0 ELSE dmin END / 1000.0, 3) AS distance_km
+FROM ed"""
+
+SQL["repair_geometry"] = """
+WITH off AS (SELECT * FROM (VALUES (0, 1, 0), (1, 1, 0), (2, 0, 1), (3, -1, 0), (4, 0, -1)) t(idx, dx, dy)),
+sc AS (SELECT s_suppkey, -170 + (s_suppkey * 7919) % 340 AS cx, -60 + (s_suppkey * 104729) % 120 AS cy FROM supplier),
+v AS (SELECT sc.s_suppkey, o.idx, CAST(sc.cx + o.dx AS DOUBLE) AS x, CAST(sc.cy + o.dy AS DOUBLE) AS y
+      FROM sc CROSS JOIN off o),
+d AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py
+      FROM v WINDOW w AS (PARTITION BY s_suppkey ORDER BY idx)),
+kept AS (SELECT s_suppkey, idx, x, y FROM d WHERE px IS NULL OR NOT (x = px AND y = py)),
+lastv AS (SELECT s_suppkey, arg_max(x, idx) AS lx, arg_max(y, idx) AS ly, min(idx) AS i0, max(idx) AS imax FROM kept GROUP BY 1),
+firstv AS (SELECT k.s_suppkey, k.x AS fx, k.y AS fy FROM kept k JOIN lastv l ON k.s_suppkey = l.s_suppkey AND k.idx = l.i0),
+closed AS (SELECT s_suppkey, idx, x, y FROM kept
+           UNION ALL
+           SELECT f.s_suppkey, l.imax + 1, f.fx, f.fy FROM firstv f JOIN lastv l ON f.s_suppkey = l.s_suppkey
+           WHERE NOT (f.fx = l.lx AND f.fy = l.ly)),
+before AS (SELECT s_suppkey, CASE WHEN count(*) < 4 THEN 'ring too short'
+                                  WHEN arg_min(x, idx) <> arg_max(x, idx) OR arg_min(y, idx) <> arg_max(y, idx)
+                                  THEN 'ring not closed' END AS reason_before FROM v GROUP BY 1)
+SELECT c.s_suppkey, b.reason_before,
+       'POLYGON ((' || string_agg(CAST(c.x AS VARCHAR) || ' ' || CAST(c.y AS VARCHAR), ', ' ORDER BY c.idx) || '))' AS wkt_after,
+       count(*) >= 4 AS valid_after
+FROM closed c JOIN before b ON c.s_suppkey = b.s_suppkey GROUP BY c.s_suppkey, b.reason_before"""
+
+SQL["overlap_fraction"] = f"""
+WITH {_SUPP_V},
+bv AS (SELECT r_regionkey, c.idx,
+              CASE WHEN c.idx IN (1, 2) THEN (CAST(-172.9 AS DOUBLE) + 70 * r_regionkey) + 30
+                   ELSE CAST(-172.9 AS DOUBLE) + 70 * r_regionkey END AS x,
+              CASE WHEN c.idx IN (2, 3) THEN CAST(30.1 AS DOUBLE) ELSE CAST(-20.1 AS DOUBLE) END AS y
+       FROM region CROSS JOIN (SELECT * FROM range(0, 5) t(idx)) c),
+be AS (SELECT r_regionkey, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2
+       FROM bv WINDOW w AS (PARTITION BY r_regionkey ORDER BY idx)),
+be2 AS (SELECT * FROM be WHERE x2 IS NOT NULL),
+bb AS (SELECT s_suppkey, min(x) AS xmin, max(x) AS xmax, min(y) AS ymin, max(y) AS ymax FROM v GROUP BY 1),
+lat AS (SELECT bb.s_suppkey, i.i, j.j,
+               bb.xmin + (CAST(i.i AS DOUBLE) + CAST(0.5 AS DOUBLE)) * CAST(0.35 AS DOUBLE) AS lon,
+               bb.ymin + (CAST(j.j AS DOUBLE) + CAST(0.5 AS DOUBLE)) * CAST(0.35 AS DOUBLE) AS lat
+        FROM bb, range(0, 6) i(i), range(0, 6) j(j)),
+inb AS (SELECT p.s_suppkey, p.i, p.j, p.lon, p.lat FROM lat p JOIN e2 ON p.s_suppkey = e2.s_suppkey
+        GROUP BY 1, 2, 3, 4, 5 HAVING sum({_CROSS}) % 2 = 1),
+burned AS (SELECT p.s_suppkey, p.i, p.j FROM inb p CROSS JOIN be2 e2
+           GROUP BY p.s_suppkey, p.i, p.j, e2.r_regionkey HAVING sum({_CROSS}) % 2 = 1),
+bd AS (SELECT DISTINCT s_suppkey, i, j FROM burned),
+tot AS (SELECT s_suppkey, sum(cos(radians(lat))) AS t FROM inb GROUP BY 1),
+hit AS (SELECT b.s_suppkey, sum(cos(radians(p.lat))) AS h FROM bd b
+        JOIN inb p ON b.s_suppkey = p.s_suppkey AND b.i = p.i AND b.j = p.j GROUP BY 1)
+SELECT s.s_suppkey,
+       (floor((CASE WHEN coalesce(t.t, 0.0) > 0 THEN coalesce(h.h, 0.0) / t.t * 100 ELSE 0.0 END) * 1000000 + 0.5) / 1000000) AS pct_burned
+FROM supplier s LEFT JOIN tot t ON s.s_suppkey = t.s_suppkey LEFT JOIN hit h ON s.s_suppkey = h.s_suppkey"""
+
