@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..constants import CUBIC_FEET_PER_ACRE_FOOT, SECONDS_PER_DAY
-from .joins import attach_scalar
+from .joins import attach_scalar, join_null_safe
 
 
 def _c(c) -> Column:
@@ -42,7 +42,7 @@ def max_when(cond: Column, value) -> Column:
 
 # ---- A4/A5: exact percentile_cont without gathering a group in one task -------
 def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accuracy: int = 10000,
-                      eager_check: bool = True) -> DataFrame:
+                      eager_check: bool = True, extra: dict | None = None) -> DataFrame:
     """``percentile_cont(p) within group (order by value)`` per group, exact.
 
     Plan: (1) per group, ``count`` plus a bounded-memory quantile sketch gives a
@@ -55,8 +55,11 @@ def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accurac
     ``percentile``; the check runs on the small per-group result, which is
     checkpointed first.  ``eager_check=False`` keeps the function lazy and
     trusts the sketch bound.
-    Returns one row per group with one column per name in ``probs``; groups
-    whose values are all NULL are absent (left-join to keep them).
+    Returns one row per group with one column per name in ``probs``.
+    ``extra`` (name -> aggregate Column) is computed in the same first pass
+    (over all rows, NULL values included), which saves callers a separate
+    scan; with ``extra`` every group is returned, otherwise groups whose
+    values are all NULL are absent.
     """
     g = _list(group_cols)
     names = list(probs)
@@ -65,17 +68,24 @@ def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accurac
     margin = 3.0 / accuracy
     lo_ps = [max(0.0, probs[n] - margin) for n in names]
     hi_ps = [min(1.0, probs[n] + margin) for n in names]
-    stats = base.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", lo_ps, accuracy).alias("_lo"),
-        F.percentile_approx("_v", hi_ps, accuracy).alias("_hi"))
-    brackets = stats.select(*g, "_n", F.explode(F.array(*[
+    vcol = _c(value_col).cast("double")
+    vclean = F.when(~F.isnan(vcol), vcol)
+    extra = dict(extra or {})
+    stats = df.groupBy(*g).agg(
+        F.count(vclean).alias("_n"),
+        F.percentile_approx(vclean, lo_ps, accuracy).alias("_lo"),
+        F.percentile_approx(vclean, hi_ps, accuracy).alias("_hi"),
+        *[c.alias(n) for n, c in extra.items()])
+    if extra:
+        stats = stats.checkpoint(eager=True) if eager_check else stats
+    stats_nz = stats.filter(F.col("_n") > 0)
+    brackets = stats_nz.select(*g, "_n", F.explode(F.array(*[
         F.struct(F.lit(n).alias("_pname"), F.lit(float(probs[n])).alias("_p"),
                  F.get(F.col("_lo"), i).alias("_blo"), F.get(F.col("_hi"), i).alias("_bhi"))
         for i, n in enumerate(names)])).alias("_b")).select(*g, "_n", "_b.*")
     cls = (F.when(F.col("_v") < F.col("_blo"), 0)
             .when(F.col("_v") > F.col("_bhi"), 2).otherwise(1))
-    counted = (base.join(brackets, on=g, how="inner")
+    counted = (join_null_safe(base, brackets, g, "inner")
                .withColumn("_cls", cls)
                .withColumn("_kv", F.when(F.col("_cls") == 1, F.col("_v")))
                .groupBy(*g, "_pname", "_p", "_n", "_cls", "_kv")
@@ -100,19 +110,24 @@ def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accurac
     wide = ranked.groupBy(*g).agg(*aggs).select(
         *g, *[(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_fr_{n}")).alias(n)
               for n in names], "_miss")
+    def finish(res):
+        if not extra:
+            return res
+        return join_null_safe(stats.select(*g, *extra.keys()), res, g, "left").select(*g, *extra.keys(), *names)
+
     if not eager_check:
-        return wide.drop("_miss")
+        return finish(wide.drop("_miss"))
     # one row per group: materialise it in the shared checkpoint folder, so
     # the miss check below does not recompute the pipeline
     wide = wide.checkpoint(eager=True)
     missed = wide.filter(F.col("_miss") == 1).select(*g)
     if missed.isEmpty():
-        return wide.drop("_miss")
+        return finish(wide.drop("_miss"))
     # exact fallback for groups whose sketch bracket missed the target rank
-    redo = (base.join(missed, on=g, how="left_semi").groupBy(*g)
+    redo = (join_null_safe(base, missed, g, "left_semi").groupBy(*g)
             .agg(*[F.percentile("_v", float(probs[n])).alias(f"_fb_{n}") for n in names]))
-    out = wide.join(redo, on=g, how="left")
-    return out.select(*g, *[F.coalesce(F.col(f"_fb_{n}"), F.col(n)).alias(n) for n in names])
+    out = join_null_safe(wide, redo, g, "left")
+    return finish(out.select(*g, *[F.coalesce(F.col(f"_fb_{n}"), F.col(n)).alias(n) for n in names]))
 
 
 def exact_median(df, group_cols, value_col, alias="median") -> DataFrame:
@@ -162,7 +177,7 @@ def corr_leave_one_out(df: DataFrame, id_cols, x, y, group_cols=None) -> DataFra
         F.sum(F.col("_x") * F.col("_y")).alias("_sxy"), F.sum(F.col("_x") * F.col("_x")).alias("_sxx"),
         F.sum(F.col("_y") * F.col("_y")).alias("_syy"), F.corr("_x", "_y").alias("corr_all"))
     # per-group totals: one row per group (join); without groups: one row
-    j = base.join(tot, on=g, how="inner") if g else attach_scalar(base, tot)
+    j = join_null_safe(base, tot, g, "inner") if g else attach_scalar(base, tot)
     n = F.col("_n") - 1
     sx, sy = F.col("_sx") - F.col("_x"), F.col("_sy") - F.col("_y")
     sxy = F.col("_sxy") - F.col("_x") * F.col("_y")
@@ -186,7 +201,7 @@ def ratio_summary(df: DataFrame, group_cols, before, after, prefix: str = "") ->
         (F.sum("_a") / F.sum("_b") - 1).alias(f"{prefix}ratio_of_totals"),
         F.avg("_r").alias(f"{prefix}mean_of_ratios"))
     med = exact_percentiles(base, g, "_r", {f"{prefix}median_of_ratios": 0.5})
-    return tot.join(med, on=g, how="left") if g else attach_scalar(tot, med)
+    return join_null_safe(tot, med, g, "left") if g else attach_scalar(tot, med)
 
 
 # ---- A14/A15: record-length probe ---------------------------------------------------

@@ -17,6 +17,30 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (``<=>``), as GROUP BY
+    treats NULL keys as one group.  Planned as a normal hash / sort-merge
+    join; the output keeps one copy of the keys (the left one, or the right
+    one for rows only the right side has)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if not keys:
+        raise ValueError("join_null_safe needs keys")
+    r = right.select(*[F.col(f"`{c}`").alias(f"_r_{c}") if c in keys else F.col(f"`{c}`") for c in right.columns])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    j = left.join(r, cond, how)
+    if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
+        return j
+    if how in ("right", "right_outer", "full", "full_outer", "outer"):
+        fixed = [F.coalesce(left[k], F.col(f"_r_{k}")).alias(k) if k in keys else left[k] for k in left.columns]
+    else:
+        fixed = [left[k] for k in left.columns]
+    others = [F.col(f"`{c}`") for c in r.columns if not c.startswith("_r_") or c[3:] not in keys]
+    return j.select(*fixed, *others)
+
+
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a single-row aggregate to every row as a scalar
     subquery (``DataFrame.scalar()``): the aggregate runs once and its values

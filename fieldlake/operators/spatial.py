@@ -88,24 +88,26 @@ def nearest_geometry(points: DataFrame, geoms: DataFrame, point_id: str, geom_id
         nb = nb.select(point_id, px, py, F.col("_n.cx").alias("_cx"), F.col("_n.cy").alias("_cy"))
         cand = (nb.join(gcells, on=["_cx", "_cy"], how="inner").select(point_id, px, py, geom_id, geom_col)
                   .dropDuplicates([point_id, geom_id]).withColumn("_d", dist))
-        best = (cand.groupBy(point_id, px, py)
+        best = (cand.groupBy(point_id)
                     .agg(F.min(F.struct(F.col("_d").alias("d"), F.col(geom_id).alias("g"))).alias("_b")))
         whole_world = r * cell >= 360.0
         guard = F.lit(r * cell * DEG_M) * F.cos(F.radians(F.col(py)))
-        ok = F.lit(True) if whole_world else (F.col("_b.d") <= guard)
-        best = best.withColumn("_ok", ok).checkpoint(eager=True)
-        settled.append(best.filter("_ok").select(point_id, F.col("_b.g").alias(geom_id),
-                                                 F.col("_b.d").alias("distance_m")))
+        ok = F.col("_b").isNotNull() & (F.lit(True) if whole_world else (F.col("_b.d") <= guard))
+        # every pending point stays in the round's table (left join), so the
+        # next round's input is a filter of this one checkpointed table
+        rnd = (pending.join(best, on=point_id, how="left").withColumn("_ok", ok)
+                      .checkpoint(eager=True))
+        settled.append(rnd.filter("_ok").select(point_id, F.col("_b.g").alias(geom_id),
+                                                F.col("_b.d").alias("distance_m")))
         if whole_world:
             break
-        pending = (pending.join(best.filter("_ok").select(point_id), on=point_id, how="left_anti")
-                          .checkpoint(eager=True))
+        pending = rnd.filter(~F.col("_ok")).select(point_id, px, py, "_cx", "_cy")
         if pending.isEmpty():
             break
         r *= 2
     out = settled[0]
-    for s in settled[1:]:
-        out = out.unionByName(s)
+    for s_ in settled[1:]:
+        out = out.unionByName(s_)
     return out
 
 

@@ -38,18 +38,17 @@ def water_year_summary(daily: DataFrame, entity_cols=("gage_id",), value: str =
     completeness filter (before the rank, N9), flashiness and wettest rank."""
     keys = list(entity_cols) + [year_col]
     v = F.col(value)
-    summ = daily.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("days_of_record"),
-        _round(F.avg(v), digits).alias("mean_cfs"),
-        _round(F.min(v), digits).alias("min_cfs"),
-        _round(F.max(v), digits).alias("max_cfs"),
-        F.sum(F.abs(F.col(change))).alias("sum_abs_change"),
-        F.sum(v).alias("sum_discharge"),
-        _round(annual_volume_af(F.sum(v)), volume_digits).alias("annual_volume_af"))
-    pct = exact_percentiles(daily, keys, value, {"median_cfs": 0.5, "p10_cfs": 0.1, "p90_cfs": 0.9})
-    pct = pct.select(*keys, *[_round(F.col(c), digits).alias(c) for c in ("median_cfs", "p10_cfs", "p90_cfs")])
-    out = (summ.filter(F.col("days_of_record") >= min_days)
-               .join(pct, on=keys, how="left")
+    extra = {"days_of_record": F.count(F.lit(1)), "mean_cfs": _round(F.avg(v), digits),
+             "min_cfs": _round(F.min(v), digits), "max_cfs": _round(F.max(v), digits),
+             "sum_abs_change": F.sum(F.abs(F.col(change))), "sum_discharge": F.sum(v),
+             "annual_volume_af": _round(annual_volume_af(F.sum(v)), volume_digits)}
+    # one pass gives the plain aggregates and the percentile sketch together
+    both = exact_percentiles(daily, keys, value, {"median_cfs": 0.5, "p10_cfs": 0.1, "p90_cfs": 0.9},
+                             extra=extra)
+    out = (both.withColumn("median_cfs", _round(F.col("median_cfs"), digits))
+               .withColumn("p10_cfs", _round(F.col("p10_cfs"), digits))
+               .withColumn("p90_cfs", _round(F.col("p90_cfs"), digits))
+               .filter(F.col("days_of_record") >= min_days)
                .withColumn("rb_flashiness_index",
                            _round(rb_flashiness("sum_abs_change", "sum_discharge"), flash_digits)))
     return rank_within(out, list(entity_cols), "annual_volume_af", alias="wettest_year_rank")

@@ -299,9 +299,9 @@ def share_having(spark, sf, min_lines: int = 550):
 def percentiles(spark, sf):
     """A4 + A5: exact median / p10 / p90 per user."""
     ev = read(spark, sf, "events")
-    pct = exact_percentiles(ev, ["user_id"], "value", {"median_value": 0.5, "p10_value": 0.1, "p90_value": 0.9})
-    base = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"))
-    return base.join(pct, "user_id", "left").select(
+    pct = exact_percentiles(ev, ["user_id"], "value", {"median_value": 0.5, "p10_value": 0.1, "p90_value": 0.9},
+                            extra={"n_events": F.count(F.lit(1))})
+    return pct.select(
         "user_id", "n_events", *[fr(c, 4).alias(c) for c in ("median_value", "p10_value", "p90_value")])
 
 

@@ -178,12 +178,10 @@ def predecessor_self_join(spark, sf):
 def growth_by_site(spark, sf, min_pairs: int = 50):
     """M23 shape: plausible-interval pairs summarised per priority with HAVING."""
     pairs = _order_pairs(spark, sf).filter(F.col("interval_days").between(30, 1000))
-    base = (pairs.groupBy("o_orderpriority")
-                 .agg(F.count(F.lit(1)).alias("n_pairs"), fr(F.avg("daily_rate"), 4).alias("mean_rate"),
-                      fr(F.avg("interval_days"), 4).alias("mean_interval"))
-                 .filter(F.col("n_pairs") >= min_pairs))
-    pct = exact_percentiles(pairs, ["o_orderpriority"], "daily_rate", {"median_rate": 0.5, "p90_rate": 0.9})
-    return base.join(pct, "o_orderpriority", "left").select(
+    both = exact_percentiles(pairs, ["o_orderpriority"], "daily_rate", {"median_rate": 0.5, "p90_rate": 0.9},
+                             extra={"n_pairs": F.count(F.lit(1)), "mean_rate": fr(F.avg("daily_rate"), 4),
+                                    "mean_interval": fr(F.avg("interval_days"), 4)})
+    return both.filter(F.col("n_pairs") >= min_pairs).select(
         "o_orderpriority", "n_pairs", "mean_rate", "mean_interval",
         fr("median_rate", 4).alias("median_rate"), fr("p90_rate", 4).alias("p90_rate"))
 

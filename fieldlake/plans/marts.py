@@ -171,18 +171,17 @@ def fct_growth_by_site(growth: DataFrame, min_trees: int = GROWTH_MIN_TREES) ->
     glo, ghi = GROWTH_DIAMETER_RANGE
     g = growth.filter(F.col("interval_years").between(lo, hi) & F.col("diameter_growth_in").between(glo, ghi))
     keys = ["species_name", "wood_type", "elevation_band", "owner_group", "crown_class"]
-    base = (g.groupBy(*keys).agg(F.count(F.lit(1)).alias("remeasured_trees"),
-                                 F.round(F.avg("annual_diameter_growth_in"), 4).alias("mean_annual_growth_in"),
-                                 F.round(F.avg("interval_years"), 1).alias("mean_interval_years"),
-                                 F.round(F.avg("prev_diameter_in"), 1).alias("mean_starting_diameter_in"))
-             .filter(F.col("remeasured_trees") >= min_trees))
-    pct = exact_percentiles(g, keys, "annual_diameter_growth_in",
-                            {"median_annual_growth_in": 0.5, "p90_annual_growth_in": 0.9})
-    pct = pct.select(*keys, F.round("median_annual_growth_in", 4).alias("median_annual_growth_in"),
-                     F.round("p90_annual_growth_in", 4).alias("p90_annual_growth_in"))
-    return base.join(pct, on=[base[k].eqNullSafe(pct[k]) for k in keys], how="left").select(
-        *[base[k] for k in keys], "remeasured_trees", "mean_annual_growth_in", "median_annual_growth_in",
-        "p90_annual_growth_in", "mean_interval_years", "mean_starting_diameter_in")
+    both = exact_percentiles(g, keys, "annual_diameter_growth_in",
+                             {"median_annual_growth_in": 0.5, "p90_annual_growth_in": 0.9},
+                             extra={"remeasured_trees": F.count(F.lit(1)),
+                                    "mean_annual_growth_in": F.round(F.avg("annual_diameter_growth_in"), 4),
+                                    "mean_interval_years": F.round(F.avg("interval_years"), 1),
+                                    "mean_starting_diameter_in": F.round(F.avg("prev_diameter_in"), 1)})
+    return (both.filter(F.col("remeasured_trees") >= min_trees)
+                .select(*keys, "remeasured_trees", "mean_annual_growth_in",
+                        F.round("median_annual_growth_in", 4).alias("median_annual_growth_in"),
+                        F.round("p90_annual_growth_in", 4).alias("p90_annual_growth_in"),
+                        "mean_interval_years", "mean_starting_diameter_in"))
 
 
 def fct_species_mortality(tree: DataFrame, min_trees: int = MORTALITY_MIN_TREES,

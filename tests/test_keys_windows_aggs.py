@@ -107,3 +107,12 @@ def test_corr_leave_one_out(spark):
         m = np.ones(12, bool)
         m[i] = False
         assert abs(got[i] - np.corrcoef(x[m], y[m])[0, 1]) < 1e-9
+
+
+def test_exact_percentiles_null_group_key_and_extras(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0), ("a", None), ("b", None)], "g string, v double")
+    out = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", {"med": 0.5},
+                                                extra={"n": F.count(F.lit(1))}).collect()}
+    assert out[None]["med"] == 2.0 and out[None]["n"] == 2
+    assert out["a"]["med"] == 2.0 and out["a"]["n"] == 2
+    assert out["b"]["med"] is None and out["b"]["n"] == 1
