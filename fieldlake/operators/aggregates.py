@@ -58,8 +58,8 @@ def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accurac
     Returns one row per group with one column per name in ``probs``.
     ``extra`` (name -> aggregate Column) is computed in the same first pass
     (over all rows, NULL values included), which saves callers a separate
-    scan; with ``extra`` every group is returned, otherwise groups whose
-    values are all NULL are absent.
+    scan.  Every group is returned; a group whose values are all NULL gets
+    NULL percentiles.
     """
     g = _list(group_cols)
     names = list(probs)
@@ -76,8 +76,11 @@ def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accurac
         F.percentile_approx(vclean, lo_ps, accuracy).alias("_lo"),
         F.percentile_approx(vclean, hi_ps, accuracy).alias("_hi"),
         *[c.alias(n) for n, c in extra.items()])
-    if extra:
-        stats = stats.checkpoint(eager=True) if eager_check else stats
+    if eager_check:
+        # one row per group, written once to the shared checkpoint folder:
+        # both the bracket pass and the final per-group table read it, so the
+        # input is scanned exactly twice (sketch pass, bracket pass)
+        stats = stats.checkpoint(eager=True)
     stats_nz = stats.filter(F.col("_n") > 0)
     brackets = stats_nz.select(*g, "_n", F.explode(F.array(*[
         F.struct(F.lit(n).alias("_pname"), F.lit(float(probs[n])).alias("_p"),
@@ -110,24 +113,23 @@ def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accurac
     wide = ranked.groupBy(*g).agg(*aggs).select(
         *g, *[(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_fr_{n}")).alias(n)
               for n in names], "_miss")
-    def finish(res):
-        if not extra:
-            return res
-        return join_null_safe(stats.select(*g, *extra.keys()), res, g, "left").select(*g, *extra.keys(), *names)
-
+    # every group (an all-NULL group gets NULL percentiles, as in SQL) with
+    # its extra aggregates
+    full = join_null_safe(stats.select(*g, *extra.keys()), wide, g, "left")
+    cols = [*g, *extra.keys(), *names]
     if not eager_check:
-        return finish(wide.drop("_miss"))
-    # one row per group: materialise it in the shared checkpoint folder, so
-    # the miss check below does not recompute the pipeline
-    wide = wide.checkpoint(eager=True)
-    missed = wide.filter(F.col("_miss") == 1).select(*g)
+        return full.select(*cols)
+    # one row per group: materialise it in the shared checkpoint folder so the
+    # miss check below does not recompute the pipeline
+    full = full.checkpoint(eager=True)
+    missed = full.filter(F.col("_miss") == 1).select(*g)
     if missed.isEmpty():
-        return finish(wide.drop("_miss"))
+        return full.select(*cols)
     # exact fallback for groups whose sketch bracket missed the target rank
     redo = (join_null_safe(base, missed, g, "left_semi").groupBy(*g)
             .agg(*[F.percentile("_v", float(probs[n])).alias(f"_fb_{n}") for n in names]))
-    out = join_null_safe(wide, redo, g, "left")
-    return finish(out.select(*g, *[F.coalesce(F.col(f"_fb_{n}"), F.col(n)).alias(n) for n in names]))
+    out = join_null_safe(full, redo, g, "left")
+    return out.select(*g, *extra.keys(), *[F.coalesce(F.col(f"_fb_{n}"), F.col(n)).alias(n) for n in names])
 
 
 def exact_median(df, group_cols, value_col, alias="median") -> DataFrame:
