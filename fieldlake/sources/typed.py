@@ -56,3 +56,13 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 def csv_sink(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with header."""
     df.write.mode(mode).option("header", True).csv(path)
+
+
+def filter_contains_if_present(df: DataFrame, candidates, needle: str) -> DataFrame:
+    """P20: keep rows whose type-code column contains ``needle``; when no
+    candidate column exists the filter is skipped (with a warning)."""
+    col = resolve_column(df, candidates)
+    if col is None:
+        log.warning("no column among %s; substring filter skipped", list(candidates))
+        return df
+    return df.filter(F.col(f"`{col}`").contains(needle))

@@ -210,3 +210,33 @@ def test_snapshot_stations(spark):
     s2 = marts.snap_monitoring_stations(r2, s1, "2024-02-01")
     got = rows(s2.select("station_id", F.col("valid_to").isNull().alias("open")))
     assert got == [("A", True), ("B", False), ("B", True), ("C", False), ("D", True)]
+
+
+def test_declared_suite_and_singular_rules(spark):
+    from fieldlake.plans import checks
+    plot, cond, tree, species = _forest(spark)
+    dim = marts.dim_fia_plot(staging.stg_fia_plot(plot), staging.stg_fia_cond(cond))
+    t = marts.fct_fia_tree(staging.stg_fia_tree(tree), dim, marts.dim_fia_species(species))
+    rep = {(r["table_name"], r["check_name"]): r for r in
+           checks.suite({"dim_fia_plot": dim, "fct_fia_tree": t}).collect()}
+    assert rep[("fct_fia_tree", "unique_tree_cn")]["status"] == "pass"
+    assert rep[("fct_fia_tree", "relationships_plot_cn")]["failing_rows"] == 0
+    assert rep[("fct_fia_tree", "assert_tree_diameter_plausible")]["status"] == "pass"
+    assert rep[("dim_fia_plot", "accepted_values_elevation_band")]["status"] == "pass"
+    lakes = spark.createDataFrame([("L1", "A", "S", "CA", 1, 37.0, -119.0)], schemas.SEED_LAKES)
+    raw = envelope(spark, [wqp("L1", "S1", "2023-07-01", "Chlorophyll a", "501"),
+                           wqp("L1", "S1", "2023-07-02", "Chlorophyll a", "-1"),
+                           wqp("L1", "S1", "2023-07-03", "Chlorophyll a", "5", unit="ug/l")])
+    fct = marts.fct_lake_measurements(staging.stg_wqp_results(raw), lakes)
+    rep2 = {r["check_name"]: r for r in checks.suite({"fct_lake_measurements": fct, "dim_lakes": lakes}).collect()}
+    assert rep2["assert_no_impossible_chlorophyll"]["failing_rows"] == 2
+    assert rep2["accepted_values_unit_code"]["status"] == "warn"
+    fr = checks.source_freshness({"wqp": raw}, "2024-03-10 00:00:00").first()
+    assert fr["status"] == "error"
+
+
+def test_filter_contains_if_present(spark):
+    from fieldlake.sources.typed import filter_contains_if_present
+    df = spark.createDataFrame([("ST", 1), ("LK", 2), ("ST-CA", 3)], "MonitoringLocationTypeName string, k int")
+    assert filter_contains_if_present(df, ["site_type", "MonitoringLocationTypeName"], "ST").count() == 2
+    assert filter_contains_if_present(df, ["nope"], "ST").count() == 3
