@@ -123,8 +123,12 @@ def overlap_percent(basins: DataFrame, burns: DataFrame, basin_id: str, basin_ge
     b = basins.select(basin_id, basin_geom).withColumn("_bb", geo.bbox(basin_geom))
     nx = F.ceil((F.col("_bb.xmax") - F.col("_bb.xmin")) / resolution).cast("long")
     ny = F.ceil((F.col("_bb.ymax") - F.col("_bb.ymin")) / resolution).cast("long")
-    lat = (b.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), nx - 1)))
-             .withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), ny - 1)))
+    # explode lattice rows first and spread them over tasks before exploding
+    # columns, so one large basin is not generated inside a single task
+    rows_ = (b.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), nx - 1)))
+              .withColumn("_ny", ny)
+              .repartition(basin_id, "_i"))
+    lat = (rows_.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_ny") - 1)))
              .withColumn("_lx", F.col("_bb.xmin") + (F.col("_i") + 0.5) * resolution)
              .withColumn("_ly", F.col("_bb.ymin") + (F.col("_j") + 0.5) * resolution))
     inside = (lat.filter(geo.contains_point(basin_geom, "_lx", "_ly"))
