@@ -88,11 +88,11 @@ def point_in_polygon(spark, sf):
 
 def polygon_area(spark, sf):
     """Spherical area, perimeter and compactness per polygon."""
-    p = supplier_polygons(spark, sf)
-    a = geo.area_m2("geom")
-    per = geo.length_m("geom")
-    return p.select("s_suppkey", fr(a / 1e6, 6).alias("area_km2"), fr(per / 1e3, 6).alias("perimeter_km"),
-                    fr(geo.compactness(per, a), 6).alias("compactness"),
+    p = (supplier_polygons(spark, sf)
+         .select("s_suppkey", "geom", geo.area_m2("geom").alias("_a"), geo.length_m("geom").alias("_p")))
+    # area and perimeter are evaluated once and reused by the compactness ratio
+    return p.select("s_suppkey", fr(F.col("_a") / 1e6, 6).alias("area_km2"), fr(F.col("_p") / 1e3, 6).alias("perimeter_km"),
+                    fr(geo.compactness("_p", "_a"), 6).alias("compactness"),
                     geo.n_vertices("geom").alias("n_vertices"))
 
 

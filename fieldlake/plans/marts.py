@@ -36,12 +36,11 @@ def dim_gages(seed: DataFrame) -> DataFrame:
 def dim_sierra_gages(stg: DataFrame) -> DataFrame:
     """River system from the name, basin area (mi²) and perimeter (km)
     from the polygon, Gravelius compactness."""
-    a = geo.area_m2("basin_geom")
-    per = geo.length_m("basin_geom")
-    return stg.select("gage_id", "gage_name", river_system("gage_name").alias("river_system"), "latitude",
-                      "longitude", "gage_point", "basin_geom", "usgs_drainage_area_sqmi",
-                      sq_m_to_sq_miles(a).alias("basin_area_sqmi"), (per / 1000.0).alias("basin_perimeter_km"),
-                      geo.compactness(per, a).alias("compactness_ratio"))
+    g = stg.withColumn("_a", geo.area_m2("basin_geom")).withColumn("_p", geo.length_m("basin_geom"))
+    return g.select("gage_id", "gage_name", river_system("gage_name").alias("river_system"), "latitude",
+                    "longitude", "gage_point", "basin_geom", "usgs_drainage_area_sqmi",
+                    sq_m_to_sq_miles("_a").alias("basin_area_sqmi"), (F.col("_p") / 1000.0).alias("basin_perimeter_km"),
+                    geo.compactness("_p", "_a").alias("compactness_ratio"))
 
 
 def dim_fia_species(seed: DataFrame) -> DataFrame:
