@@ -240,3 +240,36 @@ def test_filter_contains_if_present(spark):
     df = spark.createDataFrame([("ST", 1), ("LK", 2), ("ST-CA", 3)], "MonitoringLocationTypeName string, k int")
     assert filter_contains_if_present(df, ["site_type", "MonitoringLocationTypeName"], "ST").count() == 2
     assert filter_contains_if_present(df, ["nope"], "ST").count() == 3
+
+
+def test_build_everything_from_bronze(spark, tmp_dir):
+    import os
+    from fieldlake.plans import build
+    plot, cond, tree, species = _forest(spark)
+    lakes = spark.createDataFrame([("L1", "Lake One", "Sierra", "CA", 10000, 37.0, -119.0)], schemas.SEED_LAKES)
+    gages = spark.createDataFrame([("G1", "MERCED R", "Merced", "Sierra", "CA", "main")], schemas.SEED_GAGES)
+    bronze = {
+        "wqp_results_raw": envelope(spark, [wqp("L1", "S1", "2023-07-01", "Chlorophyll a", "3")]),
+        "streamflow_continuous_raw": envelope(spark, [{"gage_id": "G1", "parameter_code": "00060", "unit": "cfs",
+                                                       "datetime_utc": "2024-01-01T00:15:00", "value": 10.0}]),
+        "sierra_gages_raw": spark.createDataFrame([("G1", "MERCED R A HAPPY ISLES", 37.7, -119.5, 151.0,
+                                                    "POLYGON ((-119.6 37.6, -119.4 37.6, -119.4 37.8, -119.6 37.8, -119.6 37.6))")],
+                                                  schemas.SIERRA_GAGES),
+        "sierra_daily_flow_raw": _daily_raw(spark, 0, 400, "2024-01-01 00:00:00"),
+        "derived_streams_raw": spark.createDataFrame([(1, "main", 1, "LINESTRING (-122.09 46.75, -122.07 46.76)")],
+                                                     schemas.DERIVED_STREAMS),
+        "fia_wa_plot_raw": plot, "fia_wa_cond_raw": cond, "fia_wa_tree_raw": tree,
+        "wa_fire_perimeters_raw": spark.createDataFrame([
+            ("1", "burn", 2015, "2015", 5000.0, "X", "S", "F", "U1",
+             "POLYGON ((-121.5 46.5, -120.5 46.5, -120.5 47.5, -121.5 47.5, -121.5 46.5))")], schemas.WA_FIRES),
+    }
+    out = os.path.join(tmp_dir, "silver")
+    report = build.build(spark, bronze, {"lakes": lakes, "gages": gages, "fia_species": species}, out,
+                         min_days_of_record=100)
+    rep = {(r["table_name"], r["check_name"]): r["status"] for r in report.collect()}
+    assert rep[("fct_sierra_daily_flow", "unique_flow_sk")] == "pass"
+    assert rep[("fct_lake_measurements", "relationships_lake_id")] == "pass"
+    assert rep[("dim_sierra_gages", "assert_basin_area_matches_usgs")] == "pass"
+    for name in ("fct_fia_tree", "fct_water_year_summary", "fct_gage_stream_validation", "dim_wa_fires",
+                 "fct_sierra_daily_flow"):
+        assert spark.read.parquet(os.path.join(out, name)).count() > 0
