@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..constants import CUBIC_FEET_PER_ACRE_FOOT, SECONDS_PER_DAY
+from ..session import ensure_checkpoint_dir
 from .joins import attach_scalar, join_null_safe
 
 
@@ -77,6 +78,7 @@ def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accurac
         F.percentile_approx(vclean, hi_ps, accuracy).alias("_hi"),
         *[c.alias(n) for n, c in extra.items()])
     if eager_check:
+        ensure_checkpoint_dir(df.sparkSession)
         # one row per group, written once to the shared checkpoint folder:
         # both the bracket pass and the final per-group table read it, so the
         # input is scanned exactly twice (sketch pass, bracket pass)

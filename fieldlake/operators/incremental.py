@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from ..session import shared_path
+from ..session import shared_path  # noqa: F401  (shared_path ensures the checkpoint dir)
 from . import dedup
 from .joins import attach_scalar
 

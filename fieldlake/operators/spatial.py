@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import EARTH_RADIUS_M
 from ..functions import geo
+from ..session import ensure_checkpoint_dir
 
 DEG_M = math.pi / 180.0 * EARTH_RADIUS_M
 
@@ -76,6 +77,7 @@ def nearest_geometry(points: DataFrame, geoms: DataFrame, point_id: str, geom_id
     so lineage stays short and a lost executor only repeats one round.  Once
     the square spans the globe every geometry is a candidate, so the result is
     exact for every point -- no cap on candidates."""
+    ensure_checkpoint_dir(points.sparkSession)
     dist = geo.distance_m(geom_col, px, py) if inside_is_zero else geo.distance_to_boundary_m(geom_col, px, py)
     gcells = geometry_cells(geoms.select(geom_id, geom_col), geom_col, cell).drop("_bb")
     pending = point_cells(points.select(point_id, px, py), px, py, cell)

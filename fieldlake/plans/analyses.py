@@ -26,7 +26,7 @@ def anomalous_hour_dates(readings: DataFrame, entity: str, ts: str, value: str,
     """Which local dates contribute to one hour's mean."""
     local = F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col(ts))
     return (readings.filter(F.hour(local) == hour)
-                    .groupBy(entity, F.date_trunc("day", local).alias("local_day"))
+                    .groupBy(entity, F.to_date(local).alias("local_day"))
                     .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_value")))
 
 

@@ -93,6 +93,13 @@ def diurnal_profile(spark, sf):
                       fr("mean_value", 4).alias("mean_value"), fr("amplitude_pct", 4).alias("amplitude_pct"))
 
 
+def anomalous_hour_dates(spark, sf, hour: int = 13):
+    """The local dates behind one hour-of-day mean."""
+    ev = read(spark, sf, "events")
+    out = analyses.anomalous_hour_dates(ev, "event_type", "ts", "value", hour, tz=LOCAL_TZ)
+    return out.select("event_type", "local_day", F.col("n").alias("n_events"), fr("mean_value", 4).alias("mean_value"))
+
+
 def around_max(spark, sf, hours: int = 2):
     """Raw rows of the user with the largest jump, ±hours around it."""
     ev = read(spark, sf, "events").select("user_id", "event_id", "ts", "value")
@@ -370,6 +377,7 @@ def load_audit(spark, sf):
 
 
 QUERIES = {
+    "anomalous_hour_dates": anomalous_hour_dates,
     "class_summary": class_summary,
     "load_audit": load_audit,
     "variant_project": variant_project,

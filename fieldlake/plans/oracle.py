@@ -687,3 +687,9 @@ SELECT s.s_suppkey,
        (floor((CASE WHEN coalesce(t.t, 0.0) > 0 THEN coalesce(h.h, 0.0) / t.t * 100 ELSE 0.0 END) * 1000000 + 0.5) / 1000000) AS pct_burned
 FROM supplier s LEFT JOIN tot t ON s.s_suppkey = t.s_suppkey LEFT JOIN hit h ON s.s_suppkey = h.s_suppkey"""
 
+
+SQL["anomalous_hour_dates"] = """
+WITH l AS (SELECT event_type, value, timezone('America/Los_Angeles', timezone('UTC', ts)) AS lt FROM events)
+SELECT event_type, CAST(lt AS DATE) AS local_day, count(*) AS n_events,
+       (floor((avg(value)) * 10000 + 0.5) / 10000) AS mean_value
+FROM l WHERE hour(lt) = 13 GROUP BY 1, 2"""

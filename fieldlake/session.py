@@ -46,16 +46,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; set one only where the session has none (tests)."""
+    ``spark.checkpoint.dir``; set one only where the session has none.
+
+    Without a configured folder: use ``fallback`` if given (tests, bench);
+    on a ``local`` master use a fresh scratch folder; on a cluster raise --
+    a machine-local folder would not survive the loss of an executor."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if fallback is None and sc.master.startswith("local"):
+            import tempfile
+            fallback = tempfile.mkdtemp(prefix="fieldlake-ckpt-")
         if fallback is None:
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; pass a shared folder (tests may pass a scratch dir)")
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) "
+                               "for checkpoints and staged merges")
         configured = fallback
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -273,3 +273,26 @@ def test_build_everything_from_bronze(spark, tmp_dir):
     for name in ("fct_fia_tree", "fct_water_year_summary", "fct_gage_stream_validation", "dim_wa_fires",
                  "fct_sierra_daily_flow"):
         assert spark.read.parquet(os.path.join(out, name)).count() > 0
+
+
+def test_analyses_small(spark):
+    from fieldlake.plans import analyses
+    lakes = spark.createDataFrame([("L1", "One"), ("L2", "Two")], "lake_id string, lake_name string")
+    meas = spark.createDataFrame([("L1",), ("L1",), ("L1",)], "lake_id string")
+    cov = {r["lake_id"]: (r["n_rows"], r["pct_of_rows"]) for r in analyses.lake_coverage(lakes, meas).collect()}
+    assert cov == {"L1": (3, 100.0), "L2": (0, 0.0)}                     # D12: lakes without data kept
+    prof = spark.createDataFrame([("Private", "Young (20-40 yr)"), ("Private", "Young (20-40 yr)"),
+                                  ("Other federal", "Old growth (150+ yr)")], "owner_group string, stand_stage string")
+    assert rows(analyses.stage_counts(prof)) == [("Other federal", "Old growth (150+ yr)", 1), ("Private", "Young (20-40 yr)", 2)]
+    hist = spark.createDataFrame([(1,), (1,), (2,)], "plot_number int")
+    chg = spark.createDataFrame([(1,)], "plot_number int")
+    b = analyses.burn_counts(hist, chg).first()
+    assert (b["matches"], b["burned_plots"], b["paired_plots"]) == (3, 2, 1)  # D11
+    summ = spark.createDataFrame([("G1", 0.5), ("G1", 0.7), ("G2", 0.1), ("G3", 0.3)], "gage_id string, rb_flashiness_index double")
+    gages = spark.createDataFrame([("G1", 10.0), ("G2", 1000.0), ("G3", 100.0)], "gage_id string, basin_area_sqmi double")
+    d5 = {r["gage_id"]: r for r in analyses.size_vs_flashiness(summ, gages).collect()}
+    assert d5["G1"]["corr_all"] < -0.9                                    # D5: bigger basins, less flashy
+    growth = spark.createDataFrame([("fir", "Lowland (<1000 ft)", "Private", 60, 0.2, 0.19)],
+                                   "species_name string, elevation_band string, owner_group string, remeasured_trees long, "
+                                   "mean_annual_growth_in double, median_annual_growth_in double")
+    assert analyses.growth_table(growth, "fir").count() == 1              # D13
