@@ -6,6 +6,8 @@ holds a large share of rows is reduced on the map side before any shuffle.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..constants import CUBIC_FEET_PER_ACRE_FOOT, SECONDS_PER_DAY
@@ -42,12 +44,40 @@ def max_when(cond: Column, value) -> Column:
 
 
 # ---- A4/A5: exact percentile_cont without gathering a group in one task -------
+def _refine_brackets(base: DataFrame, need: DataFrame, g: list, accuracy: int, steps: int = 1000) -> DataFrame:
+    """Second pass for (group, p) pairs whose bracket is still too wide: sketch
+    only the values inside the bracket at ``steps`` + 1 evenly spaced
+    quantiles, then keep the two sketch points around each target rank."""
+    nb = need.select(*g, "_pname", "_p", "_n", "_blo", "_bhi")
+    j = join_null_safe(base, nb, g, "inner")
+    inside = (F.col("_v") >= F.col("_blo")) & (F.col("_v") <= F.col("_bhi"))
+    qs = [i / steps for i in range(steps + 1)]
+    agg = j.groupBy(*g, "_pname", "_p", "_n", "_blo", "_bhi").agg(
+        F.count_if(F.col("_v") < F.col("_blo")).alias("_below"),
+        F.count_if(inside).alias("_within"),
+        F.percentile_approx(F.when(inside, F.col("_v")), qs, accuracy).alias("_q"))
+    pos = F.col("_p") * (F.col("_n") - 1)
+    span = F.greatest(F.col("_within") - 1, F.lit(1)).cast("double")
+    lo_rank = F.floor(pos) + 1 - F.col("_below")          # 1-based ranks inside the bracket
+    hi_rank = F.ceil(pos) + 1 - F.col("_below")
+    # each sketch point may be off by within/accuracy ranks = steps/accuracy points
+    margin = int(math.ceil(3.0 * steps / accuracy)) + 2
+    ilo = F.greatest(F.floor((lo_rank - 1) / span * steps) - margin, F.lit(0)).cast("int")
+    ihi = F.least(F.ceil((hi_rank - 1) / span * steps) + margin, F.lit(steps)).cast("int")
+    return agg.select(*g, "_n", "_pname", "_p",
+                      F.coalesce(F.get(F.col("_q"), ilo), F.col("_blo")).alias("_blo"),
+                      F.coalesce(F.get(F.col("_q"), ihi), F.col("_bhi")).alias("_bhi"))
+
+
 def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accuracy: int = 10000,
-                      eager_check: bool = True, extra: dict | None = None) -> DataFrame:
+                      eager_check: bool = True, extra: dict | None = None,
+                      max_candidates: int | None = 2_000_000) -> DataFrame:
     """``percentile_cont(p) within group (order by value)`` per group, exact.
 
     Plan: (1) per group, ``count`` plus a bounded-memory quantile sketch gives a
-    value bracket around each target rank; (2) one partial aggregation counts
+    value bracket around each target rank (groups so large that the bracket
+    would still hold more than ``max_candidates`` values get one refinement
+    pass that sketches only the values inside it); (2) one partial aggregation counts
     the rows below the bracket and the rows per distinct value inside it
     (bounded by the sketch error, so never a whole hot group); (3) a window
     over that small table finds the exact order statistics.  Should the
@@ -88,6 +118,14 @@ def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accurac
         F.struct(F.lit(n).alias("_pname"), F.lit(float(probs[n])).alias("_p"),
                  F.get(F.col("_lo"), i).alias("_blo"), F.get(F.col("_hi"), i).alias("_bhi"))
         for i, n in enumerate(names)])).alias("_b")).select(*g, "_n", "_b.*")
+    if eager_check and max_candidates is not None:
+        # a very large group would still leave ~6·n/accuracy candidate values
+        # for one window partition: narrow those brackets with one more pass
+        need = brackets.filter(F.col("_n") * (6.0 / accuracy) > max_candidates)
+        if not need.isEmpty():
+            refined = _refine_brackets(base, need, g, accuracy)
+            keep = join_null_safe(brackets, need.select(*g, "_pname"), [*g, "_pname"], "left_anti")
+            brackets = keep.unionByName(refined.select(*keep.columns)).checkpoint(eager=True)
     cls = (F.when(F.col("_v") < F.col("_blo"), 0)
             .when(F.col("_v") > F.col("_bhi"), 2).otherwise(1))
     counted = (join_null_safe(base, brackets, g, "inner")

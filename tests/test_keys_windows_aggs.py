@@ -73,7 +73,12 @@ def test_segmented_window_tiny_segments(spark):
     assert a == b
 
 
-def test_exact_percentiles_match_numpy(spark):
+def test_exact_percentiles_match_numpy(spark, monkeypatch):
+    import fieldlake.operators.aggregates as A
+
+    def no_fallback(*a, **k):
+        raise AssertionError("exact fallback used")
+    monkeypatch.setattr(A.F, "percentile", no_fallback)
     rnd = np.random.default_rng(3)
     vals = [(int(g), float(v)) for g, v in zip(rnd.integers(0, 5, 5000), rnd.normal(size=5000).round(3))]
     vals += [(9, 1.0)] * 700 + [(9, 2.0)]  # heavy duplicates in one group
@@ -116,3 +121,21 @@ def test_exact_percentiles_null_group_key_and_extras(spark):
     assert out[None]["med"] == 2.0 and out[None]["n"] == 2
     assert out["a"]["med"] == 2.0 and out["a"]["n"] == 2
     assert out["b"]["med"] is None and out["b"]["n"] == 1
+
+
+def test_exact_percentiles_refinement_pass(spark, monkeypatch):
+    import fieldlake.operators.aggregates as A
+
+    def no_fallback(*a, **k):
+        raise AssertionError("exact fallback used: the refined bracket missed")
+    monkeypatch.setattr(A.F, "percentile", no_fallback)
+    rnd = np.random.default_rng(8)
+    vals = [(int(g), float(v)) for g, v in zip(rnd.integers(0, 3, 20000), rnd.normal(size=20000).round(4))]
+    vals += [(0, 0.5)] * 3000                                   # heavy duplicates in the hot group
+    df = spark.createDataFrame(vals, "g int, v double")
+    probs = {"p01": 0.01, "med": 0.5, "p999": 0.999}
+    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", probs, accuracy=100, max_candidates=50).collect()}
+    for g in range(3):
+        arr = np.array([v for gg, v in vals if gg == g])
+        for name, p in probs.items():
+            assert abs(got[g][name] - np.quantile(arr, p)) < 1e-9
