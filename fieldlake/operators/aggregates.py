@@ -102,11 +102,14 @@ def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accurac
     vcol = _c(value_col).cast("double")
     vclean = F.when(~F.isnan(vcol), vcol)
     extra = dict(extra or {})
+    # one sketch per group answers both bracket ends of every probability
+    k = len(names)
     stats = df.groupBy(*g).agg(
         F.count(vclean).alias("_n"),
-        F.percentile_approx(vclean, lo_ps, accuracy).alias("_lo"),
-        F.percentile_approx(vclean, hi_ps, accuracy).alias("_hi"),
+        F.percentile_approx(vclean, lo_ps + hi_ps, accuracy).alias("_q"),
         *[c.alias(n) for n, c in extra.items()])
+    stats = stats.select(*g, "_n", F.slice("_q", 1, k).alias("_lo"), F.slice("_q", k + 1, k).alias("_hi"),
+                         *extra.keys())
     if eager_check:
         ensure_checkpoint_dir(df.sparkSession)
         # one row per group, written once to the shared checkpoint folder:
