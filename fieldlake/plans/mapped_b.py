@@ -359,6 +359,29 @@ def stand_structure(spark, sf):
     return out.withColumn("pct_of_lines", fr("pct_of_lines", 4))
 
 
+# ---- I8: streaming form -------------------------------------------------------------------------
+def stream_dedup(spark, sf):
+    """I8: the events file replayed as a stream (availableNow), watermarked
+    first-wins dedup per (user, type, day), written by a Parquet file sink
+    under the shared checkpoint folder and read back."""
+    import uuid
+
+    from ..session import shared_path
+    from ..streaming import landing
+    path = f"{sf.rstrip('/')}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    # the file source lists a directory or a glob; the glob names just this table
+    stream = (spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/events*.parquet")
+                   .withColumn("day", F.to_date("ts")))
+    dedup = landing.stream_first_wins(stream, ["user_id", "event_type", "day"], "ts", delay="1 day")
+    run = uuid.uuid4().hex
+    out, ck = shared_path(spark, "streams", run, "out"), shared_path(spark, "streams", run, "ck")
+    q = (dedup.select("user_id", "event_type", "day").writeStream.format("parquet")
+              .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema("user_id long, event_type string, day date").parquet(out)
+
+
 # ---- A18, S14 -----------------------------------------------------------------------------------------
 def class_summary(spark, sf):
     """Count and mean per class (mean of integer cents, exact)."""
@@ -377,6 +400,7 @@ def load_audit(spark, sf):
 
 
 QUERIES = {
+    "stream_dedup": stream_dedup,
     "anomalous_hour_dates": anomalous_hour_dates,
     "class_summary": class_summary,
     "load_audit": load_audit,

@@ -693,3 +693,5 @@ WITH l AS (SELECT event_type, value, timezone('America/Los_Angeles', timezone('U
 SELECT event_type, CAST(lt AS DATE) AS local_day, count(*) AS n_events,
        (floor((avg(value)) * 10000 + 0.5) / 10000) AS mean_value
 FROM l WHERE hour(lt) = 13 GROUP BY 1, 2"""
+
+SQL["stream_dedup"] = "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events"
