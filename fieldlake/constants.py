@@ -43,6 +43,15 @@ FIRE_SIZE_CLASSES = ([(100000, "Megafire (100k+ ac)"), (10000, "Large (10k-100k
 RIVER_PATTERNS = ([("MERCED", "Merced"), ("TUOLUMNE", "Tuolumne"), ("STANISLAUS", "Stanislaus"),
                    ("CHERRY", "Tuolumne"), ("ELEANOR", "Tuolumne"), ("BIG C", "Tuolumne")], "Other")
 
+# ---- FIXED VALUES: payload keys of the raw envelopes (output column -> key) --
+WQP_RESULT_KEYS = {"lake_id": "_alpine_lake_id", "station_id": "MonitoringLocationIdentifier",
+                   "sample_date": "ActivityStartDate", "characteristic": "CharacteristicName",
+                   "result_value": "ResultMeasureValue", "detection_condition": "ResultDetectionConditionText"}
+WQP_UNIT_KEYS = ["ResultMeasure/MeasureUnitCode", "MeasureUnitCode"]
+WQP_STATION_KEYS = {"station_id": "MonitoringLocationIdentifier", "station_name": "MonitoringLocationName",
+                    "latitude": "LatitudeMeasure", "longitude": "LongitudeMeasure", "huc8": "HUCEightDigitCode",
+                    "organization_id": "OrganizationIdentifier"}
+
 # ---- FIXED VALUES: USGS parameter code -> unit ---------------------------
 PARAMETER_UNITS = {"00060": "cfs", "00065": "ft", "00010": "degC"}
 

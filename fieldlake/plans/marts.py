@@ -284,12 +284,9 @@ def snap_monitoring_stations(raw: DataFrame, snapshot: DataFrame | None, as_of,
     """Station attributes from the variant payload; check strategy on
     name, latitude, longitude, huc8."""
     from ..functions.shape import variant_field
-    cur = raw.select(variant_field("payload", "MonitoringLocationIdentifier").alias("station_id"),
-                     variant_field("payload", "MonitoringLocationName").alias("station_name"),
-                     variant_field("payload", "LatitudeMeasure", "double").alias("latitude"),
-                     variant_field("payload", "LongitudeMeasure", "double").alias("longitude"),
-                     variant_field("payload", "HUCEightDigitCode").alias("huc8"),
-                     variant_field("payload", "OrganizationIdentifier").alias("organization_id"))
+    from ..constants import WQP_STATION_KEYS as k
+    types = {"latitude": "double", "longitude": "double"}
+    cur = raw.select(*[variant_field("payload", key, types.get(col, "string")).alias(col) for col, key in k.items()])
     cur = dedup.keep_first(cur, "station_id", "station_name", tiebreak=["latitude", "longitude", "huc8"])
     as_of_c = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
     return incremental.scd2_check(snapshot, cur, "station_id", ["station_name", "latitude", "longitude", "huc8"],

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..constants import CONDITION_STATUS, CROWN_CLASS, FIRE_YEAR_RANGE, OWNER_GROUP, PLOT_STATUS, TREE_STATUS
+from ..constants import (CONDITION_STATUS, CROWN_CLASS, FIRE_YEAR_RANGE, OWNER_GROUP, PLOT_STATUS, TREE_STATUS,
+                         WQP_RESULT_KEYS, WQP_UNIT_KEYS)
 from ..functions import geo
 from ..functions.keys import surrogate_key
 from ..functions.shape import (clean_name, decode, first_present, sq_m_to_acres, strip_float_suffix,
@@ -28,14 +29,15 @@ def stg_wqp_results(raw: DataFrame, keep: str = "first") -> DataFrame:
     measurement key (earliest load wins; N2 ``keep='last'`` variant;
     remaining columns break ties, N3)."""
     p = "payload"
+    k = WQP_RESULT_KEYS
     df = raw.select(
-        variant_field(p, "_alpine_lake_id").alias("lake_id"),
-        variant_field(p, "MonitoringLocationIdentifier").alias("station_id"),
-        variant_field(p, "ActivityStartDate", "date").alias("sample_date"),
-        variant_field(p, "CharacteristicName").alias("characteristic"),
-        try_double(variant_field(p, "ResultMeasureValue")).alias("result_value"),
-        first_present(p, ["ResultMeasure/MeasureUnitCode", "MeasureUnitCode"]).alias("unit_code"),
-        variant_field(p, "ResultDetectionConditionText").alias("detection_condition"),
+        variant_field(p, k["lake_id"]).alias("lake_id"),
+        variant_field(p, k["station_id"]).alias("station_id"),
+        variant_field(p, k["sample_date"], "date").alias("sample_date"),
+        variant_field(p, k["characteristic"]).alias("characteristic"),
+        try_double(variant_field(p, k["result_value"])).alias("result_value"),
+        first_present(p, WQP_UNIT_KEYS).alias("unit_code"),
+        variant_field(p, k["detection_condition"]).alias("detection_condition"),
         "_loaded_at", "_batch_id")
     df = df.filter(F.col("lake_id").isNotNull() & F.col("sample_date").isNotNull())
     df = df.withColumn("measurement_sk", surrogate_key("lake_id", "station_id", "sample_date", "characteristic",
