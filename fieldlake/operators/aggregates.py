@@ -194,8 +194,16 @@ def group_mode(df: DataFrame, group_cols, value_col, alias: str = "mode") -> Dat
 
 # ---- W6: share within a parent group -----------------------------------------------
 def share_of_parent(counted: DataFrame, parent_cols, count_col: str, alias: str = "pct_of_parent") -> DataFrame:
-    """``n * 100.0 / sum(n) over (partition by parent)`` on an aggregated table."""
-    w = W.partitionBy(*_list(parent_cols))
+    """``n * 100.0 / sum(n) over (partition by parent)`` on an aggregated table.
+    Without parent columns the grand total comes from a scalar subquery, not
+    from a window over one global partition."""
+    parents = _list(parent_cols)
+    if not parents:
+        tot = counted.agg(F.sum(count_col).cast("double").alias("_fl_total"))
+        return (attach_scalar(counted, tot)
+                .withColumn(alias, F.col(count_col).cast("double") * 100.0 / F.col("_fl_total"))
+                .drop("_fl_total"))
+    w = W.partitionBy(*parents)
     return counted.withColumn(
         alias, F.col(count_col).cast("double") * 100.0 / F.sum(count_col).over(w).cast("double"))
 

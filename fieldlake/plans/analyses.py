@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ..functions.shape import safe_pct
 from ..operators import spatial
 from ..operators.joins import attach_scalar
-from ..operators.aggregates import corr_leave_one_out, count_when, ratio_summary
+from ..operators.aggregates import corr_leave_one_out, count_when, ratio_summary, share_of_parent
 from ..operators.windows import around_event, series_features, top_steps
 
 
@@ -115,7 +115,7 @@ def lake_coverage(lakes: DataFrame, measurements: DataFrame) -> DataFrame:
     n = measurements.groupBy("lake_id").agg(F.count(F.lit(1)).alias("n_rows"))
     j = lakes.select("lake_id", "lake_name").join(n, "lake_id", "left").withColumn(
         "n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
-    return j.withColumn("pct_of_rows", safe_pct("n_rows", F.sum("n_rows").over(W.partitionBy())))
+    return share_of_parent(j, [], "n_rows", "pct_of_rows")
 
 
 def growth_table(growth_by_site: DataFrame, species_name: str | None = None) -> DataFrame:
