@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.keys import surrogate_key  # noqa: F401  (re-exported for callers)
 from ..functions.shape import (clean_name, decade, safe_pct, strip_float_suffix, timing_label,
                                variant_field, try_variant_field, water_year, pct_change)
 from ..operators import incremental, quality
@@ -14,7 +13,7 @@ from ..operators.aggregates import (count_when, exact_percentiles, max_when,
                                     profile, ratio_summary, record_length, share_of_parent)
 from ..operators.windows import series_features
 from . import analyses
-from .mapped import R4, fr, region_daily_totals
+from .mapped import fr, region_daily_totals
 from .tables import read
 
 LOCAL_TZ = "America/Los_Angeles"
