@@ -495,6 +495,10 @@ _SUPP_PTS = """
                    + (CAST((s_suppkey * 104729) % 24000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1000.0 AS DOUBLE)) - CAST(12.0 AS DOUBLE) AS lat
            FROM supplier)"""
 
+# boundary counts as inside (same tolerance as the library's contains_point)
+_ONEDGE = ("(abs((e2.x2 - e2.x1) * (p.lat - e2.y1) - (e2.y2 - e2.y1) * (p.lon - e2.x1)) <= 1e-12 "
+           "AND p.lon BETWEEN least(e2.x1, e2.x2) - 1e-12 AND greatest(e2.x1, e2.x2) + 1e-12 "
+           "AND p.lat BETWEEN least(e2.y1, e2.y2) - 1e-12 AND greatest(e2.y1, e2.y2) + 1e-12)")
 _CROSS = "CASE WHEN ((e2.y1 > p.lat) <> (e2.y2 > p.lat)) AND (p.lon < (e2.x2 - e2.x1) * (p.lat - e2.y1) / (e2.y2 - e2.y1) + e2.x1) THEN 1 ELSE 0 END"
 
 
@@ -511,13 +515,15 @@ def _seg_dist_sql(px, py):
 
 SQL["spatial_join_grid"] = f"""
 WITH {_NATION_V}, {_CUST_PTS},
-cr AS (SELECT p.c_custkey, e2.n_nationkey, sum({_CROSS}) AS c FROM pts p CROSS JOIN e2 GROUP BY 1, 2)
-SELECT c_custkey, n_nationkey FROM cr WHERE c % 2 = 1"""
+cr AS (SELECT p.c_custkey, e2.n_nationkey, sum({_CROSS}) AS c, bool_or({_ONEDGE}) AS edge
+       FROM pts p CROSS JOIN e2 GROUP BY 1, 2)
+SELECT c_custkey, n_nationkey FROM cr WHERE c % 2 = 1 OR edge"""
 
 SQL["point_in_polygon"] = f"""
 WITH {_NATION_V}, {_CUST_PTS},
-cr AS (SELECT p.c_custkey, e2.n_nationkey, sum({_CROSS}) AS c FROM pts p CROSS JOIN e2 GROUP BY 1, 2),
-hits AS (SELECT c_custkey, count(*) AS n FROM cr WHERE c % 2 = 1 GROUP BY 1)
+cr AS (SELECT p.c_custkey, e2.n_nationkey, sum({_CROSS}) AS c, bool_or({_ONEDGE}) AS edge
+       FROM pts p CROSS JOIN e2 GROUP BY 1, 2),
+hits AS (SELECT c_custkey, count(*) AS n FROM cr WHERE c % 2 = 1 OR edge GROUP BY 1)
 SELECT p.c_custkey, coalesce(h.n, 0) AS n_polygons, h.n IS NOT NULL AS inside
 FROM pts p LEFT JOIN hits h ON p.c_custkey = h.c_custkey"""
 
@@ -631,11 +637,11 @@ FROM orders"""
 
 SQL["point_report"] = f"""
 WITH {_NATION_V}, {_CUST_PTS},
-ed AS (SELECT p.c_custkey, e2.n_nationkey, sum({_CROSS}) AS c,
+ed AS (SELECT p.c_custkey, e2.n_nationkey, sum({_CROSS}) AS c, bool_or({_ONEDGE}) AS edge,
               min({_seg_dist_sql('p.lon', 'p.lat')}) AS dmin
        FROM pts p JOIN e2 ON p.c_nationkey = e2.n_nationkey GROUP BY 1, 2)
-SELECT c_custkey, n_nationkey, c % 2 = 1 AS inside,
-       round(CASE WHEN c % 2 = 1 THEN 0.0 ELSE dmin END / 1000.0, 3) AS distance_km
+SELECT c_custkey, n_nationkey, (c % 2 = 1 OR edge) AS inside,
+       round(CASE WHEN c % 2 = 1 OR edge THEN 0.0 ELSE dmin END / 1000.0, 3) AS distance_km
 FROM ed"""
 
 SQL["repair_geometry"] = """
