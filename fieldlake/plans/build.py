@@ -13,7 +13,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import clustered_write, materialize
+from ..sources.tables import bucketed_table, clustered_write, materialize
 from . import checks, marts, staging
 from .hydrology import daily_features  # noqa: F401
 
@@ -99,15 +99,25 @@ def build_models(spark: SparkSession, bronze: dict, seeds: dict, targets: dict |
     return m
 
 
-def write_models(models: dict, out_root: str, names=None) -> None:
+# tables re-joined / re-aggregated on the plot key: bucketing them the same
+# way removes the shuffle from those joins when a catalog is available
+BUCKET_BY = {"dim_fia_plot": ["plot_cn"], "fct_fia_tree": ["plot_cn"], "fct_plot_timber_profile": ["plot_cn"]}
+
+
+def write_models(models: dict, out_root: str, names=None, catalog_db: str | None = None,
+                 n_buckets: int = 64) -> None:
     """Write models as Parquet tables (clustered where declared); geometry
-    structs are stored as they are (Parquet nested types)."""
+    structs are stored as they are (Parquet nested types).  With
+    ``catalog_db`` the plot-keyed forest tables become catalog tables
+    bucketed on ``plot_cn`` instead."""
     for name in names or models:
         if name.startswith(("stg_", "seed_")):
             continue
         path = os.path.join(out_root, name)
         df = models[name]
-        if name in CLUSTER_BY:
+        if catalog_db and name in BUCKET_BY:
+            bucketed_table(df, f"{catalog_db}.{name}", BUCKET_BY[name], n_buckets)
+        elif name in CLUSTER_BY:
             clustered_write(df, path, CLUSTER_BY[name])
         else:
             df.write.mode("overwrite").parquet(path)

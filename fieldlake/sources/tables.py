@@ -41,3 +41,18 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view
     out = spark.read.parquet(path)
     out.createOrReplaceTempView(name)
     return out
+
+
+def bucketed_table(df: DataFrame, name: str, keys, n_buckets: int, sort: bool = True,
+                   mode: str = "overwrite", fmt: str = "parquet") -> DataFrame:
+    """Write ``df`` as a catalog table bucketed (and sorted) by ``keys``.
+    Two tables bucketed the same way on their join key join -- and aggregate
+    on that key -- without a shuffle, which pays off for facts that are joined
+    repeatedly (e.g. trees to plots on ``plot_cn``).  Needs a catalog
+    (``saveAsTable``); returns the table."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    w = df.write.mode(mode).format(fmt).bucketBy(n_buckets, *keys)
+    if sort:
+        w = w.sortBy(*keys)
+    w.saveAsTable(name)
+    return df.sparkSession.table(name)

@@ -111,3 +111,20 @@ def test_streaming_first_wins_and_upsert(spark, tmp_dir):
                                os.path.join(tmp_dir, "ck2"))
     q2.awaitTermination(120)
     assert rows(spark.read.parquet(target), "k", "v") == [("a", 2.0), ("b", 3.0)]
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    trees = spark.range(0, 5000).select((F.col("id") % 500).alias("plot_cn"), F.col("id").alias("tree_cn"),
+                                        (F.col("id") % 7).cast("double").alias("dia"))
+    plots = spark.range(0, 500).select(F.col("id").alias("plot_cn"), (F.col("id") % 3).alias("owner"))
+    t = tables.bucketed_table(trees, "fl_bucket_trees", "plot_cn", 8)
+    p = tables.bucketed_table(plots, "fl_bucket_plots", "plot_cn", 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = t.groupBy("plot_cn").agg(F.sum("dia").alias("s")).join(p, "plot_cn")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan, plan
+        assert j.count() == 500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
