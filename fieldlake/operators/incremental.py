@@ -23,6 +23,17 @@ def _list(x) -> list:
 
 
 # ---- I2: lookback watermark ---------------------------------------------------------
+def literal_of(value, dtype: str) -> Column:
+    """A literal of ``dtype`` from a value collected on the driver.  A naive
+    ``datetime`` from a timestamp_ntz column is passed as its ISO text, so no
+    driver-local time zone is applied on the way back (F.lit(datetime) would
+    interpret it in the driver's zone)."""
+    import datetime as _dt
+    if isinstance(value, _dt.datetime) and dtype == "timestamp_ntz":
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value).cast(dtype)
+
+
 def watermark(target: DataFrame | None, ts_col: str, days: int):
     """``max(ts) - days`` of the target as a Python value (a single scalar), or
     None for a first run / full refresh / empty target (N4)."""
@@ -46,7 +57,7 @@ def lookback_filter(source: DataFrame, target: DataFrame | None, ts_col: str, da
         wm = watermark(target, ts_col, days)
         if wm is None:
             return source
-        return source.filter(F.col(ts_col) > F.lit(wm).cast(dtype))
+        return source.filter(F.col(ts_col) > literal_of(wm, dtype))
     wm = target.agg((F.max(ts_col) - F.make_dt_interval(F.lit(days))).alias("_fl_wm"))
     return (attach_scalar(source, wm)
             .filter(F.col("_fl_wm").isNull() | (F.col(ts_col) > F.col("_fl_wm")))

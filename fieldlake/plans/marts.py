@@ -104,7 +104,7 @@ def fct_sierra_daily_flow(stg: DataFrame, gages: DataFrame, target: DataFrame |
     feat = daily_features(stg, segment=segment if segment is not None else None)
     wm = incremental.watermark(target, "_loaded_at", lookback_days)
     if wm is not None:
-        is_new = (F.col("_loaded_at") > F.lit(wm).cast("timestamp_ntz")).cast("int")
+        is_new = (F.col("_loaded_at") > incremental.literal_of(wm, "timestamp_ntz")).cast("int")
         feat = feat.withColumn("_new", is_new)
         feat = row_window(feat, "gage_id", ["flow_date"],
                           lambda w: {"_touch": F.max("_new").over(w.rowsBetween(-3, 3))}, 3, segment)

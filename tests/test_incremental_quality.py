@@ -88,3 +88,22 @@ def test_freshness(spark):
     assert st("2024-01-03 00:00:00") == "pass"
     assert st("2024-01-06 00:00:00") == "warn"
     assert st("2024-01-10 00:00:00") == "error"
+
+
+def test_watermark_literal_ignores_driver_time_zone(spark):
+    import datetime as dt
+    import os
+    import time as _time
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/Los_Angeles"
+    _time.tzset()
+    try:
+        lit = incremental.literal_of(dt.datetime(2024, 1, 5, 12, 0, 0), "timestamp_ntz")
+        got = spark.range(1).select(lit.cast("string").alias("s")).first()["s"]
+        assert got == "2024-01-05 12:00:00"
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        _time.tzset()
