@@ -92,7 +92,7 @@ def incremental_model(target: DataFrame | None, staged: DataFrame, keys, loaded_
 
 
 def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys,
-                    partition_cols, fmt: str = "parquet") -> str:
+                    partition_cols, fmt: str = "parquet", max_literal_partitions: int = 1000) -> str:
     """I1 against a stored, partitioned table: only partitions present in
     ``source`` are read (partition pruning), merged, staged under the shared
     checkpoint folder and written back with dynamic partition overwrite.
@@ -101,9 +101,23 @@ def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys,
     touched = source.select(*parts).distinct()
     try:
         target = spark.read.format(fmt).load(path)
-        target = target.join(F.broadcast(touched), on=parts, how="left_semi") if len(parts) else target
     except Exception:  # first load: no table yet
         target = None
+    if target is not None and parts:
+        # an increment touches few partitions: as literals they prune the
+        # listing statically; a very wide increment falls back to a semi join
+        vals = touched.limit(max_literal_partitions + 1).collect()
+        if len(vals) <= max_literal_partitions:
+            cond = F.lit(False)
+            for v in vals:
+                one = F.lit(True)
+                for c in parts:
+                    x = v[c]
+                    one = one & (F.col(c).isNull() if x is None else (F.col(c) == F.lit(x)))
+                cond = cond | one
+            target = target.filter(cond)
+        else:
+            target = target.join(touched, on=parts, how="left_semi")
     merged = merge_upsert(target, source, keys)
     stage = shared_path(spark, "merge_stage", uuid.uuid4().hex)
     merged.write.mode("overwrite").format(fmt).partitionBy(*parts).save(stage)
