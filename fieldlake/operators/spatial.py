@@ -10,10 +10,14 @@ and the exact test.  A point has one cell, so no pair is produced twice.
 
 from __future__ import annotations
 
+import logging
 import math
+import time
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+log = logging.getLogger("fieldlake.spatial")
+
 from ..constants import EARTH_RADIUS_M
 from ..functions import geo
 from ..session import ensure_checkpoint_dir
@@ -84,6 +88,7 @@ def nearest_geometry(points: DataFrame, geoms: DataFrame, point_id: str, geom_id
     settled = []
     r = 1
     for _ in range(max_rounds):
+        t0 = time.perf_counter()
         offs = F.sequence(F.lit(-r).cast("long"), F.lit(r).cast("long"))
         nb = pending.withColumn("_n", F.explode(F.flatten(F.transform(offs, lambda a: F.transform(
             offs, lambda b: F.struct((F.col("_cx") + a).alias("cx"), (F.col("_cy") + b).alias("cy")))))))
@@ -104,7 +109,10 @@ def nearest_geometry(points: DataFrame, geoms: DataFrame, point_id: str, geom_id
         if whole_world:
             break
         pending = rnd.filter(~F.col("_ok")).select(point_id, px, py, "_cx", "_cy")
-        if pending.isEmpty():
+        done = pending.isEmpty()
+        log.debug("nearest_geometry: radius %d cells done in %.2fs, unsettled left: %s", r,
+                  time.perf_counter() - t0, not done)
+        if done:
             break
         r *= 2
     out = settled[0]
