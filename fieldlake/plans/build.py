@@ -80,7 +80,7 @@ def build_models(spark: SparkSession, bronze: dict, seeds: dict, targets: dict |
         if "dim_fia_species" in m:
             tree = share("fct_fia_tree", marts.fct_fia_tree(m["stg_fia_tree"], m["dim_fia_plot"], m["dim_fia_species"]))
             m["fct_fia_tree"] = tree
-            m["fct_tree_growth"] = marts.fct_tree_growth(tree)
+            m["fct_tree_growth"] = share("fct_tree_growth", marts.fct_tree_growth(tree))
             m["fct_growth_by_site"] = marts.fct_growth_by_site(m["fct_tree_growth"])
             m["fct_species_mortality"] = marts.fct_species_mortality(tree)
             m["fct_stand_structure"] = marts.fct_stand_structure(tree)

@@ -186,7 +186,12 @@ def predecessor_self_join(spark, sf):
 
 def growth_by_site(spark, sf, min_pairs: int = 50):
     """M23 shape: plausible-interval pairs summarised per priority with HAVING."""
-    pairs = _order_pairs(spark, sf).filter(F.col("interval_days").between(30, 1000))
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    # the pairs come from a window and a self join and are read twice by the
+    # percentile passes: materialise just the needed columns once
+    pairs = (_order_pairs(spark, sf).filter(F.col("interval_days").between(30, 1000))
+             .select("o_orderpriority", "daily_rate", "interval_days").checkpoint(eager=True))
     both = exact_percentiles(pairs, ["o_orderpriority"], "daily_rate", {"median_rate": 0.5, "p90_rate": 0.9},
                              extra={"n_pairs": F.count(F.lit(1)), "mean_rate": fr(F.avg("daily_rate"), 4),
                                     "mean_interval": fr(F.avg("interval_days"), 4)})
