@@ -57,7 +57,11 @@ def water_year_summary(spark: SparkSession, sf: str, min_days: int = 30) -> Data
     daily = series_features(region_daily_totals(spark, sf), "region", ["flow_date"], "discharge",
                             prev_alias="prev_discharge", change_alias="change_cfs",
                             rolling_alias=None)
-    daily = daily.withColumn("water_year", water_year("flow_date"))
+    # the daily series (regions x days) is small and both percentile passes read
+    # it: materialise it once instead of re-running the orders join
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    daily = daily.withColumn("water_year", water_year("flow_date")).checkpoint(eager=True)
     out = _wys(daily, ["region"], value="discharge", change="change_cfs", min_days=min_days,
                digits=None, flash_digits=None, volume_digits=0)
     return out.select("region", "water_year", "days_of_record",
