@@ -296,3 +296,28 @@ def test_analyses_small(spark):
                                    "species_name string, elevation_band string, owner_group string, remeasured_trees long, "
                                    "mean_annual_growth_in double, median_annual_growth_in double")
     assert analyses.growth_table(growth, "fir").count() == 1              # D13
+
+
+def test_exports(spark, tmp_dir):
+    import os
+    from fieldlake.functions import geo
+    from fieldlake.sources.geojson import export_layer
+    prof = spark.createDataFrame([("A", 7, 2010, 47.0, -121.0), ("B", 7, 2020, 47.1, -121.1), ("C", 7, None, 47.2, -121.2),
+                                  ("D", 8, 2015, 46.0, -120.0)],
+                                 "plot_cn string, plot_number int, measurement_year int, latitude double, longitude double")
+    latest = rows(marts.latest_plot_profile(prof), "plot_number", "plot_cn")
+    assert latest == [(7, "B"), (8, "D")]                                 # NULL year last
+    change = spark.createDataFrame([(7, "F1", 12.0)], "plot_number int, fire_id string, biomass_change_tpa double")
+    pos = marts.burned_pairs_with_position(change, prof).first()
+    assert (pos["latitude"], pos["longitude"]) == (47.2, -121.0)          # max lat / max lon per plot number
+    fires = spark.createDataFrame([("F1", "BURN", 2015, 5000.0, "Moderate (1k-10k ac)",
+                                    "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))")],
+                                  "fire_id string, incident_name string, fire_year int, reported_acres double, "
+                                  "size_class string, w string").withColumn("fire_geom", geo.parse_wkt("w")).drop("w")
+    out = os.path.join(tmp_dir, "layer")
+    export_layer(fires, out, "fire_geom")
+    back = spark.read.parquet(out).first()
+    assert back["geometry_wkt"].startswith("POLYGON ((0.0 0.0") and "fire_geom" not in spark.read.parquet(out).columns
+    summ = marts.class_summary(change.withColumn("size_class", F.lit("Moderate (1k-10k ac)")), "size_class",
+                               {"mean_change": "biomass_change_tpa"}).first()
+    assert (summ["n"], summ["mean_change"]) == (1, 12.0)
