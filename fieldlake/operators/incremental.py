@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import shared_path
+from ..session import delete_path, shared_path
 from . import dedup
 from .joins import attach_scalar
 
@@ -128,6 +128,7 @@ def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys,
         staged.write.mode("overwrite").format(fmt).partitionBy(*parts).save(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    delete_path(spark, stage)      # the staged copy is no longer needed once the write succeeded
     return path
 
 

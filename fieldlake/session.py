@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of DataFrames that went out of scope are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -72,3 +74,10 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), *parts) if "://" not in base else "/".join([base.rstrip("/"), *parts])
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete a (shared-storage) path through the Hadoop FS API."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
