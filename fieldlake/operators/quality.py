@@ -131,7 +131,9 @@ def freshness(df: DataFrame, ts_col: str, now, warn_after_days: int, error_after
     """Q10: newest load vs an injected ``now`` -> pass / warn / error."""
     now_c = F.lit(now).cast(df.schema[ts_col].dataType.simpleString()) if not isinstance(now, Column) else now
     agg = df.agg(F.max(ts_col).alias("max_loaded_at"))
-    age_us = F.unix_micros(now_c.cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))
+    # difference of the wall-clock values themselves: no session time zone (and
+    # no DST hour) enters a timestamp_ntz difference
+    age_us = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now_c)
     age_days = age_us / 86400000000.0
     return agg.select(F.lit(source).alias("source"), "max_loaded_at",
                       (age_us / 3600000000.0).alias("age_hours"),
