@@ -363,6 +363,39 @@ def stand_structure(spark, sf):
     return out.withColumn("pct_of_lines", fr("pct_of_lines", 4))
 
 
+# ---- §7.3 names for operators that the queries above already combine ----------------------------
+def rb_flashiness(spark, sf):
+    """A10: Richards-Baker flashiness per region and water year."""
+    from .mapped import water_year_summary as _wys_q
+    w = _wys_q(spark, sf)
+    return w.select("region", "water_year", "sum_abs_change", "sum_discharge", "rb_flashiness_index")
+
+
+def wettest_rank(spark, sf):
+    """Rank of each complete water year by volume within its region."""
+    from .mapped import water_year_summary as _wys_q
+    w = _wys_q(spark, sf)
+    return w.select("region", "water_year", "annual_volume_af", "wettest_year_rank")
+
+
+def lookback(spark, sf):
+    """The increment that passes the 14-day lookback on load time."""
+    tgt, stg = _order_versions(spark, sf)
+    return incremental.lookback_filter(stg, tgt, "loaded_at", 14)
+
+
+def append_columns(spark, sf):
+    """I4: after the upsert the increment's new column exists for every row
+    (NULL for rows the increment did not touch)."""
+    return merge_incremental(spark, sf).select("o_orderkey", "o_orderstatus", "revision")
+
+
+def top_values(spark, sf):
+    """The 10 commonest part keys of lineitem (count desc, key asc)."""
+    from ..operators.aggregates import top_values as _tv
+    return _tv(read(spark, sf, "lineitem"), "l_partkey", 10)
+
+
 # ---- I8: streaming form -------------------------------------------------------------------------
 def stream_dedup(spark, sf):
     """I8: the events file replayed as a stream (availableNow), watermarked
@@ -404,6 +437,11 @@ def load_audit(spark, sf):
 
 
 QUERIES = {
+    "rb_flashiness": rb_flashiness,
+    "wettest_rank": wettest_rank,
+    "lookback": lookback,
+    "append_columns": append_columns,
+    "top_values": top_values,
     "stream_dedup": stream_dedup,
     "anomalous_hour_dates": anomalous_hour_dates,
     "class_summary": class_summary,

@@ -701,3 +701,24 @@ SELECT event_type, CAST(lt AS DATE) AS local_day, count(*) AS n_events,
 FROM l WHERE hour(lt) = 13 GROUP BY 1, 2"""
 
 SQL["stream_dedup"] = "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events"
+
+SQL["rb_flashiness"] = ("SELECT region, water_year, sum_abs_change, sum_discharge, rb_flashiness_index FROM ("
+                        + SQL["water_year_summary"] + ")")
+SQL["wettest_rank"] = ("SELECT region, water_year, annual_volume_af, wettest_year_rank FROM ("
+                       + SQL["water_year_summary"] + ")")
+
+_ORDER_VERSIONS = """
+tgt AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderdate AS loaded_at
+        FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+stg AS (SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate,
+               o_orderdate + INTERVAL 1 DAY AS loaded_at, 1 AS revision
+        FROM orders WHERE o_orderdate >= TIMESTAMP '1998-12-01')"""
+
+SQL["lookback"] = f"""
+WITH {_ORDER_VERSIONS}
+SELECT * FROM stg WHERE loaded_at > (SELECT max(loaded_at) - INTERVAL 14 DAY FROM tgt)"""
+
+SQL["append_columns"] = "SELECT o_orderkey, o_orderstatus, revision FROM (" + SQL["merge_incremental"] + ")"
+
+SQL["top_values"] = """
+SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 10"""
