@@ -24,6 +24,31 @@ DEFAULT_CONF = {
 }
 
 
+def sizing(input_bytes: int, executors: int, cores_per_executor: int, executor_memory_gb: float,
+           target_partition_mb: int = 200, max_scan_split_mb: int = 512) -> dict:
+    """Spark settings that keep every task's share of data within executor
+    memory at the target scale.
+
+    * shuffle partitions ~ input / target partition size, at least 2x the
+      cores, rounded up to a multiple of the cores; AQE coalesces small ones
+      and splits skewed ones (the advisory size is the target size);
+    * scan splits bounded by the memory one task may use (a quarter of the
+      executor's memory divided among its cores) and by ``max_scan_split_mb``.
+    """
+    cores = max(1, executors * cores_per_executor)
+    per_task_mb = executor_memory_gb * 1024 / max(1, cores_per_executor)
+    target_mb = max(32, min(target_partition_mb, int(per_task_mb / 4)))
+    parts = max(2 * cores, -(-int(input_bytes) // (target_mb * 1024 * 1024)))
+    parts = -(-parts // cores) * cores
+    split_mb = max(32, min(max_scan_split_mb, int(per_task_mb / 4)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * target_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "fieldlake", extra: dict | None = None) -> SparkSession:
     """Return (or create) a session with fieldlake defaults.

@@ -107,3 +107,13 @@ def test_watermark_literal_ignores_driver_time_zone(spark):
         else:
             os.environ["TZ"] = old
         _time.tzset()
+
+
+def test_sizing_for_100tb():
+    from fieldlake.session import sizing
+    conf = sizing(100 * 1024 ** 4, executors=1000, cores_per_executor=8, executor_memory_gb=32)
+    parts = int(conf["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and 100 * 1024 ** 4 / parts <= 200 * 1024 ** 2   # <= 200 MB per shuffle partition
+    assert conf["spark.sql.files.maxPartitionBytes"] == "512m"
+    small = sizing(10 * 1024 ** 2, executors=1, cores_per_executor=8, executor_memory_gb=4)
+    assert small["spark.sql.shuffle.partitions"] == "16" and small["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "128m"
