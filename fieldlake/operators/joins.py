@@ -85,3 +85,20 @@ def coverage(candidates: DataFrame, observations: DataFrame, key: str, time_col:
                                  F.max(time_col).alias("last_obs"))
     return (candidates.join(stats, on=key, how="left")
                       .withColumn("n_obs", F.coalesce("n_obs", F.lit(0).cast("long"))))
+
+
+def salted_join(big: DataFrame, small: DataFrame, on, buckets: int, how: str = "inner") -> DataFrame:
+    """Equi-join that spreads a hot key of ``big`` over ``buckets`` tasks.
+
+    ``big`` rows get a salt from a hash of the whole row (deterministic, so a
+    retried task salts the same way); ``small`` is replicated once per salt.
+    Each ``big`` row meets every matching ``small`` row exactly once, so the
+    result equals the plain join.  For the join types where AQE cannot split
+    the skewed side; ``how`` is ``inner`` or ``left`` (``big`` preserved)."""
+    if how not in ("inner", "left", "left_outer"):
+        raise ValueError("salted_join supports inner and left joins")
+    keys = [on] if isinstance(on, str) else list(on)
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(buckets))
+    b = big.withColumn("_fl_salt", salt)
+    s = small.withColumn("_fl_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
+    return b.join(s, on=keys + ["_fl_salt"], how=how).drop("_fl_salt")

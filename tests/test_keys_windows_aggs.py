@@ -139,3 +139,11 @@ def test_exact_percentiles_refinement_pass(spark, monkeypatch):
         arr = np.array([v for gg, v in vals if gg == g])
         for name, p in probs.items():
             assert abs(got[g][name] - np.quantile(arr, p)) < 1e-9
+
+
+def test_salted_join_equals_plain_join(spark):
+    from fieldlake.operators.joins import salted_join
+    big = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(3000)], "k long, v long")   # key 1 is hot
+    small = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c"), (99999, "z")], "k long, tag string")
+    for how in ("inner", "left"):
+        assert rows(salted_join(big, small, "k", 16, how)) == rows(big.join(small, "k", how))
