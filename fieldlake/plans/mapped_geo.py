@@ -17,15 +17,20 @@ from .mapped import fr
 from .tables import read
 
 
+def _vertex_text(cx, cy):
+    """``v(dx, dy)`` -> the WKT text "x y" of the vertex offset from (cx, cy)."""
+    def v(dx, dy):
+        return F.concat((cx + dx).cast("string"), F.lit(" "), (cy + dy).cast("string"))
+    return v
+
+
 def nation_polygons(spark, sf) -> DataFrame:
     """WKT diamond of radius 8° around (-170 + 14k, -60 + 30·(k mod 5)); a 2°
     square hole for even k."""
     n = read(spark, sf, "nation").select("n_nationkey", "n_name")
     k = F.col("n_nationkey")
     cx, cy = (F.lit(-170) + 14 * k), (F.lit(-60) + 30 * (k % 5))
-
-    def v(dx, dy):
-        return F.concat((cx + dx).cast("string"), F.lit(" "), (cy + dy).cast("string"))
+    v = _vertex_text(cx, cy)
 
     outer = F.concat_ws(", ", v(8, 0), v(0, 8), v(-8, 0), v(0, -8), v(8, 0))
     hole = F.concat_ws(", ", v(-2, -2), v(2, -2), v(2, 2), v(-2, 2), v(-2, -2))
@@ -42,9 +47,7 @@ def supplier_polygons(spark, sf) -> DataFrame:
     s = read(spark, sf, "supplier").select("s_suppkey")
     k = F.col("s_suppkey")
     cx, cy = F.lit(-170) + (k * 7919) % 340, F.lit(-60) + (k * 104729) % 120
-
-    def v(dx, dy):
-        return F.concat((cx + dx).cast("string"), F.lit(" "), (cy + dy).cast("string"))
+    v = _vertex_text(cx, cy)
 
     outer = F.concat_ws(", ", v(1, 0), v(0, 1), v(-1, 0), v(0, -1), v(1, 0))
     hole = F.concat_ws(", ", v(-0.25, -0.25), v(0.25, -0.25), v(0.25, 0.25), v(-0.25, 0.25), v(-0.25, -0.25))
@@ -138,9 +141,7 @@ def geometry_validity(spark, sf):
     swapped (bow tie)."""
     p = supplier_polygons(spark, sf)
     k = F.col("s_suppkey")
-
-    def v(dx, dy):
-        return F.concat((F.col("cx") + dx).cast("string"), F.lit(" "), (F.col("cy") + dy).cast("string"))
+    v = _vertex_text(F.col("cx"), F.col("cy"))
 
     bow = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", v(1, 0), v(-1, 0), v(0, 1), v(0, -1), v(1, 0)), F.lit("))"))
     p = p.withColumn("wkt2", F.when((k % 2 == 1) & (k % 3 == 0), bow).otherwise(F.col("wkt")))
@@ -171,9 +172,7 @@ def repair_geometry(spark, sf):
     """G13 (+ G8, G14): an open outer ring with a repeated first vertex is
     repaired (consecutive duplicates dropped, ring closed)."""
     p = supplier_polygons(spark, sf).select("s_suppkey", "cx", "cy")
-
-    def v(dx, dy):
-        return F.concat((F.col("cx") + dx).cast("string"), F.lit(" "), (F.col("cy") + dy).cast("string"))
+    v = _vertex_text(F.col("cx"), F.col("cy"))
 
     broken = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", v(1, 0), v(1, 0), v(0, 1), v(-1, 0), v(0, -1)),
                       F.lit("))"))
