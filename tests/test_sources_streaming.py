@@ -128,3 +128,27 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert j.count() == 500
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_cli_ingest_build_fresh_export(spark, tmp_dir):
+    from fieldlake.__main__ import main
+    land = os.path.join(tmp_dir, "landing")
+    _write_gz(os.path.join(land, "a.json.gz"), [json.dumps({"gage_id": "G1", "flow_date": f"2020-{m:02d}-{d:02d}",
+                                                            "discharge_cfs": 10.0 + d, "approval": "A"})
+                                                for m in range(1, 13) for d in range(1, 29)])
+    bronze, seeds, out, maps = (os.path.join(tmp_dir, x) for x in ("bronze", "seeds", "silver", "maps"))
+    assert main(["ingest", "--landing", land, "--table", "sierra_daily_flow_raw", "--bronze", bronze], spark) == 0
+    spark.createDataFrame([("G1", "MERCED R", 37.7, -119.5, 151.0,
+                            "POLYGON ((-119.6 37.6, -119.4 37.6, -119.4 37.8, -119.6 37.8, -119.6 37.6))")],
+                          schemas.SIERRA_GAGES).write.parquet(os.path.join(bronze, "sierra_gages_raw"))
+    spark.createDataFrame([("1", "burn", 2015, "2015", 5000.0, "X", "S", "F", "U1",
+                            "POLYGON ((-121.5 46.5, -120.5 46.5, -120.5 47.5, -121.5 47.5, -121.5 46.5))")],
+                          schemas.WA_FIRES).write.parquet(os.path.join(bronze, "wa_fire_perimeters_raw"))
+    os.makedirs(seeds)
+    with open(os.path.join(seeds, "gages.csv"), "w") as f:
+        f.write("gage_id,gage_name,river,mountain_range,state_code,role\nG1,MERCED R,Merced,Sierra,CA,main\n")
+    assert main(["build", "--bronze", bronze, "--seeds", seeds, "--out", out, "--min-days", "100"], spark) == 0
+    assert spark.read.parquet(os.path.join(out, "fct_water_year_summary")).count() >= 1
+    assert main(["fresh", "--bronze", bronze, "--now", "2000-01-01 00:00:00"], spark) == 0   # loaded "in the future"
+    assert main(["export", "--silver", out, "--out", maps], spark) == 0
+    assert spark.read.parquet(os.path.join(maps, "large_modern_fires")).count() == 1
