@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from fieldlake.llm import mixing, urls
+from fieldlake.llm import licences, mixing, urls
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix,
+    "op3_license_scan": licences.op3_license_scan,
     "op5_url_filter": urls.op5_url_filter,
 }
 
 SQL = {
     "op2_mix_sources": mixing.OP2_SQL,
+    "op3_license_scan": licences.OP3_SQL,
     "op5_url_filter": urls.OP5_SQL,
 }
