@@ -14,10 +14,10 @@ import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -77,9 +77,9 @@ class Words:
     """Start and end byte of every word, the number of words of each document
     and the first word of each document (``first`` has one entry more)."""
 
-    def __init__(self, t: Texts):
+    def __init__(self, t: Texts, space: np.ndarray = SPACE):
         data, off = t.data[:-8], t.offsets
-        solid = ~_SPACE[data]
+        solid = ~space[data]
         start, end = solid.copy(), solid.copy()
         start[1:] &= ~solid[:-1]
         end[:-1] &= ~solid[1:]
@@ -95,11 +95,11 @@ class Words:
         """A 64-bit hash of each word's bytes, eight bytes a step."""
         view = np.ndarray((len(t.data) - 7,), "<u8", t.data, strides=(1,))
         size = self.end - self.start
-        h = mix(view[self.start] & _MASK[np.minimum(size, 8)]) + size.astype(np.uint64) * _ODD
+        h = mix(view[self.start] & MASK[np.minimum(size, 8)]) + size.astype(np.uint64) * ODD
         done, left = 8, np.flatnonzero(size > 8)
         while len(left):
-            piece = view[self.start[left] + done] & _MASK[np.minimum(size[left] - done, 8)]
-            h[left] = mix(h[left] * _ODD ^ piece)
+            piece = view[self.start[left] + done] & MASK[np.minimum(size[left] - done, 8)]
+            h[left] = mix(h[left] * ODD ^ piece)
             done += 8
             left = left[size[left] > done]
         return mix(h)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from fieldlake.llm import licences, mixing, urls
+from fieldlake.llm import fingerprints, licences, mixing, toxicity, urls
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix,
     "op3_license_scan": licences.op3_license_scan,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_url_filter": urls.op5_url_filter,
+    "op8_fingerprints": fingerprints.op8_fingerprints,
 }
 
 SQL = {
