@@ -21,7 +21,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_TIMES = 2
 BLOCK_WORDS = 32
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 18
 SEED = "mix-1"
 
 
