@@ -92,17 +92,21 @@ class Words:
         self.doc = np.repeat(np.arange(len(t)), self.count)
 
     def hashes(self, t: Texts) -> np.ndarray:
-        """A 64-bit hash of each word's bytes, eight bytes a step."""
-        view = np.ndarray((len(t.data) - 7,), "<u8", t.data, strides=(1,))
-        size = self.end - self.start
-        h = mix(view[self.start] & MASK[np.minimum(size, 8)]) + size.astype(np.uint64) * ODD
-        done, left = 8, np.flatnonzero(size > 8)
-        while len(left):
-            piece = view[self.start[left] + done] & MASK[np.minimum(size[left] - done, 8)]
-            h[left] = mix(h[left] * ODD ^ piece)
-            done += 8
-            left = left[size[left] > done]
-        return mix(h)
+        return span_hashes(t, self.start, self.end)
+
+
+def span_hashes(t: Texts, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span's bytes and length, eight bytes a step."""
+    view = np.ndarray((len(t.data) - 7,), "<u8", t.data, strides=(1,))
+    size = end - start
+    h = mix(view[start] & MASK[np.minimum(size, 8)]) + size.astype(np.uint64) * ODD
+    done, left = 8, np.flatnonzero(size > 8)
+    while len(left):
+        piece = view[start[left] + done] & MASK[np.minimum(size[left] - done, 8)]
+        h[left] = mix(h[left] * ODD ^ piece)
+        done += 8
+        left = left[size[left] > done]
+    return mix(h)
 
 
 def powers(base: int, n: int) -> np.ndarray:
