@@ -30,7 +30,7 @@ SEED = 9
 MOST_CACHED = 1 << 21
 
 # white space beyond ASCII's, and control characters some engines count as such
-_WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def default_tokenizer() -> str:
@@ -173,7 +173,7 @@ def _pack_group(capacity: int):
         pdf = pdf.sort_values("piece")
         bins, offsets = first_fit_decreasing(pdf["length"].tolist(), capacity)
         # even ids: group and bin; odd ids belong to pieces that fill a sequence alone
-        pdf["sequence_id"] = 2 * ((pdf["pack_group"] << 32) + np.array(bins, np.int64))
+        pdf["sequence_id"] = 2 * (pdf["pack_group"] * (1 << 32) + np.array(bins, np.int64))
         pdf["offset"] = np.array(offsets, np.int64)
         return pdf.drop(columns=["piece", "pack_group"])
     return run
