@@ -184,7 +184,7 @@ def fingerprints(docs: DataFrame, per_range: int = DOCS_PER_RANGE) -> DataFrame:
 
 
 def _laid_out(d: DataFrame, buckets: int) -> DataFrame:
-    return (d.repartition(buckets, "bucket")
+    return (d.repartitionById(buckets, F.col("bucket"))
             .sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first())
             .mapInArrow(_rows, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
                                "near_edited double, near_next double"))

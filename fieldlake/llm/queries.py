@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldlake.llm import fingerprints, licences, mixing, packing, toxicity, urls
+from fieldlake.llm import fingerprints, licences, mixing, packing, topk, toxicity, urls
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_url_filter": urls.op5_url_filter,
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_pack": packing.op9_pack,
+    "op10_topk": topk.op10_topk,
 }
 
 SQL = {
