@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the folder that ``spark.checkpoint.dir``
     names and read it back: lineage ends there, and a lost executor costs no
     more than reading those files again."""
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of what is now stored
+    return spark.read.schema(schema).parquet(path)

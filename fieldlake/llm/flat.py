@@ -1,7 +1,7 @@
 """Whole Arrow batches of texts as flat numpy arrays.
 
-A batch is cut into slices of a few MB of text (a longer document is a slice
-of its own), so the arrays below stay small whatever the batch holds.  Words
+A batch is cut into slices of a few MB of text and at most SLICE_ROWS rows (a
+longer document is a slice of its own), so the arrays below stay small whatever the batch holds.  Words
 are maximal runs of bytes other than the ASCII white space 0x20, 0x09-0x0D;
 UTF-8 continuation bytes never collide with those."""
 
@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+SLICE_ROWS = 1 << 15
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -65,7 +66,7 @@ def slices(column, max_bytes: int = SLICE_BYTES) -> Iterator[Texts]:
     first = 0
     while first < n:
         last = max(first + 1, int(np.searchsorted(at, at[first] + max_bytes, "right")) - 1)
-        last = min(last, n)
+        last = min(last, n, first + SLICE_ROWS)
         size = int(at[last] - at[first])
         data = np.zeros(size + 8, np.uint8)
         data[:size] = whole[at[first]:at[last]]
