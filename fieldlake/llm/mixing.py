@@ -83,9 +83,9 @@ def apportion(df: DataFrame, parts: list[str], key: str, votes: str, seats: str)
             .agg((F.max("_base") + F.count_if("_won")).alias("quota")))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, times: int = MOST_TIMES,
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, times: int = MOST_TIMES,
         block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: str = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) for every row of docs(doc_id, source, text).
+    """(doc_id, source, key, size, source_size, target, taken) for every row of docs(doc_id, source, text).
 
     ``taken`` counts the words the mix takes of the document, repeats
     counted, at most ``times`` its size.  A null text has size 0; a null
@@ -113,11 +113,23 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, times: int = MOS
     turns = F.when(F.col("shard_size") > 0, F.floor(F.col("words") / F.col("shard_size"))).otherwise(F.lit(0)).cast("long")
     rest = F.col("words") - turns * F.col("shard_size")
     taken = F.col("size") * turns + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
-    return d.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return d.select("doc_id", "source", "key", "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+def apply_mix(docs: DataFrame, seed: str = SEED, **params) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, in whole texts: a
+    document cut by the last block of its shard stays if at least half of it
+    was taken.  Texts without words are not taken."""
+    taken = (mixed(docs, seed=seed, **params).groupBy("key")
+             .agg(F.floor(F.sum("taken") / F.nullif(F.max("size"), F.lit(0)) + 0.5).cast("int").alias("copies"))
+             .where("copies > 0").withColumnRenamed("key", "_taken_key"))
+    d = docs.withColumn("_key", seeded_key(seed, F.col("doc_id"), F.col("text"))).dropDuplicates(["_key"])
+    return (d.join(taken, F.col("_key") == F.col("_taken_key"))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns))
 
 
 def op2_mix(spark, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents", "doc_id", "source", "text")).drop("source")
+    return mixed(table(spark, sf_dir, "documents", "doc_id", "source", "text")).drop("source", "key")
 
 
 _QUOTA = """

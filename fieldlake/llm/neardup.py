@@ -137,19 +137,9 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, th
                   .mapInArrow(_verify(words, threshold), "a long, b long").distinct(), "links")
 
 
-def classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, class_id) for every row of docs(doc_id, text).
-
-    ``class_id`` is the smallest doc_id of the class.  Equal texts are one
-    class before anything is compared.  A null text and one without words is
-    a class of its own row; repeated rows get the same class; a null doc_id
-    is never the smallest unless its class has no other; an empty table gives
-    no rows.
-
-    Within a band's bucket of more than ALL_PAIRS texts everything is compared
-    with one text; then, for as long as a bucket holds several components,
-    its texts outside the largest take turns to be compared with all texts of
-    other components, so no link between two texts of a bucket is lost."""
+def _classes(docs: DataFrame, words: int, threshold: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, digest, bands) of every row; (digest, rep, class_id, chosen) of
+    every text with words, where one text of each class is chosen."""
     d = docs.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"), "text")
     signed = stored(d.mapInArrow(_sign(bands, rows, words), "doc_id long, digest binary, bands array<long>"), "signed")
     wordy = signed.where(F.size("bands") > 0)
@@ -183,10 +173,43 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, b
         turns = stored(turns.unionByName(pivots.select("key", F.col("pivot").alias("node"))), "turns")
         labels = components(links)
     named = nodes.select("digest", "rep", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = named.join(named.groupBy("label").agg(F.min("rep").alias("class_id")), "label").select(F.col("digest").alias("_g"), "class_id")
-    return (wordy.join(named, F.col("digest") == F.col("_g")).select("doc_id", "class_id")
+    first = (named.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "node")).alias("first"))
+             .select("label", F.col("first.rep").alias("class_id"), F.col("first.node").alias("first")))
+    named = stored(named.join(first, "label").select("digest", "rep", "class_id", (F.col("node") == F.col("first")).alias("chosen")), "classes")
+    return signed, named
+
+
+def classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(doc_id, class_id) for every row of docs(doc_id, text).
+
+    ``class_id`` is the smallest doc_id of the class.  Equal texts are one
+    class before anything is compared.  A null text and one without words is
+    a class of its own row; repeated rows get the same class; a null doc_id
+    is never the smallest unless its class has no other; an empty table gives
+    no rows.
+
+    Within a band's bucket of more than ALL_PAIRS texts everything is compared
+    with one text; then, for as long as a bucket holds several components,
+    its texts outside the largest take turns to be compared with all texts of
+    other components, so no link between two texts of a bucket is lost."""
+    signed, named = _classes(docs, words, threshold, bands, rows)
+    of_text = named.select(F.col("digest").alias("_g"), "class_id")
+    return (signed.where(F.size("bands") > 0).join(of_text, F.col("digest") == F.col("_g")).select("doc_id", "class_id")
             .unionByName(signed.where(F.size("bands") == 0).select("doc_id", F.col("doc_id").alias("class_id"))))
 
 
+def keep_one(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """The rows of ``docs`` that stay: of each class one row of its text with
+    the smallest doc_id, and every row without words."""
+    _, named = _classes(docs, words, threshold, bands, rows)
+    stay = named.where("chosen").select(F.col("digest").alias("_g"), F.col("rep").alias("_r"))
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    wordless = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*\z")
+    d = docs.withColumn("_digest", digest)
+    kept = d.where(~wordless).join(stay, F.col("doc_id").eqNullSafe(F.col("_r")) & (F.col("_digest") == F.col("_g")))
+    return (kept.dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
+            .unionByName(docs.where(wordless)))
+
+
 def op1_near_dedup(spark, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -281,9 +281,9 @@ def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, par
 
 def _cut(batches):
     for b in batches:
-        n_bytes, n_removed, kept, spans = [], [], [], []
+        n_bytes, n_removed, kept, readable, spans = [], [], [], [], []
         for text, found in zip(b.column("text").to_pylist(), b.column("found").to_pylist()):
-            text = (text or "").encode()
+            absent, text = text is None, (text or "").encode()
             merged: list[list[int]] = []
             for start, end in sorted((f["start"], f["end"]) for f in found or ()):
                 if merged and start <= merged[-1][1]:
@@ -293,22 +293,25 @@ def _cut(batches):
             edges = [0, *[x for s in merged for x in s], len(text)]
             n_bytes.append(len(text))
             n_removed.append(sum(e - s for s, e in merged))
-            kept.append(b"".join(text[a:z] for a, z in zip(edges[::2], edges[1::2])))
+            rest = [text[a:z] for a, z in zip(edges[::2], edges[1::2])]
+            kept.append(b"".join(rest))
+            readable.append(None if absent else "".join(x.decode(errors="ignore") for x in rest))
             spans.append([{"start": s, "end": e} for s, e in merged])
         yield pa.RecordBatch.from_arrays([*[b.column(c) for c in b.schema.names if c not in ("text", "found")], pa.array(n_bytes, pa.int64()),
-                                          pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()),
+                                          pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()), pa.array(readable, pa.string()),
                                           pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
-                                         [*[c for c in b.schema.names if c not in ("text", "found")], "n_bytes", "n_removed", "kept", "spans"])
+                                         [*[c for c in b.schema.names if c not in ("text", "found")], "n_bytes", "n_removed", "kept", "kept_text", "spans"])
 
 
 def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: list[str] = ["doc_id"]) -> DataFrame:  # noqa: B006
-    """The ``keep`` columns with n_bytes, n_removed, kept (binary) and spans of every row of docs(doc_id, text).
+    """The ``keep`` columns with n_bytes, n_removed, kept (binary), kept_text and spans of every row of docs(doc_id, text).
 
     Every byte covered by a string of ``length`` bytes that also starts
     elsewhere, in any document, is removed, all occurrences alike.  A null text
     counts as empty; texts shorter than ``length`` lose nothing; repeated rows
     are occurrences of their own; null ids are kept; an empty table gives no
-    rows.  ``kept`` may begin or end inside a UTF-8 character."""
+    rows.  A span may begin or end inside a UTF-8 character; ``kept_text`` drops what
+    is left of such characters, and is null where the text is."""
     found = stored(duplicate_spans(docs, length, gram), "spans")
     found = (found.groupBy("doc_id", "same").agg(F.collect_set(F.struct("start", "end")).alias("found"))
              .select(F.col("doc_id").alias("_d"), F.col("same").alias("_s"), "found"))
@@ -317,8 +320,8 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: l
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in d.select(*[c for c in names if c != "text"]).schema]
     return (d.join(found, d["doc_id"].eqNullSafe(F.col("_d")) & (same_text(F.col("text")) == F.col("_s")), "left")
             .select(*names, "found")
-            .mapInArrow(_cut, ", ".join(kept) + ", n_bytes long, n_removed long, kept binary, spans array<struct<start: int, end: int>>")
-            .select(*keep, "n_bytes", "n_removed", "kept", "spans"))
+            .mapInArrow(_cut, ", ".join(kept) + ", n_bytes long, n_removed long, kept binary, kept_text string, spans array<struct<start: int, end: int>>")
+            .select(*keep, "n_bytes", "n_removed", "kept", "kept_text", "spans"))
 
 
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:
