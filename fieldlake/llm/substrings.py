@@ -2,8 +2,9 @@
 
 Every slice of documents is a reference block.  Its index lists each window of
 20 words once, under the smallest 5-word gram inside the window (by hash), so
-that a window's entries from all blocks meet in one index part.  There the
-earliest document of each window is its source.  A document is then parsed
+that a window's entries from all blocks meet in one index part.  The earliest
+document that its own block or else the index part knows for a window is the
+window's source.  A document is then parsed
 greedily: a factor runs on as long as the next window has the same source, and
 at each factor boundary the next window is looked up anew.  Every word of a
 factor is covered by a window that also starts earlier, and is removed.
@@ -127,7 +128,7 @@ def _look_up(entries: pa.Table) -> pa.Table:
 
 def duplicate_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc_id, same, start, length, source): ``length`` consecutive windows from word ``start`` on, each
-    of which also starts earlier; ``source`` is the smallest document that has them.  A null
+    of which also starts earlier, in document ``source`` (the same one for a repeat inside it).  A null
     doc_id appears as the largest integer."""
     d = docs.select("doc_id", "text", same_text(F.col("text")).alias("same"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
