@@ -42,10 +42,12 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     null; ``line_licenses`` those of its lines, sorted, comma-separated, else
     null; ``n_license_lines`` counts such lines.  A null text counts as
     empty; a text or line with nothing but punctuation matches nothing;
-    repeated rows are scanned alike and null ids kept.  ``known`` may be of
-    any size: Spark chooses the join."""
-    known = known if known is not None else known_digests(docs.sparkSession)
-    known = known.select("known_digest", "license")
+    repeated rows are scanned alike and null ids kept.  A ``known``
+    (known_digest, license) of one's own may be of any size: Spark chooses the join."""
+    if known is None:
+        known = F.broadcast(known_digests(docs.sparkSession))  # the fixed list of LICENCES
+    else:
+        known = known.select("known_digest", "license")
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     whole = docs.select("doc_id", F.md5("text").alias("same"), F.sha2(canonical(F.col("text")), 256).alias("digest"))
     lines = (docs.select("doc_id", F.md5("text").alias("line_same"),
