@@ -268,7 +268,8 @@ def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, par
     parts = max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // part_bytes))
     anchors = stored(d.mapInArrow(_anchors(length, gram), "doc_id long, same long, grams array<long>, places array<int>"), "anchors")
     one = anchors.select("doc_id", "same", F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("places").alias("place"))))
-    repeated = one.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # stored, so that the join below deals both sides anew and Spark can split a gram with very many places
+    repeated = stored(one.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "repeated-grams")
     part = F.pmod(F.xxhash64("gram"), F.lit(parts))
     kept = stored(one.join(repeated, "gram").groupBy("doc_id", "same")
                   .agg(F.collect_set(F.struct("place", part.alias("part"))).alias("anchors"))
