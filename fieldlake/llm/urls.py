@@ -68,6 +68,8 @@ def window_scores(grams: DataFrame, counts: DataFrame) -> DataFrame:
             .groupBy("tail").agg(*sums))
     contexts = (ends.withColumn("context", F.substr(F.col("tail"), F.lit(1), F.length("tail") - 1))
                 .groupBy("context").agg(*[F.sum(c).alias("x" + c) for c, _, _ in _CLASSES]))
+    # stored, so that Spark can split the joins on very common contexts
+    ends, contexts = stored(ends, "url-ends"), stored(contexts, "url-contexts")
     g = grams.select("gram", orders.alias("o")).withColumn("tail", suffix)
     g = g.withColumn("context", F.substr(F.col("tail"), F.lit(1), F.col("o") - 1))
     g = g.join(ends, "tail", "left").join(contexts, "context", "left")
