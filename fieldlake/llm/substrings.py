@@ -25,8 +25,8 @@ from fieldlake.llm.common import stored, table
 
 WINDOW = 20
 GRAM = 5
-BLOCK_BYTES = 8 << 20   # text of a reference block
-PART_BYTES = 16 << 20   # text behind an index part, on average
+BLOCK_BYTES = 4 << 20   # text of a reference block
+PART_BYTES = 8 << 20    # text behind an index part, on average
 _LAST = np.iinfo(np.int64).max
 
 
@@ -47,8 +47,8 @@ def runs(*columns: np.ndarray) -> np.ndarray:
 
 
 _RUN = pa.schema([("doc_id", pa.int64()), ("same", pa.int64()), ("start", pa.int32()), ("length", pa.int32()), ("source", pa.int64())])
-_ENTRY = pa.schema([("part", pa.int64()), ("hashes", pa.binary()), ("ids", pa.binary()), ("sames", pa.binary()), ("starts", pa.binary()),
-                    ("sources", pa.binary())])
+#: windows travel as runs of consecutive ones; open runs come first and have a hash a window, known runs have sources
+_ENTRY = pa.schema([("part", pa.int64()), *[(c, pa.binary()) for c in ("hashes", "ids", "sames", "starts", "lengths", "sources")]])
 
 
 def _order_id(column) -> np.ndarray:
@@ -57,8 +57,8 @@ def _order_id(column) -> np.ndarray:
 
 
 def _index(window: int, gram: int, parts: int):
-    """Entries of each block by index part.  ``sources`` is set for windows
-    that the block itself has earlier; those pass through the part unasked."""
+    """Entries of each block by index part.  Windows that the block itself has
+    earlier pass through the part as known runs, unasked."""
     def run(batches):
         for b in batches:
             ids_of, sames_of = _order_id(b.column("doc_id")), b.column("same").to_numpy(zero_copy_only=False)
@@ -75,55 +75,60 @@ def _index(window: int, gram: int, parts: int):
                 at = first[row] + i
                 part = (flat.mix(grams[place]) % np.uint64(parts)).astype(np.int64)[row]
                 h, doc = h[at], w.doc[at]
-                start = (at - w.first[doc]).astype(np.int32)
-                ids, sames = ids_of[t.rows.start + doc], sames_of[t.rows.start + doc]
+                del grams, inside
+                ids = ids_of[t.rows.start + doc]
                 order = np.lexsort((at, ids, h))
                 group = np.flatnonzero(np.diff(h[order], prepend=~h[order[:1]]))
                 lead = np.repeat(order[group], np.diff(group, append=len(order)))
                 again = np.zeros(len(h), bool)   # the same document has the window earlier
                 again[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
-                earliest = np.empty(len(h), np.int64)
-                earliest[order] = ids[lead]
-                known = again | (ids > earliest)
-                source = np.where(again & (ids == earliest), ids, earliest)
+                source = np.empty(len(h), np.int64)
+                source[order] = ids[lead]
+                known = again | (ids > source)
+                del row, i, lead, again
                 order = np.lexsort((at, known, part))
                 cut = np.flatnonzero(np.diff(part[order], prepend=-1))
                 for a, z in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):
                     own = order[a:z]
-                    open_, done = own[~known[own]], own[known[own]]
-                    begin = runs(at[done], doc[done], source[done])
-                    size = np.diff(begin, append=len(done)).astype(np.int32)
-                    done = done[begin]
-                    both = np.concatenate([open_, done])
+                    n = int(np.count_nonzero(~known[own]))
+                    begin = runs(at[own], doc[own], known[own], np.where(known[own], source[own], 0))
+                    first_of = own[begin]
+                    of = doc[first_of]
                     yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (
-                        int(part[own[0]]), h[open_].tobytes(), ids[both].tobytes(), sames[both].tobytes(), start[both].tobytes(),
-                        np.concatenate([source[done], size.astype(np.int64)]).tobytes())], schema=_ENTRY)
+                        int(part[own[0]]), h[own[:n]].tobytes(), ids[first_of].tobytes(), sames_of[t.rows.start + of].tobytes(),
+                        (at[first_of] - w.first[of]).astype("<i4").tobytes(), np.diff(begin, append=len(own)).astype("<i4").tobytes(),
+                        source[first_of[known[first_of]]].tobytes())], schema=_ENTRY)
     return run
 
 
 def _look_up(entries: pa.Table) -> pa.Table:
     """One index part: every open window that a smaller document has too, as
     runs of windows with one source, and the runs the blocks already knew."""
-    h, ids, sames, starts, known = [], [], [], [], []
+    h, open_, known = [], [], []
     for e in entries.to_pylist():
-        own = np.frombuffer(e["hashes"], np.uint64)
-        i, s, p = np.frombuffer(e["ids"], np.int64), np.frombuffer(e["sames"], np.int64), np.frombuffer(e["starts"], np.int32)
-        n = len(own)
-        source, size = np.split(np.frombuffer(e["sources"], np.int64), 2)
-        h.append(own), ids.append(i[:n]), sames.append(s[:n]), starts.append(p[:n])
-        known.append((i[n:], s[n:], p[n:], size, source))
-    h, ids, sames, starts = (np.concatenate(x) for x in (h, ids, sames, starts))
-    order = np.lexsort((ids, h))
-    group = np.flatnonzero(np.diff(h[order], prepend=~h[order[:1]])) if len(h) else order
-    earliest = np.empty(len(h), np.int64)
-    earliest[order] = np.repeat(ids[order[group]], np.diff(group, append=len(order)))
-    hit = np.flatnonzero(ids > earliest)
-    hit = hit[np.lexsort((starts[hit], sames[hit], ids[hit]))]
-    begin = runs(starts[hit], sames[hit], ids[hit], earliest[hit])
-    size, hit = np.diff(begin, append=len(hit)), hit[begin]
-    known.append((ids[hit], sames[hit], starts[hit], size, earliest[hit]))
-    i, s, p, n, source = (np.concatenate(x) for x in zip(*known))
-    return pa.table([pa.array(i), pa.array(s), pa.array(p.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(source)], schema=_RUN)
+        sources = np.frombuffer(e["sources"], "<i8")
+        columns = [np.frombuffer(e[c], kind) for c, kind in (("ids", "<i8"), ("sames", "<i8"), ("starts", "<i4"), ("lengths", "<i4"))]
+        n = len(columns[0]) - len(sources)
+        h.append(np.frombuffer(e["hashes"], np.uint64))
+        open_.append([c[:n] for c in columns])
+        known.append([*(c[n:] for c in columns), sources])
+    h = np.concatenate(h)
+    ids, sames, starts, lengths = (np.concatenate(c) for c in zip(*open_))
+    run, place = flat.ragged(lengths)
+    order = np.argsort(h)
+    own = ids[run[order]]
+    group = np.flatnonzero(np.diff(h[order], prepend=~h[order[:1]]))
+    earliest = np.minimum.reduceat(own, group) if len(group) else own
+    earliest = np.repeat(earliest, np.diff(group, append=len(h)))
+    hit = own > earliest
+    window, source = order[hit], earliest[hit]
+    order = np.argsort(window)
+    window, source = window[order], source[order]
+    begin = runs(window, run[window], source)
+    size, source, window = np.diff(begin, append=len(window)).astype(np.int32), source[begin], window[begin]
+    of = run[window]
+    known.append([ids[of], sames[of], (starts[of] + place[window]).astype(np.int32), size, source])
+    return pa.table([pa.array(np.concatenate(c)) for c in zip(*known)], schema=_RUN)
 
 
 def duplicate_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, part_bytes: int = PART_BYTES) -> DataFrame:
@@ -133,7 +138,7 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, p
     d = docs.select("doc_id", "text", same_text(F.col("text")).alias("same"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
-    entries = d.mapInArrow(_index(window, gram, parts), "part long, hashes binary, ids binary, sames binary, starts binary, sources binary")
+    entries = d.mapInArrow(_index(window, gram, parts), "part long, hashes binary, ids binary, sames binary, starts binary, lengths binary, sources binary")
     return entries.groupBy("part").applyInArrow(_look_up, "doc_id long, same long, start int, length int, source long")
 
 
