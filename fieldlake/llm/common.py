@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the folder that ``spark.checkpoint.dir``
     names and read it back: lineage ends there, and a lost executor costs no
-    more than reading those files again."""
-    spark, schema = df.sparkSession, df.schema
+    more than reading those files again.  Spark drops the shuffle files of
+    the write as soon as it ends, so disks hold one step's at a time."""
+    spark = df.sparkSession
     path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of what is now stored
-    return spark.read.schema(schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
