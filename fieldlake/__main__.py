@@ -20,6 +20,8 @@ import sys
 BRONZE = ["wqp_results_raw", "wqp_stations_raw", "streamflow_continuous_raw", "sierra_daily_flow_raw",
           "sierra_gages_raw", "derived_streams_raw", "fia_wa_plot_raw", "fia_wa_cond_raw", "fia_wa_tree_raw",
           "wa_fire_perimeters_raw"]
+# raw sources with a declared freshness; the stations and the daily flows have none
+FRESH_SOURCES = ["wqp_results_raw", "streamflow_continuous_raw"]
 RAW_ENVELOPES = ["wqp_results_raw", "wqp_stations_raw", "streamflow_continuous_raw", "sierra_daily_flow_raw"]
 
 
@@ -74,13 +76,13 @@ def main(argv=None, spark=None) -> int:
         report = build.build(spark, _bronze(spark, args.bronze), _seeds(spark, args.seeds), args.out,
                              min_days_of_record=args.min_days)
         bad = report.filter("status != 'pass'")
-        bad.show(200, truncate=False)
+        bad.show(max(1, bad.count()), truncate=False)
         return 1 if bad.filter("status = 'fail'").limit(1).count() else 0
     if args.cmd == "fresh":
         import datetime as dt
         from .plans.checks import source_freshness
         now = args.now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        srcs = {n: d for n, d in _bronze(spark, args.bronze).items() if n in RAW_ENVELOPES}
+        srcs = {n: d for n, d in _bronze(spark, args.bronze).items() if n in FRESH_SOURCES}
         if not srcs:
             print("no raw sources found")
             return 0

@@ -11,9 +11,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..session import delete_path, shared_path
+from ..session import delete_path, shared_path, table_exists
 from . import dedup
 from .joins import attach_scalar
 
@@ -77,7 +77,7 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys, order_col: s
                                  tiebreak=[c for c in source.columns if c not in keys and c != order_col])
     if target is None:
         return source
-    kept = target.join(source.select(*keys).distinct(), on=keys, how="left_anti")
+    kept = target.join(source.select(*keys), on=keys, how="left_anti")
     return kept.unionByName(source, allowMissingColumns=True)
 
 
@@ -91,43 +91,47 @@ def incremental_model(target: DataFrame | None, staged: DataFrame, keys, loaded_
     return merge_upsert(target, inc, keys)
 
 
+def read_stored(spark: SparkSession, path: str, like: DataFrame, partition_cols, fmt: str = "parquet") -> DataFrame:
+    """A stored table with the types of ``like``: partition values are read as
+    the source has them, never inferred ('00060' stays a string), columns that
+    only ``like`` has are NULL, columns that only the table has stay."""
+    stored = spark.read.format(fmt).load(path).schema
+    fields = [like.schema[f.name] if f.name in like.columns and f.name in _list(partition_cols) else f for f in stored]
+    fields += [f for f in like.schema if f.name not in stored.names]
+    return spark.read.format(fmt).schema(T.StructType(fields)).load(path)
+
+
 def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys,
-                    partition_cols, fmt: str = "parquet", max_literal_partitions: int = 1000) -> str:
+                    partition_cols, fmt: str = "parquet") -> str:
     """I1 against a stored, partitioned table: only partitions present in
-    ``source`` are read (partition pruning), merged, staged under the shared
-    checkpoint folder and written back with dynamic partition overwrite.
-    ``partition_cols`` must be determined by the key."""
+    ``source`` are merged, staged under the shared checkpoint folder and
+    written back with dynamic partition overwrite.  The range of the touched
+    partition values prunes the listing, a semi join keeps exactly them.
+    ``partition_cols`` must be determined by the key.  A table that exists but
+    cannot be read raises before anything is written."""
     keys, parts = _list(keys), _list(partition_cols)
-    touched = source.select(*parts).distinct()
-    try:
-        target = spark.read.format(fmt).load(path)
-    except Exception:  # first load: no table yet
-        target = None
-    if target is not None and parts:
-        # an increment touches few partitions: as literals they prune the
-        # listing statically; a very wide increment falls back to a semi join
-        vals = touched.limit(max_literal_partitions + 1).collect()
-        if len(vals) <= max_literal_partitions:
-            cond = F.lit(False)
-            for v in vals:
-                one = F.lit(True)
-                for c in parts:
-                    x = v[c]
-                    one = one & (F.col(c).isNull() if x is None else (F.col(c) == F.lit(x)))
-                cond = cond | one
-            target = target.filter(cond)
-        else:
-            target = target.join(touched, on=parts, how="left_semi")
+    target = None
+    if table_exists(spark, path):
+        target = read_stored(spark, path, source, parts, fmt)
+        if parts:
+            touched = source.select(*parts).distinct()
+            ends = touched.agg(*[f(c).alias(f"{n}_{c}") for c in parts for n, f in (("min", F.min), ("max", F.max))]).first()
+            for c in parts:
+                dtype = source.schema[c].dataType.simpleString()
+                low, high = ends[f"min_{c}"], ends[f"max_{c}"]
+                within = F.lit(False) if low is None else F.col(c).between(literal_of(low, dtype), literal_of(high, dtype))
+                target = target.filter(within | F.col(c).isNull())
+            t = touched.select(*[F.col(c).alias(f"_t_{c}") for c in parts])
+            same = F.lit(True)
+            for c in parts:
+                same = same & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+            target = target.join(t, same, "left_semi")
     merged = merge_upsert(target, source, keys)
     stage = shared_path(spark, "merge_stage", uuid.uuid4().hex)
     merged.write.mode("overwrite").format(fmt).partitionBy(*parts).save(stage)
-    staged = spark.read.format(fmt).load(stage)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.mode("overwrite").format(fmt).partitionBy(*parts).save(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    staged = spark.read.format(fmt).schema(merged.schema).load(stage)
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .format(fmt).partitionBy(*parts).save(path))
     delete_path(spark, stage)      # the staged copy is no longer needed once the write succeeded
     return path
 
@@ -151,27 +155,19 @@ def scd2_check(snapshot: DataFrame | None, current: DataFrame, key: str, check_c
     o = open_.select(*[F.col(c).alias(f"_o_{c}") for c in open_.columns])
     c = current.select(*[F.col(x).alias(f"_c_{x}") for x in data_cols])
     j = o.join(c, F.col(f"_o_{key}") == F.col(f"_c_{key}"), "full_outer")
-    both = F.col(f"_o_{key}").isNotNull() & F.col(f"_c_{key}").isNotNull()
+    was, is_ = F.col(f"_o_{key}").isNotNull(), F.col(f"_c_{key}").isNotNull()
     changed = F.lit(False)
     for cc in check_cols:
         changed = changed | ~F.col(f"_o_{cc}").eqNullSafe(F.col(f"_c_{cc}"))
-    j = j.withColumn("_both", both).withColumn("_changed", both & changed)
-    old_cols = [F.col(f"_o_{x}").alias(x) for x in data_cols]
-    new_cols = [F.col(f"_c_{x}").alias(x) for x in data_cols]
-    keep_open = j.filter(F.col("_both") & ~F.col("_changed")).select(
-        *old_cols, F.col(f"_o_{valid_from}").alias(valid_from), F.col(f"_o_{valid_to}").alias(valid_to))
-    close_cond = F.col("_changed")
-    if invalidate_hard_deletes:
-        close_cond = close_cond | F.col(f"_c_{key}").isNull()
-    closed = j.filter(close_cond).select(*old_cols, F.col(f"_o_{valid_from}").alias(valid_from),
-                                         as_of.alias(valid_to))
-    if not invalidate_hard_deletes:
-        vanished = j.filter(F.col(f"_c_{key}").isNull()).select(
-            *old_cols, F.col(f"_o_{valid_from}").alias(valid_from), F.col(f"_o_{valid_to}").alias(valid_to))
-        keep_open = keep_open.unionByName(vanished)
-    opened = j.filter(F.col("_changed") | F.col(f"_o_{key}").isNull()).select(
-        *new_cols, as_of.alias(valid_from), F.lit(None).cast("timestamp_ntz").alias(valid_to))
-    return history.unionByName(keep_open).unionByName(closed).unionByName(opened)
+    closes = was & ((is_ & changed) | (~is_ if invalidate_hard_deletes else F.lit(False)))
+    opens = is_ & (~was | changed)
+    never = F.lit(None).cast("timestamp_ntz")
+    # each joined pair yields its old row (open or closed now) and its new row, whichever it has
+    old = F.struct(*[F.col(f"_o_{x}").alias(x) for x in data_cols], F.col(f"_o_{valid_from}").alias(valid_from),
+                   F.when(closes, as_of).otherwise(F.col(f"_o_{valid_to}")).alias(valid_to))
+    new = F.struct(*[F.col(f"_c_{x}").alias(x) for x in data_cols], as_of.alias(valid_from), never.alias(valid_to))
+    versions = F.array_compact(F.array(F.when(was, old), F.when(opens, new)))
+    return history.unionByName(j.select(F.inline(versions)))
 
 
 # ---- I7: targeted reload --------------------------------------------------------------------

@@ -17,7 +17,7 @@ from ..functions.shape import (bin_at_least, bin_below, decade, decode, lb_to_to
                                timing_label)
 from ..operators import dedup, incremental, spatial
 from ..operators.aggregates import avg_when, count_when, exact_percentiles, group_mode, max_when, share_of_parent
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import attach_scalar, bounded_broadcast
 from ..operators.windows import row_window
 from .hydrology import daily_features, river_system, water_year_summary  # noqa: F401
 
@@ -90,7 +90,7 @@ def fct_streamflow(stg: DataFrame, gages: DataFrame, target: DataFrame | None =
                    lookback_days: int = LOOKBACK_DAYS["streamflow"]) -> DataFrame:
     """M17."""
     inc = incremental.lookback_filter(stg, target, "_loaded_at", lookback_days)
-    d = gages.select("gage_id", "gage_name", "river", "role")
+    d = gages.select("gage_id", "gage_name", "river", "mountain_range", "role")
     j = inc.join(bounded_broadcast(d), "gage_id", "inner")
     return incremental.merge_upsert(target, j, "reading_sk")
 
@@ -246,13 +246,14 @@ def fct_plot_fire_history(profile: DataFrame, fires: DataFrame, min_fire_year: i
                           cell: float = 0.25) -> DataFrame:
     """Plot visits inside fire perimeters (grid spatial join), timing
     relative to the fire year."""
-    p = profile.select("plot_cn", "plot_number", "measurement_year", "inventory_year", "latitude", "longitude",
-                       "owner_group", "elevation_band", "live_biomass_tons_per_acre", "dead_biomass_tons_per_acre",
+    p = profile.select("plot_cn", "plot_number", "measurement_year", "latitude", "longitude", "owner_group",
+                       "elevation_band", "live_biomass_tons_per_acre", "dead_biomass_tons_per_acre",
                        "pct_dead", "live_trees", "dead_trees", "stand_age_years", "dominant_species")
     f = fires.filter(F.col("fire_year") >= min_fire_year).select(
         "fire_id", "incident_name", "fire_year", "reported_acres", "size_class", "fire_geom")
-    j = spatial.spatial_join(p, f, "longitude", "latitude", "fire_geom", cell=cell).drop("fire_geom")
-    return (j.withColumn("years_since_fire", F.col("measurement_year") - F.col("fire_year"))
+    j = spatial.spatial_join(p, f, "longitude", "latitude", "fire_geom", cell=cell)
+    return (j.drop("fire_geom", "latitude", "longitude")
+             .withColumn("years_since_fire", F.col("measurement_year") - F.col("fire_year"))
              .withColumn("measurement_timing", timing_label("measurement_year", "fire_year")))
 
 
@@ -282,10 +283,14 @@ def fct_burned_plot_change(history: DataFrame, plot_keys=("plot_number",)) -> Da
 def snap_monitoring_stations(raw: DataFrame, snapshot: DataFrame | None, as_of,
                              invalidate_hard_deletes: bool = True) -> DataFrame:
     """Station attributes from the variant payload; check strategy on
-    name, latitude, longitude, huc8."""
+    name, latitude, longitude, huc8.  Bronze is append-only: the current
+    stations are those of the latest load, a station absent from it is gone.
+    A load that repeats a station counts once, first by name."""
     from ..functions.shape import variant_field
     from ..constants import WQP_STATION_KEYS as k
     types = {"latitude": "double", "longitude": "double"}
+    latest = raw.agg(F.max("_loaded_at").alias("_latest_load"))
+    raw = attach_scalar(raw, latest).filter(F.col("_loaded_at").eqNullSafe(F.col("_latest_load")))
     cur = raw.select(*[variant_field("payload", key, types.get(col, "string")).alias(col) for col, key in k.items()])
     cur = dedup.keep_first(cur, "station_id", "station_name", tiebreak=["latitude", "longitude", "huc8"])
     as_of_c = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of

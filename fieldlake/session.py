@@ -106,3 +106,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a stored table lies at ``path``: the folder has an entry that is
+    not hidden.  Any failure to look (permissions, network) is raised."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return False
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))

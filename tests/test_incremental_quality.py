@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -59,6 +60,37 @@ def test_merge_into_path_rewrites_only_touched_partitions(spark, tmp_dir):
     assert rows(spark.read.parquet(path), "k", "v") == [(1, "a"), (2, "B"), (3, "c")]
 
 
+def test_merge_into_path_keeps_types_and_null_partitions(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "typed")
+    base = spark.createDataFrame([(1, "00060", "2024-01-01", "a"), (2, "00060", "2024-01-01", "b"), (3, None, "2024-01-01", "n"),
+                                  (4, "00065", "2024-01-02", "x")], "k int, code string, d string, v string")
+    incremental.merge_into_path(spark, path, base, "k", ["code", "d"])
+    upd = spark.createDataFrame([(2, "00060", "2024-01-01", "B", 7), (5, None, "2024-01-01", "m", 8)],
+                                "k int, code string, d string, v string, extra int")
+    for _ in range(2):                        # a replayed batch changes nothing
+        incremental.merge_into_path(spark, path, upd, "k", ["code", "d"])
+    got = incremental.read_stored(spark, path, upd, ["code", "d"])
+    assert dict(got.dtypes)["code"] == "string" and dict(got.dtypes)["d"] == "string"
+    assert rows(got, "k", "v", "extra") == [(1, "a", None), (2, "B", 7), (3, "n", None), (4, "x", None), (5, "m", 8)]
+    assert {(r.k, r.code) for r in got.collect()} == {(1, "00060"), (2, "00060"), (3, None), (4, "00065"), (5, None)}
+    incremental.merge_into_path(spark, path, upd.limit(0), "k", ["code", "d"])
+    assert incremental.read_stored(spark, path, upd, ["code", "d"]).count() == 5
+
+
+def test_merge_into_path_writes_nothing_when_the_target_cannot_be_read(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "broken")
+    incremental.merge_into_path(spark, path, spark.createDataFrame([(1, "p", "a"), (2, "q", "b")], "k int, d string, v string"), "k", "d")
+    part = os.path.join(path, "d=p")
+    for f in os.listdir(part):
+        if f.endswith(".parquet"):
+            with open(os.path.join(part, f), "wb") as out:
+                out.write(b"not a parquet file")
+    before = sorted((root, f) for root, _, files in os.walk(path) for f in files)
+    with pytest.raises(Exception):
+        incremental.merge_into_path(spark, path, spark.createDataFrame([(3, "p", "c")], "k int, d string, v string"), "k", "d")
+    assert sorted((root, f) for root, _, files in os.walk(path) for f in files) == before
+
+
 def test_versioned_write(spark, tmp_dir):
     root = os.path.join(tmp_dir, "versions")
     df = spark.range(3)

@@ -212,6 +212,19 @@ def test_snapshot_stations(spark):
     assert got == [("A", True), ("B", False), ("B", True), ("C", False), ("D", True)]
 
 
+def test_snapshot_from_append_only_bronze(spark):
+    """Two loads in one bronze table: renamed, moved, unchanged, vanished, new."""
+    st = lambda i, name, lat: {"MonitoringLocationIdentifier": i, "MonitoringLocationName": name, "LatitudeMeasure": lat,
+                               "LongitudeMeasure": -119.0, "HUCEightDigitCode": "180", "OrganizationIdentifier": "o"}
+    first = [(st(i, n, 1.0), "2024-01-01 00:00:00", "b1") for i, n in (("A", "a"), ("B", "b"), ("C", "c"), ("V", "v"))]
+    later = [(x, "2024-02-01 00:00:00", "b2") for x in (st("A", "zz", 1.0), st("B", "b", 2.0), st("C", "c", 1.0), st("N", "n", 1.0))]
+    s1 = marts.snap_monitoring_stations(envelope(spark, first), None, "2024-01-01")
+    s2 = marts.snap_monitoring_stations(envelope(spark, first + later), s1, "2024-02-01")
+    got = rows(s2.select("station_id", "station_name", "latitude", F.col("valid_to").isNull().alias("open")))
+    assert got == [("A", "a", 1.0, False), ("A", "zz", 1.0, True), ("B", "b", 1.0, False), ("B", "b", 2.0, True), ("C", "c", 1.0, True),
+                   ("N", "n", 1.0, True), ("V", "v", 1.0, False)]
+
+
 def test_declared_suite_and_singular_rules(spark):
     from fieldlake.plans import checks
     plot, cond, tree, species = _forest(spark)
