@@ -25,6 +25,8 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5      # misses a pair of similarity 0.8 with probability 5e-5
 ALL_PAIRS = 8            # buckets of up to so many texts are compared in full at once
+SIGMAS = 6               # texts go unread if their registers agree this many deviations less than a link's
+LEFT_BLOCK, BLOCK = 256, 1024
 SLICE = 8 << 20
 
 
@@ -78,7 +80,8 @@ def _sign(bands: int, rows: int, words: int):
                 ends = np.concatenate([[0], np.cumsum(filled * bands)])
                 yield pa.RecordBatch.from_arrays([
                     *(b.column(c).slice(t.rows.start, len(t)) for c in ("doc_id", "digest")),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key[filled].ravel().view(np.int64)))], ["doc_id", "digest", "bands"])
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key[filled].ravel().view(np.int64))),
+                    pa.array([x.tobytes() for x in flat.mix(sign).astype("<u2")])], ["doc_id", "digest", "bands", "registers"])
     return run
 
 
@@ -120,6 +123,55 @@ def _verify(words: int, threshold: float):
     return run
 
 
+def _agreeing(registers: int, threshold: float):
+    """Pairs of a bucket's texts outside its largest component with texts of
+    other components whose registers agree often enough for a link."""
+    least = threshold * registers - SIGMAS * (threshold * (1 - threshold) * registers) ** 0.5
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def columns(t: pa.Table):
+        sign = np.frombuffer(b"".join(t["registers"].to_pylist()), "<u2").reshape(-1, registers)
+        return t["node"].to_numpy(), t["label"].to_numpy(), sign
+
+    def run(left: pa.Table, members: pa.Table) -> pa.Table:
+        if not left.num_rows or not members.num_rows:
+            return schema.empty_table()
+        node, label, sign = columns(left)
+        other, other_label, other_sign = columns(members)
+        out = [np.zeros((2, 0), np.int64)]
+        for i in range(0, len(node), 32):
+            same = (sign[i:i + 32, None, :] == other_sign[None, :, :]).sum(axis=2)
+            x, y = np.nonzero((same >= least) & (label[i:i + 32, None] != other_label[None, :]))
+            out.append(np.sort(np.stack([node[i + x], other[y]]), axis=0))
+        found = np.unique(np.concatenate(out, axis=1), axis=1)
+        return pa.table([pa.array(found[0]), pa.array(found[1])], schema=schema)
+    return run
+
+
+def left_over(members: DataFrame, labels: DataFrame, nodes: DataFrame, registers: int, threshold: float) -> DataFrame:
+    """Pairs (a, b) still to be verified after the first links: in each bucket
+    of ``members`` (key, node), every text outside the bucket's largest
+    component meets every text of another component, in blocks of bounded
+    size, by registers alone."""
+    at = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    at = stored(at, "members")
+    sizes = at.groupBy("key", "label").agg(F.count("*").alias("size"))
+    mixed = stored(sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.count("*").alias("parts"),
+                                            F.sum("size").alias("all"), F.max("size").alias("most")).where("parts > 1"), "mixed")
+    blocks = lambda n, size: F.ceil(n / F.lit(size)).cast("int")
+    left_blocks, all_blocks = blocks(F.col("all") - F.col("most"), LEFT_BLOCK), blocks(F.col("all"), BLOCK)
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    signs = nodes.select("node", "registers")
+    here = at.join(mixed, "key").join(signs, "node")
+    columns = ("key", "i", "j", "node", "label", "registers")
+    left = (here.where("label <> largest").withColumn("i", F.pmod(F.xxhash64("node"), left_blocks).cast("int")).withColumn("j", each(all_blocks))
+            .select(*columns).toDF(*columns))
+    right = (here.withColumn("j", F.pmod(F.xxhash64("node"), all_blocks).cast("int")).withColumn("i", each(left_blocks))
+             .select(*columns).toDF(*columns))
+    return (left.groupBy("key", "i", "j").cogroup(right.groupBy("key", "i", "j"))
+            .applyInArrow(_agreeing(registers, threshold), "a long, b long").distinct())
+
+
 def _padded(t: flat.Texts) -> flat.Texts:
     data = t.data.copy()
     data[-8:] = 0
@@ -141,9 +193,9 @@ def _classes(docs: DataFrame, words: int, threshold: float, bands: int, rows: in
     """(doc_id, digest, bands) of every row; (digest, rep, class_id, chosen) of
     every text with words, where one text of each class is chosen."""
     d = docs.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"), "text")
-    signed = stored(d.mapInArrow(_sign(bands, rows, words), "doc_id long, digest binary, bands array<long>"), "signed")
+    signed = stored(d.mapInArrow(_sign(bands, rows, words), "doc_id long, digest binary, bands array<long>, registers binary"), "signed")
     wordy = signed.where(F.size("bands") > 0)
-    nodes = stored(wordy.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "nodes")
+    nodes = stored(wordy.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("registers").alias("registers")), "nodes")
     nodes = nodes.withColumn("node", F.monotonically_increasing_id())
     postings = stored(nodes.select("node", F.explode("bands").alias("key")), "postings")
     buckets = stored(postings.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lead")).where("n > 1"), "buckets")
@@ -152,26 +204,10 @@ def _classes(docs: DataFrame, words: int, threshold: float, bands: int, rows: in
     pairs = (few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
              .unionByName(many.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))).distinct())
     links = verified(stored(pairs, "pairs"), d, nodes, words, threshold)
+    more = stored(left_over(many.select("key", "node"), components(links), nodes, bands * rows, threshold), "pairs")
+    if not more.isEmpty():
+        links = links.unionByName(verified(more, d, nodes, words, threshold))
     labels = components(links)
-    turns = many.select("key", "lead").distinct().select("key", F.col("lead").alias("node"))  # who was compared with all in a bucket
-    while True:
-        at = (many.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-        at = stored(at, "members")
-        sizes = at.groupBy("key", "label").agg(F.count("*").alias("size"))
-        largest = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
-        rest = (at.join(largest, "key").where("label <> largest").join(turns, ["key", "node"], "left_anti"))
-        mixed = F.xxhash64("node")
-        pivots = (rest.groupBy("key").agg(F.array_distinct(F.array(F.min("node"), F.max("node"), F.min_by("node", mixed), F.max_by("node", mixed))).alias("p"))
-                  .select("key", F.explode("p").alias("pivot")))
-        pivots = stored(pivots, "pivots")
-        if pivots.isEmpty():
-            break
-        of_pivot = pivots.join(at.select("key", F.col("node").alias("pivot"), F.col("label").alias("pivot_label")), ["key", "pivot"])
-        pairs = (at.join(of_pivot, "key").where("label <> pivot_label")
-                 .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-        links = stored(links.unionByName(verified(stored(pairs, "pairs"), d, nodes, words, threshold)), "links")
-        turns = stored(turns.unionByName(pivots.select("key", F.col("pivot").alias("node"))), "turns")
-        labels = components(links)
     named = nodes.select("digest", "rep", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     first = (named.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "node")).alias("first"))
              .select("label", F.col("first.rep").alias("class_id"), F.col("first.node").alias("first")))
@@ -189,9 +225,9 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, b
     no rows.
 
     Within a band's bucket of more than ALL_PAIRS texts everything is compared
-    with one text; then, for as long as a bucket holds several components,
-    its texts outside the largest take turns to be compared with all texts of
-    other components, so no link between two texts of a bucket is lost."""
+    with one text.  Where a bucket then holds several components, each of its
+    texts outside the largest meets all texts of other components, so every
+    link between two components of a bucket is found."""
     signed, named = _classes(docs, words, threshold, bands, rows)
     of_text = named.select(F.col("digest").alias("_g"), "class_id")
     return (signed.where(F.size("bands") > 0).join(of_text, F.col("digest") == F.col("_g")).select("doc_id", "class_id")
