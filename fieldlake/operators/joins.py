@@ -1,22 +1,10 @@
-"""J1-J12 helpers.  Broadcast only behind a size check; otherwise the
-join is left to AQE, which re-plans from runtime sizes and splits skewed
-partitions."""
+"""J1-J12 helpers.  Join strategies are left to AQE, which re-plans from
+runtime sizes in bytes and splits skewed partitions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only if the side has at most ``max_rows`` rows (checked
-    with a cheap ``limit(max_rows + 1).count()``); bigger sides are joined by
-    shuffle as AQE decides."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL (``<=>``), as GROUP BY
     treats NULL keys as one group.  Planned as a normal hash / sort-merge
@@ -51,14 +39,14 @@ def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
                                            *[F.col(s)[c].alias(c) for c in one_row.columns])
 
 
-def scoped_join(fact: DataFrame, dim: DataFrame, on, max_dim_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def scoped_join(fact: DataFrame, dim: DataFrame, on) -> DataFrame:
     """Inner join keeping only facts whose key is in the dimension."""
-    return fact.join(bounded_broadcast(dim, max_dim_rows), on=on, how="inner")
+    return fact.join(dim, on=on, how="inner")
 
 
-def lookup(fact: DataFrame, dim: DataFrame, on, max_dim_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, on) -> DataFrame:
     """Left join that keeps facts without a match."""
-    return fact.join(bounded_broadcast(dim, max_dim_rows), on=on, how="left")
+    return fact.join(dim, on=on, how="left")
 
 
 def present_in(df: DataFrame, other: DataFrame, left_key: str, right_key: str) -> DataFrame:

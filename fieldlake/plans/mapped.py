@@ -14,7 +14,7 @@ from ..constants import DIAMETER_CLASSES, FIRE_SIZE_CLASSES, STAND_STAGES, STAND
 from ..functions.keys import surrogate_key
 from ..functions.shape import (bin_at_least, bin_below, classify_contains, decode, safe_pct,
                                water_year)
-from ..operators import dedup
+from ..operators import dedup, joins
 from ..operators.aggregates import (avg_when, count_when, exact_percentiles, group_mode, max_when)
 from ..operators.windows import series_features
 from ..plans.hydrology import water_year_summary as _wys
@@ -199,7 +199,7 @@ def scoped_inner_join(spark, sf):
     """Only suppliers on the watch list (region ASIA) survive the inner join."""
     li = read(spark, sf, "lineitem").select("l_suppkey", "l_quantity")
     watch = _supplier_region(spark, sf).filter(F.col("r_name") == "ASIA").select("s_suppkey", "s_name")
-    return (li.join(watch, li.l_suppkey == watch.s_suppkey, "inner")
+    return (joins.scoped_join(li.withColumnRenamed("l_suppkey", "s_suppkey"), watch, "s_suppkey")
               .groupBy("s_suppkey", "s_name")
               .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("sum_qty")))
 
@@ -209,7 +209,7 @@ def left_lookup(spark, sf):
     li = read(spark, sf, "lineitem").select("l_partkey", "l_extendedprice")
     p = read(spark, sf, "part").filter(F.col("p_size") <= 40).select("p_partkey", "p_type")
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    return (li.join(p, li.l_partkey == p.p_partkey, "left")
+    return (joins.lookup(li.withColumnRenamed("l_partkey", "p_partkey"), p, "p_partkey")
               .groupBy("p_type").agg(F.count(F.lit(1)).alias("n_lines"),
                                      (F.sum(cents) / 100.0).alias("sum_price")))
 
@@ -218,14 +218,14 @@ def semi_join(spark, sf):
     """Parts that appear in a large line (EXISTS)."""
     p = read(spark, sf, "part").select("p_partkey", "p_name")
     big = read(spark, sf, "lineitem").filter(F.col("l_quantity") > 45).select("l_partkey")
-    return p.join(big, p.p_partkey == big.l_partkey, "left_semi")
+    return joins.present_in(p, big, "p_partkey", "l_partkey")
 
 
 def anti_join(spark, sf):
     """Orders with no returned line (NOT EXISTS)."""
     o = read(spark, sf, "orders").select("o_orderkey", "o_custkey")
     ret = read(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R").select("l_orderkey")
-    return o.join(ret, o.o_orderkey == ret.l_orderkey, "left_anti")
+    return joins.missing_from(o, ret, "o_orderkey", "l_orderkey")
 
 
 def agg_join(spark, sf):
@@ -239,19 +239,12 @@ def agg_join(spark, sf):
 def coverage_join(spark, sf):
     """Every candidate nation reported, with order coverage over a window."""
     n = read(spark, sf, "nation").select("n_nationkey", "n_name")
-    c = read(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    o = (read(spark, sf, "orders")
-         .filter((F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
-                 & (F.col("o_orderdate") < F.lit("1997-03-01").cast("timestamp_ntz")))
-         .select("o_custkey", "o_orderdate"))
-    stats = (o.join(c, o.o_custkey == c.c_custkey)
-              .groupBy("c_nationkey")
-              .agg(F.count(F.lit(1)).alias("n_orders"), F.min("o_orderdate").alias("first_order"),
-                   F.max("o_orderdate").alias("last_order")))
-    # stats has one row per nation (bounded): AQE broadcasts it at runtime
-    return (n.join(stats, n.n_nationkey == stats.c_nationkey, "left")
-            .select("n_nationkey", "n_name", F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
-                    "first_order", "last_order"))
+    c = read(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
+    o = read(spark, sf, "orders").select("o_custkey", "o_orderdate")
+    placed = o.join(c, o.o_custkey == c.c_custkey).select("n_nationkey", "o_orderdate")
+    got = joins.coverage(n, placed, "n_nationkey", "o_orderdate", "1997-01-01", "1997-02-28")
+    return got.select("n_nationkey", "n_name", F.col("n_obs").alias("n_orders"), F.col("first_obs").alias("first_order"),
+                      F.col("last_obs").alias("last_order"))
 
 
 # ---- A2-A9: conditional, pivot, expansion, shares --------------------------------

@@ -17,7 +17,7 @@ from ..functions.shape import (bin_at_least, bin_below, decade, decode, lb_to_to
                                timing_label)
 from ..operators import dedup, incremental, spatial
 from ..operators.aggregates import avg_when, count_when, exact_percentiles, group_mode, max_when, share_of_parent
-from ..operators.joins import attach_scalar, bounded_broadcast
+from ..operators.joins import attach_scalar
 from ..operators.windows import row_window
 from .hydrology import daily_features, river_system, water_year_summary  # noqa: F401
 
@@ -79,7 +79,7 @@ def fct_lake_measurements(stg: DataFrame, lakes: DataFrame, target: DataFrame |
     """Lookback on load time (N19), scoped to watch-list lakes, non-detect flag, upsert."""
     inc = incremental.lookback_filter(stg, target, "_loaded_at", lookback_days)
     d = lakes.select("lake_id", "lake_name", "mountain_range")
-    j = inc.join(bounded_broadcast(d), "lake_id", "inner")
+    j = inc.join(d, "lake_id", "inner")
     out = j.select("measurement_sk", "lake_id", "station_id", "lake_name", "mountain_range", "sample_date",
                    "characteristic", "result_value", "unit_code", "detection_condition",
                    F.col("detection_condition").isNotNull().alias("is_non_detect"), "_loaded_at", "_batch_id")
@@ -91,7 +91,7 @@ def fct_streamflow(stg: DataFrame, gages: DataFrame, target: DataFrame | None =
     """M17."""
     inc = incremental.lookback_filter(stg, target, "_loaded_at", lookback_days)
     d = gages.select("gage_id", "gage_name", "river", "mountain_range", "role")
-    j = inc.join(bounded_broadcast(d), "gage_id", "inner")
+    j = inc.join(d, "gage_id", "inner")
     return incremental.merge_upsert(target, j, "reading_sk")
 
 
@@ -110,7 +110,7 @@ def fct_sierra_daily_flow(stg: DataFrame, gages: DataFrame, target: DataFrame |
                           lambda w: {"_touch": F.max("_new").over(w.rowsBetween(-3, 3))}, 3, segment)
         feat = feat.filter(F.col("_touch") == 1).drop("_new", "_touch")
     d = gages.select("gage_id", "river_system", "gage_name")
-    j = feat.join(bounded_broadcast(d), "gage_id", "inner")
+    j = feat.join(d, "gage_id", "inner")
     return incremental.merge_upsert(target, j, "flow_sk")
 
 
@@ -140,7 +140,7 @@ def fct_fia_tree(trees: DataFrame, plots: DataFrame, species: DataFrame) -> Data
     t = trees.select("tree_cn", "plot_cn", "previous_tree_cn", "inventory_year", "tree_status", "statuscd",
                      F.col("species_code").alias("_spcd"), "diameter_in", "height_ft", "total_age_years",
                      "crown_class", "trees_per_acre", "carbon_above_ground_lb", "dry_biomass_above_ground_lb")
-    j = t.join(p, "plot_cn", "inner").join(bounded_broadcast(s), F.col("_spcd") == s.species_code, "left")
+    j = t.join(p, "plot_cn", "inner").join(s, F.col("_spcd") == s.species_code, "left")
     return (j.withColumn("diameter_class", bin_below("diameter_in", DIAMETER_CLASSES))
              .drop("_spcd"))
 

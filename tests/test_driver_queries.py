@@ -7,13 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from fieldlake.plans import mapped, mapped_b, mapped_geo
+from fieldlake.plans import mapped, mapped_b, mapped_c, mapped_geo
 from fieldlake.plans.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
 SQL = E.oracle_sql()
 # the corpus operators have tests of their own in tests/llm
-NAMES = sorted({**mapped.QUERIES, **mapped_b.QUERIES, **mapped_geo.QUERIES})
+NAMES = sorted({**mapped.QUERIES, **mapped_b.QUERIES, **mapped_geo.QUERIES, **mapped_c.QUERIES})
 
 
 @pytest.fixture(scope="module")
