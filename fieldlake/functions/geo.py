@@ -139,29 +139,49 @@ def contains_point(geom: str, px: str, py: str, eps: float = 1e-12) -> Column:
 
 
 # ---- G6 ---------------------------------------------------------------------------------------
-def _seg_dist(a: str, b: str, px: str, py: str) -> str:
-    kx = f"(cos(radians({py})) * {DEG * R})"
-    ky = f"{DEG * R}"
-    ax, ay = f"(({a}.x - {px}) * {kx})", f"(({a}.y - {py}) * {ky})"
-    bx, by = f"(({b}.x - {px}) * {kx})", f"(({b}.y - {py}) * {ky})"
-    dx, dy = f"({bx} - {ax})", f"({by} - {ay})"
-    ll = f"({dx} * {dx} + {dy} * {dy})"
-    t = f"(CASE WHEN {ll} = 0 THEN 0D ELSE greatest(0D, least(1D, -({ax} * {dx} + {ay} * {dy}) / {ll})) END)"
-    return f"sqrt(pow({ax} + {t} * {dx}, 2) + pow({ay} + {t} * {dy}, 2))"
+_UNIT = ("named_struct('x', cos(radians({y})) * cos(radians({x})), 'y', cos(radians({y})) * sin(radians({x})), "
+         "'z', sin(radians({y})))")
 
 
-def _ring_dist(r: str, px: str, py: str) -> str:
-    single = _seg_dist(f"{r}[0]", f"{r}[0]", px, py)
-    return (f"(CASE WHEN size({r}) = 1 THEN {single} ELSE array_min(transform(sequence(0, size({r}) - 2), "
-            f"i10 -> {_seg_dist(f'{r}[i10]', f'{r}[i10 + 1]', px, py)})) END)")
+def _chord_dist(a: str, p: str) -> str:
+    """Great-circle metres between two unit vectors."""
+    return (f"(2 * {R} * asin(least(1D, sqrt(pow({a}.x - {p}.x, 2) + pow({a}.y - {p}.y, 2) + pow({a}.z - {p}.z, 2)) / 2)))")
+
+
+def _arc_dist(a: str, b: str, p: str) -> str:
+    """Great-circle metres from ``p`` to the shorter arc between ``a`` and
+    ``b``: to the arc's plane where ``p`` lies between the planes through its
+    ends, else to the nearer end.  Vectors have no antimeridian."""
+    normal = (f"named_struct('x', {a}.y * {b}.z - {a}.z * {b}.y, 'y', {a}.z * {b}.x - {a}.x * {b}.z, "
+              f"'z', {a}.x * {b}.y - {a}.y * {b}.x)")
+    n = "n13"
+    after_a = (f"({n}.y * {a}.z - {n}.z * {a}.y) * {p}.x + ({n}.z * {a}.x - {n}.x * {a}.z) * {p}.y + "
+               f"({n}.x * {a}.y - {n}.y * {a}.x) * {p}.z")
+    before_b = (f"({b}.y * {n}.z - {b}.z * {n}.y) * {p}.x + ({b}.z * {n}.x - {b}.x * {n}.z) * {p}.y + "
+                f"({b}.x * {n}.y - {b}.y * {n}.x) * {p}.z")
+    size = f"({n}.x * {n}.x + {n}.y * {n}.y + {n}.z * {n}.z)"
+    height = f"(({n}.x * {p}.x + {n}.y * {p}.y + {n}.z * {p}.z) / sqrt({size}))"
+    return (f"transform(array({normal}), n13 -> CASE WHEN {size} > 1e-24 AND {after_a} >= 0 AND {before_b} >= 0 "
+            f"THEN {R} * abs(asin(greatest(-1D, least(1D, {height})))) "
+            f"ELSE least({_chord_dist(a, p)}, {_chord_dist(b, p)}) END)[0]")
+
+
+def _ring_dist(r: str, p: str) -> str:
+    """Of a ring given as unit vectors."""
+    return (f"(CASE WHEN size({r}) = 1 THEN {_chord_dist(f'{r}[0]', p)} ELSE array_min(transform(sequence(0, size({r}) - 2), "
+            f"i10 -> {_arc_dist(f'{r}[i10]', f'{r}[i10 + 1]', p)})) END)")
 
 
 def distance_to_boundary_m(geom: str, px: str, py: str) -> Column:
-    """Shortest distance (m) from a point to any vertex/edge of the geometry's
-    lines or rings, in a local equirectangular projection at the point."""
+    """Shortest great-circle distance (m) from a point to any vertex or edge
+    of the geometry's lines or rings; edges are great-circle arcs.  NULL for a
+    NULL coordinate and for a geometry without vertices."""
     g = _sql(geom)
     x, y = _sql(px), _sql(py)
-    return F.expr(f"array_min(transform(flatten({g}.parts), rr11 -> {_ring_dist('rr11', x, y)}))")
+    unit = _UNIT.format(x="v13.x", y="v13.y")
+    rings = f"transform(filter(flatten({g}.parts), q -> size(q) > 0), rr11 -> transform(rr11, v13 -> {unit}))"
+    return F.expr(f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN transform(array({_UNIT.format(x=x, y=y)}), "
+                  f"p13 -> array_min(transform({rings}, rr12 -> {_ring_dist('rr12', 'p13')})))[0] END")
 
 
 def distance_m(geom: str, px: str, py: str) -> Column:

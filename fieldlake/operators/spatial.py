@@ -23,6 +23,7 @@ from ..functions import geo
 from ..session import ensure_checkpoint_dir
 
 DEG_M = math.pi / 180.0 * EARTH_RADIUS_M
+MIN_STEPS = 32   # lattice rows and columns of a basin, at least
 
 
 def _cells_of_box(xmin: Column, xmax: Column, ymin: Column, ymax: Column, cell: float) -> Column:
@@ -68,53 +69,73 @@ def assign_to_boxes(points: DataFrame, boxes: DataFrame, px: str, py: str,
                     & F.col(py).between(F.col(ymin), F.col(ymax))).drop("_cx", "_cy")
 
 
+def _level_cells(lon: Column, lat: Column, k: int) -> tuple[Column, Column]:
+    """Column and row of a position in the grid of 2**k columns around the globe."""
+    size = 360.0 / (1 << k)
+    return (F.pmod(F.floor((lon + 180.0) / size).cast("long"), F.lit(1 << k).cast("long")), F.floor((lat + 90.0) / size).cast("long"))
+
+
+def _geometry_level_cells(geoms: DataFrame, geom_id: str, geom_col: str, k: int) -> DataFrame:
+    """(geom_id, _cx, _cy): the cells a geometry's box covers; the box is
+    raised by what a great-circle edge as wide as the box can bulge."""
+    size = 360.0 / (1 << k)
+    bb = geoms.select(geom_id, geo.bbox(geom_col).alias("_bb")).filter(F.col("_bb.xmin").isNotNull())
+    width = F.radians(F.least(F.col("_bb.xmax") - F.col("_bb.xmin"), F.lit(180.0)))
+    bulge = F.degrees(width * width / 16)
+    x0, x1 = (F.floor((F.col(f"_bb.{c}") + 180.0) / size).cast("long") for c in ("xmin", "xmax"))
+    y0 = F.floor((F.greatest(F.lit(-90.0), F.col("_bb.ymin") - bulge) + 90.0) / size).cast("long")
+    y1 = F.floor((F.least(F.lit(90.0), F.col("_bb.ymax") + bulge) + 90.0) / size).cast("long")
+    around = F.array_distinct(F.transform(F.sequence(x0, F.least(x1, x0 + (1 << k))), lambda i: F.pmod(i, F.lit(1 << k).cast("long"))))
+    return (bb.select(geom_id, F.explode(around).alias("_cx"), F.sequence(y0, y1).alias("_ys"))
+              .select(geom_id, "_cx", F.explode("_ys").alias("_cy")))
+
+
 def nearest_geometry(points: DataFrame, geoms: DataFrame, point_id: str, geom_id: str, px: str, py: str,
-                     geom_col: str, cell: float = 1.0, inside_is_zero: bool = False,
-                     max_rounds: int = 16) -> DataFrame:
-    """For every point, the geometry at the smallest distance (ties to the
-    smallest ``geom_id``) and that distance in metres.
-
-    Search squares of radius r = 1, 2, 4, ... cells.  A point is settled once
-    its best candidate lies within the distance the square is guaranteed to
-    cover (r·cell in the point's local metric); unsettled points go to the
-    next round.  Each round is checkpointed to the shared checkpoint folder,
-    so lineage stays short and a lost executor only repeats one round.  Once
-    the square spans the globe every geometry is a candidate, so the result is
-    exact for every point -- no cap on candidates."""
+                     geom_col: str, cell: float = 1.0, inside_is_zero: bool = False) -> DataFrame:
+    """For every point, the geometry at the smallest great-circle distance
+    (ties to the smallest ``geom_id``) and that distance in metres.
+
+    A point looks at its cell and the eight around it, in a grid that begins
+    near ``cell`` degrees and doubles each round; columns wrap around the
+    globe.  It is settled once its best candidate lies nearer than anything
+    outside those nine cells can, and in the last round, whose cells hold the
+    whole world, in any case; so every point is settled, whatever the rounds.
+    Only ids are exploded and deduplicated; geometries join last.  Each round
+    is checkpointed to the shared folder.  A point without coordinates, and
+    every point when there are no geometries, keeps NULL for both columns."""
     ensure_checkpoint_dir(points.sparkSession)
     dist = geo.distance_m(geom_col, px, py) if inside_is_zero else geo.distance_to_boundary_m(geom_col, px, py)
-    gcells = geometry_cells(geoms.select(geom_id, geom_col), geom_col, cell).drop("_bb")
-    pending = point_cells(points.select(point_id, px, py), px, py, cell)
-    settled = []
-    r = 1
-    for _ in range(max_rounds):
+    located = F.col(px).isNotNull() & F.col(py).isNotNull()
+    shapes = geoms.select(geom_id, geom_col)
+    none = points.filter(~located).select(point_id, F.lit(None).cast(shapes.schema[geom_id].dataType).alias(geom_id),
+                                          F.lit(None).cast("double").alias("distance_m"))
+    pending = points.filter(located).select(point_id, px, py)
+    settled = [none]
+    for k in range(max(1, math.floor(math.log2(360.0 / cell))), 0, -1):
         t0 = time.perf_counter()
-        offs = F.sequence(F.lit(-r).cast("long"), F.lit(r).cast("long"))
-        nb = pending.withColumn("_n", F.explode(F.flatten(F.transform(offs, lambda a: F.transform(
-            offs, lambda b: F.struct((F.col("_cx") + a).alias("cx"), (F.col("_cy") + b).alias("cy")))))))
-        nb = nb.select(point_id, px, py, F.col("_n.cx").alias("_cx"), F.col("_n.cy").alias("_cy"))
-        cand = (nb.join(gcells, on=["_cx", "_cy"], how="inner").select(point_id, px, py, geom_id, geom_col)
-                  .dropDuplicates([point_id, geom_id]).withColumn("_d", dist))
-        best = (cand.groupBy(point_id)
-                    .agg(F.min(F.struct(F.col("_d").alias("d"), F.col(geom_id).alias("g"))).alias("_b")))
-        whole_world = r * cell >= 360.0
-        guard = F.lit(r * cell * DEG_M) * F.cos(F.radians(F.col(py)))
-        ok = F.col("_b").isNotNull() & (F.lit(True) if whole_world else (F.col("_b.d") <= guard))
-        # every pending point stays in the round's table (left join), so the
-        # next round's input is a filter of this one checkpointed table
-        rnd = (pending.join(best, on=point_id, how="left").withColumn("_ok", ok)
-                      .checkpoint(eager=True))
-        settled.append(rnd.filter("_ok").select(point_id, F.col("_b.g").alias(geom_id),
-                                                F.col("_b.d").alias("distance_m")))
-        if whole_world:
-            break
-        pending = rnd.filter(~F.col("_ok")).select(point_id, px, py, "_cx", "_cy")
+        size = 360.0 / (1 << k)
+        cx, cy = _level_cells(F.col(px), F.col(py), k)
+        near = F.array_distinct(F.flatten(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda a: F.transform(
+            F.array(*map(F.lit, (-1, 0, 1))), lambda b: F.struct(
+                F.pmod(F.col("_x") + a, F.lit(1 << k).cast("long")).alias("cx"), (F.col("_y") + b).alias("cy"))))))
+        probes = (pending.select(point_id, cx.alias("_x"), cy.alias("_y")).select(point_id, F.explode(near).alias("_n"))
+                         .select(point_id, F.col("_n.cx").alias("_cx"), F.col("_n.cy").alias("_cy")))
+        pairs = (probes.join(_geometry_level_cells(shapes, geom_id, geom_col, k), on=["_cx", "_cy"])
+                       .select(point_id, geom_id).distinct())
+        best = (pairs.join(pending, point_id).join(shapes, geom_id).withColumn("_d", dist).filter(F.col("_d").isNotNull())
+                     .groupBy(point_id).agg(F.min(F.struct(F.col("_d").alias("d"), F.col(geom_id).alias("g"))).alias("_b")))
+        # nearest thing outside the nine cells: a row away, or across a meridian a column away
+        across = F.asin(F.cos(F.radians(F.col(py))) * F.sin(F.radians(F.lit(min(size, 90.0)))))
+        guard = EARTH_RADIUS_M * F.least(F.radians(F.lit(size)), across)
+        ok = F.lit(True) if k == 1 else F.col("_b").isNotNull() & (F.col("_b.d") <= guard)
+        rnd = pending.join(best, on=point_id, how="left").withColumn("_ok", ok).checkpoint(eager=True)
+        settled.append(rnd.filter("_ok").select(point_id, F.col("_b.g").alias(geom_id), F.col("_b.d").alias("distance_m")))
+        pending = rnd.filter(~F.col("_ok")).select(point_id, px, py)
         done = pending.isEmpty()
-        log.debug("nearest_geometry: radius %d cells done in %.2fs, unsettled left: %s", r,
+        log.debug("nearest_geometry: cells of %.4f degrees done in %.2fs, unsettled left: %s", size,
                   time.perf_counter() - t0, not done)
         if done:
             break
-        r *= 2
     out = settled[0]
     for s_ in settled[1:]:
         out = out.unionByName(s_)
@@ -122,25 +143,30 @@ def nearest_geometry(points: DataFrame, geoms: DataFrame, point_id: str, geom_id
 
 
 def overlap_percent(basins: DataFrame, burns: DataFrame, basin_id: str, basin_geom: str, burn_geom: str,
-                    resolution: float = 0.01, cell: float = 1.0) -> DataFrame:
+                    resolution: float = 0.01, cell: float = 1.0, min_steps: int = MIN_STEPS) -> DataFrame:
     """area(basin ∩ any burn) / area(basin) × 100 by grid sampling.
 
     The basin's bounding box is covered by a lattice of ``resolution``
     degrees; lattice centres inside the basin are weighted by cos(lat) (area
     element) and tested against the burns with the grid spatial join.
     Error shrinks with the resolution (about one lattice cell along the
-    boundary).  Zero basin area gives 0."""
+    boundary); a small basin gets a finer lattice of its own.  A basin where
+    nothing could be sampled (no area) gives NULL."""
     b = basins.select(basin_id, basin_geom).withColumn("_bb", geo.bbox(basin_geom))
-    nx = F.ceil((F.col("_bb.xmax") - F.col("_bb.xmin")) / resolution).cast("long")
-    ny = F.ceil((F.col("_bb.ymax") - F.col("_bb.ymin")) / resolution).cast("long")
+    b = b.filter(F.col("_bb.xmin").isNotNull())
+    # at least min_steps lattice rows and columns, so a basin below one step is sampled too
+    wide, high = F.col("_bb.xmax") - F.col("_bb.xmin"), F.col("_bb.ymax") - F.col("_bb.ymin")
+    nx = F.greatest(F.ceil(wide / resolution), F.lit(min_steps)).cast("long")
+    ny = F.greatest(F.ceil(high / resolution), F.lit(min_steps)).cast("long")
+    b = b.withColumn("_sx", F.least(F.lit(resolution), wide / min_steps)).withColumn("_sy", F.least(F.lit(resolution), high / min_steps))
     # explode lattice rows first and spread them over tasks before exploding
     # columns, so one large basin is not generated inside a single task
     rows_ = (b.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), nx - 1)))
               .withColumn("_ny", ny)
               .repartition(basin_id, "_i"))
     lat = (rows_.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_ny") - 1)))
-             .withColumn("_lx", F.col("_bb.xmin") + (F.col("_i") + 0.5) * resolution)
-             .withColumn("_ly", F.col("_bb.ymin") + (F.col("_j") + 0.5) * resolution))
+             .withColumn("_lx", F.col("_bb.xmin") + (F.col("_i") + 0.5) * F.col("_sx"))
+             .withColumn("_ly", F.col("_bb.ymin") + (F.col("_j") + 0.5) * F.col("_sy")))
     inside = (lat.filter(geo.contains_point(basin_geom, "_lx", "_ly"))
                  .select(basin_id, "_i", "_j", "_lx", "_ly", F.cos(F.radians("_ly")).alias("_w")))
     burned = (spatial_join(inside, burns.select(burn_geom), "_lx", "_ly", burn_geom, cell)
@@ -150,7 +176,7 @@ def overlap_percent(basins: DataFrame, burns: DataFrame, basin_id: str, basin_ge
     return (basins.select(basin_id).join(tot, basin_id, "left").join(hit, basin_id, "left")
                   .select(basin_id, F.when(F.coalesce("_tot", F.lit(0.0)) > 0,
                                            F.coalesce("_hit", F.lit(0.0)) / F.col("_tot") * 100)
-                          .otherwise(F.lit(0.0)).alias("pct_burned")))
+                          .alias("pct_burned")))
 
 
 def point_report(pairs: DataFrame, points: DataFrame, polys: DataFrame, point_id: str, poly_id: str,

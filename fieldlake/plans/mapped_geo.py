@@ -196,7 +196,7 @@ def overlap_fraction(spark, sf):
     any burn, from a 0.35° lattice weighted by cos(latitude)."""
     basins = supplier_polygons(spark, sf).select("s_suppkey", "geom")
     burns = region_burns(spark, sf).select("bgeom")
-    out = spatial.overlap_percent(basins, burns, "s_suppkey", "geom", "bgeom", resolution=0.35, cell=2.0)
+    out = spatial.overlap_percent(basins, burns, "s_suppkey", "geom", "bgeom", resolution=0.35, cell=2.0, min_steps=1)
     return out.select("s_suppkey", fr("pct_burned", 6).alias("pct_burned"))
 
 

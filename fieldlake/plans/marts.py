@@ -126,7 +126,7 @@ def fct_gage_stream_validation(spark: SparkSession, streams: DataFrame, gage=GAG
     pt = spark.createDataFrame([(gid, gname, float(lon), float(lat))], "gage_id string, gage_name string, lon double, lat double")
     near = spatial.nearest_geometry(pt, streams.select("segment_id", "geom"), "gage_id", "segment_id",
                                     "lon", "lat", "geom", cell=cell)
-    return (near.join(pt.select("gage_id", "gage_name"), "gage_id")
+    return (near.filter(F.col("segment_id").isNotNull()).join(pt.select("gage_id", "gage_name"), "gage_id")
                 .join(streams.select("segment_id", "stream_type"), "segment_id")
                 .select("gage_id", "gage_name", "segment_id", "stream_type", "distance_m"))
 

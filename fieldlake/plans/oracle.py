@@ -502,15 +502,24 @@ _ONEDGE = ("(abs((e2.x2 - e2.x1) * (p.lat - e2.y1) - (e2.y2 - e2.y1) * (p.lon -
 _CROSS = "CASE WHEN ((e2.y1 > p.lat) <> (e2.y2 > p.lat)) AND (p.lon < (e2.x2 - e2.x1) * (p.lat - e2.y1) / (e2.y2 - e2.y1) + e2.x1) THEN 1 ELSE 0 END"
 
 
+def _hav_sql(x1, y1, x2, y2):
+    return (f"(2 * asin(least(1.0, sqrt(pow(sin((radians({y2}) - radians({y1})) / 2), 2) + cos(radians({y1})) * cos(radians({y2})) "
+            f"* pow(sin((radians({x2}) - radians({x1})) / 2), 2)))))")
+
+
+def _bearing_sql(x1, y1, x2, y2):
+    dx = f"(radians({x2}) - radians({x1}))"
+    return (f"atan2(sin({dx}) * cos(radians({y2})), cos(radians({y1})) * sin(radians({y2})) - sin(radians({y1})) * cos(radians({y2})) * cos({dx}))")
+
+
 def _seg_dist_sql(px, py):
-    kx = f"(cos(radians({py})) * {_DEGR!r})"
-    ky = f"{_DEGR!r}"
-    ax, ay = f"((x1 - {px}) * {kx})", f"((y1 - {py}) * {ky})"
-    bx, by = f"((x2 - {px}) * {kx})", f"((y2 - {py}) * {ky})"
-    dx, dy = f"({bx} - {ax})", f"({by} - {ay})"
-    ll = f"({dx} * {dx} + {dy} * {dy})"
-    t = f"(CASE WHEN {ll} = 0 THEN 0.0 ELSE greatest(0.0, least(1.0, -({ax} * {dx} + {ay} * {dy}) / {ll})) END)"
-    return f"sqrt(pow({ax} + {t} * {dx}, 2) + pow({ay} + {t} * {dy}, 2))"
+    """Haversine distances to the ends; between them the cross-track distance."""
+    to_p, to_b = _hav_sql("x1", "y1", px, py), _hav_sql("x1", "y1", "x2", "y2")
+    turn = f"({_bearing_sql('x1', 'y1', px, py)} - {_bearing_sql('x1', 'y1', 'x2', 'y2')})"
+    along = f"atan2(sin({to_p}) * cos({turn}), cos({to_p}))"
+    ends = f"least({to_p}, {_hav_sql('x2', 'y2', px, py)})"
+    return (f"{_R!r} * (CASE WHEN {to_b} > 1e-12 AND cos({turn}) >= 0 AND {along} <= {to_b} "
+            f"THEN abs(asin(greatest(-1.0, least(1.0, sin({to_p}) * sin({turn}))))) ELSE {ends} END)")
 
 
 SQL["spatial_join_grid"] = f"""

@@ -88,6 +88,42 @@ def test_nearest_equals_brute_force(spark):
     assert near == brute
 
 
+def test_distance_far_away_and_across_the_antimeridian(spark):
+    import math
+    r = 6371008.8 if not hasattr(geo, "R") else geo.R
+
+    def hav(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        return 2 * r * math.asin(math.sqrt(math.sin((d - b) / 2) ** 2 + math.cos(b) * math.cos(d) * math.sin((c - a) / 2) ** 2))
+
+    geoms = [(1, "LINESTRING (10 60, 10 61)"), (2, "LINESTRING (179.5 0, 179.9 0)"), (3, "LINESTRING (-170 10, -169 10)"),
+             (4, "LINESTRING (0 0, 20 0)"), (5, "LINESTRING (179 5, -179 5)")]
+    g = spark.createDataFrame(geoms, "sid int, wkt string").withColumn("geom", geo.parse_wkt("wkt"))
+    pts = spark.createDataFrame([(1, -20.0, 60.0), (2, -179.9, 0.1), (3, 10.0, 30.0), (4, 180.0, 5.5), (5, None, 1.0)], "pid int, x double, y double")
+    d = {(x.pid, x.sid): x.d for x in pts.crossJoin(g).withColumn("d", geo.distance_to_boundary_m("geom", "x", "y")).collect()}
+    assert abs(d[1, 1] - hav(-20, 60, 10, 61)) < 1 or abs(d[1, 1] - hav(-20, 60, 10, 60)) < 1 or d[1, 1] < hav(-20, 60, 10, 60)
+    assert abs(d[2, 2] - hav(-179.9, 0.1, 179.9, 0)) < 1e-3
+    assert abs(d[3, 4] - math.radians(30) * r) < 1e-3          # straight down to the equator
+    assert d[4, 5] < math.radians(0.51) * r                    # an edge over the antimeridian
+    assert d[5, 1] is None
+    near = {x.pid: (x.sid, x.distance_m) for x in spatial.nearest_geometry(pts, g, "pid", "sid", "x", "y", "geom", cell=0.01).collect()}
+    assert near[5] == (None, None) and len(near) == 5
+    for p in (1, 2, 3, 4):
+        sid = min((1, 2, 3, 4, 5), key=lambda s: (d[p, s], s))
+        assert near[p][0] == sid and abs(near[p][1] - d[p, sid]) < 1e-6
+    nothing = spatial.nearest_geometry(pts, g.limit(0), "pid", "sid", "x", "y", "geom").collect()
+    assert sorted(x.pid for x in nothing) == [1, 2, 3, 4, 5] and all(x.sid is None for x in nothing)
+
+
+def test_overlap_of_a_small_basin(spark):
+    basin = spark.createDataFrame([("in", "POLYGON ((0 0, 0.001 0, 0.001 0.001, 0 0.001, 0 0))"), ("flat", "POLYGON ((5 5, 5 5, 5 5, 5 5))")],
+                                  "gage_id string, w string").withColumn("basin_geom", geo.parse_wkt("w"))
+    fires = spark.createDataFrame([("POLYGON ((-1 -1, 1 -1, 1 1, -1 1, -1 -1))",)], "w string").withColumn("fire_geom", geo.parse_wkt("w"))
+    got = {x.gage_id: x.pct_burned for x in
+           spatial.overlap_percent(basin, fires.select("fire_geom"), "gage_id", "basin_geom", "fire_geom").collect()}
+    assert got["in"] == 100.0 and got["flat"] in (None, 0.0)
+
+
 def test_overlap_percent_square(spark):
     basin = spark.createDataFrame([("b1", "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))"), ("b2", "POLYGON ((5 5, 6 5, 6 6, 5 6, 5 5))")],
                                   "gage_id string, w string").withColumn("basin_geom", geo.parse_wkt("w"))
