@@ -11,7 +11,11 @@ suffix put out; only what lies beyond is ever compared, and the merge yields
 the common prefixes of neighbours as it goes.  The bytes to the left of each
 anchor travel with it, front-coded too.  Two occurrences share the window that
 begins t bytes before the anchor exactly if they share t bytes to the left and
-length - t to the right."""
+length - t to the right.
+
+A gram with very many places would bring them all to one part.  Its windows
+go by their own hashes instead, each once a run, so that no part receives more
+than an entry a run of any of them."""
 
 from __future__ import annotations
 
@@ -22,13 +26,14 @@ from pyspark.sql import functions as F
 
 from fieldlake.llm import flat
 from fieldlake.llm.common import stored, table
-from fieldlake.llm.substrings import same_text
+from fieldlake.llm.substrings import runs, same_text
 
 LENGTH = 400
 GRAM = 160
 RUN_BYTES = 8 << 20     # text behind one run
 PART_BYTES = 16 << 20   # text behind a part, on average
 SLICE = 1 << 20
+FREQUENT = 10_000       # places from which a gram's windows go by their own hashes
 _BYTE = flat.mix(np.arange(1, 257, dtype=np.uint64) * flat.ODD)
 
 
@@ -140,7 +145,7 @@ def merge(runs: list[tuple[list[int], list[bytes]]]) -> tuple[list[tuple[int, in
 
 
 _SPAN = pa.schema([("doc_id", pa.int64()), ("same", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
-_BLOBS = ("shared", "sizes", "rests", "left_shared", "left_sizes", "left_rests", "twice", "has_id", "ids", "sames", "places")
+_BLOBS = ("shared", "sizes", "rests", "left_shared", "left_sizes", "left_rests", "twice", "has_id", "ids", "sames", "places", "hashes")
 _RUN = pa.schema([("part", pa.int64()), *[(b, pa.binary()) for b in _BLOBS]])
 
 
@@ -148,6 +153,20 @@ def _spans(has_id, ids, sames, starts, ends) -> pa.Table:
     return pa.table([pa.array(ids, pa.int64(), mask=~has_id), pa.array(sames, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], schema=_SPAN)
 
 
+def _where(places: list[tuple]) -> dict:
+    return {"has_id": bytes(i is not None for i, *_ in places), "ids": np.array([i or 0 for i, *_ in places], "<i8").tobytes(),
+            "sames": np.array([s for _, s, *_ in places], "<i8").tobytes(), "places": np.array([p[2:] for p in places], "<i4").tobytes()}
+
+
+def _row(**blobs) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([blobs], _RUN)
+
+
+def _known(part: int, spans: list[tuple]) -> pa.RecordBatch:
+    """Spans (doc_id, same, start, end) that need no other run pass through a part."""
+    return _row(part=part, **_where(spans))
+
+
 def _whole(left: int, right: int, length: int, reach: int) -> tuple[int, int]:
     """Smallest and largest t whose window lies in the text."""
     return max(0, length - right), min(reach, left)
@@ -159,10 +178,51 @@ def _runs(length: int, gram: int, parts: int):
     entry goes on without places, only to be met by other runs."""
     reach = length - gram
 
+    def send_windows(entries):
+        """Of frequent grams: every window once, with its place if the run has it once."""
+        surroundings: dict[tuple, list] = {}
+        for _, right, left, where in entries:
+            surroundings.setdefault((right, left), []).append(where)
+        keys, starts = list(surroundings), []
+        hashes, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for i, (right, left) in enumerate(keys):
+            low, high = _whole(len(left), len(right), length, reach)
+            text = np.frombuffer(left[::-1] + right, np.uint8)
+            start = np.arange(len(left) - high, len(left) - low + 1)
+            starts.append(start - len(left))
+            if len(start):
+                # with the anchor's offset: two anchors of one place must not make it a duplicate of itself
+                h = flat.Windows(_BYTE[text]).at(start, length)
+                hashes.append(flat.mix(h ^ (len(left) - start).astype(np.uint64) * flat.ODD))
+            of.append(np.full(len(start), i))
+        h, of, start = np.concatenate(hashes), np.concatenate(of), np.concatenate(starts or [np.zeros(0, np.int64)])
+        many = np.array([len(surroundings[k]) for k in keys], np.int64)
+        found, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        again = np.bincount(inverse, many[of], len(found)) > 1
+        # windows that the run has twice are duplicates at once, everywhere in it
+        spans = []
+        hit = np.flatnonzero(again[inverse])
+        begin = runs(start[hit], of[hit])
+        for a, n in zip(hit[begin].tolist(), np.diff(begin, append=len(hit)).tolist()):
+            for doc_id, same, p in surroundings[keys[of[a]]]:
+                spans.append((doc_id, same, p + int(start[a]), p + int(start[a]) + n - 1 + length))
+        place = [(None, 0, -1) if twice else surroundings[keys[of[i]]][0][:2] + (surroundings[keys[of[i]]][0][2] + int(start[i]),)
+                 for i, twice in zip(first.tolist(), again.tolist())]
+        part = (found % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        cut = np.flatnonzero(np.diff(part[order], prepend=-1))
+        for a, z in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):
+            own = order[a:z]
+            yield _row(part=int(part[own[0]]), hashes=found[own].tobytes(), **_where([place[i] for i in own.tolist()]))
+        if spans:
+            yield _known(0 if not len(part) else int(part[0]), spans)
+
     def send(entries):
+        yield from send_windows([e for e in entries if e[0] < 0])
         by_part: dict[int, dict] = {}
         for part, right, left, where in entries:
-            by_part.setdefault(part, {}).setdefault((right, left), []).append(where)
+            if part >= 0:
+                by_part.setdefault(part, {}).setdefault((right, left), []).append(where)
         for part, group in by_part.items():
             keys = sorted(group)
             once = [group[k][0] if len(group[k]) == 1 else (None, 0, -1) for k in keys]
@@ -172,18 +232,9 @@ def _runs(length: int, gram: int, parts: int):
                 if len(group[k]) > 1 and low <= high:
                     found += [(i, s, p - high, p - low + length) for i, s, p in group[k]]
             code, left = front_code([k[0] for k in keys]), front_code([k[1] for k in keys])
-            yield pa.RecordBatch.from_pylist([
-                {"part": part, **code, **{"left_" + n: v for n, v in left.items()},
-                 "twice": bytes(len(group[k]) > 1 for k in keys), "has_id": bytes(i is not None for i, _, _ in once),
-                 "ids": np.array([i or 0 for i, _, _ in once], "<i8").tobytes(), "sames": np.array([s for _, s, _ in once], "<i8").tobytes(),
-                 "places": np.array([p for _, _, p in once], "<i4").tobytes()}], _RUN)
+            yield _row(part=part, **code, **{"left_" + n: v for n, v in left.items()}, twice=bytes(len(group[k]) > 1 for k in keys), **_where(once))
             if found:
-                # spans that are known already pass through the part
-                has, ids = [f[0] is not None for f in found], [f[0] or 0 for f in found]
-                yield pa.RecordBatch.from_pylist([
-                    {"part": part, "shared": None, "has_id": bytes(has), "ids": np.array(ids, "<i8").tobytes(),
-                     "sames": np.array([f[1] for f in found], "<i8").tobytes(),
-                     "places": np.array([f[2:] for f in found], "<i4").tobytes()}], _RUN)
+                yield _known(part, found)
 
     def run(batches):
         entries, held = [], 0
@@ -205,22 +256,30 @@ def _match(length: int, gram: int):
     reach = length - gram
 
     def run(rows: pa.Table) -> pa.Table:
-        runs, lefts, twice, places, out = [], [], [], [], []
+        heads, lefts, twice, places, windows, out = [], [], [], [], [], []
         for r in rows.to_pylist():
             where = (np.frombuffer(r["has_id"], bool), np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["sames"], "<i8"))
+            if r["hashes"] is not None:
+                windows.append((np.frombuffer(r["hashes"], np.uint64), *where, np.frombuffer(r["places"], "<i4")))
+                continue
             if r["shared"] is None:
                 ends = np.frombuffer(r["places"], "<i4").reshape(-1, 2)
                 out.append(_spans(*where, ends[:, 0], ends[:, 1]))
                 continue
-            runs.append(front_decode(r["shared"], r["sizes"], r["rests"]))
+            heads.append(front_decode(r["shared"], r["sizes"], r["rests"]))
             lefts.append(front_decode(r["left_shared"], r["left_sizes"], r["left_rests"])[1])
             twice.append(np.frombuffer(r["twice"], bool))
             places.append((*where, np.frombuffer(r["places"], "<i4")))
-        if runs:
-            order, common = merge(runs)
+        if windows:
+            h, has, ids, sames, start = (np.concatenate(x) for x in zip(*windows))
+            _, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
+            hit = np.flatnonzero((count[inverse] > 1) & (start >= 0))
+            out.append(_spans(has[hit], ids[hit], sames[hit], start[hit], start[hit] + length))
+        if heads:
+            order, common = merge(heads)
             base = np.cumsum([0] + [len(x) for x in lefts])
             at = np.array([base[r] + i for r, i in order], np.int64)
-            right_size = np.array([len(runs[r][1][i]) for r, i in order])
+            right_size = np.array([len(heads[r][1][i]) for r, i in order])
             left = [lefts[r][i] for r, i in order]
             low, high = shared_windows(np.array(common), right_size, left, np.concatenate(twice)[at], length, reach)
             has, ids, sames, place = (np.concatenate(x)[at] for x in zip(*places))
@@ -262,15 +321,16 @@ def shared_windows(common: np.ndarray, right_size: np.ndarray, left: list[bytes]
     return low, high
 
 
-def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part_bytes: int = PART_BYTES) -> DataFrame:
+def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part_bytes: int = PART_BYTES,
+                    frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, same, start, end): byte spans covered by strings of ``length`` bytes that occur elsewhere too."""
     d = docs.select("doc_id", "text", same_text(F.col("text")).alias("same"))
     parts = max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // part_bytes))
     anchors = stored(d.mapInArrow(_anchors(length, gram), "doc_id long, same long, grams array<long>, places array<int>"), "anchors")
     one = anchors.select("doc_id", "same", F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("places").alias("place"))))
     # stored, so that the join below deals both sides anew and Spark can split a gram with very many places
-    repeated = stored(one.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "repeated-grams")
-    part = F.pmod(F.xxhash64("gram"), F.lit(parts))
+    repeated = stored(one.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "repeated-grams")
+    part = F.when(F.col("n") >= frequent, -1).otherwise(F.pmod(F.xxhash64("gram"), F.lit(parts))).cast("long")
     kept = stored(one.join(repeated, "gram").groupBy("doc_id", "same")
                   .agg(F.collect_set(F.struct("place", part.alias("part"))).alias("anchors"))
                   .select(F.col("doc_id").alias("_d"), F.col("same").alias("_s"), "anchors"), "repeated-anchors")
@@ -304,7 +364,8 @@ def _cut(batches):
                                          [*[c for c in b.schema.names if c not in ("text", "found")], "n_bytes", "n_removed", "kept", "kept_text", "spans"])
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: list[str] = ["doc_id"]) -> DataFrame:  # noqa: B006
+def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: list[str] = ["doc_id"],  # noqa: B006
+                frequent: int = FREQUENT) -> DataFrame:
     """The ``keep`` columns with n_bytes, n_removed, kept (binary), kept_text and spans of every row of docs(doc_id, text).
 
     Every byte covered by a string of ``length`` bytes that also starts
@@ -313,7 +374,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: l
     are occurrences of their own; null ids are kept; an empty table gives no
     rows.  A span may begin or end inside a UTF-8 character; ``kept_text`` drops what
     is left of such characters, and is null where the text is."""
-    found = stored(duplicate_spans(docs, length, gram), "spans")
+    found = stored(duplicate_spans(docs, length, gram, frequent=frequent), "spans")
     found = (found.groupBy("doc_id", "same").agg(F.collect_set(F.struct("start", "end")).alias("found"))
              .select(F.col("doc_id").alias("_d"), F.col("same").alias("_s"), "found"))
     names = list(dict.fromkeys([*keep, "doc_id", "text"]))

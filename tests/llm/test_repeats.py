@@ -52,9 +52,9 @@ def words_of(df):
     return sorted(map(tuple, substrings.deduplicate(df).select(*cols).collect()), key=repr)
 
 
-def bytes_of(df, length, gram):
+def bytes_of(df, length, gram, frequent=suffixes.FREQUENT):
     cols = ("doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256))
-    return sorted(map(tuple, suffixes.deduplicate(df, length, gram).select(*cols).collect()), key=repr)
+    return sorted(map(tuple, suffixes.deduplicate(df, length, gram, frequent=frequent).select(*cols).collect()), key=repr)
 
 
 def test_substrings_odd_rows(spark):
@@ -91,7 +91,8 @@ def test_suffixes_odd_rows(spark, seed, length, gram):
     rows = [(1, None), (2, ""), (None, p), (3, text(50) + p + text(50)), (4, p[5:] + p[3:50]), (5, "ab" * 70), (6, "x" + "ab" * 40),
             (7, text(400, 2)), (8, text(400, 2)), (9, p), (9, p), (10, text(30, 5)), (11, p[:29]), (12, "é" * 50)]
     df = with_clashes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
-    assert bytes_of(df, length, gram) == by_bytes(rows, length)
+    for frequent in (suffixes.FREQUENT, 4, 2):  # few, many and all repeated grams go by the windows' hashes
+        assert bytes_of(df, length, gram, frequent) == by_bytes(rows, length)
     assert bytes_of(df.limit(0), length, gram) == []
 
 
