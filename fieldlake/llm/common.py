@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldlake.session import shared_path
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def workers_find_this(spark: SparkSession) -> None:
+    """Python workers started from another folder find this package too."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of one table; other columns never enter the plan."""
+    workers_find_this(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
