@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlake.llm import mixing, neardup, packing, suffixes, toxicity
-from fieldlake.llm.common import stored, table
+from fieldlake.llm.common import stored, table, workers_find_this
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -25,22 +25,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
+    workers_find_this(spark)
     return neardup.keep_one(docs.select(*COLUMNS))
 
 
 def drop_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the passages it shares; n_chars follows."""
+    workers_find_this(spark)
     d = suffixes.deduplicate(docs, keep=[c for c in COLUMNS if c != "text"])
     return d.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    workers_find_this(spark)
     return mixing.apply_mix(docs.select(*COLUMNS))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and where they lie."""
+    workers_find_this(spark)
     return packing.pack(docs)
 
 
