@@ -48,13 +48,16 @@ def point_geom(lon, lat) -> Column:
 
 # ---- G2: WKT -> geometry ---------------------------------------------------------------
 _VERTS = ("transform(split(trim({r}), '\\\\s*,\\\\s*'), v -> named_struct("
-          "'x', cast(split(trim(v), '\\\\s+')[0] AS double), "
-          "'y', cast(split(trim(v), '\\\\s+')[1] AS double)))")
+          "'x', try_cast(get(split(trim(v), '\\\\s+'), 0) AS double), "
+          "'y', try_cast(get(split(trim(v), '\\\\s+'), 1) AS double)))")
 _RINGS = "regexp_extract_all({p}, '([^()]*[0-9][^()]*)', 1)"
 
 
 def parse_wkt(wkt: str) -> Column:
-    """POINT, LINESTRING, POLYGON, MULTILINESTRING, MULTIPOLYGON (2-D)."""
+    """POINT, LINESTRING, POLYGON, MULTILINESTRING, MULTIPOLYGON (2-D), and
+    GEOMETRYCOLLECTION, of which the polygons are kept, as a MULTIPOLYGON.
+    EMPTY geometries have no vertices; a coordinate that is no number is NULL.
+    See :func:`parse_problem` for what could not be read."""
     w = _sql(wkt)
     gtype = f"upper(regexp_extract({w}, '^\\\\s*([A-Za-z]+)', 1))"
     body = f"regexp_replace({w}, '^\\\\s*[A-Za-z]+\\\\s*', '')"
@@ -63,12 +66,27 @@ def parse_wkt(wkt: str) -> Column:
              f"p -> {rings_of_p})")
     rings_body = f"transform({_RINGS.format(p=body)}, r -> {_VERTS.format(r='r')})"
     lines = f"transform({_RINGS.format(p=body)}, r -> array({_VERTS.format(r='r')}))"
-    sql = (f"named_struct('gtype', {gtype}, 'parts', CASE {gtype} "
+    areas = f"regexp_replace({w}, '(?i)(MULTILINESTRING|MULTIPOINT)\\\\s*\\\\((\\\\s*\\\\([^()]*\\\\)\\\\s*,?)+\\\\s*\\\\)', '')"
+    members = f"regexp_extract_all({areas}, '\\\\((?:\\\\s*\\\\([^()]*\\\\)\\\\s*,?)+\\\\s*\\\\)', 0)"
+    collected = f"transform({members}, p -> {rings_of_p})"
+    label = f"(CASE WHEN {gtype} = 'GEOMETRYCOLLECTION' AND size({members}) > 0 THEN 'MULTIPOLYGON' ELSE {gtype} END)"
+    sql = (f"named_struct('gtype', {label}, 'parts', CASE {gtype} WHEN 'GEOMETRYCOLLECTION' THEN {collected} "
            f"WHEN 'MULTIPOLYGON' THEN {multi} WHEN 'MULTILINESTRING' THEN {lines} "
            f"ELSE array({rings_body}) END)")
     return F.expr(sql)
 
 
+def parse_problem(wkt: str, geom: str) -> Column:
+    """Why a geometry needs a look: 'missing', 'unknown type', 'no vertices',
+    'bad coordinate'; NULL if nothing is wrong.  Rows with a reason can be set
+    aside before a build; none of them makes an expression here fail."""
+    w, g = _sql(wkt), _sql(geom)
+    known = "('POINT', 'LINESTRING', 'POLYGON', 'MULTILINESTRING', 'MULTIPOLYGON', 'GEOMETRYCOLLECTION')"
+    v = f"flatten(flatten({g}.parts))"
+    return F.expr(f"CASE WHEN {w} IS NULL OR trim({w}) = '' THEN 'missing' WHEN {g}.gtype NOT IN {known} THEN 'unknown type' "
+                  f"WHEN size({v}) = 0 THEN 'no vertices' WHEN exists({v}, q -> q.x IS NULL OR q.y IS NULL) THEN 'bad coordinate' END")
+
+
 # ---- building blocks (SQL text) ------------------------------------------------------------
 def _edge_len(a: str, b: str) -> str:
     return (f"(2 * {R} * asin(sqrt(pow(sin((radians({b}.y) - radians({a}.y)) / 2), 2) + "
@@ -89,7 +107,7 @@ def _ring_area(r: str, i: str = "i2") -> str:
 
 def _part_area(p: str) -> str:
     holes = f"aggregate(slice({p}, 2, size({p}) - 1), 0D, (acc3, hr) -> acc3 + {_ring_area('hr', 'i3')})"
-    return f"({_ring_area(f'{p}[0]')} - {holes})"
+    return f"(CASE WHEN size({p}) = 0 THEN 0D ELSE {_ring_area(f'{p}[0]')} - {holes} END)"
 
 
 # ---- G3 / G4 ------------------------------------------------------------------------------
@@ -109,7 +127,7 @@ def length_m(geom: str) -> Column:
 
 def compactness(perimeter_m, area_m2_) -> Column:
     """Gravelius ratio P / (2·sqrt(π·A)); 1.0 = circle."""
-    return _c(perimeter_m) / (2 * F.sqrt(F.lit(math.pi) * _c(area_m2_)))
+    return _c(perimeter_m) / F.nullif(2 * F.sqrt(F.lit(math.pi) * _c(area_m2_)), F.lit(0.0))
 
 
 # ---- G5 -------------------------------------------------------------------------------------

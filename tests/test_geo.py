@@ -115,6 +115,26 @@ def test_distance_far_away_and_across_the_antimeridian(spark):
     assert sorted(x.pid for x in nothing) == [1, 2, 3, 4, 5] and all(x.sid is None for x in nothing)
 
 
+def test_collections_empty_and_broken_geometry(spark):
+    square = "((0 0, 1 0, 1 1, 0 1, 0 0))"
+    given = [("poly", f"POLYGON {square}"), ("coll", f"GEOMETRYCOLLECTION (POINT (5 5), POLYGON {square}, LINESTRING (0 0, 9 9))"),
+             ("multi", f"GEOMETRYCOLLECTION (MULTIPOLYGON ({square}, ((2 2, 3 2, 3 3, 2 3, 2 2))), MULTILINESTRING ((0 0, 9 9), (1 1, 2 2)))"),
+             ("lines", "GEOMETRYCOLLECTION (LINESTRING (0 0, 9 9))"), ("empty", "POLYGON EMPTY"), ("mempty", "MULTIPOLYGON EMPTY"),
+             ("gempty", "GEOMETRYCOLLECTION EMPTY"), ("bad", "POLYGON ((0 0, 1 x9, 1 1, 0 0))"), ("half", "LINESTRING (0 0, 7)"), ("null", None),
+             ("odd", "CIRCLE (1 2)")]
+    g = spark.createDataFrame(given, "id string, wkt string").withColumn("geom", geo.parse_wkt("wkt"))
+    g = g.withColumn("x", F.lit(0.5)).withColumn("y", F.lit(0.5))
+    got = {r.id: r for r in g.select("id", geo.area_m2("geom").alias("area"), geo.length_m("geom").alias("length"),
+                                     geo.contains_point("geom", "x", "y").alias("inside"), geo.distance_to_boundary_m("geom", "x", "y").alias("d"),
+                                     geo.compactness(geo.length_m("geom"), geo.area_m2("geom")).alias("c"),
+                                     geo.parse_problem("wkt", "geom").alias("problem")).collect()}
+    assert got["coll"].inside and got["coll"].area == got["poly"].area and got["multi"].area > 1.9 * got["poly"].area
+    assert got["lines"].area == 0 and got["empty"].area == 0 and got["mempty"].area == 0 and not got["empty"].inside and got["empty"].d is None
+    assert {k: r.problem for k, r in got.items() if r.problem} == {
+        "lines": "no vertices", "empty": "no vertices", "mempty": "no vertices", "gempty": "no vertices", "bad": "bad coordinate",
+        "half": "bad coordinate", "null": "missing", "odd": "unknown type"}
+
+
 def test_overlap_of_a_small_basin(spark):
     basin = spark.createDataFrame([("in", "POLYGON ((0 0, 0.001 0, 0.001 0.001, 0 0.001, 0 0))"), ("flat", "POLYGON ((5 5, 5 5, 5 5, 5 5))")],
                                   "gage_id string, w string").withColumn("basin_geom", geo.parse_wkt("w"))
