@@ -1,7 +1,9 @@
 """Command line: the reference's four everyday commands on Spark.
 
   python -m fieldlake ingest --landing DIR --table NAME --bronze DIR   NDJSON(.gz) -> append to bronze (S1, S2)
+                                                                       CSV / GeoJSON -> replace a static table (S3, S5, S8)
   python -m fieldlake build  --bronze DIR --seeds DIR --out DIR        every model + tests (the build step)
+           [--incremental] [--as-of TS]                                upsert into the stored facts; take a snapshot (M29)
   python -m fieldlake fresh  --bronze DIR [--now TS]                   source freshness (Q10)
   python -m fieldlake export --silver DIR --out DIR                    map layers (M30, S12)
 
@@ -48,13 +50,15 @@ def main(argv=None, spark=None) -> int:
     sub = ap.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("ingest")
     a.add_argument("--landing", required=True)
-    a.add_argument("--table", required=True, choices=RAW_ENVELOPES)
+    a.add_argument("--table", required=True, choices=BRONZE)
     a.add_argument("--bronze", required=True)
     b = sub.add_parser("build")
     b.add_argument("--bronze", required=True)
     b.add_argument("--seeds", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--min-days", type=int, default=300)
+    b.add_argument("--incremental", action="store_true")
+    b.add_argument("--as-of", default=None)
     f = sub.add_parser("fresh")
     f.add_argument("--bronze", required=True)
     f.add_argument("--now", default=None)
@@ -66,7 +70,14 @@ def main(argv=None, spark=None) -> int:
     from .session import get_session
     spark = spark or get_session()
     if args.cmd == "ingest":
-        from .sources import raw
+        from .sources import bronze, raw, tables
+        if args.table in bronze.LOADERS:
+            path = os.path.join(args.bronze, args.table)
+            raw.replace_bronze(bronze.LOADERS[args.table](spark, args.landing), path)
+            stored = spark.read.parquet(path)
+            audit = tables.load_audit(stored, "fire_year" if "fire_year" in stored.columns else None).first()
+            print(f"replaced {args.table}: {audit.asDict()}")
+            return 0
         df = raw.read_raw_json(spark, args.landing, raw.batch_id())
         raw.append_bronze(df, os.path.join(args.bronze, args.table))
         print(f"appended {spark.read.parquet(os.path.join(args.bronze, args.table)).count()} rows in {args.table}")
@@ -74,6 +85,7 @@ def main(argv=None, spark=None) -> int:
     if args.cmd == "build":
         from .plans import build
         report = build.build(spark, _bronze(spark, args.bronze), _seeds(spark, args.seeds), args.out,
+                             targets=build.stored_targets(spark, args.out, args.incremental, args.as_of),
                              min_days_of_record=args.min_days)
         bad = report.filter("status != 'pass'")
         bad.show(max(1, bad.count()), truncate=False)

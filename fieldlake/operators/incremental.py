@@ -77,7 +77,7 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys, order_col: s
                                  tiebreak=[c for c in source.columns if c not in keys and c != order_col])
     if target is None:
         return source
-    kept = target.join(source.select(*keys), on=keys, how="left_anti")
+    kept = target.join(source.select(*keys), on=keys, how="left_anti").select(*target.columns)
     return kept.unionByName(source, allowMissingColumns=True)
 
 

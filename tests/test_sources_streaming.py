@@ -152,3 +152,91 @@ def test_cli_ingest_build_fresh_export(spark, tmp_dir):
     assert main(["fresh", "--bronze", bronze, "--now", "2000-01-01 00:00:00"], spark) == 0   # loaded "in the future"
     assert main(["export", "--silver", out, "--out", maps], spark) == 0
     assert spark.read.parquet(os.path.join(maps, "large_modern_fires")).count() == 1
+
+
+def test_command_line_loads_static_tables_from_files(spark, tmp_dir):
+    """CSV and GeoJSON files -> bronze -> build up to the fire history."""
+    import json
+    import os
+
+    from fieldlake.__main__ import main
+    land, bronze, seeds, out = (os.path.join(tmp_dir, d) for d in ("land", "bronze", "seeds", "out"))
+    os.makedirs(land), os.makedirs(seeds)
+
+    def put(name, text):
+        with open(os.path.join(land, name), "w") as f:
+            f.write(text)
+        return os.path.join(land, name)
+
+    plots = [f"P{i}{y},53,1,7,{i},{y},{y},1,47.5,-120.5,3000,extra" for i in (1, 2) for y in (2008, 2018)]
+    files = {
+        "fia_wa_plot_raw": put("plot.csv", "CN,STATECD,UNITCD,COUNTYCD,PLOT,INVYR,MEASYEAR,PLOT_STATUS_CD,LAT,LON,ELEV,OTHER\n" + "\n".join(plots)),
+        "fia_wa_cond_raw": put("cond.csv", "CN,PLT_CN,INVYR,CONDID,COND_STATUS_CD,FORTYPCD,STDAGE,OWNCD,OWNGRPCD,SITECLCD,SLOPE,ASPECT,CONDPROP_UNADJ\n"
+                               + "\n".join(f"C{i}{y},P{i}{y},{y},1,1,201,80,11,10,3,10,180,1.0" for i in (1, 2) for y in (2008, 2018))),
+        "fia_wa_tree_raw": put("tree.csv", "CN,PLT_CN,PREV_TRE_CN,CONDID,INVYR,STATUSCD,SPCD,DIA,HT,ACTUALHT,TOTAGE,TPA_UNADJ,CARBON_AG,DRYBIO_AG,CCLCD\n"
+                               + "\n".join(f"T{i}{y}{s},P{i}{y},,1,{y},{s},202,{10 + s},50,50,,6.0,100,{200 * s},3" for i in (1, 2) for y in (2008, 2018) for s in (1, 2))),
+        "wa_fire_perimeters_raw": put("fires.geojson", json.dumps({"type": "FeatureCollection", "features": [
+            {"type": "Feature", "properties": {"OBJECTID": 1, "INCIDENT": "Big", "FIRE_YEAR_INT": 2012, "FIRE_YEAR": "2012", "GIS_ACRES": 5000.5},
+             "geometry": {"type": "Polygon", "coordinates": [[[-121, 47], [-120, 47], [-120, 48], [-121, 48], [-121, 47]]]}},
+            {"type": "Feature", "properties": {"OBJECTID": 2, "INCIDENT": None, "FIRE_YEAR_INT": 0, "GIS_ACRES": None},
+             "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}},
+            {"type": "Feature", "properties": {"OBJECTID": 3, "FIRE_YEAR_INT": "x", "GIS_ACRES": "many"}, "geometry": None}]})),
+        "derived_streams_raw": put("streams.geojson", json.dumps({"type": "FeatureCollection", "features": [
+            {"type": "Feature", "properties": {"cat": 4, "stream_type": "main", "network": 1},
+             "geometry": {"type": "LineString", "coordinates": [[-119.56, 37.73], [-119.55, 37.74]]}}]})),
+        "sierra_gages_raw": put("gages.geojson", json.dumps({"type": "FeatureCollection", "features": [
+            {"type": "Feature", "properties": {"gage_id": "G1", "gage_name": "MERCED R", "latitude": 37.7, "longitude": -119.5, "drainage_area": "n/a"},
+             "geometry": {"type": "Polygon", "coordinates": [[[-119.6, 37.6], [-119.4, 37.6], [-119.4, 37.8], [-119.6, 37.6]]]}}]})),
+    }
+    for name, path in files.items():
+        assert main(["ingest", "--landing", path, "--table", name, "--bronze", bronze], spark) == 0
+    fires = {r.object_id: r for r in spark.read.parquet(os.path.join(bronze, "wa_fire_perimeters_raw")).collect()}
+    assert (fires["1"].gis_acres, fires["1"].fire_year) == (5000.5, 2012)
+    assert (fires["2"].gis_acres, fires["2"].fire_year, fires["2"].incident_name) == (0.0, None, "")
+    assert (fires["3"].gis_acres, fires["3"].fire_year, fires["3"].geom_wkt) == (None, None, None)
+    assert spark.read.parquet(os.path.join(bronze, "sierra_gages_raw")).first().drainage_area is None
+    with open(os.path.join(seeds, "fia_species.csv"), "w") as f:
+        f.write("SPCD,COMMON_NAME,GENUS,SPECIES,SPECIES_SYMBOL,E_SPGRPCD,WOODLAND,SFTWD_HRDWD\n202,Douglas-fir,Pseudotsuga,menziesii,PSME,10,N,S\n")
+    main(["build", "--bronze", bronze, "--seeds", seeds, "--out", out], spark)
+    history = spark.read.parquet(os.path.join(out, "fct_plot_fire_history"))
+    assert {(r.plot_number, r.measurement_year, r.measurement_timing) for r in history.collect()} == {
+        (p, y, t) for p in {r.plot_number for r in history.collect()} for y, t in ((2008, "Pre-fire"), (2018, "Post-fire"))}
+    assert history.count() == 4
+    assert spark.read.parquet(os.path.join(out, "fct_burned_plot_change")).count() == 2
+
+
+def test_incremental_builds_equal_one_full_build(spark, tmp_dir):
+    import json
+    import os
+
+    from fieldlake.__main__ import main
+    bronze, seeds, once, twice = (os.path.join(tmp_dir, d) for d in ("bronze", "seeds", "once", "twice"))
+    os.makedirs(seeds)
+    for n, text in (("lakes", "lake_id,lake_name,mountain_range,state_code,elevation_ft,latitude,longitude\n"),
+                    ("gages", "gage_id,gage_name,river,mountain_range,state_code,role\nG1,One,R,Sierra,CA,main\n")):
+        with open(os.path.join(seeds, f"{n}.csv"), "w") as f:
+            f.write(text)
+    reading = lambda day, v: {"gage_id": "G1", "parameter_code": "00060", "unit": "cfs", "datetime_utc": f"2024-01-{day:02d}T00:00:00", "value": v,
+                              "qualifier": "A"}
+    station = lambda i, name: {"MonitoringLocationIdentifier": i, "MonitoringLocationName": name, "LatitudeMeasure": 1.0, "LongitudeMeasure": 2.0,
+                               "HUCEightDigitCode": "1", "OrganizationIdentifier": "o"}
+
+    def land(step, rows, table):
+        path = os.path.join(tmp_dir, f"{table}-{step}.json")
+        with open(path, "w") as f:
+            f.write("\n".join(map(json.dumps, rows)))
+        main(["ingest", "--landing", path, "--table", table, "--bronze", bronze], spark)
+
+    build_it = lambda out, *more: main(["build", "--bronze", bronze, "--seeds", seeds, "--out", out, *more], spark)
+    land(1, [reading(1, 1.0), reading(2, 2.0)], "streamflow_continuous_raw")
+    land(1, [station("A", "a"), station("B", "b")], "wqp_stations_raw")
+    build_it(twice, "--incremental", "--as-of", "2024-01-01")
+    land(2, [reading(2, 2.5), reading(3, 3.0)], "streamflow_continuous_raw")
+    land(2, [station("A", "z")], "wqp_stations_raw")
+    build_it(twice, "--incremental", "--as-of", "2024-02-01")
+    build_it(once)
+    read_ = lambda root, n: sorted(str(sorted(r.asDict().items())) for r in spark.read.parquet(os.path.join(root, n)).collect())
+    assert read_(once, "fct_streamflow") == read_(twice, "fct_streamflow") != []
+    snap = spark.read.parquet(os.path.join(twice, "snap_monitoring_stations"))
+    got = sorted((r.station_id, r.station_name, r.valid_to is None) for r in snap.collect())
+    assert got == [("A", "a", False), ("A", "z", True), ("B", "b", False)]
