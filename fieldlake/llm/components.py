@@ -13,22 +13,24 @@ def components(edges: DataFrame) -> DataFrame:
     component's nodes.
 
     Each round points every node to its smallest neighbour, shortens the
-    pointers, and merges the ends of each remaining edge, so long chains fall
-    in few rounds.  Only counts reach the driver."""
+    pointers by one step, and merges the ends of each remaining edge, so long
+    chains fall in few rounds.  The rounds' pointers are followed at the end,
+    in one plan.  Only whether an edge is left reaches the driver."""
+    edges = edges.select("a", "b")
+    nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     edges = stored(edges.where("a <> b").distinct(), "edges")
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = both.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct()
+    rounds = []
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = both.groupBy("a").agg(F.min("b").alias("p")).select("a", F.least("a", "p").alias("p"))
-        up = stored(up, "pointers")
-        for _ in range(2):
-            nxt = up.select(F.col("a").alias("p"), F.col("p").alias("q"))
-            up = up.join(nxt, "p").select("a", F.col("q").alias("p"))
-        up = stored(up, "pointers")
-        labels = stored(labels.join(up, labels["label"] == up["a"], "left")
-                        .select("node", F.coalesce("p", "label").alias("label")), "labels")
-        new_a, new_b = up.select("a", F.col("p").alias("x")), up.select(F.col("a").alias("b"), F.col("p").alias("y"))
-        edges = stored(edges.join(new_a, "a").join(new_b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        further = up.select(F.col("a").alias("q"), F.col("p").alias("r"))
+        up = stored(up.join(further, F.col("p") == F.col("q")).select("a", F.col("r").alias("p")), "pointers")
+        rounds.append(up)
+        from_a, from_b = up.select("a", F.col("p").alias("x")), up.select(F.col("a").alias("b"), F.col("p").alias("y"))
+        edges = stored(edges.join(from_a, "a").join(from_b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
                        .where("a <> b").distinct(), "edges")
-    return labels
+    labels = nodes.withColumn("label", F.col("node"))
+    for up in rounds:
+        labels = (labels.join(up.select(F.col("a").alias("_a"), F.col("p").alias("_p")), F.col("label") == F.col("_a"), "left")
+                  .select("node", F.coalesce("_p", "label").alias("label")))
+    return stored(labels, "labels")

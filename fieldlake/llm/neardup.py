@@ -25,8 +25,8 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5      # misses a pair of similarity 0.8 with probability 5e-5
 ALL_PAIRS = 8            # buckets of up to so many texts are compared in full at once
-SIGMAS = 6               # texts go unread if their registers agree this many deviations less than a link's
-LEFT_BLOCK, BLOCK = 256, 1024
+CLOSE = 1e-9             # rounding of a sum of reciprocals
+LEFT_BLOCK, BLOCK = 128, 512   # texts of a block on either side
 SLICE = 8 << 20
 
 
@@ -80,8 +80,7 @@ def _sign(bands: int, rows: int, words: int):
                 ends = np.concatenate([[0], np.cumsum(filled * bands)])
                 yield pa.RecordBatch.from_arrays([
                     *(b.column(c).slice(t.rows.start, len(t)) for c in ("doc_id", "digest")),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key[filled].ravel().view(np.int64))),
-                    pa.array([x.tobytes() for x in flat.mix(sign).astype("<u2")])], ["doc_id", "digest", "bands", "registers"])
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key[filled].ravel().view(np.int64)))], ["doc_id", "digest", "bands"])
     return run
 
 
@@ -118,41 +117,88 @@ def _verify(words: int, threshold: float):
                     lo = u.rows.start
                     part = flat.Texts(t.data[t.offsets[lo]:t.offsets[lo + len(u)] + 8], t.offsets[lo:lo + len(u) + 1] - t.offsets[lo], u.rows)
                     s = prob_jaccard(len(u), shingles(_padded(part), words), shingles(u, words))
-                    hit = pa.array(np.flatnonzero(s >= threshold) + t.rows.start + lo)
+                    hit = pa.array(np.flatnonzero(s >= threshold - CLOSE) + t.rows.start + lo)
                     yield pa.RecordBatch.from_arrays([a_at.take(hit), b_at.take(hit)], ["a", "b"])
     return run
 
 
-def _agreeing(registers: int, threshold: float):
-    """Pairs of a bucket's texts outside its largest component with texts of
-    other components whose registers agree often enough for a link."""
-    least = threshold * registers - SIGMAS * (threshold * (1 - threshold) * registers) ** 0.5
+def _sets(words: int):
+    def run(batches):
+        for b in batches:
+            for t in flat.slices(b.column("text"), SLICE):
+                doc, element, count = shingles(t, words)
+                cut = np.searchsorted(doc, np.arange(len(t) + 1)).tolist()
+                yield pa.RecordBatch.from_arrays([
+                    b.column("node").slice(t.rows.start, len(t)),
+                    *(pa.array([x[i:j].tobytes() for i, j in zip(cut, cut[1:])], pa.binary()) for x in (element.astype("<u8"), count.astype("<u4")))],
+                    ["node", "elements", "counts"])
+    return run
+
+
+def _sums(n: int, m: int, row_a, col_a, value_a, row_b, col_b, value_b, columns: int) -> np.ndarray:
+    """Sums over shared columns of products: two sparse matrices multiplied, some dense columns at a time."""
+    out = np.zeros((n, m))
+    for first in range(0, columns, 4096):
+        a, b = np.zeros((n, 4096), np.float32), np.zeros((m, 4096), np.float32)
+        for dense, row, col, value in ((a, row_a, col_a, value_a), (b, row_b, col_b, value_b)):
+            use = (col >= first) & (col < first + 4096)
+            dense[row[use], col[use] - first] = value[use]
+        out += a @ b.T
+    return out
+
+
+def _linked(threshold: float):
+    """Links between texts of a bucket outside its largest component and texts
+    of other components.  Sets without repeated shingles need only the sizes of
+    their intersections; for the others the sum of sqrt(p q) bounds the
+    probability Jaccard from above, and pairs it does not rule out are computed."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def columns(t: pa.Table):
-        sign = np.frombuffer(b"".join(t["registers"].to_pylist()), "<u2").reshape(-1, registers)
-        return t["node"].to_numpy(), t["label"].to_numpy(), sign
+        element = [np.frombuffer(x, "<u8") for x in t["elements"].to_pylist()]
+        count = [np.frombuffer(x, "<u4") for x in t["counts"].to_pylist()]
+        size = np.array([len(x) for x in element])
+        total = np.array([x.sum() for x in count], float)
+        row = np.repeat(np.arange(len(size)), size)
+        return t["node"].to_numpy(), t["label"].to_numpy(), size, total, row, np.concatenate(element), np.concatenate(count)
 
     def run(left: pa.Table, members: pa.Table) -> pa.Table:
         if not left.num_rows or not members.num_rows:
             return schema.empty_table()
-        node, label, sign = columns(left)
-        other, other_label, other_sign = columns(members)
-        out = [np.zeros((2, 0), np.int64)]
-        for i in range(0, len(node), 32):
-            same = (sign[i:i + 32, None, :] == other_sign[None, :, :]).sum(axis=2)
-            x, y = np.nonzero((same >= least) & (label[i:i + 32, None] != other_label[None, :]))
-            out.append(np.sort(np.stack([node[i + x], other[y]]), axis=0))
-        found = np.unique(np.concatenate(out, axis=1), axis=1)
+        a_node, a_label, a_size, a_total, a_row, a_el, a_n = columns(left)
+        b_node, b_label, b_size, b_total, b_row, b_el, b_n = columns(members)
+        shared = np.intersect1d(a_el, b_el)
+        a_use, b_use = np.isin(a_el, shared), np.isin(b_el, shared)
+        a_row_, a_col, b_row_, b_col = a_row[a_use], np.searchsorted(shared, a_el[a_use]), b_row[b_use], np.searchsorted(shared, b_el[b_use])
+        shape = (len(a_size), len(b_size), a_row_, a_col)
+        both = _sums(*shape, np.ones(len(a_col)), b_row_, b_col, np.ones(len(b_col)), len(shared))
+        other = a_label[:, None] != b_label[None, :]
+        plain = (a_size == a_total)[:, None] & (b_size == b_total)[None, :]
+        x, y = np.nonzero(other & plain & (both >= (threshold - CLOSE) * (a_size[:, None] + b_size[None, :] - both)))
+        out = [np.stack([a_node[x], b_node[y]])]
+        if not plain.all():
+            near = _sums(*shape, np.sqrt(a_n[a_use] / a_total[a_row_]), b_row_, b_col, np.sqrt(b_n[b_use] / b_total[b_row_]), len(shared))
+            x, y = np.nonzero(other & ~plain & (near >= threshold - 1e-4))
+            a_at, b_at = np.cumsum(a_size) - a_size, np.cumsum(b_size) - b_size
+            for i in range(0, len(x), 512):
+                p, q = x[i:i + 512], y[i:i + 512]
+                sides = []
+                for at, size, el, n, of in ((a_at, a_size, a_el, a_n, p), (b_at, b_size, b_el, b_n, q)):
+                    pair, k = flat.ragged(size[of])
+                    place = at[of][pair] + k
+                    sides.append((pair, el[place], n[place].astype(float)))
+                hit = prob_jaccard(len(p), *sides) >= threshold - CLOSE
+                out.append(np.stack([a_node[p[hit]], b_node[q[hit]]]))
+        found = np.unique(np.sort(np.concatenate(out, axis=1), axis=0), axis=1)
         return pa.table([pa.array(found[0]), pa.array(found[1])], schema=schema)
     return run
 
 
-def left_over(members: DataFrame, labels: DataFrame, nodes: DataFrame, registers: int, threshold: float) -> DataFrame:
-    """Pairs (a, b) still to be verified after the first links: in each bucket
-    of ``members`` (key, node), every text outside the bucket's largest
-    component meets every text of another component, in blocks of bounded
-    size, by registers alone."""
+def left_over(members: DataFrame, labels: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, threshold: float) -> DataFrame:
+    """Links (a, b) that the first pairs missed: in each bucket of ``members``
+    (key, node), every text outside the bucket's largest component is compared
+    with every text of another component, in blocks of bounded size that emit
+    links alone."""
     at = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     at = stored(at, "members")
     sizes = at.groupBy("key", "label").agg(F.count("*").alias("size"))
@@ -161,15 +207,22 @@ def left_over(members: DataFrame, labels: DataFrame, nodes: DataFrame, registers
     blocks = lambda n, size: F.ceil(n / F.lit(size)).cast("int")
     left_blocks, all_blocks = blocks(F.col("all") - F.col("most"), LEFT_BLOCK), blocks(F.col("all"), BLOCK)
     each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    signs = nodes.select("node", "registers")
-    here = at.join(mixed, "key").join(signs, "node")
-    columns = ("key", "i", "j", "node", "label", "registers")
+    here = stored(at.join(mixed, "key"), "here")
+    sets = stored(texts_of(here.select("node").distinct(), docs, nodes).mapInArrow(_sets(words), "node long, elements binary, counts binary"), "sets")
+    here = here.join(sets, "node")
+    columns = ("key", "i", "j", "node", "label", "elements", "counts")
     left = (here.where("label <> largest").withColumn("i", F.pmod(F.xxhash64("node"), left_blocks).cast("int")).withColumn("j", each(all_blocks))
             .select(*columns).toDF(*columns))
     right = (here.withColumn("j", F.pmod(F.xxhash64("node"), all_blocks).cast("int")).withColumn("i", each(left_blocks))
              .select(*columns).toDF(*columns))
     return (left.groupBy("key", "i", "j").cogroup(right.groupBy("key", "i", "j"))
-            .applyInArrow(_agreeing(registers, threshold), "a long, b long").distinct())
+            .applyInArrow(_linked(threshold), "a long, b long").distinct())
+
+
+def texts_of(needed: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the needed nodes."""
+    where = nodes.join(needed, "node").select("node", F.col("rep").alias("_r"), F.col("digest").alias("_g"))
+    return docs.join(where, F.col("doc_id").eqNullSafe(F.col("_r")) & (F.col("digest") == F.col("_g"))).select("node", "text")
 
 
 def _padded(t: flat.Texts) -> flat.Texts:
@@ -182,8 +235,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, th
     """The pairs (a, b) of nodes that are links.  Joins on node and document
     ids are plain ones, so Spark splits a node with very many partners."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    where = nodes.join(needed, "node").select("node", F.col("rep").alias("_r"), F.col("digest").alias("_g"))
-    texts = stored(docs.join(where, F.col("doc_id").eqNullSafe(F.col("_r")) & (F.col("digest") == F.col("_g"))).select("node", "text"), "texts")
+    texts = stored(texts_of(needed, docs, nodes), "texts")
     of = lambda n: texts.select(F.col("node").alias(n), F.col("text").alias("text_" + n))
     return stored(pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "text_a", "text_b")
                   .mapInArrow(_verify(words, threshold), "a long, b long").distinct(), "links")
@@ -193,9 +245,9 @@ def _classes(docs: DataFrame, words: int, threshold: float, bands: int, rows: in
     """(doc_id, digest, bands) of every row; (digest, rep, class_id, chosen) of
     every text with words, where one text of each class is chosen."""
     d = docs.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"), "text")
-    signed = stored(d.mapInArrow(_sign(bands, rows, words), "doc_id long, digest binary, bands array<long>, registers binary"), "signed")
+    signed = stored(d.mapInArrow(_sign(bands, rows, words), "doc_id long, digest binary, bands array<long>"), "signed")
     wordy = signed.where(F.size("bands") > 0)
-    nodes = stored(wordy.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("registers").alias("registers")), "nodes")
+    nodes = stored(wordy.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "nodes")
     nodes = nodes.withColumn("node", F.monotonically_increasing_id())
     postings = stored(nodes.select("node", F.explode("bands").alias("key")), "postings")
     buckets = stored(postings.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lead")).where("n > 1"), "buckets")
@@ -204,9 +256,8 @@ def _classes(docs: DataFrame, words: int, threshold: float, bands: int, rows: in
     pairs = (few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
              .unionByName(many.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))).distinct())
     links = verified(stored(pairs, "pairs"), d, nodes, words, threshold)
-    more = stored(left_over(many.select("key", "node"), components(links), nodes, bands * rows, threshold), "pairs")
-    if not more.isEmpty():
-        links = links.unionByName(verified(more, d, nodes, words, threshold))
+    more = stored(left_over(many.select("key", "node"), components(links), d, nodes, words, threshold), "links")
+    links = links.unionByName(more)
     labels = components(links)
     named = nodes.select("digest", "rep", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     first = (named.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "node")).alias("first"))
