@@ -141,7 +141,7 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(self.margin(*x), -40, 40)))
 
     @classmethod
-    def fit(cls, n, row, at, dense, y, features: int, ridge: float = 2e-5, steps: int = 400) -> "Linear":
+    def fit(cls, n, row, at, dense, y, features: int, ridge: float = 2e-5, steps: int = 150) -> "Linear":
         """Adam on the mean log loss with a ridge penalty."""
         theta = np.zeros(features + dense.shape[1] + 1)
         p = min(max(y.mean(), 1e-3), 1 - 1e-3)
@@ -153,7 +153,7 @@ class Linear:
             g = np.concatenate([np.bincount(at, err[row], features), dense.T @ err, [err.sum()]])
             g[:-1] += ridge * theta[:-1]
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            theta = theta - 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
+            theta = theta - 0.2 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
         return cls(theta[:features], theta[features:-1], theta[-1])
 
 
