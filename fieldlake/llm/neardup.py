@@ -147,9 +147,30 @@ def _sums(n: int, m: int, row_a, col_a, value_a, row_b, col_b, value_b, columns:
     return out
 
 
+def _spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the edges (a, b) form a spanning forest; the others join what is joined already."""
+    names, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    n = max(1, len(names))
+    edges, at = np.unique(ends[:len(a)] * n + ends[len(a):], return_index=True)
+    up, keep = list(range(n)), []
+
+    def top(i):
+        while up[i] != i:
+            up[i] = i = up[up[i]]
+        return i
+
+    for edge, i in zip(edges.tolist(), at.tolist()):
+        x, y = top(edge // n), top(edge % n)
+        if x != y:
+            up[x] = y
+            keep.append(i)
+    return np.array(keep, np.int64)
+
+
 def _linked(threshold: float):
     """Links between texts of a bucket outside its largest component and texts
-    of other components.  Sets without repeated shingles need only the sizes of
+    of other components, as many as join the components that links join (a
+    spanning forest of the block).  Sets without repeated shingles need only the sizes of
     their intersections; for the others the sum of sqrt(p q) bounds the
     probability Jaccard from above, and pairs it does not rule out are computed."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -175,7 +196,7 @@ def _linked(threshold: float):
         other = a_label[:, None] != b_label[None, :]
         plain = (a_size == a_total)[:, None] & (b_size == b_total)[None, :]
         x, y = np.nonzero(other & plain & (both >= (threshold - CLOSE) * (a_size[:, None] + b_size[None, :] - both)))
-        out = [np.stack([a_node[x], b_node[y]])]
+        out = [np.stack([x, y])]
         if not plain.all():
             near = _sums(*shape, np.sqrt(a_n[a_use] / a_total[a_row_]), b_row_, b_col, np.sqrt(b_n[b_use] / b_total[b_row_]), len(shared))
             x, y = np.nonzero(other & ~plain & (near >= threshold - 1e-4))
@@ -188,8 +209,10 @@ def _linked(threshold: float):
                     place = at[of][pair] + k
                     sides.append((pair, el[place], n[place].astype(float)))
                 hit = prob_jaccard(len(p), *sides) >= threshold - CLOSE
-                out.append(np.stack([a_node[p[hit]], b_node[q[hit]]]))
-        found = np.unique(np.sort(np.concatenate(out, axis=1), axis=0), axis=1)
+                out.append(np.stack([p[hit], q[hit]]))
+        x, y = np.concatenate(out, axis=1)
+        keep = _spanning(a_label[x], b_label[y])
+        found = np.sort(np.stack([a_node[x[keep]], b_node[y[keep]]]), axis=0)
         return pa.table([pa.array(found[0]), pa.array(found[1])], schema=schema)
     return run
 
@@ -247,8 +270,9 @@ def _classes(docs: DataFrame, words: int, threshold: float, bands: int, rows: in
     d = docs.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"), "text")
     signed = stored(d.mapInArrow(_sign(bands, rows, words), "doc_id long, digest binary, bands array<long>"), "signed")
     wordy = signed.where(F.size("bands") > 0)
-    nodes = stored(wordy.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "nodes")
-    nodes = nodes.withColumn("node", F.monotonically_increasing_id())
+    # the id is stored with its row: computed anew, it would follow how Spark packs the files into partitions
+    nodes = stored(wordy.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+                   .withColumn("node", F.monotonically_increasing_id()), "nodes")
     postings = stored(nodes.select("node", F.explode("bands").alias("key")), "postings")
     buckets = stored(postings.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lead")).where("n > 1"), "buckets")
     postings = stored(postings.join(buckets, "key"), "postings")

@@ -165,10 +165,11 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     part, nor do rows without an id; a shorter vector counts as filled up with
     zeros; rows of one id are rows of their own, each a candidate of the
     other; scores beyond 2**61 stop there; an empty table gives no rows."""
-    blocks = stored(vectors.select("vec_id", "embedding").mapInArrow(_to_blocks, _BLOCK_SCHEMA), "vectors")
-    blocks = blocks.withColumn("block", F.monotonically_increasing_id())
-    queries = stored(blocks.mapInArrow(_to_queries(every), _BLOCK_SCHEMA + ", own_block long, own_at binary"), "queries")
-    queries = queries.withColumn("query_block", F.monotonically_increasing_id())
+    # ids are stored with their rows: computed anew, they would follow how Spark packs the files into partitions
+    blocks = stored(vectors.select("vec_id", "embedding").mapInArrow(_to_blocks, _BLOCK_SCHEMA)
+                    .withColumn("block", F.monotonically_increasing_id()), "vectors")
+    queries = stored(blocks.mapInArrow(_to_queries(every), _BLOCK_SCHEMA + ", own_block long, own_at binary")
+                     .withColumn("query_block", F.monotonically_increasing_id()), "queries")
     n_blocks, norm = blocks.agg(F.count("*"), F.max("norm")).first()
     n_queries = queries.count()
     groups, q_groups = -(-n_blocks // GROUP_BLOCKS) or 1, -(-n_queries // GROUP_QUERIES) or 1

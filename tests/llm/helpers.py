@@ -1,3 +1,5 @@
+import itertools
+
 import duckdb
 
 SF = "/root/testdata/sf0.001"
@@ -31,3 +33,16 @@ def same_as_sql(df, sql, **tables):
 def with_clashes(df):
     from pyspark.sql import functions as F
     return df.withColumns({c: F.lit("x") for c in CLASHING if c not in df.columns})
+
+
+def repacked(monkeypatch, spark, module):
+    """After every other step that ``module`` stores, Spark packs files into
+    other partitions, as it does when an executor is lost or joins."""
+    plain, turn = module.stored, itertools.cycle(("2k", "128m"))
+
+    def stored(df, name):
+        out = plain(df, name)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", next(turn))
+        return out
+
+    monkeypatch.setattr(module, "stored", stored)

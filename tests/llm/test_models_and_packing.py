@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fieldlake.llm import fingerprints, flat, packing, topk, toxicity
-from tests.llm.helpers import SF, with_clashes
+from tests.llm.helpers import SF, repacked, with_clashes
 
 SF_10K = "/root/testdata/sf0.1"
 
@@ -200,6 +200,19 @@ def test_topk_odd_rows(spark):
     assert topk.search(df.limit(0)).count() == 0
 
 
+def test_topk_blocks_outlast_other_partitions(spark, monkeypatch):
+    """A query's own row is masked whatever partitions the files of blocks are read in."""
+    rows = [tuple(r) for r in spark.read.parquet(SF + "/embeddings.parquet").select("vec_id", "embedding").collect()]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    repacked(monkeypatch, spark, topk)
+    try:
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+        got = sorted(tuple(r) for r in topk.search(df, 3).select("query_id", "rank", "vec_id", "score").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == best(rows, 3)
+
+
 # -- pipeline ---------------------------------------------------------------
 
 def test_pipeline_stages(spark, tmp_path):

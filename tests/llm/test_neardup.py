@@ -9,7 +9,7 @@ import pyarrow as pa
 
 from fieldlake.llm import flat, neardup
 from fieldlake.llm.components import components
-from tests.llm.helpers import SF, with_clashes
+from tests.llm.helpers import SF, repacked, with_clashes
 
 
 def weighted(text, k=neardup.WORDS):
@@ -115,3 +115,25 @@ def test_components_of_chains_and_stars(spark):
         groups[r.label].add(r.node)
     assert sorted(map(sorted, groups.values())) == [list(range(41)), list(range(100, 130)), [400, 500]]
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_nodes_outlast_other_partitions(spark, monkeypatch):
+    """Ids that stored tables share name the same text whatever partitions its file is read in."""
+    rows = [tuple(r) for r in spark.read.parquet(SF + "/documents.parquet").select("doc_id", "text").collect()]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    repacked(monkeypatch, spark, neardup)
+    try:
+        got = sorted(map(tuple, neardup.op1_near_dedup(spark, SF).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == class_of(rows)
+
+
+def test_spanning_forest_joins_what_all_links_join():
+    r = np.random.default_rng(5)
+    a, b = r.integers(0, 40, 900), r.integers(100, 160, 900)
+    keep = neardup._spanning(a, b)
+    assert len(keep) < 100 and set(a[keep]) == set(a) and set(b[keep]) == set(b)
+    assert len(neardup._spanning(a[:0], b[:0])) == 0
+    x, y = np.array([1, 1, 3, 2, 3]), np.array([2, 3, 2, 3, 9])
+    assert len(neardup._spanning(x, y)) == 3
