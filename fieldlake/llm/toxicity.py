@@ -25,8 +25,6 @@ TRAIN_ROWS = 20_000
 FEATURES = 4096      # at most so many features are chosen for each category
 FOLDS = 5
 BITS = 20            # features are hashed to 2**BITS
-MIN_DOCS = 8
-MIN_Z = 5.0
 SEED = "tox-1"
 
 _BREAK = np.ones(256, bool)  # all ASCII but letters and digits
@@ -82,9 +80,32 @@ def _feature_counts(categories):
     return run
 
 
+def _g(k1, k0, n1, n0, term):
+    """G statistic of a feature in k1 of n1 and k0 of n0 documents; ``term(o, e)`` is o * log(o / e)."""
+    n, k = n1 + n0, k1 + k0
+    return 2 * (term(k1, k * (n1 / n)) + term(k0, k * (n0 / n)) + term(n1 - k1, (n - k) * (n1 / n)) + term(n0 - k0, (n - k) * (n0 / n)))
+
+
+def _least_g(totals: np.ndarray, features: np.ndarray, n1: int, n0: int) -> float:
+    """The G that about one feature reaches by chance, where ``features``
+    features occur in ``totals`` documents each: 2 * log of how many can reach
+    it at all, that is, would if all their documents were of one class."""
+    def term(o, e):
+        return np.where(o > 0, o * np.log(np.maximum(o, 1) / np.maximum(e, 1e-300)), 0)
+
+    in_1, in_0 = np.minimum(totals, n1), np.minimum(totals, n0)
+    most = np.maximum(_g(in_1, totals - in_1, n1, n0, term), _g(totals - in_0, in_0, n1, n0, term))
+    order = np.argsort(-most)
+    least = 2 * np.log(np.cumsum(features[order]))
+    reached = np.flatnonzero(most[order] >= least)
+    return float(least[reached[-1]]) if len(reached) else np.inf
+
+
 def choose_features(sample: DataFrame, categories=CATEGORIES) -> dict[str, np.ndarray]:
     """For each category the features whose share of documents differs most
-    between its two classes, by a two-proportion z value."""
+    between its two classes, by a G test.  A feature may be as rare as it
+    likes: what it must reach follows from the classes' sizes and the number
+    of features."""
     totals = sample.agg(*[F.count_if(F.col(c) == v).alias(f"{c}_{v}") for c in categories for v in (0, 1)]).first()
     names = [f"{c}_{v}" for c in categories for v in (1, 0)]
     counts = (sample.select("text", *categories)
@@ -98,9 +119,12 @@ def choose_features(sample: DataFrame, categories=CATEGORIES) -> dict[str, np.nd
             chosen[c] = np.zeros(0, np.int64)
             continue
         k1, k0 = F.col(f"{c}_1"), F.col(f"{c}_0")
-        share = (k1 + k0) / (n1 + n0)
-        z = F.abs(k1 / n1 - k0 / n0) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / n1 + 1 / n0))
-        best = (counts.where((k1 + k0 >= MIN_DOCS) & (z >= MIN_Z)).orderBy(z.desc(), "key").limit(FEATURES).select("key"))
+        seen = counts.where(k1 + k0 > 0)
+        # at most train_rows different totals
+        of = np.array([tuple(r) for r in seen.groupBy((k1 + k0).alias("total")).count().collect()], np.int64).reshape(-1, 2)
+        g = _g(k1, k0, n1, n0, lambda o, e: F.when(o > 0, o * F.ln(o / e)).otherwise(0.0))
+        best = (seen.withColumn("g", g).where(F.col("g") >= _least_g(of[:, 0], of[:, 1], n1, n0))
+                .orderBy(F.col("g").desc(), "key").limit(FEATURES).select("key"))
         chosen[c] = np.sort(np.array([r[0] for r in best.collect()], np.int64))
     return chosen
 

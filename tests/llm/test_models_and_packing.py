@@ -53,6 +53,28 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.score(docs.limit(0), chain, ["doc_id"]).count() == 0
 
 
+def test_toxicity_of_a_small_or_rare_class(spark):
+    """Words that a handful of toxic documents alone have are found in the
+    smallest table, and chance words of a rare class are not chosen."""
+    docs = spark.read.parquet(SF + "/documents.parquet").select("doc_id", "text")
+    words = ("idiot", "scum", "moron", "loser")
+    planted = docs.orderBy("doc_id").limit(20).withColumn("doc_id", F.col("doc_id") + 10_000_000)
+    planted = planted.withColumn("text", F.concat(F.lit(" ".join(words) + " "), F.substring("text", 1, 200)))
+    clean = docs.orderBy("doc_id").limit(20).select((F.col("doc_id") + 20_000_000).alias("doc_id"), F.substring("text", 1, 200).alias("text"))
+    chain = toxicity.train(docs, spark.read.parquet(SF + "/labels.parquet"))
+    assert len(chain[1][1]) > 0
+    p = {r.doc_id: r.p_toxic for r in toxicity.score(planted.unionByName(clean), chain, ["doc_id"]).collect()}
+    pairs = [(p[d], p[d + 10_000_000]) for d in p if d < 20_000_000]
+    assert len(pairs) == 20 and sum(x > y + 0.2 for x, y in pairs) >= 18
+
+    r = random.Random(8)
+    rows = [(i, " ".join(f"w{r.randrange(400)}" for _ in range(12)) + f" own{i}" + (" vile" if i < 9 and i % 3 else "")) for i in range(1500)]
+    rare = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"),
+                          spark.createDataFrame([(i, 1, int(i < 9)) for i in range(1500)], "doc_id long, quality int, toxic int"))
+    found = next(flat.slices(pa.array(["vile"])))
+    assert set(toxicity.features(found)[1]) <= set(rare[1][1]) and len(rare[1][1]) <= 6
+
+
 # -- fingerprints -----------------------------------------------------------
 
 def check_prints(rows, got):
