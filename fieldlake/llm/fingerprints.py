@@ -7,7 +7,8 @@ common extension of two places is found by binary search over span lengths.
 
 A fingerprint is the length, the hash of the whole text and a sketch: the
 hashes of all spans of eight code points are dealt into 64 bins and each bin
-keeps the smallest.  Likeness is the share of bins that agree among those that
+keeps the smallest, in 48 bits, so that the minima of long texts do not meet by
+chance.  Likeness is the share of bins that agree among those that
 either text fills."""
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ PRIME = (1 << 31) - 1
 BASES = (911_382_323, 972_663_749)
 SPAN = 8
 BINS = 64
+BITS = 48            # of a bin's minimum
 DOCS_PER_RANGE = 4096
 
 
@@ -90,7 +92,7 @@ def longest_common_extension(a: Prefix, i: int, b: Prefix, j: int) -> int:
     return low
 
 
-_EMPTY = np.full(BINS, -1, np.int32)
+_EMPTY = np.full(BINS, -1, np.int64)
 
 
 class Fingerprint:
@@ -100,12 +102,12 @@ class Fingerprint:
         if p.n:
             size = min(SPAN, p.n)
             h = flat.mix(p.spans(np.arange(p.n - size + 1), size))
-            small = np.full(BINS, 1 << 16, np.int32)
-            np.minimum.at(small, (h >> np.uint64(58)).astype(np.int64), ((h >> np.uint64(42)) & np.uint64(0xFFFF)).astype(np.int32))
-            self.sketch = np.where(small < 1 << 16, small, -1)
+            small = np.full(BINS, 1 << BITS, np.int64)
+            np.minimum.at(small, (h >> np.uint64(58)).astype(np.int64), ((h >> np.uint64(58 - BITS)) & np.uint64((1 << BITS) - 1)).astype(np.int64))
+            self.sketch = np.where(small < 1 << BITS, small, -1)
 
     def __str__(self) -> str:
-        return f"{self.n:x}:{self.whole:016x}:" + "".join("----" if x < 0 else f"{x:04x}" for x in self.sketch.tolist())
+        return f"{self.n:x}:{self.whole:016x}:" + "".join("-" * (BITS // 4) if x < 0 else f"{x:0{BITS // 4}x}" for x in self.sketch.tolist())
 
     def likeness(self, other: "Fingerprint") -> float:
         """1 for equal texts, two empty ones included; 0 if nothing agrees."""

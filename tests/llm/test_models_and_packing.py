@@ -122,6 +122,13 @@ def test_longest_common_extension():
         assert fingerprints.longest_common_extension(p, i, q, j) == n
 
 
+def test_long_unrelated_texts_are_unlike():
+    r = np.random.default_rng(2)
+    a, b = (fingerprints.Fingerprint(r.integers(97, 123, 2_000_000).astype(np.uint32)) for _ in range(2))
+    assert a.likeness(b) == 0 and (a.sketch >= 0).all()
+    assert len(str(a).split(":")[2]) == fingerprints.BINS * fingerprints.BITS // 4
+
+
 # -- packing ----------------------------------------------------------------
 
 def test_chunked_encoding_equals_the_tokenizer():
