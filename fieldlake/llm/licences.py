@@ -1,6 +1,6 @@
 """Licence scan by canonical digest.
 
-A text is brought to a canonical form (copyright lines dropped, ASCII case
+A text is brought to a canonical form (copyright statements dropped, ASCII case
 folded, every run of punctuation and white space one blank, equivalent
 spellings unified) and its SHA-256 is hash-joined to the digests of known
 licences.  Whole texts are looked up, and each line of a text as a text of its
@@ -15,12 +15,16 @@ from fieldlake.llm.common import table
 from fieldlake.llm.licence_texts import EQUIVALENT, LICENCES
 from fieldlake.llm.urls import LOWER, UPPER
 
-_COPYRIGHT = r"^[ \t]*(copyright|\(c\)|©)[^\n]*"
+# a line that is a copyright statement, also behind a comment leader: the word with a sign or a year, a sign, or (c) with a
+# year.  Other lines that begin with the word are a licence's own text, wrapped there
+_YEAR = r"[<\[{]?(?:\d{4}|yyyy|year\b)"
+_STATEMENT = (r"(?i)(?<![^\r\n])[ \t/*#;%!|<>\"'.:-]*+"
+              rf"(?:copyright[ \t:]*+(?:\(c\)|©|&copy;|{_YEAR})|©|&copy;|\(c\)[ \t]*+(?:copyright[ \t]*+)?{_YEAR})[^\r\n]*")
 _BLANKS = r"[\x00-/:-@\[-`{-\x7f]+"  # ASCII but for digits and lower-case letters
 
 
 def canonical(text: Column, spellings=EQUIVALENT) -> Column:
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), "(?imd)" + _COPYRIGHT, "")
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), _STATEMENT, "")
     t = F.regexp_replace(F.translate(t, UPPER, LOWER), _BLANKS, " ")
     t = F.concat(F.lit(" "), F.trim(t), F.lit(" "))
     for variant, word in spellings:
@@ -51,7 +55,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     whole = docs.select("doc_id", F.md5("text").alias("same"), F.sha2(canonical(F.col("text")), 256).alias("digest"))
     lines = (docs.select("doc_id", F.md5("text").alias("line_same"),
-                         F.posexplode(F.split("text", "\n")).alias("line_at", "line"))
+                         F.posexplode(F.split(F.replace("text", F.lit("\r"), F.lit("\n")), "\n")).alias("line_at", "line"))
              .select(F.col("doc_id").alias("line_doc"), "line_same", "line_at", canonical(F.col("line")).alias("line"))
              .where("line <> ''")
              .join(known, F.sha2("line", 256) == F.col("known_digest"))
@@ -68,6 +72,11 @@ def op3_license_scan(spark, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+# OP3_SQL has an older rule: every line that begins with the word is dropped, comment leaders hide a statement, and only \n
+# ends a line.  Both agree on texts that hold neither such lines nor a lone \r
+_COPYRIGHT = r"^[ \t]*(copyright|\(c\)|©)[^\n]*"
+
+
 def _canonical_sql(text: str) -> str:
     t = f"regexp_replace({text}, '(?im){_COPYRIGHT}', '', 'g')"
     t = f"' ' || trim(regexp_replace(translate({t}, '{UPPER}', '{LOWER}'), '{_BLANKS}', ' ', 'g'), ' ') || ' '"

@@ -1,6 +1,7 @@
 """Mixing, licence scan and URL filter against their SQL, on the test tables and on odd input."""
 
 import collections
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,3 +97,28 @@ def test_licence_forms(spark):
     assert by[(None, 1)].license == "CC-BY-NC-4.0"
     assert licences.scan(df.limit(0)).count() == 0
     assert licences.scan(df.select("doc_id", F.col("text"))).count() == len(docs)
+
+
+def test_licences_wrapped_commented_and_on_one_line(spark):
+    """A licence is known however its lines are broken, and whatever copyright statement stands before it."""
+    texts = {n: t for n, t in reversed(licences.LICENCES) if "\n" in t and "License\n\n" not in t}
+    assert set(texts) == {"MIT", "ISC", "0BSD", "BSD-2-Clause"}
+    docs, want = [], {}
+    for name, text in texts.items():
+        forms = ["\n\n".join(textwrap.fill(" ".join(p.split()), w) for p in text.split("\n\n")) for w in range(58, 101)]
+        forms += [" ".join(text.split()), text.replace("\n", "\r\n"), text.replace("\n", "\r")]
+        for statement in ("Copyright (c) 2020 A B", "Copyright 2020 A B", "Copyright (C) A B", "Copyright © 1999-2001 A", "(c) 2020 A", "© A"):
+            own = statement + "\n\n" + text
+            forms += [own, own.replace("\n", "\r\n"), own.replace("\n", "\r"),
+                      *("\n".join(lead + x for x in own.split("\n")) for lead in ("// ", "# ", " * ", ";; ", "-- "))]
+        for f in forms:
+            want[len(docs)] = name
+            docs.append((len(docs), f))
+    got = licences.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.license for r in got} == want
+    # a text's own lines stay; a lone carriage return ends a line
+    own = licences.scan(spark.createDataFrame([(1, "copyright notice"), (2, "(c) You must retain"), (3, "a\rReleased under the MIT License.\rb")],
+                                              "doc_id long, text string")).collect()
+    empty = licences.scan(spark.createDataFrame([(1, "")], "doc_id long, text string")).first().digest
+    assert all(r.digest != empty for r in own)
+    assert [r.n_license_lines for r in sorted(own)] == [0, 0, 1]
