@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlake.llm.common import table
-from fieldlake.llm.licence_texts import EQUIVALENT, LICENCES
+from fieldlake.llm.licence_texts import EQUIVALENT, LICENCES, known_licences
 from fieldlake.llm.urls import LOWER, UPPER
 
 # a line that is a copyright statement, also behind a comment leader: the word with a sign or a year, a sign, or (c) with a
@@ -32,9 +32,9 @@ def canonical(text: Column, spellings=EQUIVALENT) -> Column:
     return F.trim(t)
 
 
-def known_digests(spark: SparkSession, licences=LICENCES, spellings=EQUIVALENT) -> DataFrame:
+def known_digests(spark: SparkSession, licences=None, spellings=EQUIVALENT) -> DataFrame:
     """(known_digest, license), one row a digest; for a text given twice the smaller name."""
-    given = spark.createDataFrame(list(licences), "license string, text string")
+    given = spark.createDataFrame(list(licences or known_licences()), "license string, text string")
     return (given.groupBy(F.sha2(canonical(F.col("text"), spellings), 256).alias("known_digest"))
             .agg(F.min("license").alias("license")))
 
@@ -49,7 +49,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     repeated rows are scanned alike and null ids kept.  A ``known``
     (known_digest, license) of one's own may be of any size: Spark chooses the join."""
     if known is None:
-        known = F.broadcast(known_digests(docs.sparkSession))  # the fixed list of LICENCES
+        known = F.broadcast(known_digests(docs.sparkSession))  # the fixed list of known_licences()
     else:
         known = known.select("known_digest", "license")
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

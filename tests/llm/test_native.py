@@ -122,3 +122,20 @@ def test_licences_wrapped_commented_and_on_one_line(spark):
     empty = licences.scan(spark.createDataFrame([(1, "")], "doc_id long, text string")).first().digest
     assert all(r.digest != empty for r in own)
     assert [r.n_license_lines for r in sorted(own)] == [0, 0, 1]
+
+
+def test_common_licences_are_known(spark):
+    """Whole texts, standard headers, SPDX lines and one-line notices of common licences; no text names two."""
+    known = licences.known_licences()
+    files = {"Apache-2.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0", "GFDL-1.2", "GFDL-1.3",
+             "Unlicense", "Zlib"}
+    assert {n for n, t in known if len(t) > 900} >= files - {"Zlib"} and files <= {n for n, _ in known}
+    header = next(t for n, t in known if n == "Apache-2.0" and t.startswith("Licensed under the Apache License, Version 2.0 (the"))
+    whole = {n: max((t for m, t in known if m == n), key=len) for n in files | {"BSD-3-Clause"}}
+    docs = [(n, t) for n, t in whole.items()] + [("Apache-2.0", "\n".join("# " + x for x in ("Copyright 2021 A\n\n" + header).split("\n")))]
+    docs += [(n.removesuffix("-only"), "// SPDX-License-Identifier: " + n) for n in ("GPL-2.0-only", "GPL-2.0-or-later", "BSD-3-Clause", "LGPL-2.1-only", "MPL-2.0")]
+    docs += [("BSD-3-Clause", "Licensed under the BSD 3-Clause License."), ("GPL-2.0", "Released under the GNU General Public License, version 2.")]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(docs)], "doc_id long, text string")
+    assert {r.doc_id: r.license for r in licences.scan(df).collect()} == {i: n for i, (n, _) in enumerate(docs)}
+    digests = spark.createDataFrame(list(known), "license string, text string").groupBy(licences.canonical(F.col("text")).alias("c"))
+    assert digests.agg(F.count_distinct("license").alias("n"), F.collect_set("license").alias("l")).where("n > 1").collect() == []
