@@ -1,13 +1,12 @@
-"""Substring deduplication by relative Lempel-Ziv parsing over words.
+"""Substring deduplication by windows of words, looked up by hash.
 
 Every slice of documents is a reference block.  Its index lists each window of
 20 words once, under the smallest 5-word gram inside the window (by hash), so
 that a window's entries from all blocks meet in one index part.  The earliest
 document that its own block or else the index part knows for a window is the
-window's source.  A document is then parsed
-greedily: a factor runs on as long as the next window has the same source, and
-at each factor boundary the next window is looked up anew.  Every word of a
-factor is covered by a window that also starts earlier, and is removed.
+window's source.  Every word of a window that also starts earlier is removed.
+All windows are looked up, by hash, not only those at factor boundaries as in
+a greedy parse; factors are runs of windows with one source, listed afterwards.
 
 A block sends each window once however often it repeats there, so a passage
 that a third of all documents share costs an index part one entry a block.
@@ -143,7 +142,7 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, p
 
 
 def _parse(window: int, extra: list[str]):
-    """Greedy factors of each document from its windows' sources."""
+    """Words left of each document, and its windows' runs of one source as factors."""
     def run(batches):
         for b in batches:
             out = {k: [] for k in ("n_words", "n_removed", "kept_text", "factors")}
