@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldlake.llm import fingerprints, licences, mixing, neardup, packing, substrings, suffixes, topk, toxicity, urls
+from fieldlake.llm import fingerprints, infill, licences, mixing, neardup, packing, substrings, suffixes, topk, toxicity, urls
 
 QUERIES = {
     "op1_near_dedup": neardup.op1_near_dedup,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_pack": packing.op9_pack,
     "op10_topk": topk.op10_topk,
+    "op13_fill_in_middle": infill.op13_fill_in_middle,
 }
 
 SQL = {
     "op2_mix_sources": mixing.OP2_SQL,
     "op3_license_scan": licences.OP3_SQL,
     "op5_url_filter": urls.OP5_SQL,
+    "op13_fill_in_middle": infill.OP13_SQL,
 }
