@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldlake.llm import fingerprints, infill, licences, mixing, neardup, packing, substrings, suffixes, topk, toxicity, urls
+from fieldlake.llm import alignment, fingerprints, infill, lattice, licences, mixing, neardup, packing, substrings, suffixes, topk, toxicity, urls
 
 QUERIES = {
     "op1_near_dedup": neardup.op1_near_dedup,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_pack": packing.op9_pack,
     "op10_topk": topk.op10_topk,
+    "op11_lattice_likelihood": lattice.op11_lattice_likelihood,
+    "op12_align_tokens": alignment.op12_align_tokens,
     "op13_fill_in_middle": infill.op13_fill_in_middle,
 }
 
@@ -22,5 +24,7 @@ SQL = {
     "op2_mix_sources": mixing.OP2_SQL,
     "op3_license_scan": licences.OP3_SQL,
     "op5_url_filter": urls.OP5_SQL,
+    "op11_lattice_likelihood": lattice.op11_lattice_likelihood,
+    "op12_align_tokens": alignment.op12_align_tokens,
     "op13_fill_in_middle": infill.OP13_SQL,
 }
