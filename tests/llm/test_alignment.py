@@ -74,7 +74,7 @@ def test_chunks_give_the_whole_texts_tokens(texts):
         for i, text in enumerate(texts):
             mine = [number[k] for k in which[doc == i]]
             ok = text and all(own.counts[5 * k] >= 0 for k in mine)
-            got = ";".join(own.texts[k] for k in mine) if ok else ""
+            got = b";".join(own.texts[k] for k in mine).decode() if ok else ""
             assert got == ";".join(",".join(map(str, p)) + "|" + ",".join(map(str, q)) for p, q in plain.groups(text))
 
 
@@ -107,4 +107,4 @@ def test_empty_table_and_forgotten_chunks(spark, monkeypatch):
     for _ in range(3):
         t = next(flat.slices(alignment.spaced(pa.array(["one two three four", "five six"]))))
         number, which, doc = own.chunks(t)
-        assert ";".join(own.texts[number[k]] for k in which[doc == 1]) == ";".join(f"{p[0]}|{q[0]}" for p, q in Plain().groups("five six"))
+        assert b";".join(own.texts[number[k]] for k in which[doc == 1]).decode() == ";".join(f"{p[0]}|{q[0]}" for p, q in Plain().groups("five six"))
