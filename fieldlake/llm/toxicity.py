@@ -22,7 +22,6 @@ from fieldlake.llm.common import stored, table
 
 CATEGORIES = ("quality", "toxic")
 TRAIN_ROWS = 20_000
-FEATURES = 4096      # at most so many features are chosen for each category
 FOLDS = 5
 BITS = 20            # features are hashed to 2**BITS
 SEED = "tox-1"
@@ -123,9 +122,8 @@ def choose_features(sample: DataFrame, categories=CATEGORIES) -> dict[str, np.nd
         # at most train_rows different totals
         of = np.array([tuple(r) for r in seen.groupBy((k1 + k0).alias("total")).count().collect()], np.int64).reshape(-1, 2)
         g = _g(k1, k0, n1, n0, lambda o, e: F.when(o > 0, o * F.ln(o / e)).otherwise(0.0))
-        best = (seen.withColumn("g", g).where(F.col("g") >= _least_g(of[:, 0], of[:, 1], n1, n0))
-                .orderBy(F.col("g").desc(), "key").limit(FEATURES).select("key"))
-        chosen[c] = np.sort(np.array([r[0] for r in best.collect()], np.int64))
+        best = seen.where(g >= _least_g(of[:, 0], of[:, 1], n1, n0)).select("key").toArrow()  # 2**BITS at most
+        chosen[c] = np.sort(best.column("key").to_numpy().astype(np.int64))
     return chosen
 
 
@@ -181,17 +179,18 @@ class Linear:
         return cls(theta[:features], theta[features:-1], theta[-1])
 
 
-def fit_chain(rows: list, chosen: dict[str, np.ndarray], categories=CATEGORIES, folds: int = FOLDS) -> list:
+def fit_chain(sample: pa.Table, chosen: dict[str, np.ndarray], categories=CATEGORIES, folds: int = FOLDS) -> list:
     """[(category, chosen features, model or None, threshold)].  A category
     without both classes in the sample has no model: probability 0."""
-    rows = sorted(rows, key=lambda r: r["doc_id"])
-    fold = flat.mix(np.array([r["doc_id"] for r in rows], np.int64).astype(np.uint64)) % np.uint64(folds) if rows else np.zeros(0)
-    earlier, chain = np.zeros((len(rows), 0)), []
+    sample = sample.sort_by("doc_id").combine_chunks()
+    ids = sample.column("doc_id").to_numpy().astype(np.uint64)
+    fold = flat.mix(ids) % np.uint64(folds)
+    earlier, chain = np.zeros((len(ids), 0)), []
     for c in categories:
-        y = np.array([-1 if r[c] is None else r[c] for r in rows])
-        lists = [r[f"{c}_at"] for r in rows]
-        row = np.repeat(np.arange(len(rows)), [len(x) for x in lists]) if rows else np.zeros(0, np.int64)
-        at = np.array([i for x in lists for i in x], np.int64)
+        y = sample.column(c).fill_null(-1).to_numpy().astype(np.int64)
+        lists = sample.column(f"{c}_at").combine_chunks()
+        row = np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+        at = lists.flatten().to_numpy().astype(np.int64)
 
         def part(use):
             place = np.cumsum(use) - 1
@@ -202,9 +201,9 @@ def fit_chain(rows: list, chosen: dict[str, np.ndarray], categories=CATEGORIES,
         known = y >= 0
         if len(set(y[known])) < 2:
             chain.append((c, chosen[c], None, 0.5))
-            earlier = np.column_stack([earlier, np.zeros(len(rows))])
+            earlier = np.column_stack([earlier, np.zeros(len(ids))])
             continue
-        out_of_fold = np.zeros(len(rows))
+        out_of_fold = np.zeros(len(ids))
         for k in range(folds):
             train, held = known & (fold != k), fold == k
             if held.any():
@@ -218,12 +217,12 @@ def fit_chain(rows: list, chosen: dict[str, np.ndarray], categories=CATEGORIES,
 
 
 def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, train_rows: int = TRAIN_ROWS) -> list:
-    """Fit the chain.  What reaches the driver is bounded by ``train_rows``
-    rows of chosen features and FEATURES features a category."""
+    """Fit the chain.  What reaches the driver, as Arrow, is bounded by
+    ``train_rows`` rows of chosen features and 2**BITS features a category."""
     sample = stored(training_sample(docs, labels, categories, train_rows), "tox-sample")
     chosen = choose_features(sample, categories)
     schema = "doc_id long, " + ", ".join(f"{c} int" for c in categories) + "".join(f", {c}_at array<int>" for c in categories)
-    rows = sample.mapInArrow(_sample_rows(chosen, categories), schema).collect()
+    rows = sample.mapInArrow(_sample_rows(chosen, categories), schema).toArrow()
     return fit_chain(rows, chosen, categories)
 
 

@@ -33,7 +33,8 @@ def test_toxicity_on_held_out_rows(spark):
 def test_chain_uses_earlier_category():
     """The second category is the first one's probability; words alone don't show it."""
     rows = [{"doc_id": i, "quality": i % 2, "toxic": i % 2, "quality_at": [0] if i % 2 else [], "toxic_at": []} for i in range(400)]
-    chain = toxicity.fit_chain(rows, {"quality": np.array([5]), "toxic": np.zeros(0, np.int64)})
+    schema = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32()), ("quality_at", pa.list_(pa.int32())), ("toxic_at", pa.list_(pa.int32()))])
+    chain = toxicity.fit_chain(pa.Table.from_pylist(rows, schema), {"quality": np.array([5]), "toxic": np.zeros(0, np.int64)})
     model = chain[1][2]
     none = np.zeros(0, np.int64)
     p = model.probability(2, none, none, np.array([[0.95], [0.05]]))
