@@ -18,6 +18,7 @@ import functools
 import hashlib
 import os
 from array import array
+from collections.abc import Iterator
 from itertools import chain
 from operator import attrgetter
 
@@ -32,6 +33,7 @@ from fieldlake.llm.common import stored, table
 from fieldlake.llm.packing import _WIDE_SPACE
 
 BLOCK_BYTES = 2 << 20
+SLICE_ROWS = 512
 MOST_CACHED = 250_000   # chunks remembered by a worker; what is forgotten is encoded again
 LEARNT = 8192           # chunks encoded together
 JOINED = 64             # of them in one text
@@ -275,11 +277,18 @@ def spaced(column) -> pa.Array:
     return pc.if_else(pc.equal(pc.binary_length(text), 0), text, pc.binary_join_element_wise(none, text, blank))
 
 
+def slices(column, most: int = flat.SLICE_BYTES) -> Iterator[flat.Texts]:
+    """The spaced texts of a column, a few rows at a time."""
+    for first in range(0, len(column), SLICE_ROWS):
+        for t in flat.slices(spaced(column.slice(first, SLICE_ROWS)), most):
+            yield flat.Texts(t.data, t.offsets, range(first + t.rows.start, first + t.rows.stop))
+
+
 def _spans(paths, keep: list[str]):
     def run(batches):
         own = aligner(*paths)
         for b in batches:
-            for t in flat.slices(spaced(b.column("text"))):
+            for t in slices(b.column("text")):
                 start = own.cuts(t)
                 doc = np.searchsorted(t.offsets, start, "right") - 1
                 g, none = own.groups(flat.Texts(t.data, np.append(start, t.offsets[-1]), range(len(start))))
@@ -319,7 +328,7 @@ def _blocks(paths, block_bytes: int):
     def run(batches):
         own = aligner(*paths)
         for b in batches:
-            for t in flat.slices(spaced(b.column("text")), block_bytes):
+            for t in slices(b.column("text"), block_bytes):
                 n = len(t)
                 number, which, doc = own.chunks(t)
                 counts = np.array(own.counts, np.int64).reshape(-1, 5)
