@@ -18,7 +18,6 @@ import functools
 import hashlib
 import os
 from array import array
-from collections.abc import Iterator
 from itertools import chain
 from operator import attrgetter
 
@@ -33,7 +32,6 @@ from fieldlake.llm.common import stored, table
 from fieldlake.llm.packing import _WIDE_SPACE
 
 BLOCK_BYTES = 2 << 20
-SLICE_ROWS = 512
 MOST_CACHED = 250_000   # chunks remembered by a worker; what is forgotten is encoded again
 LEARNT = 8192           # chunks encoded together
 JOINED = 64             # of them in one text
@@ -277,18 +275,11 @@ def spaced(column) -> pa.Array:
     return pc.if_else(pc.equal(pc.binary_length(text), 0), text, pc.binary_join_element_wise(none, text, blank))
 
 
-def slices(column, most: int = flat.SLICE_BYTES) -> Iterator[flat.Texts]:
-    """The spaced texts of a column, a few rows at a time."""
-    for first in range(0, len(column), SLICE_ROWS):
-        for t in flat.slices(spaced(column.slice(first, SLICE_ROWS)), most):
-            yield flat.Texts(t.data, t.offsets, range(first + t.rows.start, first + t.rows.stop))
-
-
 def _spans(paths, keep: list[str]):
     def run(batches):
         own = aligner(*paths)
         for b in batches:
-            for t in slices(b.column("text")):
+            for t in blocks.slices(b.column("text"), flat.SLICE_BYTES, spaced):
                 start = own.cuts(t)
                 doc = np.searchsorted(t.offsets, start, "right") - 1
                 g, none = own.groups(flat.Texts(t.data, np.append(start, t.offsets[-1]), range(len(start))))
@@ -328,7 +319,7 @@ def _blocks(paths, block_bytes: int):
     def run(batches):
         own = aligner(*paths)
         for b in batches:
-            for t in slices(b.column("text"), block_bytes):
+            for t in blocks.slices(b.column("text"), block_bytes, spaced):
                 n = len(t)
                 number, which, doc = own.chunks(t)
                 counts = np.array(own.counts, np.int64).reshape(-1, 5)
@@ -346,12 +337,14 @@ def _blocks(paths, block_bytes: int):
                 place, i = flat.ragged(counts[number[chunk], 4])
                 at = first[number[chunk]][place] + i
                 keys, of = np.unique(np.array(own.pairs, np.int64)[at], return_inverse=True)
+                holders = np.zeros(len(keys), np.int64)
                 doc, of, times = blocks.held(doc[place], of, len(keys), np.array(own.times, np.int64)[at] * times[place])
+                np.add.at(holders, of, 1)
+                packed = blocks.vectors(doc, of, times, len(keys))
                 yield pa.RecordBatch.from_arrays(
                     [blocks.lists(b.column("doc_id").slice(t.rows.start, n), pa.int64()), *[blocks.lists(x, pa.int64()) for x in sums], blocks.lists(shas, pa.string()),
-                     blocks.lists(keys, pa.int64()), blocks.lists(np.bincount(of, minlength=len(keys)), pa.int64()),
-                     blocks.lists(doc.astype(np.int32), pa.int32()), blocks.lists(of.astype(np.int32), pa.int32()), blocks.lists(times.astype(np.int32), pa.int32())],
-                    ["ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "keys", "holders", "doc", "of", "times"])
+                     blocks.lists(keys, pa.int64()), blocks.lists(holders, pa.int64()), *packed.values()],
+                    ["ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "keys", "holders", *packed])
         own._forget()   # a worker that waits for its next task holds no chunks
     return run
 
@@ -362,10 +355,11 @@ _OWN = ("n_a", "n_b", "n_groups", "n_links")
 def _documents(block: pa.Table, found: pa.Table) -> pa.Table:
     out = []
     for i in range(block.num_rows):
-        own = {c: block.column(c).combine_chunks()[i].values for c in ("ids", *_OWN, "groups_sha256", "keys", "doc", "of", "times")}
-        n, keys = len(own["ids"]), len(own["keys"])
+        own = {c: block.column(c).combine_chunks()[i].values for c in ("ids", *_OWN, "groups_sha256")}
+        packed = {c: block.column(c)[i].as_py() for c in ("n_keys", "n_pairs", "steps", "times")}
+        n, keys = len(own["ids"]), packed["n_keys"]
         count, best = blocks.at_places(found, "n", keys), blocks.at_places(found, "best", keys, False).astype(bool)
-        doc, of, times = (own[c].to_numpy(zero_copy_only=False) for c in ("doc", "of", "times"))
+        doc, of, times = blocks.unpack_vectors(packed)
         sums = np.zeros((2, n), np.int64)   # whole numbers: exact beyond 2**53 too
         np.add.at(sums[0], doc, times * best[of])
         np.add.at(sums[1], doc, times * count[of].astype(np.int64))
@@ -397,9 +391,9 @@ def link_statistics(docs: DataFrame, path_a: str | None = None, path_b: str | No
     paths = tuple(x or y for x, y in zip((path_a, path_b), default_paths()))
     made = docs.select("doc_id", "text").mapInArrow(
         _blocks(paths, block_bytes), "ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>, "
-                                     "keys array<long>, holders array<long>, doc array<int>, of array<int>, times array<int>")
+                                     "keys array<long>, holders array<long>, " + blocks.VECTORS)
     made = stored(made.withColumn("block", F.monotonically_increasing_id()), "token-blocks")
-    return blocks.look_up(made, pair_counts(made), _documents, _OUT)
+    return blocks.look_up(made, pair_counts(made), _documents, _OUT, ("holders",))
 
 
 def op12_align_tokens(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from fieldlake.llm import blocks, flat
 from fieldlake.llm.common import stored, table
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 18   # words whose lattices are in memory together
 ROUNDS = 3              # re-estimations of the pieces' probabilities
 END = "</s>"
@@ -179,7 +179,7 @@ def _blocks(block_bytes: int):
     def run(batches):
         for b in batches:
             ids, out_of = b.column("doc_id"), b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            for t in flat.slices(b.column("text"), block_bytes):
+            for t in blocks.slices(b.column("text"), block_bytes):
                 low = flat.Texts(np.concatenate([_LOWER[t.data[:-8]], t.data[-8:]]), t.offsets, t.rows)
                 w = flat.Words(low)
                 _, first, key = np.unique(w.hashes(low), return_index=True, return_inverse=True)
@@ -188,19 +188,17 @@ def _blocks(block_bytes: int):
                 words = pa.StringArray.from_buffers(len(first), pa.py_buffer(np.append(0, np.cumsum(size)).astype(np.int32)), pa.py_buffer(low.data[start[row] + i]))
                 held_out = out_of[t.rows.start:t.rows.start + len(t)]
                 train = np.bincount(key, ~held_out[w.doc], len(first)).astype(np.int64)
-                doc, of, times = blocks.held(w.doc, key, len(first))
+                packed = blocks.vectors(*blocks.held(w.doc, key, len(first)), len(first))
                 yield pa.RecordBatch.from_arrays([
                     blocks.lists(ids.slice(t.rows.start, len(t)), pa.int64()), blocks.lists(held_out, pa.bool_()), blocks.lists(w.count, pa.int64()),
-                    blocks.lists(words, pa.string()), blocks.lists(train, pa.int64()),
-                    blocks.lists(doc.astype(np.int32), pa.int32()), blocks.lists(of.astype(np.int32), pa.int32()), blocks.lists(times, pa.int64())],
-                    ["ids", "held_out", "words_of", "keys", "train", "doc", "of", "times"])
+                    blocks.lists(words, pa.string()), blocks.lists(train, pa.int64()), *packed.values()],
+                    ["ids", "held_out", "words_of", "keys", "train", *packed])
     return run
 
 
 def document_blocks(docs: DataFrame, held_out, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     d = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
-    made = d.mapInArrow(_blocks(block_bytes), "ids array<long>, held_out array<boolean>, words_of array<long>, keys array<string>, train array<long>, "
-                                              "doc array<int>, of array<int>, times array<long>")
+    made = d.mapInArrow(_blocks(block_bytes), "ids array<long>, held_out array<boolean>, words_of array<long>, keys array<string>, train array<long>, " + blocks.VECTORS)
     return stored(made.withColumn("block", F.monotonically_increasing_id()), "lm-blocks")
 
 
@@ -256,10 +254,11 @@ def _documents(n_train: int, distinct: int, ends: int, end_score: float):
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
         out = []
         for i in range(block.num_rows):
-            own = {c: block.column(c).combine_chunks()[i].values for c in ("ids", "held_out", "words_of", "doc", "of", "times", "keys")}
-            n, keys = len(own["ids"]), len(own["keys"])
+            own = {c: block.column(c).combine_chunks()[i].values for c in ("ids", "held_out", "words_of")}
+            packed = {c: block.column(c)[i].as_py() for c in ("n_keys", "n_pairs", "steps", "times")}
+            n, keys = len(own["ids"]), packed["n_keys"]
             seen, log_p = blocks.at_places(found, "train", keys), blocks.at_places(found, "log_p", keys)
-            doc, of, times = (own[c].to_numpy(zero_copy_only=False) for c in ("doc", "of", "times"))
+            doc, of, times = blocks.unpack_vectors(packed)
             total = lambda x: np.bincount(doc, times * x[of], n)  # noqa: E731, B023
             base = total(np.log10(seen + 1) + least) + np.log10(ends + 1) + least
             out.append(pa.table([own["ids"], own["held_out"], pa.array(own["words_of"].to_numpy(zero_copy_only=False) + 1),
@@ -292,7 +291,7 @@ def likelihoods(docs: DataFrame, held_out, path: str | None = None, ranks: bool
     ends = made.select(F.coalesce(F.sum(F.size(F.filter("held_out", lambda x: ~x))), F.lit(0))).first()[0]
     score = train(words, ends, path, ranks, rounds)
     values = word_scores(words, score, path, ranks)
-    return blocks.look_up(made, values, _documents(n + ends, distinct + (ends > 0), ends, float(score[-1])), _OUT)
+    return blocks.look_up(made, values, _documents(n + ends, distinct + (ends > 0), ends, float(score[-1])), _OUT, ("train",))
 
 
 def op11_lattice_likelihood(spark, sf_dir: str) -> DataFrame:
