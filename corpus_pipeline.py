@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from fieldlake.llm import mixing, neardup, packing, suffixes, toxicity
 from fieldlake.llm.common import stored, table, workers_find_this
 
+#: a passage of 50 words, at six bytes a word with its blank; grams as long in proportion as op7's
+PASSAGE_BYTES, PASSAGE_GRAM = 300, 120
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -32,7 +34,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the passages it shares; n_chars follows."""
     workers_find_this(spark)
-    d = suffixes.deduplicate(docs, keep=[c for c in COLUMNS if c != "text"])
+    d = suffixes.deduplicate(docs, PASSAGE_BYTES, PASSAGE_GRAM, keep=[c for c in COLUMNS if c != "text"])
     return d.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*COLUMNS)
 
 
