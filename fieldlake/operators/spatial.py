@@ -1,11 +1,10 @@
 """G5, G7, G9-G11 as distributed joins.
 
 Spark has no spatial index, and a theta join (``st_intersects``) plans as a
-nested loop over all pairs.  Instead every geometry is exploded into the grid
-cells its bounding box covers, every point gets exactly one cell, and the
-join is an equi-join on the cell (shuffle or broadcast as AQE decides; a hot
-cell is split by AQE's skew-join handling), followed by a bounding-box filter
-and the exact test.  A point has one cell, so no pair is produced twice.
+nested loop over all pairs.  Instead geometries become grid cells, points know
+their cells, and the join is an equi-join on the cell (shuffle or broadcast as
+AQE decides; a hot cell is split by AQE's skew-join handling), followed by an
+exact test where the cell leaves it open.  No pair is produced twice.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ log = logging.getLogger("fieldlake.spatial")
 
 from ..constants import EARTH_RADIUS_M
 from ..functions import geo
+from . import cover
 from ..session import ensure_checkpoint_dir
 
 DEG_M = math.pi / 180.0 * EARTH_RADIUS_M
@@ -38,24 +38,31 @@ def point_cells(points: DataFrame, px: str, py: str, cell: float) -> DataFrame:
                   .withColumn("_cy", F.floor(F.col(py) / cell).cast("long")))
 
 
-def geometry_cells(geoms: DataFrame, geom_col: str, cell: float) -> DataFrame:
-    bb = geo.bbox(geom_col)
-    g = geoms.withColumn("_bb", bb)
-    cells = _cells_of_box(F.col("_bb.xmin"), F.col("_bb.xmax"), F.col("_bb.ymin"), F.col("_bb.ymax"), cell)
-    return (g.withColumn("_cell", F.explode(cells))
-             .withColumn("_cx", F.col("_cell.cx")).withColumn("_cy", F.col("_cell.cy")).drop("_cell"))
-
-
 def spatial_join(points: DataFrame, polys: DataFrame, px: str, py: str, geom_col: str,
-                 cell: float = 1.0) -> DataFrame:
+                 cell: float | None = None, geom_id: str | None = None) -> DataFrame:
     """(point, polygon) pairs where the polygon contains the point
-    (boundary inside).  Output: all point columns + all polygon columns."""
-    pts = point_cells(points, px, py, cell)
-    pol = geometry_cells(polys, geom_col, cell)
-    j = pts.join(pol, on=["_cx", "_cy"], how="inner")
-    j = j.filter(F.col(px).between(F.col("_bb.xmin"), F.col("_bb.xmax"))
-                 & F.col(py).between(F.col("_bb.ymin"), F.col("_bb.ymax")))
-    return j.filter(geo.contains_point(geom_col, px, py)).drop("_cx", "_cy", "_bb")
+    (boundary inside).  Output: all point columns + all polygon columns.
+
+    Polygons are covered with cells (see cover.py); a point asks for its cell
+    of every level in use and finds at most one cell of a polygon.  In an
+    inside cell it is a hit, in a boundary cell the exact test decides, for
+    which the polygon is fetched by ``geom_id`` (unique; else a hash of the
+    geometry stands in, and equal geometries share their cells).  ``cell`` is
+    no longer needed: cells follow each polygon's size."""
+    if geom_id is None:
+        keyed = polys.withColumn("_gid", F.xxhash64(geom_col))
+        shapes = keyed.select("_gid", geom_col).dropDuplicates(["_gid"])
+    else:
+        keyed = polys.withColumn("_gid", F.col(geom_id))
+        shapes = keyed.select("_gid", geom_col)
+    used = cover.levels(shapes, geom_col)
+    at = F.array(*[F.struct(F.lit(k).alias("level"), cover.cell_of(F.col(px), F.lit(k)).alias("cx"), cover.cell_of(F.col(py), F.lit(k)).alias("cy"))
+                   for k in used or [0]])
+    probes = points.filter(F.col(px).isNotNull() & F.col(py).isNotNull()).withColumn("_cell", F.explode(at))
+    cells = cover.cover(shapes, "_gid", geom_col).select(F.col("_gid").alias("_g"), F.struct("level", "cx", "cy").alias("_c"), "inside")
+    hits = probes.join(cells, F.col("_cell") == F.col("_c")).drop("_cell", "_c").withColumnRenamed("inside", "_inside")
+    j = hits.join(keyed, F.col("_g") == F.col("_gid"))
+    return j.filter(F.col("_inside") | geo.contains_point(geom_col, px, py)).drop("_g", "_gid", "_inside")
 
 
 def assign_to_boxes(points: DataFrame, boxes: DataFrame, px: str, py: str,

@@ -77,7 +77,7 @@ def spatial_join_grid(spark, sf):
     """Customers inside nation polygons via the cell equi-join."""
     pts = customer_points(spark, sf)
     pol = nation_polygons(spark, sf).select("n_nationkey", "geom")
-    return spatial.spatial_join(pts, pol, "lon", "lat", "geom", cell=2.0).select("c_custkey", "n_nationkey")
+    return spatial.spatial_join(pts, pol, "lon", "lat", "geom", geom_id="n_nationkey").select("c_custkey", "n_nationkey")
 
 
 def point_in_polygon(spark, sf):

@@ -242,16 +242,15 @@ def fct_plot_timber_profile(tree: DataFrame, plot_dim: DataFrame) -> DataFrame:
              .withColumn("stand_stage", bin_below("stand_age_years", STAND_STAGES, null_label=STAND_STAGE_NULL)))
 
 
-def fct_plot_fire_history(profile: DataFrame, fires: DataFrame, min_fire_year: int = FIRE_JOIN_MIN_YEAR,
-                          cell: float = 0.25) -> DataFrame:
-    """Plot visits inside fire perimeters (grid spatial join), timing
+def fct_plot_fire_history(profile: DataFrame, fires: DataFrame, min_fire_year: int = FIRE_JOIN_MIN_YEAR) -> DataFrame:
+    """Plot visits inside fire perimeters (cell cover join), timing
     relative to the fire year."""
     p = profile.select("plot_cn", "plot_number", "measurement_year", "latitude", "longitude", "owner_group",
                        "elevation_band", "live_biomass_tons_per_acre", "dead_biomass_tons_per_acre",
                        "pct_dead", "live_trees", "dead_trees", "stand_age_years", "dominant_species")
     f = fires.filter(F.col("fire_year") >= min_fire_year).select(
         "fire_id", "incident_name", "fire_year", "reported_acres", "size_class", "fire_geom")
-    j = spatial.spatial_join(p, f, "longitude", "latitude", "fire_geom", cell=cell)
+    j = spatial.spatial_join(p, f, "longitude", "latitude", "fire_geom", geom_id="fire_id")
     return (j.drop("fire_geom", "latitude", "longitude")
              .withColumn("years_since_fire", F.col("measurement_year") - F.col("fire_year"))
              .withColumn("measurement_timing", timing_label("measurement_year", "fire_year")))
