@@ -249,10 +249,11 @@ def _ring_simple(r: str) -> str:
             f"j12 -> j12 >= i12 + 2 AND NOT (i12 = 0 AND j12 = {n} - 2)), j12 -> {touch}))")
 
 
-def validity_reason(geom: str) -> Column:
+def validity_reason(geom: str, crossings: bool = True) -> Column:
     """NULL when valid, else the first failed rule: empty, coordinates,
     ring too short, ring not closed, self-intersection.  Edge crossing is
-    checked pairwise per ring (O(n²) per ring)."""
+    checked pairwise per ring (O(n²) per ring), or left out; for long rings
+    see operators/validity.py."""
     g = _sql(geom)
     verts = f"flatten(flatten({g}.parts))"
     coords_ok = (f"forall({verts}, q -> q.x IS NOT NULL AND q.y IS NOT NULL AND NOT isnan(q.x) AND NOT isnan(q.y) "
@@ -262,7 +263,7 @@ def validity_reason(geom: str) -> Column:
     short = (f"exists(flatten({g}.parts), rr -> CASE WHEN {is_poly} THEN size(rr) < 4 "
              f"WHEN {is_line} THEN size(rr) < 2 ELSE size(rr) < 1 END)")
     unclosed = f"({is_poly} AND exists(flatten({g}.parts), rr -> rr[0] <> rr[size(rr) - 1]))"
-    crossing = f"({is_poly} AND exists(flatten({g}.parts), rr -> NOT {_ring_simple('rr')}))"
+    crossing = "false" if not crossings else f"({is_poly} AND exists(flatten({g}.parts), rr -> NOT {_ring_simple('rr')}))"
     return F.expr(f"CASE WHEN {g} IS NULL OR size({verts}) = 0 THEN 'empty' "
                   f"WHEN NOT {coords_ok} THEN 'coordinates' WHEN {short} THEN 'ring too short' "
                   f"WHEN {unclosed} THEN 'ring not closed' WHEN {crossing} THEN 'self-intersection' END")

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import geo
+from ..session import ensure_checkpoint_dir
 
 STEP = 2          # levels between a cell and those it is split into
 DEPTH = 6         # levels between the cell that holds a polygon's box and its finest cells
@@ -23,14 +24,14 @@ FINEST = 30
 PAD = 1e-9        # degrees by which an edge is thickened, so that rounding never loses a cell
 
 
-def size_of(level) -> Column:
-    """Degrees a side of a cell."""
-    return F.lit(360.0) / F.pow(F.lit(2.0), level)
+def size_of(level: str) -> str:
+    """Degrees a side of a cell, as SQL."""
+    return f"(360D / pow(2D, {level}))"
 
 
-def cell_of(degrees: Column, level) -> Column:
-    """Number of the column (of a longitude) or row (of a latitude)."""
-    return F.floor((degrees + 180.0) / size_of(level)).cast("long")
+def cell_of(degrees: str, level: str) -> str:
+    """Number of the column (of a longitude) or row (of a latitude), as SQL."""
+    return f"CAST(floor(({degrees} + 180D) / {size_of(level)}) AS BIGINT)"
 
 
 def edges(geoms: DataFrame, geom_id: str, geom_col: str, *more: str) -> DataFrame:
@@ -45,37 +46,40 @@ def edges(geoms: DataFrame, geom_id: str, geom_col: str, *more: str) -> DataFram
              .filter("ax IS NOT NULL AND ay IS NOT NULL AND bx IS NOT NULL AND by IS NOT NULL"))
 
 
-def edge_cells(e: DataFrame, level: str, *keep: str) -> DataFrame:
-    """Each edge in every cell of ``level`` (a column) that it touches, with
-    ``crosses``: 1 in the cell where it crosses the middle of the cell's row."""
-    s = size_of(F.col(level))
-    low, high = F.least("ay", "by"), F.greatest("ay", "by")
-    rows = e.withColumn("cy", F.explode(F.sequence(cell_of(low - PAD, F.col(level)), cell_of(high + PAD, F.col(level)))))
-    slope = F.when(F.col("ay") != F.col("by"), (F.col("bx") - F.col("ax")) / F.when(F.col("ay") != F.col("by"), F.col("by") - F.col("ay")))
+def _between(first: str, last: str, parent: str | None) -> str:
+    """Numbers from first to last; of those only the ones in ``parent``, a cell STEP levels up."""
+    if parent is None:
+        return f"sequence({first}, {last})"
+    first, last = f"greatest({first}, {parent} * {1 << STEP})", f"least({last}, {parent} * {1 << STEP} + {(1 << STEP) - 1})"
+    return f"CASE WHEN {first} <= {last} THEN sequence({first}, {last}) END"
 
-    def x_at(y: Column) -> Column:
-        return F.col("ax") + (F.least(high, F.greatest(low, y)) - F.col("ay")) * slope
 
-    below, above = x_at(F.col("cy") * s - 180.0), x_at((F.col("cy") + 1) * s - 180.0)
-    middle = (F.col("cy") + 0.5) * s - 180.0
-    flat = slope.isNull()
-    left = F.when(flat, F.least("ax", "bx")).otherwise(F.least(below, above))
-    right = F.when(flat, F.greatest("ax", "bx")).otherwise(F.greatest(below, above))
-    crossing = F.when((F.col("ay") > middle) != (F.col("by") > middle), cell_of(x_at(middle), F.col(level)))
-    return (rows.withColumn("_x", crossing)
-                .withColumn("cx", F.explode(F.sequence(cell_of(left - PAD, F.col(level)), cell_of(right + PAD, F.col(level)))))
-                .select(*keep, level, "cx", "cy", F.coalesce((F.col("_x") == F.col("cx")).cast("int"), F.lit(0)).alias("crosses")))
+def edge_cells(e: DataFrame, level: str, *keep: str, parent: bool = False) -> DataFrame:
+    """Each edge in every cell of ``level`` (a column) that it touches, with
+    ``crosses``: 1 in the cell where it crosses the middle of the cell's row.
+    With ``parent`` only cells of the cell (_px, _py) STEP levels up."""
+    s = size_of(level)
+    e = e.selectExpr("*", "least(ay, by) AS _low", "greatest(ay, by) AS _high", "CASE WHEN ay <> by THEN (bx - ax) / (by - ay) END AS _slope")
+    rows = e.withColumn("cy", F.expr(f"explode({_between(cell_of(f'_low - {PAD}D', level), cell_of(f'_high + {PAD}D', level), '_py' if parent else None)})"))
+    x_at = "ax + (least(_high, greatest(_low, {} * " + s + " - 180D)) - ay) * _slope"
+    below, above, middle = x_at.format("cy"), x_at.format("(cy + 1)"), x_at.format("(cy + 0.5D)")
+    rows = rows.selectExpr("*", f"CASE WHEN _slope IS NULL THEN least(ax, bx) ELSE least({below}, {above}) END AS _left",
+                           f"CASE WHEN _slope IS NULL THEN greatest(ax, bx) ELSE greatest({below}, {above}) END AS _right",
+                           f"CASE WHEN (ay > (cy + 0.5D) * {s} - 180D) <> (by > (cy + 0.5D) * {s} - 180D) THEN {cell_of(middle, level)} END AS _x")
+    return (rows.withColumn("cx", F.expr(f"explode({_between(cell_of(f'_left - {PAD}D', level), cell_of(f'_right + {PAD}D', level), '_px' if parent else None)})"))
+                .selectExpr(*keep, level, "cx", "cy", "coalesce(CAST(_x = cx AS INT), 0) AS crosses"))
 
 
-def holding_level(box: str) -> Column:
-    """The finest even level whose cells are at least as large as the box."""
-    side = F.greatest(F.col(f"{box}.xmax") - F.col(f"{box}.xmin"), F.col(f"{box}.ymax") - F.col(f"{box}.ymin"), F.lit(1e-9))
-    level = F.greatest(F.lit(0), F.least(F.lit(FINEST - DEPTH), F.floor(F.log2(F.lit(360.0) / side)).cast("int")))
-    return level - level % STEP
+def holding_level(box: str) -> str:
+    """The finest even level whose cells are at least as large as the box, as SQL."""
+    side = f"greatest({box}.xmax - {box}.xmin, {box}.ymax - {box}.ymin, 1e-9D)"
+    level = f"greatest(0, least({FINEST - DEPTH}, CAST(floor(log2(360D / {side})) AS INT)))"
+    return f"({level} - {level} % {STEP})"
 
 
-def _shift(c: str, k) -> Column:
-    return F.floor(F.col(c) / F.pow(F.lit(2.0), k)).cast("long")
+def _up(c: str, k: str) -> str:
+    """Column or row of the cell k levels up."""
+    return f"CAST(floor({c} / pow(2D, {k})) AS BIGINT)"
 
 
 def _whole(geom_col: str) -> Column:
@@ -92,38 +96,51 @@ def cover(geoms: DataFrame, geom_id: str, geom_col: str, finest: int | None = No
     cell that holds the polygon's box.  A polygon with an open ring or a
     missing coordinate has no inside cells: all cells of its box are boundary
     ones.  Lines, points and polygons without vertices have no cells."""
+    ensure_checkpoint_dir(geoms.sparkSession)
     g = (geoms.filter(F.col(f"{geom_col}.gtype").like("%POLYGON")).select(geom_id, geom_col)
               .withColumn("_box", geo.bbox(geom_col)).filter("_box.xmin IS NOT NULL AND _box.ymin IS NOT NULL"))
-    leaf = F.lit(finest) if finest is not None else holding_level("_box") + depth
-    g = g.withColumn("_leaf", leaf.cast("int")).withColumn("_whole", _whole(geom_col))
+    leaf = f"{holding_level('_box')} + {depth}" if finest is None else f"{finest}"
+    g = g.withColumn("_leaf", F.expr(f"CAST({leaf} AS INT)")).withColumn("_whole", _whole(geom_col))
     e = edges(g.filter("_whole"), geom_id, geom_col, "_leaf")
-    border = edge_cells(e, "_leaf", geom_id).groupBy(geom_id, "_leaf", "cx", "cy").agg(F.sum("crosses").alias("n"))
+    # read three times below: ids and cell numbers, written once
+    border = edge_cells(e, "_leaf", geom_id).groupBy(geom_id, "_leaf", "cx", "cy").agg(F.sum("crosses").alias("n")).checkpoint()
     # all cells above the boundary's, k levels up; what they are split into and is not one of them holds no edge
-    ks = list(range(0, depth + 1, STEP))
-    above = (border.withColumn("k", F.explode(F.array(*map(F.lit, ks))))
-                   .select(geom_id, "_leaf", "k", _shift("cx", F.col("k")).alias("cx"), _shift("cy", F.col("k")).alias("cy")).distinct())
-    part = F.array(*[F.struct(F.lit(i).alias("x"), F.lit(j).alias("y")) for i in range(1 << STEP) for j in range(1 << STEP)])
-    parts = (above.filter("k > 0").withColumn("_p", F.explode(part))
-                  .select(geom_id, "_leaf", (F.col("k") - STEP).alias("k"), (F.col("cx") * (1 << STEP) + F.col("_p.x")).alias("cx"),
-                          (F.col("cy") * (1 << STEP) + F.col("_p.y")).alias("cy"), F.lit(0).alias("edge")))
+    ks = f"explode(sequence(0, {depth}, {STEP}))"
+    above = (border.withColumn("k", F.expr(ks)).selectExpr(geom_id, "_leaf", "k", f"{_up('cx', 'k')} AS cx", f"{_up('cy', 'k')} AS cy").distinct())
+    side = 1 << STEP
+    parts = (above.filter("k > 0").withColumn("_p", F.expr(f"explode(sequence(0, {side * side - 1}))"))
+                  .selectExpr(geom_id, "_leaf", f"k - {STEP} AS k", f"cx * {side} + _p % {side} AS cx", f"cy * {side} + _p DIV {side} AS cy", "0 AS edge"))
     free = (parts.unionByName(above.withColumn("edge", F.lit(1))).groupBy(geom_id, "_leaf", "k", "cx", "cy")
                  .agg(F.max("edge").alias("edge")).filter("edge = 0"))
-    scale = F.pow(F.lit(2.0), F.col("k"))
-    line = (border.select(geom_id, "_leaf", F.col("cy").alias("row"), F.col("cx").alias("col"), "n", F.lit(None).cast("int").alias("k"), "cx", "cy")
-            .unionByName(free.select(geom_id, "_leaf", (F.col("cy") * scale).cast("long").alias("row"), (F.col("cx") * scale).cast("long").alias("col"),
-                                     F.lit(0).cast("long").alias("n"), "k", "cx", "cy")))
+    line = (border.selectExpr(geom_id, "_leaf", "cy AS row", "cx AS col", "n", "CAST(NULL AS INT) AS k", "cx", "cy")
+            .unionByName(free.selectExpr(geom_id, "_leaf", "CAST(cy * pow(2D, k) AS BIGINT) AS row", "CAST(cx * pow(2D, k) AS BIGINT) AS col", "0L AS n", "k", "cx", "cy")))
     so_far = F.sum("n").over(Window.partitionBy(geom_id, "row").orderBy("col").rowsBetween(Window.unboundedPreceding, 0))
     inside = line.withColumn("_odd", so_far % 2 == 1).filter("k IS NOT NULL AND _odd")
+    span = lambda c: f"explode(sequence({cell_of(f'_box.{c}min - {PAD}D', 'level')}, {cell_of(f'_box.{c}max + {PAD}D', 'level')}))"
     box = g.filter(~F.col("_whole")).withColumn("level", F.col("_leaf") - (depth if finest is None else 0))
-    box = (box.withColumn("cx", F.explode(F.sequence(cell_of(F.col("_box.xmin") - PAD, F.col("level")), cell_of(F.col("_box.xmax") + PAD, F.col("level")))))
-              .withColumn("cy", F.explode(F.sequence(cell_of(F.col("_box.ymin") - PAD, F.col("level")), cell_of(F.col("_box.ymax") + PAD, F.col("level"))))))
-    return (inside.select(geom_id, (F.col("_leaf") - F.col("k")).alias("level"), "cx", "cy", F.lit(True).alias("inside"))
-            .unionByName(border.select(geom_id, F.col("_leaf").alias("level"), "cx", "cy", F.lit(False).alias("inside")))
-            .unionByName(box.select(geom_id, "level", "cx", "cy", F.lit(False).alias("inside"))))
+    box = box.withColumn("cx", F.expr(span("x"))).withColumn("cy", F.expr(span("y")))
+    return (inside.selectExpr(geom_id, "_leaf - k AS level", "cx", "cy", "true AS inside")
+            .unionByName(border.selectExpr(geom_id, "_leaf AS level", "cx", "cy", "false AS inside"))
+            .unionByName(box.selectExpr(geom_id, "level", "cx", "cy", "false AS inside")))
 
 
 def levels(geoms: DataFrame, geom_col: str, depth: int = DEPTH) -> list[int]:
     """The levels that ``cover`` may use for these polygons."""
     box = geoms.filter(F.col(f"{geom_col}.gtype").like("%POLYGON")).select(geo.bbox(geom_col).alias("_box")).filter("_box.xmin IS NOT NULL")
-    low, high = box.agg(F.min(holding_level("_box")), F.max(holding_level("_box"))).first()
+    held = F.expr(holding_level("_box"))
+    low, high = box.agg(F.min(held), F.max(held)).first()
     return list(range(low, high + depth + 1, STEP)) if low is not None else []
+
+
+def area_of(level: str, cy: str) -> Column:
+    """Share of a cell on the sphere, up to a constant factor."""
+    s = size_of(level)
+    edge = f"sin(radians(least(90D, greatest(-90D, {{}} * {s} - 180D))))"
+    return F.expr(f"{s} * ({edge.format(f'({cy} + 1)')} - {edge.format(cy)})")
+
+
+def upward(cells: DataFrame, low: int, *keep: str, strict: bool = False) -> DataFrame:
+    """Each cell as all the cells that hold it, up to level ``low``; itself too unless ``strict``."""
+    first = STEP if strict else 0
+    ks = f"explode(CASE WHEN level - {low} >= {first} THEN sequence({first}, level - {low}, {STEP}) END)"
+    return cells.withColumn("_k", F.expr(ks)).selectExpr(*keep, "level - _k AS level", f"{_up('cx', '_k')} AS cx", f"{_up('cy', '_k')} AS cy")

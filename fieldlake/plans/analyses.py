@@ -125,6 +125,7 @@ def growth_table(growth_by_site: DataFrame, species_name: str | None = None) ->
                     "mean_annual_growth_in", "median_annual_growth_in")
 
 
-def fires_by_basin(basins: DataFrame, fires: DataFrame, resolution: float = 0.01) -> DataFrame:
-    """Share of each gage basin burned (grid-sampled intersection)."""
-    return spatial.overlap_percent(basins, fires, "gage_id", "basin_geom", "fire_geom", resolution=resolution)
+def fires_by_basin(basins: DataFrame, fires: DataFrame, max_error: float = 0.5) -> DataFrame:
+    """Share of each gage basin burned, within ``max_error`` percentage points."""
+    out = spatial.overlap_within(basins, fires, "gage_id", "basin_geom", "fire_geom", max_error=max_error)
+    return out.select("gage_id", "pct_burned", "error_bound")

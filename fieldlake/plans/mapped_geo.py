@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import geo
-from ..operators import spatial
+from ..operators import spatial, validity
 from .mapped import fr
 from .tables import read
 
@@ -146,7 +146,7 @@ def geometry_validity(spark, sf):
     bow = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", v(1, 0), v(-1, 0), v(0, 1), v(0, -1), v(1, 0)), F.lit("))"))
     p = p.withColumn("wkt2", F.when((k % 2 == 1) & (k % 3 == 0), bow).otherwise(F.col("wkt")))
     p = p.withColumn("g2", geo.parse_wkt("wkt2"))
-    return p.select("s_suppkey", geo.is_valid("g2").alias("is_valid"), geo.validity_reason("g2").alias("reason"))
+    return validity.reasons(p, "s_suppkey", "g2").select("s_suppkey", F.col("reason").isNull().alias("is_valid"), "reason")
 
 
 def reproject_points(spark, sf):
@@ -200,7 +200,49 @@ def overlap_fraction(spark, sf):
     return out.select("s_suppkey", fr("pct_burned", 6).alias("pct_burned"))
 
 
+def overlap_adaptive(spark, sf):
+    """G11 / D14 by cells of one grid (level 12, 0.09°): share of each
+    supplier polygon covered by any burn."""
+    basins = supplier_polygons(spark, sf).select("s_suppkey", "geom")
+    out = spatial.overlap_within(basins, region_burns(spark, sf), "s_suppkey", "geom", "bgeom", max_error=0.0, start=12, finest=12)
+    return out.select("s_suppkey", fr("pct_burned", 6).alias("pct_burned"))
+
+
+def nearest_three(spark, sf):
+    """G7 with k = 3: the three nearest nation polygons of every supplier."""
+    p = nation_polygons(spark, sf).select("n_nationkey", "geom")
+    out = spatial.nearest_geometries(supplier_points(spark, sf), p, "s_suppkey", "n_nationkey", "lon", "lat", "geom", k=3, cell=16.0)
+    return out.select("s_suppkey", F.col("rank").cast("long").alias("rank"), "n_nationkey", F.round("distance_m", 3).alias("distance_m"))
+
+
+def customer_rings(spark, sf) -> DataFrame:
+    """Two rings for every 64 customers: their points in the order of keys,
+    and from west to east, closed by way of latitude 80."""
+    c = customer_points(spark, sf).withColumn("block", F.floor(F.col("c_custkey") / 64).cast("long"))
+    at = F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))
+    g = c.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("c_custkey", at.alias("p")))).alias("by_key"),
+                               F.sort_array(F.collect_list(F.struct("lon", "c_custkey", at.alias("p")))).alias("by_lon"))
+    g = g.select("block", F.expr("transform(by_key, q -> q.p)").alias("k"), F.expr("transform(by_lon, q -> q.p)").alias("l"))
+    top = "named_struct('x', element_at(l, {}).x, 'y', 80D)"
+    rings = g.selectExpr("block", "explode(array(named_struct('gid', 2 * block, 'r', concat(k, slice(k, 1, 1))), "
+                                  f"named_struct('gid', 2 * block + 1, 'r', concat(l, array({top.format(-1)}, {top.format(1)}), slice(l, 1, 1))))) AS q")
+    return rings.selectExpr("block", "q.gid", "named_struct('gtype', 'POLYGON', 'parts', array(array(q.r))) AS geom")
+
+
+def ring_crossings(spark, sf):
+    """G8 / Q8 for long rings: whether edges that are no neighbours touch,
+    by grid cells."""
+    rings = customer_rings(spark, sf)
+    hit = validity.crossing_rings(rings.select("gid", "geom"), "gid", "geom").select("gid", F.lit(True).alias("hit"))
+    crosses = F.coalesce("hit", F.lit(False))
+    return (rings.select("block", "gid").join(hit, "gid", "left").groupBy("block")
+                 .agg(F.bool_or(crosses & (F.col("gid") % 2 == 0)).alias("by_key_crosses"), F.bool_or(crosses & (F.col("gid") % 2 == 1)).alias("by_lon_crosses")))
+
+
 QUERIES = {
+    "overlap_adaptive": overlap_adaptive,
+    "nearest_three": nearest_three,
+    "ring_crossings": ring_crossings,
     "overlap_fraction": overlap_fraction,
     "point_report": point_report,
     "repair_geometry": repair_geometry,

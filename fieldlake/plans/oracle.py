@@ -562,6 +562,13 @@ d AS (SELECT p.s_suppkey, e2.n_nationkey, min({_seg_dist_sql('p.lon', 'p.lat')})
 SELECT s_suppkey, n_nationkey, round(dist, 3) AS distance_m FROM d
 QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY dist, n_nationkey) = 1"""
 
+SQL["nearest_three"] = f"""
+WITH {_NATION_V}, {_SUPP_PTS},
+d AS (SELECT p.s_suppkey, e2.n_nationkey, min({_seg_dist_sql('p.lon', 'p.lat')}) AS dist
+      FROM spts p CROSS JOIN e2 GROUP BY 1, 2)
+SELECT s_suppkey, row_number() OVER (PARTITION BY s_suppkey ORDER BY dist, n_nationkey) AS rank, n_nationkey, round(dist, 3) AS distance_m FROM d
+QUALIFY rank <= 3"""
+
 SQL["bbox_assign"] = f"""
 WITH {_CUST_PTS},
 b AS (SELECT n_nationkey, CAST(-170 + 14 * n_nationkey - 8 AS DOUBLE) AS xmin, CAST(-170 + 14 * n_nationkey + 8 AS DOUBLE) AS xmax,
@@ -731,3 +738,47 @@ SQL["append_columns"] = "SELECT o_orderkey, o_orderstatus, revision FROM (" + SQ
 
 SQL["top_values"] = """
 SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 10"""
+
+# every cell of the level that a polygon's box touches; a middle on an edge counts as inside
+_CELL = 360.0 / 2 ** 12
+SQL["overlap_adaptive"] = f"""
+WITH {_SUPP_V},
+bv AS (SELECT r_regionkey, c.idx,
+              CASE WHEN c.idx IN (1, 2) THEN (CAST(-172.9 AS DOUBLE) + 70 * r_regionkey) + 30
+                   ELSE CAST(-172.9 AS DOUBLE) + 70 * r_regionkey END AS x,
+              CASE WHEN c.idx IN (2, 3) THEN CAST(30.1 AS DOUBLE) ELSE CAST(-20.1 AS DOUBLE) END AS y
+       FROM region CROSS JOIN (SELECT * FROM range(0, 5) t(idx)) c),
+be AS (SELECT r_regionkey, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2
+       FROM bv WINDOW w AS (PARTITION BY r_regionkey ORDER BY idx)),
+be2 AS (SELECT * FROM be WHERE x2 IS NOT NULL),
+bb AS (SELECT s_suppkey, floor((min(x) + 180) / {_CELL!r}) AS cx0, floor((max(x) + 180) / {_CELL!r}) AS cx1,
+              floor((min(y) + 180) / {_CELL!r}) AS cy0, floor((max(y) + 180) / {_CELL!r}) AS cy1 FROM v GROUP BY 1),
+cells AS (SELECT s_suppkey, cx0 + i.i AS cx, cy0 + j.j AS cy FROM bb, range(0, 26) i(i), range(0, 26) j(j) WHERE cx0 + i.i <= cx1 AND cy0 + j.j <= cy1),
+lat AS (SELECT s_suppkey, cx, cy, (cx + 0.5) * {_CELL!r} - 180 AS lon, (cy + 0.5) * {_CELL!r} - 180 AS lat FROM cells),
+inb AS (SELECT p.s_suppkey, p.cx, p.cy, p.lon, p.lat FROM lat p JOIN e2 ON p.s_suppkey = e2.s_suppkey
+        GROUP BY 1, 2, 3, 4, 5 HAVING sum({_CROSS}) % 2 = 1 OR bool_or({_ONEDGE})),
+burned AS (SELECT DISTINCT s_suppkey, cx, cy FROM (
+             SELECT p.s_suppkey, p.cx, p.cy FROM inb p CROSS JOIN be2 e2
+             GROUP BY p.s_suppkey, p.cx, p.cy, e2.r_regionkey HAVING sum({_CROSS}) % 2 = 1 OR bool_or({_ONEDGE}))),
+w AS (SELECT i.s_suppkey, sin(radians((i.cy + 1) * {_CELL!r} - 180)) - sin(radians(i.cy * {_CELL!r} - 180)) AS area, b.cx IS NOT NULL AS hit
+      FROM inb i LEFT JOIN burned b ON i.s_suppkey = b.s_suppkey AND i.cx = b.cx AND i.cy = b.cy)
+SELECT s_suppkey, floor((sum(CASE WHEN hit THEN area ELSE 0 END) / sum(area) * 100) * 1000000 + 0.5) / 1000000 AS pct_burned FROM w GROUP BY 1"""
+
+SQL["ring_crossings"] = f"""
+WITH {_CUST_PTS},
+c AS (SELECT c_custkey // 64 AS block, c_custkey, lon, lat, row_number() OVER k AS ki, row_number() OVER l AS li, count(*) OVER (PARTITION BY c_custkey // 64) AS n
+      FROM pts WINDOW k AS (PARTITION BY c_custkey // 64 ORDER BY c_custkey), l AS (PARTITION BY c_custkey // 64 ORDER BY lon, c_custkey)),
+rv AS (SELECT block, 0 AS ring, ki AS i, lon AS x, lat AS y FROM c
+       UNION ALL SELECT block, 0, n + 1, lon, lat FROM c WHERE ki = 1
+       UNION ALL SELECT block, 1, li, lon, lat FROM c
+       UNION ALL SELECT block, 1, n + 1, lon, 80 FROM c WHERE li = n
+       UNION ALL SELECT block, 1, n + 2, lon, 80 FROM c WHERE li = 1
+       UNION ALL SELECT block, 1, n + 3, lon, lat FROM c WHERE li = 1),
+re AS (SELECT block, ring, i, x, y, lead(x) OVER w AS bx, lead(y) OVER w AS by_, count(*) OVER (PARTITION BY block, ring) - 1 AS m
+       FROM rv WINDOW w AS (PARTITION BY block, ring ORDER BY i)),
+pr AS (SELECT a.block, a.ring, a.i, b.i AS j, a.m, a.x AS sax, a.y AS say, a.bx AS sbx, a.by_ AS sby, b.x AS scx, b.y AS scy, b.bx AS sdx, b.by_ AS sdy
+       FROM re a JOIN re b ON a.block = b.block AND a.ring = b.ring AND b.i >= a.i + 2 AND a.bx IS NOT NULL AND b.bx IS NOT NULL
+                          AND NOT (a.i = 1 AND b.i = a.m)),
+hit AS (SELECT DISTINCT block, ring FROM pr WHERE {_TOUCH})
+SELECT b.block, bool_or(coalesce(h.ring = 0, false)) AS by_key_crosses, bool_or(coalesce(h.ring = 1, false)) AS by_lon_crosses
+FROM (SELECT DISTINCT block FROM c) b LEFT JOIN hit h ON b.block = h.block GROUP BY 1"""

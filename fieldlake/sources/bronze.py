@@ -39,8 +39,8 @@ def fire_perimeters(spark: SparkSession, path: str) -> DataFrame:
     f = read_geojson(spark, path)
     acres = F.when(property_of("properties", ["GIS_ACRES"]).isNull(), 0.0).otherwise(property_of("properties", ["GIS_ACRES"], "double"))
     f = f.withColumn("_g", geo.parse_wkt("geom_wkt"))
-    broken = F.col("geom_wkt").isNotNull() & ~F.coalesce(geo.is_valid("_g"), F.lit(True))
-    f = f.withColumn("_r", geo.repair("_g")).withColumn("_w", F.when(broken, geo.as_wkt("_r")).otherwise(F.col("geom_wkt")))
+    # what repair changes is written anew; no edge is compared with all others for that
+    f = f.withColumn("_r", geo.repair("_g")).withColumn("_w", F.when(F.col("_r") != F.col("_g"), geo.as_wkt("_r")).otherwise(F.col("geom_wkt")))
     return _conform(f.select(
         property_of("properties", ["OBJECTID"]).alias("object_id"), _text("INCIDENT").alias("incident_name"),
         _whole("FIRE_YEAR_INT").alias("fire_year"), _text("FIRE_YEAR").alias("fire_year_raw"), acres.alias("gis_acres"),

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldlake.functions import geo
-from fieldlake.operators import cover, spatial
+from fieldlake.operators import cover, spatial, validity
 
 
 def star(r, cx, cy, radius, n):
@@ -67,7 +67,7 @@ def test_cells_are_disjoint_and_inside_cells_are_inside(spark):
     cells = cover.cover(g, "gid", "geom").join(g, "gid")
     assert cells.filter("gid IN (23, 24)").count() == 0
     # corners and centre of an inside cell
-    s = cover.size_of(F.col("level"))
+    s = F.expr(cover.size_of("level"))
     for dx, dy in ((0.0, 0.0), (0.999999, 0.0), (0.0, 0.999999), (0.999999, 0.999999), (0.5, 0.5)):
         at = cells.withColumn("x", (F.col("cx") + dx) * s - 180.0).withColumn("y", (F.col("cy") + dy) * s - 180.0)
         assert at.filter("inside").filter(~geo.contains_point("geom", "x", "y")).count() == 0
@@ -84,3 +84,98 @@ def test_no_vertices_travel_with_cells(spark):
     for line in plan.split("\n"):
         if "Exchange" in line:
             assert "geom" not in line and "_r" not in line.split("hashpartitioning")[-1]
+
+
+def test_three_nearest_equal_brute_force_with_ties(spark):
+    r = random.Random(4)
+    lines = [(i, f"LINESTRING ({r.uniform(-5, 5):.5f} {r.uniform(40, 50):.5f}, {r.uniform(-5, 5):.5f} {r.uniform(40, 50):.5f})") for i in range(30)]
+    lines += [(100 + i, w) for i, (_, w) in enumerate(lines[:4])]  # the same lines again: ties
+    lines += [(200, "POINT (170 -10)"), (201, "POINT (-175 -10)"), (202, "POINT EMPTY")]
+    g = shapes(spark, lines).cache()
+    pts = spark.createDataFrame([(j, r.uniform(-12, 12), r.uniform(35, 55)) for j in range(60)] + [(90, 179.0, -9.0), (91, None, 2.0)],
+                                "pid int, x double, y double").cache()
+    got = sorted((x.pid, x.rank, x.gid, round(x.distance_m, 4)) for x in spatial.nearest_geometries(pts, g, "pid", "gid", "x", "y", "geom", k=3, cell=2.0).collect())
+    rows = pts.filter("x IS NOT NULL").crossJoin(g).withColumn("d", geo.distance_to_boundary_m("geom", "x", "y")).filter("d IS NOT NULL").collect()
+    want = []
+    for pid in {x.pid for x in rows}:
+        near = sorted((round(x.d, 4), x.gid) for x in rows if x.pid == pid)[:3]
+        want += [(pid, i + 1, gid, d) for i, (d, gid) in enumerate(near)]
+    assert got == sorted(want)
+    few = spatial.nearest_geometries(pts, g.filter("gid < 2"), "pid", "gid", "x", "y", "geom", k=3, cell=30.0)
+    assert {x.pid: x.n for x in few.groupBy("pid").agg(F.count("*").alias("n")).collect()} == {x: 2 for x in [*range(60), 90]}
+    inside = spatial.nearest_geometries(spark.createDataFrame([(1, 11.0, 2.0)], "pid int, x double, y double"), shapes(spark, polygons()), "pid", "gid", "x", "y", "geom",
+                                        k=1, cell=10.0, inside_is_zero=True).first()
+    assert (inside.gid, inside.distance_m) == (20, 0.0)
+
+
+def lattice_share(rings_in, rings_burnt, level, box):
+    """By the middles of all cells of one level."""
+    s = 360.0 / 2 ** level
+
+    def odd(rings, x, y):
+        return sum((a[1] > y) != (b[1] > y) and x < (b[0] - a[0]) * (y - a[1]) / (b[1] - a[1]) + a[0] for ring in rings for a, b in zip(ring, ring[1:])) % 2 == 1
+
+    total = hit = 0.0
+    x0, x1, y0, y1 = (math.floor((v + 180) / s) for v in box)
+    for cy in range(y0, y1 + 1):
+        area = math.sin(math.radians((cy + 1) * s - 180)) - math.sin(math.radians(cy * s - 180))
+        for cx in range(x0, x1 + 1):
+            x, y = (cx + 0.5) * s - 180, (cy + 0.5) * s - 180
+            if odd(rings_in, x, y):
+                total += area
+                hit += area * any(odd([b], x, y) for b in rings_burnt)
+    return 100 * hit / total
+
+
+def test_overlap_equals_the_lattice_and_keeps_its_bound(spark):
+    r = random.Random(9)
+    basins = {i: star(r, 10 + 3 * i, 20 + i, rad, 14) for i, rad in enumerate([0.2, 0.6, 1.4])}
+    burns = [star(r, 10 + r.uniform(-1, 7), 20 + r.uniform(-1, 3), r.uniform(0.2, 2), 9) for _ in range(12)]
+    # one burn holds basin 9, none meets basin 8; overlapping burns count once
+    basins |= {9: [(40, 40), (40.5, 40), (40.5, 40.4), (40, 40)], 8: [(60, 0), (61, 0), (61, 1), (60, 0)]}
+    burns += [[(39, 39), (42, 39), (42, 42), (39, 42), (39, 39)]] * 2
+    b = shapes(spark, [(i, f"POLYGON ({ring_text(x)})") for i, x in basins.items()] + [(7, "POLYGON EMPTY")])
+    f = shapes(spark, [(i, f"POLYGON ({ring_text(x)})") for i, x in enumerate(burns)])
+    one = {x.gid: x for x in spatial.overlap_within(b, f, "gid", "geom", "geom", max_error=0.0, start=12, finest=12).collect()}
+    for i, ring in basins.items():
+        box = (min(x for x, _ in ring), max(x for x, _ in ring), min(y for _, y in ring), max(y for _, y in ring))
+        assert abs(one[i].pct_burned - lattice_share([ring], burns, 12, box)) < 1e-6
+    assert one[7].pct_burned is None and (one[8].pct_burned, one[8].error_bound) == (0.0, 0.0)
+    fine = {x.gid: x for x in spatial.overlap_within(b, f, "gid", "geom", "geom", max_error=2.0, finest=16).collect()}
+    best = {x.gid: x for x in spatial.overlap_within(b, f, "gid", "geom", "geom", max_error=0.0, start=16, finest=16).collect()}
+    assert len(fine) == len(basins) + 1
+    for i in basins:
+        assert fine[i].error_bound <= 2.0 or fine[i].level == 16
+        assert abs(fine[i].pct_burned - best[i].pct_burned) <= fine[i].error_bound + best[i].error_bound + 1e-9
+    assert len({x.level for x in fine.values()}) > 1
+
+
+def random_rings(r, n):
+    """A simple ring, one with random vertices, one where two far edges touch, one with a few long edges amid many short ones."""
+    simple = sorted((r.uniform(0, 1), r.uniform(0, 1)) for _ in range(n))
+    simple += [(1.5, 2.0), (-0.5, 2.0), simple[0]]
+    wild = [(r.uniform(0, 1), r.uniform(0, 1)) for _ in range(n)]
+    turn = [(math.cos(2 * math.pi * i / n), math.sin(2 * math.pi * i / n)) for i in range(n)]
+    touching = [*turn[:n // 2], turn[n // 7], *turn[n // 2:], turn[0]]
+    comb = [(x * 1e-5, y * 1e-5) for x, y in turn[: n - 1]] + [(3.0, 0.5e-5), (3.0, 3.0), (-3.0, 3.0), (1e-5, 1e-9)]
+    return {1: simple, 2: [*wild, wild[0]], 3: touching, 4: [*turn, turn[0]], 5: [*comb, comb[0]]}
+
+
+@pytest.mark.parametrize("n,crowded", [(5, 64), (70, 64), (70, 4), (200, 8)])
+def test_validity_by_cells_equals_all_pairs(spark, n, crowded):
+    rings = random_rings(random.Random(n), n)
+    g = shapes(spark, [(i, f"POLYGON ({ring_text(x)})") for i, x in rings.items()] + [(20, "LINESTRING (0 0, 1 1, 0 1, 1 0)"), (21, "POLYGON ((0 0, 1 0, 1 1, 0 2))"), (22, None)]).cache()
+    want = {x.gid: x.why for x in g.select("gid", geo.validity_reason("geom").alias("why")).collect()}
+    got = {x.gid: x.reason for x in validity.reasons(g, "gid", "geom", pairwise=4).collect()}
+    assert got == want and want[4] is None and (n < 50 or want[2] == want[3] == "self-intersection")
+    by_cells = {x.gid for x in validity.crossing_rings(g.filter("gid < 10"), "gid", "geom", crowded=crowded).collect()}
+    assert by_cells == {i for i, x in want.items() if x == "self-intersection"}
+
+
+def test_a_ring_of_a_million_vertices(spark):
+    n = 1_000_000
+    turn = f"transform(sequence(0, {n}), i -> struct((1 + i % 2 * 1e-7) * cos(2 * pi() * (i % {n}) / {n}) AS x, (1 + i % 2 * 1e-7) * sin(2 * pi() * (i % {n}) / {n}) AS y))"
+    g = spark.range(2).selectExpr("id AS gid", f"CASE id WHEN 0 THEN {turn} ELSE concat(slice({turn}, 1, {n // 2}), array(struct(-0.9D AS x, -0.5D AS y), struct(1.1D AS x, 0.5D AS y)), "
+                                                 f"slice({turn}, {n // 2}, {n // 2 + 2})) END AS r")
+    g = g.selectExpr("gid", "named_struct('gtype', 'POLYGON', 'parts', array(array(r))) AS geom")
+    assert {x.gid: x.reason for x in validity.reasons(g, "gid", "geom").collect()} == {0: None, 1: "self-intersection"}
