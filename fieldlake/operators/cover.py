@@ -21,6 +21,7 @@ from ..session import ensure_checkpoint_dir
 STEP = 2          # levels between a cell and those it is split into
 DEPTH = 6         # levels between the cell that holds a polygon's box and its finest cells
 FINEST = 30
+PIECE = 4096      # edges of a ring that are exploded together
 PAD = 1e-9        # degrees by which an edge is thickened, so that rounding never loses a cell
 
 
@@ -38,9 +39,12 @@ def edges(geoms: DataFrame, geom_id: str, geom_col: str, *more: str) -> DataFram
     """(geom_id, ring, i, n, ax, ay, bx, by, more): the i-th of a ring's n
     edges; rings are numbered through all parts.  Edges with a NULL end are left out."""
     rings = geoms.select(geom_id, *more, F.posexplode(F.flatten(F.col(f"{geom_col}.parts"))).alias("ring", "_r")).filter(F.size("_r") > 1)
-    n = F.size("_r") - 1
-    ends = F.arrays_zip(F.slice("_r", 1, n).alias("a"), F.slice("_r", 2, n).alias("b"))
-    e = rings.select(geom_id, *more, "ring", n.alias("n"), F.posexplode(ends).alias("i", "_e"))
+    # a piece of a ring at a time: never all edges of a long one as objects
+    rings = rings.withColumn("n", F.size("_r") - 1).withColumn("_s", F.expr(f"explode(sequence(0, n - 1, {PIECE}))"))
+    size = f"least({PIECE}, n - _s)"
+    e = rings.selectExpr(geom_id, *more, "ring", "n", "_s", f"arrays_zip(slice(_r, _s + 1, {size}), slice(_r, _s + 2, {size})) AS _z")
+    e = e.select(geom_id, *more, "ring", "n", "_s", F.posexplode("_z").alias("_i", "_e")).withColumn("i", F.col("_s") + F.col("_i"))
+    e = e.withColumn("_e", F.struct(F.col("_e")["0"].alias("a"), F.col("_e")["1"].alias("b")))
     return (e.select(geom_id, *more, "ring", "i", "n", F.col("_e.a.x").alias("ax"), F.col("_e.a.y").alias("ay"),
                      F.col("_e.b.x").alias("bx"), F.col("_e.b.y").alias("by"))
              .filter("ax IS NOT NULL AND ay IS NOT NULL AND bx IS NOT NULL AND by IS NOT NULL"))

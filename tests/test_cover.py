@@ -161,7 +161,7 @@ def random_rings(r, n):
     return {1: simple, 2: [*wild, wild[0]], 3: touching, 4: [*turn, turn[0]], 5: [*comb, comb[0]]}
 
 
-@pytest.mark.parametrize("n,crowded", [(5, 64), (70, 64), (70, 4), (200, 8)])
+@pytest.mark.parametrize("n,crowded", [(5, 64), (70, 4), (200, 64)])
 def test_validity_by_cells_equals_all_pairs(spark, n, crowded):
     rings = random_rings(random.Random(n), n)
     g = shapes(spark, [(i, f"POLYGON ({ring_text(x)})") for i, x in rings.items()] + [(20, "LINESTRING (0 0, 1 1, 0 1, 1 0)"), (21, "POLYGON ((0 0, 1 0, 1 1, 0 2))"), (22, None)]).cache()
@@ -172,10 +172,11 @@ def test_validity_by_cells_equals_all_pairs(spark, n, crowded):
     assert by_cells == {i for i, x in want.items() if x == "self-intersection"}
 
 
-def test_a_ring_of_a_million_vertices(spark):
-    n = 1_000_000
-    turn = f"transform(sequence(0, {n}), i -> struct((1 + i % 2 * 1e-7) * cos(2 * pi() * (i % {n}) / {n}) AS x, (1 + i % 2 * 1e-7) * sin(2 * pi() * (i % {n}) / {n}) AS y))"
-    g = spark.range(2).selectExpr("id AS gid", f"CASE id WHEN 0 THEN {turn} ELSE concat(slice({turn}, 1, {n // 2}), array(struct(-0.9D AS x, -0.5D AS y), struct(1.1D AS x, 0.5D AS y)), "
+def test_a_ring_of_many_vertices(spark):
+    n = 100_000
+    # hangs on id, so that it is not folded into the plan
+    turn = f"transform(sequence(0, {n} + CAST(least(id, 0) AS INT)), i -> struct((1 + i % 2 * 1e-7) * cos(2 * pi() * (i % {n}) / {n}) AS x, (1 + i % 2 * 1e-7) * sin(2 * pi() * (i % {n}) / {n}) AS y))"
+    g = spark.range(0, 2, 1, 1).selectExpr("id AS gid", f"CASE id WHEN 0 THEN {turn} ELSE concat(slice({turn}, 1, {n // 2}), array(struct(-0.9D AS x, -0.5D AS y), struct(1.1D AS x, 0.5D AS y)), "
                                                  f"slice({turn}, {n // 2}, {n // 2 + 2})) END AS r")
     g = g.selectExpr("gid", "named_struct('gtype', 'POLYGON', 'parts', array(array(r))) AS geom")
     assert {x.gid: x.reason for x in validity.reasons(g, "gid", "geom").collect()} == {0: None, 1: "self-intersection"}
