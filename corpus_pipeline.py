@@ -34,7 +34,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the passages it shares; n_chars follows."""
     workers_find_this(spark)
-    d = suffixes.deduplicate(docs, PASSAGE_BYTES, PASSAGE_GRAM, keep=[c for c in COLUMNS if c != "text"])
+    # shorter passages have more anchors a byte: half the text behind a run and a part
+    d = suffixes.deduplicate(docs, PASSAGE_BYTES, PASSAGE_GRAM, [c for c in COLUMNS if c != "text"],
+                             part_bytes=suffixes.PART_BYTES // 2, run_bytes=suffixes.RUN_BYTES // 2)
     return d.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*COLUMNS)
 
 

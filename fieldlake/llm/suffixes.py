@@ -172,7 +172,7 @@ def _whole(left: int, right: int, length: int, reach: int) -> tuple[int, int]:
     return max(0, length - right), min(reach, left)
 
 
-def _runs(length: int, gram: int, parts: int):
+def _runs(length: int, gram: int, parts: int, run_bytes: int = RUN_BYTES):
     """Sorted front-coded runs.  Suffixes with equal surroundings are one
     entry: if a run has it twice, all of those are duplicates at once and the
     entry goes on without places, only to be met by other runs."""
@@ -245,7 +245,7 @@ def _runs(length: int, gram: int, parts: int):
                     p = a["place"]
                     entries.append((a["part"], text[p:p + length], text[max(0, p - reach):p][::-1], (doc_id, same, p)))
                 held += len(text)
-                if held > RUN_BYTES:
+                if held > run_bytes:
                     yield from send(entries)
                     entries, held = [], 0
         yield from send(entries)
@@ -322,7 +322,7 @@ def shared_windows(common: np.ndarray, right_size: np.ndarray, left: list[bytes]
 
 
 def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part_bytes: int = PART_BYTES,
-                    frequent: int = FREQUENT) -> DataFrame:
+                    frequent: int = FREQUENT, run_bytes: int = RUN_BYTES) -> DataFrame:
     """(doc_id, same, start, end): byte spans covered by strings of ``length`` bytes that occur elsewhere too."""
     d = docs.select("doc_id", "text", same_text(F.col("text")).alias("same"))
     parts = max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // part_bytes))
@@ -336,7 +336,7 @@ def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, par
                   .select(F.col("doc_id").alias("_d"), F.col("same").alias("_s"), "anchors"), "repeated-anchors")
     schema = "part long, " + ", ".join(f"{b} binary" for b in _BLOBS)
     return (d.join(kept, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("same") == F.col("_s")))
-            .select("doc_id", "same", "text", "anchors").mapInArrow(_runs(length, gram, parts), schema)
+            .select("doc_id", "same", "text", "anchors").mapInArrow(_runs(length, gram, parts, run_bytes), schema)
             .groupBy("part").applyInArrow(_match(length, gram), "doc_id long, same long, start int, end int"))
 
 
@@ -365,7 +365,7 @@ def _cut(batches):
 
 
 def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: list[str] = ["doc_id"],  # noqa: B006
-                frequent: int = FREQUENT) -> DataFrame:
+                frequent: int = FREQUENT, part_bytes: int = PART_BYTES, run_bytes: int = RUN_BYTES) -> DataFrame:
     """The ``keep`` columns with n_bytes, n_removed, kept (binary), kept_text and spans of every row of docs(doc_id, text).
 
     Every byte covered by a string of ``length`` bytes that also starts
@@ -374,7 +374,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: l
     are occurrences of their own; null ids are kept; an empty table gives no
     rows.  A span may begin or end inside a UTF-8 character; ``kept_text`` drops what
     is left of such characters, and is null where the text is."""
-    found = stored(duplicate_spans(docs, length, gram, frequent=frequent), "spans")
+    found = stored(duplicate_spans(docs, length, gram, part_bytes, frequent, run_bytes), "spans")
     found = (found.groupBy("doc_id", "same").agg(F.collect_set(F.struct("start", "end")).alias("found"))
              .select(F.col("doc_id").alias("_d"), F.col("same").alias("_s"), "found"))
     names = list(dict.fromkeys([*keep, "doc_id", "text"]))
