@@ -27,7 +27,7 @@ CAPACITY = 2048
 END_ID = 1
 GROUP_PIECES = 4096
 SEED = 9
-MOST_CACHED = 1 << 21
+MOST_CACHED = 1 << 19
 
 # white space beyond ASCII's, and control characters some engines count as such
 _WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
