@@ -7,6 +7,7 @@ UTF-8 continuation bytes never collide with those."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,20 @@ MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError, TypeError):   # another C library
+    _trim = None
+
+
+def give_back() -> None:
+    """Free memory goes back to the system: a Python worker that waits for its
+    next task, or another stage's, shares its executor's memory."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit integers (the splitmix64 finaliser); returns a new array."""
     x = x ^ (x >> np.uint64(30))
@@ -72,6 +87,8 @@ def slices(column, max_bytes: int = SLICE_BYTES) -> Iterator[Texts]:
         data[:size] = whole[at[first]:at[last]]
         yield Texts(data, at[first:last + 1] - at[first], range(first, last))
         first = last
+    if len(whole) > max_bytes:
+        give_back()
 
 
 class Words:
