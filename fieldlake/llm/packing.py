@@ -50,6 +50,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.forget()
+
+    def forget(self) -> None:
         self.known = [self._none(), self._none()]  # long kept, and recent; both point into pool
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
@@ -142,6 +145,8 @@ def _pieces(path: str, capacity: int, end_id: int):
                         rows.append((t.rows[i], start, len(piece), zlib.crc32(piece.tobytes()), n + 1))
                 row, *rest = (pa.array(x, pa.int64()) for x in zip(*rows))
                 yield pa.RecordBatch.from_arrays([ids_of.take(row), *rest], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        enc.forget()   # a worker that waits, or serves another stage, holds no chunks
+        flat.give_back()
     return run
 
 
