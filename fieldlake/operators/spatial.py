@@ -209,9 +209,10 @@ def overlap_percent(basins: DataFrame, burns: DataFrame, basin_id: str, basin_ge
                  .select(basin_id, "_i", "_j", "_lx", "_ly", F.cos(F.radians("_ly")).alias("_w")))
     burned = (spatial_join(inside, burns.select(burn_geom), "_lx", "_ly", burn_geom, cell)
               .select(basin_id, "_i", "_j", "_w").dropDuplicates([basin_id, "_i", "_j"]))
-    tot = inside.groupBy(basin_id).agg(F.sum("_w").alias("_tot"))
-    hit = burned.groupBy(basin_id).agg(F.sum("_w").alias("_hit"))
-    return (basins.select(basin_id).join(tot, basin_id, "left").join(hit, basin_id, "left")
+    # both sums over the same rows in the same order: a basin burned throughout gives 100 exactly
+    seen = inside.join(burned.select(basin_id, "_i", "_j", F.lit(True).alias("_b")), [basin_id, "_i", "_j"], "left")
+    sums = seen.groupBy(basin_id).agg(F.sum("_w").alias("_tot"), F.sum(F.when(F.col("_b"), F.col("_w")).otherwise(0.0)).alias("_hit"))
+    return (basins.select(basin_id).join(sums, basin_id, "left")
                   .select(basin_id, F.when(F.coalesce("_tot", F.lit(0.0)) > 0,
                                            F.coalesce("_hit", F.lit(0.0)) / F.col("_tot") * 100)
                           .alias("pct_burned")))
