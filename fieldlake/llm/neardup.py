@@ -243,9 +243,10 @@ def left_over(members: DataFrame, labels: DataFrame, docs: DataFrame, nodes: Dat
 
 
 def texts_of(needed: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the needed nodes."""
+    """(node, text) of the needed nodes, one row each: a row of documents may
+    stand there many times."""
     where = nodes.join(needed, "node").select("node", F.col("rep").alias("_r"), F.col("digest").alias("_g"))
-    return docs.join(where, F.col("doc_id").eqNullSafe(F.col("_r")) & (F.col("digest") == F.col("_g"))).select("node", "text")
+    return docs.join(where, F.col("doc_id").eqNullSafe(F.col("_r")) & (F.col("digest") == F.col("_g"))).select("node", "text").dropDuplicates(["node"])
 
 
 def _padded(t: flat.Texts) -> flat.Texts:

@@ -137,3 +137,20 @@ def test_spanning_forest_joins_what_all_links_join():
     assert len(neardup._spanning(a[:0], b[:0])) == 0
     x, y = np.array([1, 1, 3, 2, 3]), np.array([2, 3, 2, 3, 9])
     assert len(neardup._spanning(x, y)) == 3
+
+
+def test_a_text_is_compared_once_however_often_its_row_stands_there(spark, monkeypatch):
+    words = [f"w{i}" for i in range(200)]
+    near = " ".join(words[:100] + ["other"] + words[101:])
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, near), (None, "x " + near)] * 300, "doc_id long, text string")
+    counts, plain = [], neardup.texts_of
+
+    def counted(*args):
+        out = plain(*args)
+        counts.append((out.count(), out.select("node").distinct().count()))
+        return out
+
+    monkeypatch.setattr(neardup, "texts_of", counted)
+    assert {tuple(r) for r in neardup.classes(docs).collect()} == {(1, 1), (2, 1), (None, 1)}
+    assert counts and all(a == b <= 3 for a, b in counts)
+    assert neardup.keep_one(docs).count() == 1
