@@ -6,6 +6,8 @@ task.  When ``segment`` is given (a Column that is monotone in the order, e.g.
 the day of a timestamp), the window runs per (entity, segment) and only the
 rows near each segment edge are recomputed over the small set of edge rows of
 the entity, so a hot entity is spread over as many tasks as it has segments.
+``RANGES`` as segment takes the pieces of a range sort by entity and order:
+they follow the rows, so a busy hour is split as well as a busy entity.
 """
 
 from __future__ import annotations
@@ -14,6 +16,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..sources import ordered
+
+#: segments that follow the rows: pieces of a stored range sort
+RANGES = "ranges"
 
 def _list(x) -> list:
     if x is None:
@@ -26,12 +32,15 @@ def _order_cols(order) -> list[Column]:
 
 
 def row_window(df: DataFrame, entity, order, exprs: Callable[[W], dict], reach: int,
-               segment: Column | None = None) -> DataFrame:
+               segment: Column | str | None = None, n_parts: int | None = None) -> DataFrame:
     """Add the columns ``exprs(window)`` (row-frame windows reaching at most
     ``reach`` rows either side of the current row) per entity in ``order``.
 
     ``order`` must be total within an entity.  With ``segment`` the result is
-    identical to the plain window but no task holds more than one segment."""
+    identical to the plain window but no task holds more than one segment.
+    ``RANGES`` stores the rows range-sorted in the shared folder first and
+    takes each entity's share of a partition as a segment (``n_parts``
+    partitions, by default as many as their size asks for)."""
     ent, ordc = _list(entity), _order_cols(order)
     if segment is None:
         w = W.partitionBy(*ent).orderBy(*ordc)
@@ -39,6 +48,12 @@ def row_window(df: DataFrame, entity, order, exprs: Callable[[W], dict], reach:
         for name, col in exprs(w).items():
             out = out.withColumn(name, col)
         return out
+    staged = isinstance(segment, str)
+    if staged:
+        if segment != RANGES:
+            raise ValueError(f"segment is a column or {RANGES!r}")
+        df = ordered.stage_ordered(df, [F.col(c) if isinstance(c, str) else c for c in ent] + ordc, n_parts)
+        segment = ordered.part_of()
     k = max(1, int(reach))
     seg_w = W.partitionBy(*ent, "_fl_seg").orderBy(*ordc)
     x = (df.withColumn("_fl_seg", segment)
@@ -55,12 +70,12 @@ def row_window(df: DataFrame, entity, order, exprs: Callable[[W], dict], reach:
     for name, col in exprs(ent_w).items():
         edge = edge.withColumn(name, col)
     edge = edge.filter((F.col("_fl_rn") <= k) | (F.col("_fl_rn") > F.col("_fl_cnt") - k))
-    return interior.unionByName(edge).drop("_fl_seg", "_fl_rn", "_fl_cnt")
+    return interior.unionByName(edge).drop("_fl_seg", "_fl_rn", "_fl_cnt", *([ordered.PLACE] if staged else []))
 
 
 def series_features(df: DataFrame, entity, order, value: str, *, prev_alias: str = "prev_value",
                     change_alias: str = "change", rolling_alias: str | None = "rolling_mean",
-                    before: int = 3, after: int = 3, segment: Column | None = None) -> DataFrame:
+                    before: int = 3, after: int = 3, segment: Column | str | None = None) -> DataFrame:
     """Previous value, change = value - previous, and a centred
     row-based rolling mean (``rows between before preceding and after
     following``, shorter at the ends)."""

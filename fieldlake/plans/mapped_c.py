@@ -7,11 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import shape
+from ..functions import geo, shape
 from ..operators import incremental
+from ..operators.windows import RANGES, series_features
 from ..schemas import struct
 from ..session import shared_path
-from ..sources import raw, tables, typed
+from ..sources import geojson, ordered, raw, tables, typed
 from .tables import read
 
 
@@ -94,8 +95,35 @@ def clustered_round_trip(spark, sf) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("p_size").between(10, 30))
 
 
+def geojson_round_trip(spark, sf) -> DataFrame:
+    """Customers as points of a GeoJSON layer, cut into features and parsed again."""
+    c = read(spark, sf, "customer").select("c_custkey", "c_name", geo.point_geom(F.col("c_acctbal") / 100, F.col("c_custkey") % 90).alias("g"))
+    path = _scratch(spark, "layer")
+    geojson.write_geojson(c, path, "g")
+    back = geojson.read_geojson(spark, path).withColumn("g", geo.parse_wkt("geom_wkt"))
+    v = F.expr("g.parts[0][0][0]")
+    return back.select(geojson.property_of("properties", ["custkey", "c_custkey"], "long").alias("c_custkey"),
+                       geojson.property_of("properties", ["c_name"]).alias("c_name"), v["x"].alias("lon"), v["y"].alias("lat"))
+
+
+def series_by_range(spark, sf) -> DataFrame:
+    """W1-W3 per user over segments that follow the rows (pieces of a stored range sort)."""
+    ev = read(spark, sf, "events").select("user_id", "event_id", "ts", "value")
+    s = series_features(ev, "user_id", ["ts", "event_id"], "value", segment=RANGES)
+    return s.withColumn("rolling_mean", F.floor(F.col("rolling_mean") * 1000000 + 0.5) / 1000000)
+
+
+def ordered_positions(spark, sf) -> DataFrame:
+    """Line items by price, dearest first, stored in that order; the position of each row."""
+    li = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    path = _scratch(spark, "ordered")
+    ordered.write_ordered(li, path, [F.col("l_extendedprice").desc_nulls_last(), "l_orderkey", "l_linenumber"])
+    return ordered.read_ordered(spark, path)
+
+
 QUERIES = {f.__name__: f for f in (merge_stored, full_refresh, batch_reload, alternative_keys, unit_conversions,
-                                   ndjson_round_trip, csv_round_trip, clustered_round_trip)}
+                                   ndjson_round_trip, csv_round_trip, clustered_round_trip,
+                                   geojson_round_trip, series_by_range, ordered_positions)}
 
 SQL = {
     "merge_stored": """
@@ -114,5 +142,15 @@ SELECT l_orderkey, l_linenumber, l_extendedprice / 4046.8564224 AS acres, l_exte
     "ndjson_round_trip": """
 SELECT c_custkey, c_name, c_acctbal, batch FROM customer, (VALUES ('b1'), ('b2')) t(batch)""",
     "csv_round_trip": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
+    "geojson_round_trip": """
+SELECT c_custkey, c_name, c_acctbal / 100 AS lon, CAST(c_custkey % 90 AS DOUBLE) AS lat FROM customer""",
+    "series_by_range": """
+SELECT user_id, event_id, ts, value, lag(value) OVER w AS prev_value, value - lag(value) OVER w AS change,
+  floor((avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)) * 1000000 + 0.5)
+  / 1000000 AS rolling_mean
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+    "ordered_positions": """
+SELECT l_orderkey, l_linenumber, l_extendedprice,
+  row_number() OVER (ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber) AS position FROM lineitem""",
     "clustered_round_trip": "SELECT p_partkey, p_size, p_name FROM part WHERE p_size BETWEEN 10 AND 30",
 }
