@@ -103,20 +103,31 @@ def main(argv=None, spark=None) -> int:
         return 1 if rep.filter("status = 'error'").limit(1).count() else 0
     if args.cmd == "export":
         from .plans import marts
+        from .sources import versions
         from .sources.geojson import export_layer
         out = 0
-        prof_p = os.path.join(args.silver, "fct_plot_timber_profile")
-        if _exists(spark, prof_p):
-            latest = marts.latest_plot_profile(spark.read.parquet(prof_p))
-            # plot positions stay as latitude / longitude columns
-            latest.drop("plot_geom").write.mode("overwrite").parquet(os.path.join(args.out, "latest_plots"))
+
+        def table(name):
+            return versions.read_table(spark, args.silver, name) if versions.table_path(spark, args.silver, name) else None
+
+        def put(df, name):
+            # positions stay as latitude / longitude columns
+            df.write.mode("overwrite").parquet(os.path.join(args.out, name))
+            return spark.read.parquet(os.path.join(args.out, name))
+
+        profile, fires, change = (table(n) for n in ("fct_plot_timber_profile", "dim_wa_fires", "fct_burned_plot_change"))
+        if profile is not None:
+            latest = put(marts.latest_plot_profile(profile).drop("plot_geom"), "latest_plots")
+            put(marts.owner_summary(latest), "owner_summary").show(truncate=False)
             out += 1
-        fires_p = os.path.join(args.silver, "dim_wa_fires")
-        if _exists(spark, fires_p):
-            fires = spark.read.parquet(fires_p)
+        if fires is not None:
             export_layer(fires.filter("fire_year >= 2000 AND reported_acres >= 1000"),
                          os.path.join(args.out, "large_modern_fires"), "fire_geom")
             out += 1
+        if change is not None and profile is not None:
+            pairs = put(marts.burned_pairs_with_position(change, profile), "burned_pairs")
+            put(marts.burned_size_summary(pairs), "burned_size_summary").show(truncate=False)
+            out += 1
         print(f"wrote {out} layer(s)")
         return 0
     return 2

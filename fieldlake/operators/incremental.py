@@ -104,14 +104,20 @@ def read_stored(spark: SparkSession, path: str, like: DataFrame, partition_cols,
 def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys,
                     partition_cols, fmt: str = "parquet") -> str:
     """I1 against a stored, partitioned table: only partitions present in
-    ``source`` are merged, staged under the shared checkpoint folder and
-    written back with dynamic partition overwrite.  The range of the touched
-    partition values prunes the listing, a semi join keeps exactly them.
-    ``partition_cols`` must be determined by the key.  A table that exists but
-    cannot be read raises before anything is written."""
+    ``source`` are merged and written, once, with dynamic partition overwrite:
+    Spark writes beside the table and moves the partitions in when the job is
+    done, so it may read what it replaces.  The increment alone is staged
+    under the shared checkpoint folder, since it is read several times and
+    must be the same each time.  The range of the touched partition values
+    prunes the listing, a semi join keeps exactly them.  ``partition_cols``
+    must be determined by the key; without any the merged table is staged and
+    replaced.  A table that exists but cannot be read raises before anything
+    is written."""
     keys, parts = _list(keys), _list(partition_cols)
-    target = None
+    target, stage = None, shared_path(spark, "merge_stage", uuid.uuid4().hex)
     if table_exists(spark, path):
+        source.write.format(fmt).save(stage + "/increment")
+        source = spark.read.format(fmt).schema(source.schema).load(stage + "/increment")
         target = read_stored(spark, path, source, parts, fmt)
         if parts:
             touched = source.select(*parts).distinct()
@@ -127,12 +133,12 @@ def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys,
                 same = same & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
             target = target.join(t, same, "left_semi")
     merged = merge_upsert(target, source, keys)
-    stage = shared_path(spark, "merge_stage", uuid.uuid4().hex)
-    merged.write.mode("overwrite").format(fmt).partitionBy(*parts).save(stage)
-    staged = spark.read.format(fmt).schema(merged.schema).load(stage)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if target is not None and not parts:
+        merged.write.format(fmt).save(stage + "/merged")
+        merged = spark.read.format(fmt).schema(merged.schema).load(stage + "/merged")
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .format(fmt).partitionBy(*parts).save(path))
-    delete_path(spark, stage)      # the staged copy is no longer needed once the write succeeded
+    delete_path(spark, stage)      # no longer needed once the write succeeded
     return path
 
 
@@ -173,31 +179,3 @@ def scd2_check(snapshot: DataFrame | None, current: DataFrame, key: str, check_c
 # ---- I7: targeted reload --------------------------------------------------------------------
 def batch_slice(df: DataFrame, batch_col: str, batch_ids) -> DataFrame:
     return df.filter(F.col(batch_col).isin(*_list(batch_ids)))
-
-
-# ---- versioned table writes -------------------------------------------------------------------
-def write_version(df: DataFrame, root: str, fmt: str = "parquet", partition_cols=None) -> str:
-    """Write a new immutable version under ``root`` (readers of older
-    versions are never disturbed); returns the version path."""
-    version = f"{root.rstrip('/')}/v={uuid.uuid1().int >> 64:020d}"
-    w = df.write.mode("errorifexists").format(fmt)
-    if partition_cols:
-        w = w.partitionBy(*_list(partition_cols))
-    w.save(version)
-    return version
-
-
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Newest committed version (``_SUCCESS`` present) under ``root``."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return None
-    best = None
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            best = max(best or name, name)
-    return f"{root.rstrip('/')}/{best}" if best else None

@@ -4,7 +4,8 @@
 Staging models stay lazy views; models several consumers read (the tree fact
 and the plot profile) are written once and re-read; incremental facts merge
 into their current targets when given.  Output tables are written with the
-reference's clustering keys.
+reference's clustering keys, into a folder of their build; one commit makes
+them current (``sources.versions``).
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table_exists
-from ..sources.tables import bucketed_table, clustered_write, materialize
+from ..sources import versions
+from ..sources.tables import bucketed_table, clustered_write
 from . import checks, marts, staging
 from .hydrology import daily_features  # noqa: F401
 
@@ -38,7 +40,8 @@ def build_models(spark: SparkSession, bronze: dict, seeds: dict, targets: dict |
 
     def share(name, df):
         if shared_root:
-            return materialize(spark, df, name, kind="table", path=os.path.join(shared_root, name))
+            write_models({name: df}, shared_root)
+            return spark.read.parquet(os.path.join(shared_root, name))
         return df
 
     if "lakes" in seeds:
@@ -124,33 +127,36 @@ def write_models(models: dict, out_root: str, names=None, catalog_db: str | None
             df.write.mode("overwrite").parquet(path)
 
 
+# models several consumers read: build_models writes them itself when it is given a folder
+SHARED = ("fct_sierra_daily_flow", "dim_fia_plot", "fct_fia_tree", "fct_tree_growth", "fct_plot_timber_profile")
+
 # models that take their stored version as the target of an incremental build
 INCREMENTAL = ("fct_lake_measurements", "fct_streamflow", "fct_sierra_daily_flow", "snap_monitoring_stations")
 
 
 def stored_targets(spark: SparkSession, out_root: str, incremental: bool = False, as_of: str | None = None) -> dict:
-    """Targets of a build: the stored facts if ``incremental``; with ``as_of``
-    a snapshot run on the stored snapshot, which always grows."""
+    """Targets of a build: the committed facts if ``incremental``; with
+    ``as_of`` a snapshot run on the committed snapshot, which always grows.
+    A table that lies under ``out_root`` without a commit is taken as it is."""
     names = [n for n in INCREMENTAL if (incremental and n.startswith("fct_")) or (as_of and n.startswith("snap_"))]
-    targets = {n: spark.read.parquet(os.path.join(out_root, n)) for n in names if table_exists(spark, os.path.join(out_root, n))}
+    at = {n: versions.table_path(spark, out_root, n) or os.path.join(out_root, n) for n in names}
+    targets = {n: spark.read.parquet(p) for n, p in at.items() if table_exists(spark, p)}
     return targets | ({"as_of": as_of} if as_of else {})
 
 
 def build(spark: SparkSession, bronze: dict, seeds: dict, out_root: str, targets: dict | None = None,
           min_days_of_record: int = 300) -> DataFrame:
-    """Build, write and test everything; returns the test report.  A model
-    whose stored version is also its target is written beside it first.  The
-    tests read the stored tables, so nothing is computed twice for them."""
-    models = build_models(spark, bronze, seeds, targets, shared_root=os.path.join(out_root, "_shared"),
-                          min_days_of_record=min_days_of_record)
-    for name in targets or {}:
-        if name in models:
-            beside = os.path.join(out_root, "_next", name)
-            models[name].write.mode("overwrite").parquet(beside)
-            models[name] = spark.read.parquet(beside)
-    write_models(models, out_root)
-    for name in models:
-        path = os.path.join(out_root, name)
-        if not name.startswith(("stg_", "seed_")):
-            models[name] = spark.read.parquet(path)
+    """Build, write, commit and test everything; returns the test report.
+    Each table is written once, into a new folder, and all become current in
+    one commit: a build that fails leaves the tables of the last one.  Tables
+    this build has no input for stay as committed.  The tests read the stored
+    tables, so nothing is computed twice for them."""
+    base, before = versions.head(spark, out_root)
+    folder = versions.new_folder(out_root)
+    models = build_models(spark, bronze, seeds, targets, shared_root=folder, min_days_of_record=min_days_of_record)
+    stored = [n for n in models if not n.startswith(("stg_", "seed_"))]
+    write_models(models, folder, [n for n in stored if n not in SHARED])
+    versions.commit(spark, out_root, base, before | {n: os.path.join(folder, n) for n in stored})
+    for name in stored:
+        models[name] = spark.read.parquet(os.path.join(folder, name))
     return checks.suite(models)

@@ -315,6 +315,16 @@ def large_modern_fires(fires: DataFrame, min_year: int = 2000, min_acres: float
                          geo.as_wkt("fire_geom").alias("geom_wkt")))
 
 
+def burned_size_summary(pairs: DataFrame) -> DataFrame:
+    """Burned pairs, mean change of biomass and of dead share per fire size class."""
+    return class_summary(pairs, "size_class", {"mean_change": "biomass_change_tpa", "mean_dead_chg": "pct_dead_change"}).withColumnRenamed("n", "pairs")
+
+
+def owner_summary(latest: DataFrame) -> DataFrame:
+    """Plots, mean biomass and mean dead share per owner group."""
+    return class_summary(latest, "owner_group", {"mean_biomass": "live_biomass_tons_per_acre", "mean_pct_dead": "pct_dead"}).withColumnRenamed("n", "plots")
+
+
 def class_summary(df: DataFrame, class_col: str, measures: dict, digits: int | None = 1) -> DataFrame:
     """Count and means per class (NULL classes dropped, as pandas groupby does)."""
     def r(c):

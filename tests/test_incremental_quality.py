@@ -91,15 +91,6 @@ def test_merge_into_path_writes_nothing_when_the_target_cannot_be_read(spark, tm
     assert sorted((root, f) for root, _, files in os.walk(path) for f in files) == before
 
 
-def test_versioned_write(spark, tmp_dir):
-    root = os.path.join(tmp_dir, "versions")
-    df = spark.range(3)
-    v1 = incremental.write_version(df, root)
-    v2 = incremental.write_version(df.filter("id > 0"), root)
-    assert incremental.latest_version(spark, root).endswith(os.path.basename(v2))
-    assert spark.read.parquet(v1).count() == 3
-
-
 def test_quality_report_single_pass_and_failing_rows(spark):
     df = spark.createDataFrame([(1, "A", 0.5, 1), (1, "X", 2.0, 9), (None, None, None, 2)],
                                "k int, flag string, pct double, parent int")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from fieldlake import schemas
-from fieldlake.sources import geojson, raw, tables, typed
+from fieldlake.sources import geojson, raw, tables, typed, versions
 from fieldlake.streaming import landing
 
 
@@ -148,7 +148,7 @@ def test_cli_ingest_build_fresh_export(spark, tmp_dir):
     with open(os.path.join(seeds, "gages.csv"), "w") as f:
         f.write("gage_id,gage_name,river,mountain_range,state_code,role\nG1,MERCED R,Merced,Sierra,CA,main\n")
     assert main(["build", "--bronze", bronze, "--seeds", seeds, "--out", out, "--min-days", "100"], spark) == 0
-    assert spark.read.parquet(os.path.join(out, "fct_water_year_summary")).count() >= 1
+    assert versions.read_table(spark, out, "fct_water_year_summary").count() >= 1
     assert main(["fresh", "--bronze", bronze, "--now", "2000-01-01 00:00:00"], spark) == 0   # loaded "in the future"
     assert main(["export", "--silver", out, "--out", maps], spark) == 0
     assert spark.read.parquet(os.path.join(maps, "large_modern_fires")).count() == 1
@@ -198,11 +198,19 @@ def test_command_line_loads_static_tables_from_files(spark, tmp_dir):
     with open(os.path.join(seeds, "fia_species.csv"), "w") as f:
         f.write("SPCD,COMMON_NAME,GENUS,SPECIES,SPECIES_SYMBOL,E_SPGRPCD,WOODLAND,SFTWD_HRDWD\n202,Douglas-fir,Pseudotsuga,menziesii,PSME,10,N,S\n")
     main(["build", "--bronze", bronze, "--seeds", seeds, "--out", out], spark)
-    history = spark.read.parquet(os.path.join(out, "fct_plot_fire_history"))
+    history = versions.read_table(spark, out, "fct_plot_fire_history")
     assert {(r.plot_number, r.measurement_year, r.measurement_timing) for r in history.collect()} == {
         (p, y, t) for p in {r.plot_number for r in history.collect()} for y, t in ((2008, "Pre-fire"), (2018, "Post-fire"))}
     assert history.count() == 4
-    assert spark.read.parquet(os.path.join(out, "fct_burned_plot_change")).count() == 2
+    assert versions.read_table(spark, out, "fct_burned_plot_change").count() == 2
+    maps = os.path.join(tmp_dir, "burned-maps")
+    assert main(["export", "--silver", out, "--out", maps], spark) == 0
+    pairs = spark.read.parquet(os.path.join(maps, "burned_pairs"))
+    assert pairs.count() == 2 and pairs.where("latitude IS NULL OR longitude IS NULL").count() == 0
+    assert [r.pairs for r in spark.read.parquet(os.path.join(maps, "burned_size_summary")).collect()] == [2]
+    owners = spark.read.parquet(os.path.join(maps, "owner_summary"))
+    assert owners.columns == ["owner_group", "plots", "mean_biomass", "mean_pct_dead"]
+    assert sum(r.plots for r in owners.collect()) == spark.read.parquet(os.path.join(maps, "latest_plots")).count()
 
 
 def test_incremental_builds_equal_one_full_build(spark, tmp_dir):
@@ -235,8 +243,8 @@ def test_incremental_builds_equal_one_full_build(spark, tmp_dir):
     land(2, [station("A", "z")], "wqp_stations_raw")
     build_it(twice, "--incremental", "--as-of", "2024-02-01")
     build_it(once)
-    read_ = lambda root, n: sorted(str(sorted(r.asDict().items())) for r in spark.read.parquet(os.path.join(root, n)).collect())
+    read_ = lambda root, n: sorted(str(sorted(r.asDict().items())) for r in versions.read_table(spark, root, n).collect())
     assert read_(once, "fct_streamflow") == read_(twice, "fct_streamflow") != []
-    snap = spark.read.parquet(os.path.join(twice, "snap_monitoring_stations"))
+    snap = versions.read_table(spark, twice, "snap_monitoring_stations")
     got = sorted((r.station_id, r.station_name, r.valid_to is None) for r in snap.collect())
     assert got == [("A", "a", False), ("A", "z", True), ("B", "b", False)]
