@@ -347,3 +347,55 @@ def albers_to_lonlat(x, y, params=ALBERS_5070) -> Column:
            + (761 * e6 / 45360) * F.sin(6 * beta))
     lon = F.lit(k["lon0"]) + F.degrees(theta / n)
     return F.struct(lon.alias("x"), F.degrees(phi).alias("y"))
+
+
+def lonlat_to_albers(lon, lat, params=ALBERS_5070) -> Column:
+    """Degrees -> struct(x, y) in projected metres, the inverse of :func:`albers_to_lonlat`."""
+    k = _albers_constants(params)
+    a, e, e2, n = k["a"], k["e"], k["e2"], k["n"]
+    s = F.sin(F.radians(_c(lat)))
+    q = (1 - e2) * (s / (1 - e2 * s * s) - F.log((1 - e * s) / (1 + e * s)) / (2 * e))
+    rho = F.sqrt(F.greatest(F.lit(0.0), F.lit(k["C"]) - n * q)) * (a / n)
+    theta = F.radians(_c(lon) - k["lon0"]) * n
+    return F.struct((rho * F.sin(theta) + k["x0"]).alias("x"), (F.lit(k["rho0"]) - rho * F.cos(theta) + k["y0"]).alias("y"))
+
+
+def map_vertices(geom, fn) -> Column:
+    """The geometry with ``fn(vertex)`` in place of each vertex of every part and ring."""
+    g = F.col(geom) if isinstance(geom, str) else geom
+    parts = F.transform(g["parts"], lambda p: F.transform(p, lambda r: F.transform(r, fn)))
+    return F.when(g.isNotNull(), F.struct(g["gtype"].alias("gtype"), parts.alias("parts")))
+
+
+def densify(geom, max_edge: float) -> Column:
+    """The geometry with vertices added along each edge longer than
+    ``max_edge`` (in its own units), evenly spaced: a straight edge is curved
+    in another projection.  Old vertices stay as they are; an edge with a NULL
+    coordinate, a single vertex and an empty ring are left alone."""
+    if not max_edge > 0:
+        raise ValueError("max_edge is above 0")
+    g = F.col(geom) if isinstance(geom, str) else geom
+
+    def edge(a, b):
+        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+        pieces = F.greatest(F.lit(1), F.coalesce(F.ceil(F.sqrt(dx * dx + dy * dy) / max_edge), F.lit(1)).cast("int"))
+        at = lambda j: F.struct((a["x"] + dx * j / pieces).alias("x"), (a["y"] + dy * j / pieces).alias("y"))
+        return F.transform(F.sequence(F.lit(0), pieces - 1), lambda j: F.when(j == 0, a).otherwise(at(j)))
+
+    def ring(r):
+        inner = F.flatten(F.transform(F.sequence(F.lit(0), F.size(r) - 2), lambda i: edge(F.get(r, i), F.get(r, i + 1))))
+        return F.when(F.size(r) < 2, r).otherwise(F.concat(inner, F.slice(r, -1, 1)))
+
+    parts = F.transform(g["parts"], lambda p: F.transform(p, ring))
+    return F.when(g.isNotNull(), F.struct(g["gtype"].alias("gtype"), parts.alias("parts")))
+
+
+def reproject(geom, to: str = "lonlat", max_edge: float | None = None, params=ALBERS_5070) -> Column:
+    """G12 for whole geometries: points, lines, rings and their multiples from
+    projected metres to degrees (``lonlat``) or back (``albers``); with
+    ``max_edge`` (units of the input) edges are densified first."""
+    if to not in ("lonlat", "albers"):
+        raise ValueError("to is 'lonlat' or 'albers'")
+    turn = albers_to_lonlat if to == "lonlat" else lonlat_to_albers
+    given = densify(geom, max_edge) if max_edge is not None else geom
+    return map_vertices(given, lambda v: turn(v["x"], v["y"], params))

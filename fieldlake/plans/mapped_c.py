@@ -121,9 +121,34 @@ def ordered_positions(spark, sf) -> DataFrame:
     return ordered.read_ordered(spark, path)
 
 
+def reproject_rings(spark, sf) -> DataFrame:
+    """G12 on whole geometries: a square of half a degree for each supplier, projected and back again."""
+    s = read(spark, sf, "supplier").select("s_suppkey", (F.lit(-96.0) + F.col("s_acctbal") / 1000).alias("x"), (F.lit(37.0) + F.col("s_nationkey") / 10).alias("y"))
+    corner = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
+    ring = F.array(*[corner(dx, dy) for dx, dy in ((0, 0), (0.5, 0), (0.5, 0.5), (0, 0.5), (0, 0))])
+    g = s.select("s_suppkey", F.struct(F.lit("POLYGON").alias("gtype"), F.array(F.array(ring)).alias("parts")).alias("g"))
+    g = g.withColumn("m", geo.reproject("g", "albers")).withColumn("back", geo.reproject("m"))
+    v = g.select("s_suppkey", F.posexplode(F.arrays_zip(*[F.col(f"{n}.parts")[0][0].alias(n) for n in ("g", "m", "back")])).alias("vertex", "v"))
+    mm = lambda c: F.floor(F.col(c) * 1000 + 0.5) / 1000
+    near = (F.abs(F.col("v.g.x") - F.col("v.back.x")) < 1e-6) & (F.abs(F.col("v.g.y") - F.col("v.back.y")) < 1e-6)
+    return v.select("s_suppkey", "vertex", mm("v.m.x").alias("x"), mm("v.m.y").alias("y"), near.alias("returned"))
+
+
+def _rings_sql() -> str:
+    k = geo._albers_constants()
+    e, e2, n = k["e"], k["e2"], k["n"]
+    return f"""
+WITH c AS (SELECT s_suppkey, vertex, -96.0 + s_acctbal / 1000 + dx AS lon, sin(radians(37.0 + s_nationkey / 10.0 + dy)) AS s
+  FROM supplier, (VALUES (0, 0.0, 0.0), (1, 0.5, 0.0), (2, 0.5, 0.5), (3, 0.0, 0.5), (4, 0.0, 0.0)) t(vertex, dx, dy)),
+r AS (SELECT s_suppkey, vertex, radians(lon - ({k["lon0"]!r}))::DOUBLE * {n!r}::DOUBLE AS theta, {k["a"] / n!r}::DOUBLE * sqrt({k["C"]!r}::DOUBLE - {n!r}::DOUBLE *
+  ({1 - e2!r}::DOUBLE * (s / (1 - {e2!r}::DOUBLE * s * s) - ln((1 - {e!r}::DOUBLE * s) / (1 + {e!r}::DOUBLE * s)) / {2 * e!r}::DOUBLE))) AS rho FROM c)
+SELECT s_suppkey, vertex, floor(rho * sin(theta) * 1000 + 0.5) / 1000 AS x,
+  floor(({k["rho0"]!r}::DOUBLE - rho * cos(theta)) * 1000 + 0.5) / 1000 AS y, true AS returned FROM r"""
+
+
 QUERIES = {f.__name__: f for f in (merge_stored, full_refresh, batch_reload, alternative_keys, unit_conversions,
                                    ndjson_round_trip, csv_round_trip, clustered_round_trip,
-                                   geojson_round_trip, series_by_range, ordered_positions)}
+                                   geojson_round_trip, series_by_range, ordered_positions, reproject_rings)}
 
 SQL = {
     "merge_stored": """
@@ -149,6 +174,7 @@ SELECT user_id, event_id, ts, value, lag(value) OVER w AS prev_value, value - la
   floor((avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)) * 1000000 + 0.5)
   / 1000000 AS rolling_mean
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+    "reproject_rings": _rings_sql(),
     "ordered_positions": """
 SELECT l_orderkey, l_linenumber, l_extendedprice,
   row_number() OVER (ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber) AS position FROM lineitem""",
