@@ -44,12 +44,32 @@ def max_when(cond: Column, value) -> Column:
 
 
 # ---- A4/A5: exact percentile_cont without gathering a group in one task -------
+FEW_BRACKETS = 10_000   # as many (group, p) pairs travel to the rows instead
+HOT_ROWS = 1_000_000    # so do those of groups with more rows
+
+
+def _meet_brackets(base: DataFrame, brackets: DataFrame, g: list, hot_rows: int | None = None) -> DataFrame:
+    """``base`` joined to the brackets of its group.  Few brackets are sent to
+    the rows.  Of many, those of groups with more than ``hot_rows`` rows are
+    (there are at most rows / hot_rows of such groups); only the rows of the
+    other groups are dealt by group, so no task ever sorts a large group."""
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    if brackets.count() <= FEW_BRACKETS:
+        return join_null_safe(base, F.broadcast(brackets), g, "inner")
+    hot = brackets.filter(F.col("_n") > hot_rows)
+    if hot.isEmpty():
+        return join_null_safe(base, brackets, g, "inner")
+    others = join_null_safe(base, F.broadcast(hot.select(*g).distinct()), g, "left_anti")
+    return (join_null_safe(base, F.broadcast(hot), g, "inner")
+            .unionByName(join_null_safe(others, brackets.filter(F.col("_n") <= hot_rows), g, "inner")))
+
+
 def _refine_brackets(base: DataFrame, need: DataFrame, g: list, accuracy: int, steps: int = 1000) -> DataFrame:
     """Second pass for (group, p) pairs whose bracket is still too wide: sketch
     only the values inside the bracket at ``steps`` + 1 evenly spaced
     quantiles, then keep the two sketch points around each target rank."""
     nb = need.select(*g, "_pname", "_p", "_n", "_blo", "_bhi")
-    j = join_null_safe(base, nb, g, "inner")
+    j = _meet_brackets(base, nb, g)
     inside = (F.col("_v") >= F.col("_blo")) & (F.col("_v") <= F.col("_bhi"))
     qs = [i / steps for i in range(steps + 1)]
     agg = j.groupBy(*g, "_pname", "_p", "_n", "_blo", "_bhi").agg(
@@ -131,8 +151,9 @@ def exact_percentiles(df: DataFrame, group_cols, value_col, probs: dict, accurac
             brackets = keep.unionByName(refined.select(*keep.columns)).checkpoint(eager=True)
     cls = (F.when(F.col("_v") < F.col("_blo"), 0)
             .when(F.col("_v") > F.col("_bhi"), 2).otherwise(1))
-    counted = (join_null_safe(base, brackets, g, "inner")
-               .withColumn("_cls", cls)
+    # stats are written by now only with eager_check: otherwise nothing is counted ahead
+    met = _meet_brackets(base, brackets, g) if eager_check else join_null_safe(base, brackets, g, "inner")
+    counted = (met.withColumn("_cls", cls)
                .withColumn("_kv", F.when(F.col("_cls") == 1, F.col("_v")))
                .groupBy(*g, "_pname", "_p", "_n", "_cls", "_kv")
                .agg(F.count(F.lit(1)).alias("_cnt")))

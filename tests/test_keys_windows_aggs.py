@@ -147,3 +147,30 @@ def test_salted_join_equals_plain_join(spark):
     small = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c"), (99999, "z")], "k long, tag string")
     for how in ("inner", "left"):
         assert rows(salted_join(big, small, "k", 16, how)) == rows(big.join(small, "k", how))
+
+
+def test_exact_percentiles_never_deal_a_large_group_by_its_key(spark, monkeypatch):
+    import fieldlake.operators.aggregates as A
+    rnd = np.random.default_rng(5)
+    vals = [(g, float(v)) for g, n in ((None, 900), (0, 2000), (1, 30), (2, 31)) for v in rnd.normal(size=n).round(3)]
+    df = spark.createDataFrame(vals, "g int, v double")
+    plans, meet = [], A._meet_brackets
+
+    def seen(*a, **k):
+        plans.append(meet(*a, **k)._jdf.queryExecution().executedPlan().toString())
+        return meet(*a, **k)
+    monkeypatch.setattr(A, "_meet_brackets", seen)
+    # all brackets travel; only those of the large groups do; no group is large
+    for few, hot, sent, dealt in ((10, 500, True, False), (0, 500, True, True), (0, 5000, False, True)):
+        monkeypatch.setattr(A, "FEW_BRACKETS", few)
+        monkeypatch.setattr(A, "HOT_ROWS", hot)
+        got = {r["g"]: r["med"] for r in exact_percentiles(df, ["g"], "v", {"med": 0.5}, accuracy=100).collect()}
+        assert set(got) == {None, 0, 1, 2}
+        for g in got:
+            assert abs(got[g] - np.quantile([v for gg, v in vals if gg == g], 0.5)) < 1e-9
+        plan = plans[-1].split("Initial Plan")[-1]
+        found = [line.lstrip(" +-:*") for line in plan.split("\n")]
+        assert any(x.startswith("BroadcastHashJoin") and "LeftAnti" not in x for x in found) == sent
+        assert any(x.startswith("Exchange hashpartitioning") for x in found) == dealt
+        # what is dealt by group holds no row of a large one
+        assert ("LeftAnti" in plan) == (sent and dealt)
