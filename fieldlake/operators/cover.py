@@ -13,6 +13,8 @@ that for all cells of all levels."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import geo
@@ -22,6 +24,8 @@ STEP = 2          # levels between a cell and those it is split into
 DEPTH = 6         # levels between the cell that holds a polygon's box and its finest cells
 FINEST = 30
 PIECE = 4096      # edges of a ring that are exploded together
+BLOCK = 64        # columns and rows of cells that are dealt together
+TASK_CELLS = 500_000  # cells that edges run through, a task
 PAD = 1e-9        # degrees by which an edge is thickened, so that rounding never loses a cell
 
 
@@ -106,18 +110,29 @@ def cover(geoms: DataFrame, geom_id: str, geom_col: str, finest: int | None = No
     leaf = f"{holding_level('_box')} + {depth}" if finest is None else f"{finest}"
     g = g.withColumn("_leaf", F.expr(f"CAST({leaf} AS INT)")).withColumn("_whole", _whole(geom_col))
     e = edges(g.filter("_whole"), geom_id, geom_col, "_leaf")
-    # read three times below: ids and cell numbers, written once
-    border = edge_cells(e, "_leaf", geom_id).groupBy(geom_id, "_leaf", "cx", "cy").agg(F.sum("crosses").alias("n")).checkpoint()
-    # all cells above the boundary's, k levels up; what they are split into and is not one of them holds no edge
-    ks = f"explode(sequence(0, {depth}, {STEP}))"
-    above = (border.withColumn("k", F.expr(ks)).selectExpr(geom_id, "_leaf", "k", f"{_up('cx', 'k')} AS cx", f"{_up('cy', 'k')} AS cy").distinct())
+    # a polygon's box is no measure of its boundary: count the rows and columns that its edges run through
+    side = f"abs({{1}}{{0}} - {{2}}{{0}}) / {size_of('_leaf')}"
+    run = e.agg(F.sum(F.expr(f"1 + {side.format('x', 'a', 'b')} + {side.format('y', 'a', 'b')}"))).first()[0] or 0.0
+    tasks = max(1, math.ceil(run / TASK_CELLS)) if math.isfinite(run) else 1
+    # read three times below: ids and cell numbers, written once; edges are dealt to
+    # tasks, then cells, block by block, so that a task's share does not grow with the table
+    block = {"_bx": F.floor(F.col("cx") / BLOCK).cast("long"), "_by": F.floor(F.col("cy") / BLOCK).cast("long")}
+    border = (edge_cells(e.repartition(tasks, geom_id, "ring", "i"), "_leaf", geom_id).withColumns(block)
+              .repartition(tasks, geom_id, "_bx", "_by")
+              .groupBy(geom_id, "_leaf", "_bx", "_by", "cx", "cy").agg(F.sum("crosses").alias("n")).drop("_bx", "_by").checkpoint())
+    # all cells above the boundary's, k levels up, each with a bit for every cell it is split into that holds an edge
+    ks = f"explode(sequence({STEP}, {depth}, {STEP}))" if depth >= STEP else "explode(CAST(NULL AS ARRAY<INT>))"
     side = 1 << STEP
-    parts = (above.filter("k > 0").withColumn("_p", F.expr(f"explode(sequence(0, {side * side - 1}))"))
-                  .selectExpr(geom_id, "_leaf", f"k - {STEP} AS k", f"cx * {side} + _p % {side} AS cx", f"cy * {side} + _p DIV {side} AS cy", "0 AS edge"))
-    free = (parts.unionByName(above.withColumn("edge", F.lit(1))).groupBy(geom_id, "_leaf", "k", "cx", "cy")
-                 .agg(F.max("edge").alias("edge")).filter("edge = 0"))
+    child = f"(_cx - cx * {side}) + {side} * (_cy - cy * {side})"
+    above = (border.withColumn("k", F.expr(ks))
+                   .selectExpr(geom_id, "_leaf", "k", f"{_up('cx', 'k')} AS cx", f"{_up('cy', 'k')} AS cy",
+                               f"{_up('cx', f'(k - {STEP})')} AS _cx", f"{_up('cy', f'(k - {STEP})')} AS _cy")
+                   .groupBy(geom_id, "_leaf", "k", "cx", "cy").agg(F.expr(f"bit_or(shiftleft(1, CAST({child} AS INT)))").alias("_held")))
+    free = (above.withColumn("_p", F.expr(f"explode(sequence(0, {side * side - 1}))")).filter("(_held & shiftleft(1, _p)) = 0")
+                 .selectExpr(geom_id, "_leaf", f"k - {STEP} AS k", f"cx * {side} + _p % {side} AS cx", f"cy * {side} + _p DIV {side} AS cy"))
     line = (border.selectExpr(geom_id, "_leaf", "cy AS row", "cx AS col", "n", "CAST(NULL AS INT) AS k", "cx", "cy")
             .unionByName(free.selectExpr(geom_id, "_leaf", "CAST(cy * pow(2D, k) AS BIGINT) AS row", "CAST(cx * pow(2D, k) AS BIGINT) AS col", "0L AS n", "k", "cx", "cy")))
+    line = line.repartition(3 * tasks, geom_id, "row")
     so_far = F.sum("n").over(Window.partitionBy(geom_id, "row").orderBy("col").rowsBetween(Window.unboundedPreceding, 0))
     inside = line.withColumn("_odd", so_far % 2 == 1).filter("k IS NOT NULL AND _odd")
     span = lambda c: f"explode(sequence({cell_of(f'_box.{c}min - {PAD}D', 'level')}, {cell_of(f'_box.{c}max + {PAD}D', 'level')}))"

@@ -180,3 +180,16 @@ def test_a_ring_of_many_vertices(spark):
                                                  f"slice({turn}, {n // 2}, {n // 2 + 2})) END AS r")
     g = g.selectExpr("gid", "named_struct('gtype', 'POLYGON', 'parts', array(array(r))) AS geom")
     assert {x.gid: x.reason for x in validity.reasons(g, "gid", "geom").collect()} == {0: None, 1: "self-intersection"}
+
+
+def test_tasks_of_a_cover_grow_in_number_not_in_size(spark, monkeypatch):
+    g = shapes(spark, polygons()).coalesce(1).cache()   # one small file: one task would cut all of it
+    cells = lambda df: sorted(tuple(x) for x in df.select("gid", "level", "cx", "cy", "inside").collect())
+    want = {finest: cells(cover.cover(g, "gid", "geom", finest=finest, depth=depth)) for finest, depth in ((None, 6), (10, 10), (8, 0))}
+    monkeypatch.setattr(cover, "TASK_CELLS", 200, raising=False)
+    for finest, depth in ((None, 6), (10, 10), (8, 0)):
+        got = cover.cover(g, "gid", "geom", finest=finest, depth=depth)
+        assert cells(got) == want[finest]
+        most = got.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+        assert most[0] <= max(2000, most[1] // 10)
+    assert cells(cover.cover(g.filter("gid IN (23, 24)"), "gid", "geom")) == []
