@@ -10,6 +10,7 @@ Only ids of pieces, their lengths and checksums leave the tokenising task."""
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 import zlib
@@ -28,6 +29,7 @@ END_ID = 1
 GROUP_PIECES = 4096
 SEED = 9
 MOST_CACHED = 1 << 19
+LEARN_CHUNKS = 1 << 10  # chunks encoded by one call: their encodings stay in the processor's cache
 
 # white space beyond ASCII's, and control characters some engines count as such
 _WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -86,12 +88,15 @@ class Encoder:
         return at, n
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        # the fast call gives the same ids and keeps no offsets, which nothing here reads
+        ids = []
+        for i in range(0, len(texts), LEARN_CHUNKS):
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + LEARN_CHUNKS], add_special_tokens=False)]
         count = np.array([len(x) for x in ids], np.int64)
         total = int(count.sum())
         if self.used + total > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(total, len(self.pool)), np.uint32)])
-        self.pool[self.used:self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
+        self.pool[self.used:self.used + total] = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, total)
         start = self.used + np.cumsum(count) - count
         self.used += total
         old, new = self.known

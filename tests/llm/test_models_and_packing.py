@@ -268,3 +268,22 @@ def test_pipeline_odd_documents(spark, tmp_path):
             out = stage(spark, some, SF)
             some = spark.createDataFrame(out.collect(), out.schema)
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_new_chunks_are_encoded_without_offsets_in_small_calls(monkeypatch):
+    monkeypatch.setattr(packing, "LEARN_CHUNKS", 7, raising=False)
+    enc = packing.Encoder(packing.default_tokenizer())
+    plain, calls = enc.tokenizer, []
+
+    class Fast:
+        def encode_batch_fast(self, texts, **k):
+            calls.append(len(texts))
+            return plain.encode_batch_fast(texts, **k)
+
+    enc.tokenizer = Fast()   # has no call that keeps offsets
+    texts = ["", "one two\nthree " * 3, "é ß 漢字  tab\t<|endoftext|> it's", *(f"w{i} x{i * i}" for i in range(40))]
+    t, = flat.slices(pa.chunked_array([pa.array(texts)]))
+    ids, counts = enc.encode(t)
+    want = [plain.encode(x, add_special_tokens=False).ids for x in texts]
+    assert ids.tolist() == [i for x in want for i in x] and counts.tolist() == [len(x) for x in want]
+    assert max(calls) == 7 and sum(calls) > 60
