@@ -15,6 +15,11 @@ def test_query_matches_sql(spark, name):
     same_as_sql(queries.QUERIES[name](spark, SF), queries.SQL[name])
 
 
+def test_oracles_are_sql_texts():
+    assert all(isinstance(sql, str) for sql in queries.SQL.values())
+    assert set(queries.SQL) <= set(queries.QUERIES)
+
+
 DOCS = [(1, "a b c " * 40, "s1"), (1, "a b c " * 40, "s1"), (2, None, "s1"), (3, "", None), (4, "x\ty\nz" * 30, None), (None, "q " * 500, "s2"),
         (None, None, "s2"), (5, "é ß " * 33, "S1"), (6, "w " * 2000, "s3"), (7, "  ", "s4")]
 
