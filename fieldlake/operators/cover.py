@@ -127,7 +127,8 @@ def cover(geoms: DataFrame, geom_id: str, geom_col: str, finest: int | None = No
     above = (border.withColumn("k", F.expr(ks))
                    .selectExpr(geom_id, "_leaf", "k", f"{_up('cx', 'k')} AS cx", f"{_up('cy', 'k')} AS cy",
                                f"{_up('cx', f'(k - {STEP})')} AS _cx", f"{_up('cy', f'(k - {STEP})')} AS _cy")
-                   .groupBy(geom_id, "_leaf", "k", "cx", "cy").agg(F.expr(f"bit_or(shiftleft(1, CAST({child} AS INT)))").alias("_held")))
+                   .groupBy(geom_id, "_leaf", "k", "cx", "cy").agg(F.expr(f"bit_or(shiftleft(1, CAST({child} AS INT)))").alias("_held"))
+                   .repartition(tasks, geom_id, "k", "cx", "cy"))   # each is split into up to 16 below
     free = (above.withColumn("_p", F.expr(f"explode(sequence(0, {side * side - 1}))")).filter("(_held & shiftleft(1, _p)) = 0")
                  .selectExpr(geom_id, "_leaf", f"k - {STEP} AS k", f"cx * {side} + _p % {side} AS cx", f"cy * {side} + _p DIV {side} AS cy"))
     line = (border.selectExpr(geom_id, "_leaf", "cy AS row", "cx AS col", "n", "CAST(NULL AS INT) AS k", "cx", "cy")
