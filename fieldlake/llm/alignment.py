@@ -296,7 +296,7 @@ def _spans(paths, keep: list[str]):
                 spans = pa.StructArray.from_arrays([pa.array(before - t.offsets[of], pa.int32()), pa.array(g.end[groups] - t.offsets[of], pa.int32()), *lists], ["start", "end", "a", "b"])
                 rows = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(t) + 1)), pa.int32()), spans)
                 yield pa.RecordBatch.from_arrays([*[b.column(c).slice(t.rows.start, len(t)) for c in keep], rows], [*keep, "groups"])
-    return run
+    return flat.tidy(run)
 
 
 def align(docs: DataFrame, keep: list[str] = ["doc_id"], path_a: str | None = None, path_b: str | None = None) -> DataFrame:  # noqa: B006
@@ -336,9 +336,9 @@ def _blocks(paths, block_bytes: int):
                 doc, chunk, times = blocks.held(doc, which, len(number))
                 place, i = flat.ragged(counts[number[chunk], 4])
                 at = first[number[chunk]][place] + i
-                keys, of = np.unique(np.array(own.pairs, np.int64)[at], return_inverse=True)
+                keys, of = np.unique(np.frombuffer(own.pairs, np.int64)[at], return_inverse=True)
                 holders = np.zeros(len(keys), np.int64)
-                doc, of, times = blocks.held(doc[place], of, len(keys), np.array(own.times, np.int64)[at] * times[place])
+                doc, of, times = blocks.held(doc[place], of, len(keys), np.frombuffer(own.times, np.int64)[at] * times[place])
                 np.add.at(holders, of, 1)
                 packed = blocks.vectors(doc, of, times, len(keys))
                 yield pa.RecordBatch.from_arrays(
@@ -346,7 +346,7 @@ def _blocks(paths, block_bytes: int):
                      blocks.lists(keys, pa.int64()), blocks.lists(holders, pa.int64()), *packed.values()],
                     ["ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "keys", "holders", *packed])
         own._forget()   # a worker that waits for its next task holds no chunks
-    return run
+    return flat.tidy(run)
 
 
 _OWN = ("n_a", "n_b", "n_groups", "n_links")

@@ -76,7 +76,13 @@ def look_up(blocks: DataFrame, values: DataFrame, run, schema: str, asked_only:
     ``asked_only`` columns and keys do not travel with them."""
     asked = blocks.select(F.col("block").alias("asking"), F.posexplode("keys").alias("pos", "key"))
     found = asked.join(values, "key").drop("key")
-    return found.groupBy("asking").cogroup(blocks.drop("keys", *asked_only).groupBy("block")).applyInArrow(lambda f, b: run(b, f), schema)
+
+    def looked_up(f, b):
+        out = run(b, f)
+        flat.give_back()
+        return out
+
+    return found.groupBy("asking").cogroup(blocks.drop("keys", *asked_only).groupBy("block")).applyInArrow(looked_up, schema)
 
 
 def column(table: pa.Table, name: str) -> np.ndarray:

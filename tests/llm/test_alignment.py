@@ -108,3 +108,20 @@ def test_empty_table_and_forgotten_chunks(spark, monkeypatch):
         t = next(flat.slices(alignment.spaced(pa.array(["one two three four", "five six"]))))
         number, which, doc = own.chunks(t)
         assert b";".join(own.texts[number[k]] for k in which[doc == 1]).decode() == ";".join(f"{p[0]}|{q[0]}" for p, q in Plain().groups("five six"))
+
+
+def test_workers_give_memory_back_when_a_task_ends(monkeypatch):
+    import pyarrow as pa
+    given = []
+    monkeypatch.setattr(flat, "give_back", lambda: given.append(1))
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["one two", None]})]
+    for run in (alignment._blocks(alignment.default_paths(), 100), alignment._spans(alignment.default_paths(), ["doc_id"])):
+        given.clear()
+        made = run(iter(batches))
+        assert sum(b.num_rows for b in made) > 0 and given
+    # and a task that ends early
+    given.clear()
+    made = alignment._blocks(alignment.default_paths(), 100)(iter(batches))
+    next(made)
+    made.close()
+    assert given
