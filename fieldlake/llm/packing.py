@@ -30,6 +30,7 @@ GROUP_PIECES = 4096
 SEED = 9
 MOST_CACHED = 1 << 19
 LEARN_CHUNKS = 1 << 10  # chunks encoded by one call: their encodings stay in the processor's cache
+JOINED = 64             # of them in one text
 
 # white space beyond ASCII's, and control characters some engines count as such
 _WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -46,12 +47,19 @@ class Encoder:
     The tokenizer's pattern always starts a new piece at a single blank or
     line feed between two characters that are not white space, so texts are
     cut there, and each distinct chunk is encoded once and remembered by its
-    hash and length.  Texts with rarer white space are encoded uncut."""
+    hash and length.  Texts with rarer white space are encoded uncut.  Chunks
+    between two such cuts are encoded many in one text, and the bytes that each
+    token stands for tell whose it is."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        # a byte-level vocabulary has a character a byte; added tokens stand in texts as they are
+        sizes = {i: len(s) for s, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
+        sizes |= {i: len(x.content.encode()) for i, x in self.tokenizer.get_added_tokens_decoder().items()}
+        self.sizes = np.zeros(max(sizes, default=-1) + 1, np.int64)
+        self.sizes[list(sizes)] = list(sizes.values())
         self.forget()
 
     def forget(self) -> None:
@@ -87,16 +95,32 @@ class Encoder:
                 at[hit], n[hit] = start[i[hit]], count[i[hit]]
         return at, n
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        # the fast call gives the same ids and keeps no offsets, which nothing here reads
-        ids = []
-        for i in range(0, len(texts), LEARN_CHUNKS):
-            ids += [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + LEARN_CHUNKS], add_special_tokens=False)]
-        count = np.array([len(x) for x in ids], np.int64)
-        total = int(count.sum())
+    def _ids(self, chunks: list[bytes], joined: int) -> tuple[np.ndarray, np.ndarray]:
+        """The chunks' token ids, chunk after chunk, and how many each has; up to ``joined`` are encoded as one text."""
+        ids, count = [np.zeros(0, np.uint32)], []
+        for i in range(0, len(chunks), LEARN_CHUNKS):
+            part = chunks[i:i + LEARN_CHUNKS]
+            texts = [b"".join(part[k:k + joined]).decode() for k in range(0, len(part), joined)]
+            # the fast call gives the same ids and keeps no offsets, which nothing here reads
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids.append(np.fromiter(itertools.chain.from_iterable(found), np.uint32))
+            count += map(len, found)
+        ids = np.concatenate(ids)
+        if joined == 1 or not chunks:
+            return ids, np.array(count, np.int64)
+        end = np.cumsum(self.sizes[ids])
+        size = np.cumsum([len(c) for c in chunks])
+        last = np.searchsorted(end, size)
+        if last[-1] != len(ids) - 1 or (end[last] != size).any():
+            return self._ids(chunks, 1)   # a token crosses two chunks, or does not stand for its bytes
+        return ids, np.diff(last, prepend=-1)
+
+    def _learn(self, keys: np.ndarray, chunks: list[bytes], joined: int = 1) -> None:
+        ids, count = self._ids(chunks, joined)
+        total = len(ids)
         if self.used + total > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(total, len(self.pool)), np.uint32)])
-        self.pool[self.used:self.used + total] = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, total)
+        self.pool[self.used:self.used + total] = ids
         start = self.used + np.cumsum(count) - count
         self.used += total
         old, new = self.known
@@ -120,7 +144,15 @@ class Encoder:
         at, n = self._find(keys)
         new = np.flatnonzero(at < 0)
         if len(new):
-            self._learn(keys[new], [t.data[start[i]:end[i]].tobytes().decode() for i in first[new]])
+            a, z = start[first[new]], end[first[new]]
+            # in front of a chunk that begins no text, and behind one that ends in no white space, others may stand
+            alone = np.isin(a, t.offsets[:-1]) | flat.SPACE[t.data[z - 1]]
+            if np.count_nonzero(~alone) < JOINED:   # not one whole text of them
+                alone[:] = True
+            raw = t.data.tobytes()
+            for use, joined in ((alone, 1), (~alone, JOINED)):
+                if use.any():
+                    self._learn(keys[new[use]], [raw[i:k] for i, k in zip(a[use].tolist(), z[use].tolist())], joined)
             at[new], n[new] = self._find(keys[new])
         at, n = at[inverse], n[inverse]
         place = np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())
@@ -151,8 +183,7 @@ def _pieces(path: str, capacity: int, end_id: int):
                 row, *rest = (pa.array(x, pa.int64()) for x in zip(*rows))
                 yield pa.RecordBatch.from_arrays([ids_of.take(row), *rest], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
         enc.forget()   # a worker that waits, or serves another stage, holds no chunks
-        flat.give_back()
-    return run
+    return flat.tidy(run)
 
 
 def first_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:

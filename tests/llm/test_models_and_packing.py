@@ -287,3 +287,41 @@ def test_new_chunks_are_encoded_without_offsets_in_small_calls(monkeypatch):
     want = [plain.encode(x, add_special_tokens=False).ids for x in texts]
     assert ids.tolist() == [i for x in want for i in x] and counts.tolist() == [len(x) for x in want]
     assert max(calls) == 7 and sum(calls) > 60
+
+
+def test_new_chunks_are_encoded_many_in_one_text():
+    enc = packing.Encoder(packing.default_tokenizer())
+    plain, calls = enc.tokenizer, []
+
+    class Fast:
+        def encode_batch_fast(self, texts, **k):
+            calls.append(len(texts))
+            return plain.encode_batch_fast(texts, **k)
+
+    enc.tokenizer = Fast()
+    r = random.Random(3)
+    word = lambda: "".join(r.choices("abeé日🙂.,'1<|>\n\t ", k=r.randint(1, 9)))
+    texts = ["".join(r.choice([" ", "\n", "  ", " <|endoftext|> "]) + word() for _ in range(300)) for _ in range(12)]
+    texts += [f"n{i} " + " ".join(f"w{i * 50 + k}" for k in range(50)) for i in range(40)] + ["wide\xa0x y " * 9, " ends in blank ", ""]
+    want = [plain.encode(x, add_special_tokens=False).ids for x in texts]
+    for size in (500, 1 << 20):
+        enc.forget()
+        calls.clear()
+        for t in flat.slices(pa.array(texts), size):
+            ids, counts = enc.encode(t)
+            of = [want[i] for i in t.rows]
+            assert ids.tolist() == [i for x in of for i in x] and counts.tolist() == [len(x) for x in of]
+    # more than 4,000 distinct chunks; those that begin a text, or end one in white space, stand alone
+    assert sum(calls) < 4000 / packing.JOINED + 100
+
+
+def test_a_tokenizer_whose_tokens_do_not_show_their_bytes_is_asked_chunk_by_chunk(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    words = [f"w{i}" for i in range(300)]
+    made = Tokenizer(models.WordLevel({"?": 0, **{w: i + 1 for i, w in enumerate(words[:200])}}, unk_token="?"))
+    made.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    made.save(str(tmp_path / "words.json"))
+    enc = packing.Encoder(str(tmp_path / "words.json"))
+    t, = flat.slices(pa.array([" ".join(words)]))
+    ids, counts = enc.encode(t)
+    assert ids.tolist() == [*range(1, 201), *[0] * 100] and counts.tolist() == [300]
