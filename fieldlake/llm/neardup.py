@@ -27,7 +27,7 @@ BANDS, ROWS = 25, 5      # misses a pair of similarity 0.8 with probability 5e-5
 ALL_PAIRS = 8            # buckets of up to so many texts are compared in full at once
 CLOSE = 1e-9             # rounding of a sum of reciprocals
 LEFT_BLOCK, BLOCK = 128, 512   # texts of a block on either side
-SLICE = 8 << 20
+SLICE = flat.SLICE_BYTES   # 125 registers a text and all shingles of a slice lie in memory at once
 
 
 def shingles(t: flat.Texts, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,7 +81,7 @@ def _sign(bands: int, rows: int, words: int):
                 yield pa.RecordBatch.from_arrays([
                     *(b.column(c).slice(t.rows.start, len(t)) for c in ("doc_id", "digest")),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key[filled].ravel().view(np.int64)))], ["doc_id", "digest", "bands"])
-    return run
+    return flat.tidy(run)
 
 
 def prob_jaccard(n: int, a: tuple, b: tuple) -> np.ndarray:
@@ -119,7 +119,7 @@ def _verify(words: int, threshold: float):
                     s = prob_jaccard(len(u), shingles(_padded(part), words), shingles(u, words))
                     hit = pa.array(np.flatnonzero(s >= threshold - CLOSE) + t.rows.start + lo)
                     yield pa.RecordBatch.from_arrays([a_at.take(hit), b_at.take(hit)], ["a", "b"])
-    return run
+    return flat.tidy(run)
 
 
 def _sets(words: int):
@@ -132,7 +132,7 @@ def _sets(words: int):
                     b.column("node").slice(t.rows.start, len(t)),
                     *(pa.array([x[i:j].tobytes() for i, j in zip(cut, cut[1:])], pa.binary()) for x in (element.astype("<u8"), count.astype("<u4")))],
                     ["node", "elements", "counts"])
-    return run
+    return flat.tidy(run)
 
 
 def _sums(n: int, m: int, row_a, col_a, value_a, row_b, col_b, value_b, columns: int) -> np.ndarray:

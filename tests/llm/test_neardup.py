@@ -154,3 +154,17 @@ def test_a_text_is_compared_once_however_often_its_row_stands_there(spark, monke
     assert {tuple(r) for r in neardup.classes(docs).collect()} == {(1, 1), (2, 1), (None, 1)}
     assert counts and all(a == b <= 3 for a, b in counts)
     assert neardup.keep_one(docs).count() == 1
+
+
+def test_a_slice_of_signatures_is_small_and_given_back(monkeypatch):
+    assert neardup.SLICE <= flat.SLICE_BYTES
+    given, sizes, shingles = [], [], neardup.shingles
+    monkeypatch.setattr(flat, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(neardup, "SLICE", 50)
+    monkeypatch.setattr(neardup, "shingles", lambda t, *a: sizes.append(int(t.offsets[-1])) or shingles(t, *a))
+    texts = [f"one two three four five six {i}" for i in range(20)]
+    b = pa.RecordBatch.from_pydict({"doc_id": range(20), "digest": [b"x"] * 20, "text": texts})
+    got = [k for x in neardup._sign(2, 3, neardup.WORDS)(iter([b])) for k in x.column("bands").to_pylist()]
+    assert given and max(sizes) <= 50
+    monkeypatch.setattr(neardup, "SLICE", 1 << 20)
+    assert got == [k for x in neardup._sign(2, 3, neardup.WORDS)(iter([b])) for k in x.column("bands").to_pylist()]

@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from fieldlake.llm import substrings, suffixes
+from fieldlake.llm import flat, substrings, suffixes
 from tests.llm.helpers import SF, with_clashes
 
 
@@ -118,3 +118,19 @@ def test_loser_tree_merge():
         merged = [runs[a][b] for a, b in order]
         assert merged == sorted(s for x in runs for s in x)
         assert common[1:] == [suffixes.common_prefix(a, b) for a, b in zip(merged, merged[1:])]
+
+
+def test_workers_make_python_objects_of_few_rows_at_a_time_and_give_memory_back(monkeypatch):
+    import pyarrow as pa
+    given = []
+    monkeypatch.setattr(flat, "give_back", lambda: given.append(1))
+    texts = [f"{i} " * 500 for i in range(50)]
+    b = pa.RecordBatch.from_pydict({"doc_id": range(50), "text": texts, "found": [[{"start": 0, "end": i}] for i in range(50)]})
+    parts = list(flat.small(iter([b, b.slice(0, 0)]), 5000))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([b])) and max(p.num_rows for p in parts) < 6
+    monkeypatch.setattr(flat.small, "__defaults__", (5000,))
+    out = list(flat.tidy(suffixes._cut)(iter([b])))
+    assert given and len(out) > 9
+    assert [x for o in out for x in o.column("kept").to_pylist()] == [t.encode()[i:] for i, t in enumerate(texts)]
+    given.clear()
+    assert suffixes._match(40, 20)(pa.table({n: [] for n in suffixes._RUN.names}, schema=suffixes._RUN)).num_rows == 0 and given
