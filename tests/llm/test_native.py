@@ -88,6 +88,24 @@ def test_url_model_prefers_like_urls(spark):
     assert (got[200], got[201]) == ("allow", "block")
 
 
+def test_url_tables_are_not_broadcast(spark, monkeypatch):
+    """Not even where all are small: windows look as small as the file of their urls."""
+    pages = [(i, f"x://good{i}.com/aaa/{i}") for i in range(9)] + [(100 + i, f"x://z{i}.net/es/{i}") for i in range(9)]
+    df = spark.createDataFrame(pages + [(200, "x://a.org/" + "ab" * 1000), (201, "x://a.org/"), (201, "x://a.org/")], "page_id long, url string")
+    plans = []
+
+    def ran(frame):
+        frame.collect()
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return frame
+
+    for name in ("stored", "calibrated"):
+        monkeypatch.setattr(urls, name, lambda frame, *a, step=getattr(urls, name): step(ran(frame), *a))
+    ran(urls.judge(df))
+    assert len(plans) == 6 and sum("SortMergeJoin" in p for p in plans) == 3
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 def test_licence_forms(spark):
     mit = dict(licences.LICENCES[:1])["MIT"]
     docs = [(1, "Copyright (c) 2020 Some One\n\n" + mit.upper().replace(",", " ;")), (2, mit.replace("sublicense", "sub-licence")), (3, mit + " and more"),
